@@ -127,3 +127,109 @@ def state_map_table(spark, sf_dir):
 @query
 def state_extent(spark, sf_dir):
     return trends.state_extent(_state_geo(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- utilities (K5 requests, K9, O4)
+
+from ..operators import responses, utilities  # noqa: E402
+
+
+def fx(spark, sf_dir, name):
+    return fixtures.load(spark, sf_dir, name)
+
+
+@query
+def utilities_over_threshold(spark, sf_dir):
+    return utilities.over_threshold(fx(spark, sf_dir, "fx_utilities"))
+
+
+@query
+def utility_year_requests(spark, sf_dir):
+    return utilities.year_requests(utilities.over_threshold(fx(spark, sf_dir, "fx_utilities")))
+
+
+@query
+def utility_crosswalk(spark, sf_dir):
+    return utilities.with_crosswalk(fx(spark, sf_dir, "fx_utilities"), fx(spark, sf_dir, "fx_crosswalk"))
+
+
+@query
+def county_sample(spark, sf_dir):
+    return utilities.county_sample(spark, fx(spark, sf_dir, "fx_utilities"))
+
+
+@query
+def county_first(spark, sf_dir):
+    u = fx(spark, sf_dir, "fx_utilities")
+    return utilities.county_first(u, utilities.county_sample(spark, u))
+
+
+# ---------------------------------------------------------------- responses
+
+@query
+def search_results(spark, sf_dir):
+    return responses.nested_results(fx(spark, sf_dir, "fx_search"))
+
+
+@query
+def search_flat(spark, sf_dir):
+    return responses.flat_results(fx(spark, sf_dir, "fx_search_flat"),
+                                  top_n=schemas.FLAT_RESULTS_DEFAULT)
+
+
+@query
+def search_top_n(spark, sf_dir):
+    return responses.flat_results(fx(spark, sf_dir, "fx_search_flat"), top_n=2)
+
+
+@query
+def search_urls(spark, sf_dir):
+    return responses.result_urls(fx(spark, sf_dir, "fx_search"))
+
+
+@query
+def snippet_hits(spark, sf_dir):
+    return responses.snippet_contains(responses.nested_results(fx(spark, sf_dir, "fx_search")))
+
+
+@query
+def verdict_yes(spark, sf_dir):
+    return responses.verdict_yes(fx(spark, sf_dir, "fx_llm"))
+
+
+@query
+def prompt_text(spark, sf_dir):
+    from ..sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", responses.extraction_prompt(F.col("text")).alias("prompt"))
+
+
+@query
+def advisories_strict(spark, sf_dir):
+    return responses.advisories(fx(spark, sf_dir, "fx_llm"))
+
+
+@query
+def advisories_lenient(spark, sf_dir):
+    return responses.advisories(fx(spark, sf_dir, "fx_llm"), lenient=True)
+
+
+@query
+def advisories_bad(spark, sf_dir):
+    return responses.advisories_rejected(fx(spark, sf_dir, "fx_llm"))
+
+
+def _advisory_extras(spark, sf_dir):
+    """Per-article extras: the first nested search result (link, summary) and
+    the utility's county and state."""
+    res = responses.nested_results(fx(spark, sf_dir, "fx_search")).where(F.col("rank") == 1)
+    u = fx(spark, sf_dir, "fx_utilities").select(F.col("utility_id").alias("doc_id"),
+                                                 F.col("county_name").alias("county"),
+                                                 F.col("state_code").alias("state"))
+    return res.select("doc_id", F.col("display_url").alias("link"), "summary").join(u, "doc_id")
+
+
+@query
+def advisory_report(spark, sf_dir):
+    advs = responses.advisories(fx(spark, sf_dir, "fx_llm"))
+    return responses.advisory_rows(advs.drop("adv_pos"), _advisory_extras(spark, sf_dir), ["doc_id"])

@@ -117,3 +117,91 @@ ORACLE["state_extent"] = FEED_CTES + (
 
 def _unused():  # keep import for later sections
     return duckdb_text
+
+
+# ---------------------------------------------------------------- utilities
+
+UTIL_CTES = duckdb_ctes("fx_utilities", "fx_crosswalk")
+UTIL_COLS = "utility_id, pwsid, state_code, county_fips, county_name, population_served_count"
+
+ORACLE["utilities_over_threshold"] = UTIL_CTES + f" SELECT {UTIL_COLS} FROM fx_utilities WHERE population_served_count > 5000"
+ORACLE["utility_year_requests"] = UTIL_CTES + (
+    " SELECT utility_id, county_name AS county, state_code AS state, CAST(y.range AS BIGINT) AS year,"
+    " concat('Boil Water Advsiory in ', CAST(y.range AS VARCHAR), ' at ', county_name, ', ', state_code) AS query"
+    " FROM fx_utilities, range(2020, 2026) y WHERE population_served_count > 5000")
+ORACLE["utility_crosswalk"] = UTIL_CTES + (
+    f" SELECT u.county_fips, utility_id, pwsid, state_code, county_name, population_served_count, county_label, county_class"
+    f" FROM fx_utilities u JOIN fx_crosswalk c ON u.county_fips = c.county_fips")
+
+_FIXED = ", ".join(str(c) for c in schemas.SAMPLE_FIXED_CODES)
+SAMPLE_CTES = UTIL_CTES + f""",
+pool AS (SELECT DISTINCT CAST(county_fips AS BIGINT) AS county_fips FROM fx_utilities
+         WHERE county_fips BETWEEN 10000 AND 90000 AND county_fips NOT IN ({_FIXED})),
+drawn AS (SELECT county_fips FROM pool ORDER BY (county_fips * 2654435761 + 0) % 4294967296, county_fips
+          LIMIT {schemas.SAMPLE_SIZE - len(schemas.SAMPLE_FIXED_CODES)}),
+sample AS (SELECT CAST(c AS BIGINT) AS county_fips, 0 AS drawn FROM unnest([{_FIXED}]) t(c)
+           UNION ALL SELECT county_fips, 1 AS drawn FROM drawn)
+"""
+ORACLE["county_sample"] = SAMPLE_CTES + " SELECT county_fips, drawn FROM sample"
+ORACLE["county_first"] = SAMPLE_CTES + (
+    " SELECT county_fips, utility_id, pwsid, county, state FROM ("
+    " SELECT county_fips, utility_id, pwsid, county_name AS county, left(pwsid, 2) AS state,"
+    " row_number() OVER (PARTITION BY county_fips ORDER BY utility_id NULLS LAST) AS rn"
+    " FROM fx_utilities WHERE county_fips IN (SELECT county_fips FROM sample)) r WHERE rn = 1")
+
+# ---------------------------------------------------------------- responses
+
+NESTED_CTES = duckdb_ctes("fx_search") + """,
+nested_ok AS (SELECT doc_id, CAST(json_extract(body, '$.data.webPages.value') AS JSON[]) AS arr
+              FROM fx_search WHERE json_valid(body) AND json_type(body, '$.data.webPages.value') = 'ARRAY'),
+nested AS (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM nested_ok),
+nested_rows AS (SELECT doc_id, rank, json_extract_string(r, '$.url') AS url,
+  json_extract_string(r, '$.displayUrl') AS display_url, json_extract_string(r, '$.snippet') AS snippet,
+  json_extract_string(r, '$.summary') AS summary FROM nested)
+"""
+FLAT_CTES = duckdb_ctes("fx_search_flat") + """,
+flat_ok AS (SELECT doc_id, CAST(json_extract(body, '$.items') AS JSON[]) AS arr
+            FROM fx_search_flat WHERE json_valid(body) AND json_type(body, '$.items') = 'ARRAY'),
+flat AS (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM flat_ok),
+flat_rows AS (SELECT doc_id, rank, json_extract_string(r, '$.title') AS title,
+  json_extract_string(r, '$.link') AS link, json_extract_string(r, '$.snippet') AS snippet FROM flat)
+"""
+ORACLE["search_results"] = NESTED_CTES + " SELECT * FROM nested_rows"
+ORACLE["search_flat"] = FLAT_CTES + " SELECT * FROM flat_rows WHERE rank <= 5"
+ORACLE["search_top_n"] = FLAT_CTES + " SELECT * FROM flat_rows WHERE rank <= 2"
+ORACLE["search_urls"] = NESTED_CTES + (
+    " SELECT doc_id, CAST(len(arr) AS BIGINT) AS n_urls,"
+    " array_to_string([json_extract_string(x, '$.url') for x in arr], chr(10)) AS urls_text FROM nested_ok")
+ORACLE["snippet_hits"] = NESTED_CTES + " SELECT * FROM nested_rows WHERE contains(snippet, 'boil')"
+ORACLE["verdict_yes"] = duckdb_ctes("fx_llm") + " SELECT doc_id, response FROM fx_llm WHERE contains(response, 'YES')"
+ORACLE["prompt_text"] = ("SELECT doc_id, concat('Article text:', chr(10), text, chr(10), chr(10), "
+                         "'Extract the advisories as per the schema.') AS prompt FROM documents")
+
+ADV_CTES = duckdb_ctes("fx_llm", "fx_search", "fx_utilities") + """,
+adv_j AS (SELECT doc_id, regexp_extract(response, '(?s)\\{.*\\}', 0) AS j FROM fx_llm),
+adv_checked AS (SELECT doc_id, j, CASE WHEN j = '' THEN 'no_json' WHEN NOT json_valid(j) THEN 'invalid_json'
+   WHEN coalesce(json_type(j, '$.advisories') <> 'ARRAY', true) THEN 'no_advisories' END AS reason FROM adv_j),
+adv_arr AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM adv_checked WHERE reason IS NULL),
+adv_items AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM adv_arr),
+adv AS (SELECT doc_id, adv_pos,
+   coalesce(json_extract_string(a, '$.type'), '') AS type,
+   coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
+        THEN array_to_string(CAST(json_extract(a, '$.location') AS VARCHAR[]), ', ')
+        ELSE json_extract_string(a, '$.location') END, '') AS location,
+   CASE WHEN json_extract_string(a, '$.start_date') IS NULL OR json_extract_string(a, '$.start_date') = 'null' THEN '' ELSE json_extract_string(a, '$.start_date') END AS start_date,
+   CASE WHEN json_extract_string(a, '$.end_date') IS NULL OR json_extract_string(a, '$.end_date') = 'null' THEN '' ELSE json_extract_string(a, '$.end_date') END AS end_date,
+   CASE WHEN json_extract_string(a, '$.publish_date') IS NULL OR json_extract_string(a, '$.publish_date') = 'null' THEN '' ELSE json_extract_string(a, '$.publish_date') END AS publish_date
+   FROM adv_items)
+"""
+ORACLE["advisories_strict"] = ADV_CTES + " SELECT * FROM adv"
+ORACLE["advisories_bad"] = ADV_CTES + " SELECT doc_id, reason FROM adv_checked WHERE reason IS NOT NULL"
+ORACLE["advisory_report"] = ADV_CTES.replace("WITH ", "WITH ", 1) + """,
+nested_ok AS (SELECT doc_id, CAST(json_extract(body, '$.data.webPages.value') AS JSON[]) AS arr
+              FROM fx_search WHERE json_valid(body) AND json_type(body, '$.data.webPages.value') = 'ARRAY'),
+first_res AS (SELECT doc_id, json_extract_string(arr[1], '$.displayUrl') AS link,
+              json_extract_string(arr[1], '$.summary') AS summary FROM nested_ok WHERE len(arr) >= 1),
+extras AS (SELECT f.doc_id, f.link, f.summary, u.county_name AS county, u.state_code AS state
+           FROM first_res f JOIN fx_utilities u ON u.utility_id = f.doc_id)
+SELECT a.doc_id, a.type, a.location, a.start_date, a.end_date, a.publish_date, e.county, e.state, e.link, e.summary
+FROM adv a JOIN extras e ON a.doc_id = e.doc_id
+"""
