@@ -233,3 +233,55 @@ def _advisory_extras(spark, sf_dir):
 def advisory_report(spark, sf_dir):
     advs = responses.advisories(fx(spark, sf_dir, "fx_llm"))
     return responses.advisory_rows(advs.drop("adv_pos"), _advisory_extras(spark, sf_dir), ["doc_id"])
+
+
+# ---------------------------------------------------------------- page dates
+
+from ..operators import dates  # noqa: E402
+
+
+def _signal_rows(spark, sf_dir, signal):
+    pages = dates.pages_ok(fx(spark, sf_dir, "fx_pages"))
+    return dates.candidate_rows(dates.candidates(pages, (signal,)))
+
+
+@query
+def pages_ok(spark, sf_dir):
+    return dates.pages_ok(fx(spark, sf_dir, "fx_pages")).select(
+        "page_id", "url", "status_code", "http_last_modified")
+
+
+@query
+def dates_jsonld(spark, sf_dir):
+    return _signal_rows(spark, sf_dir, "jsonld")
+
+
+@query
+def dates_meta(spark, sf_dir):
+    return _signal_rows(spark, sf_dir, "meta")
+
+
+@query
+def dates_time(spark, sf_dir):
+    return _signal_rows(spark, sf_dir, "time")
+
+
+@query
+def dates_text(spark, sf_dir):
+    return _signal_rows(spark, sf_dir, "text")
+
+
+@query
+def dates_last_modified(spark, sf_dir):
+    return _signal_rows(spark, sf_dir, "http")
+
+
+@query
+def date_candidates(spark, sf_dir):
+    pages = dates.pages_ok(fx(spark, sf_dir, "fx_pages"))
+    return dates.candidate_rows(dates.candidates(pages))
+
+
+@query
+def page_dates(spark, sf_dir):
+    return dates.page_dates(fx(spark, sf_dir, "fx_pages"))

@@ -205,3 +205,145 @@ extras AS (SELECT f.doc_id, f.link, f.summary, u.county_name AS county, u.state_
 SELECT a.doc_id, a.type, a.location, a.start_date, a.end_date, a.publish_date, e.county, e.state, e.link, e.summary
 FROM adv a JOIN extras e ON a.doc_id = e.doc_id
 """
+
+
+# ---------------------------------------------------------------- page dates
+
+from ..functions import dates as _D  # noqa: E402
+from ..functions import html as _H  # noqa: E402
+from ..operators import dates as _X  # noqa: E402
+
+
+def _q(p: str) -> str:
+    return _sql_str(p)
+
+
+def _decode_sql(x: str) -> str:
+    for ent, ch in _H.ENTITIES:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    return x
+
+
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {_q(_H.STRIP_RE)}, '', 'g')"
+
+
+def _nodes_sql(x: str) -> str:
+    return (f"list_filter(list_transform(regexp_split_to_array({x}, {_q(_H.TAG_RE)}), "
+            f"lambda t: {_strip_sql(_decode_sql('t'))}), lambda t: t <> '')")
+
+
+def _get_text_sql(x: str) -> str:
+    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, ' ', 'g')"
+    for b in _H.SKIPPED_BLOCKS:
+        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, ' ', 'g')"
+    return f"array_to_string({_nodes_sql(s)}, ' ')"
+
+
+def _attr_sql(tag: str, name: str) -> str:
+    p = _q(_H.attr_re(name))
+    return (f"concat(regexp_extract({tag}, {p}, 1), regexp_extract({tag}, {p}, 2), "
+            f"regexp_extract({tag}, {p}, 3))")
+
+
+_RULES = _values([(i, k, a, v, w, l) for i, (k, a, v, w, l) in enumerate(schemas.META_DATE_RULES)],
+                 ["rule_ord", "kind", "attr", "value", "weight", "label"])
+_S = _X.SIGNAL_STRIDE
+_TIME_WORDS = " OR ".join(f"contains(ctx, {_q(w)})" for w in schemas.TIME_UPDATED_WORDS)
+_PUB_KEYS = ", ".join(_q(k) for k in schemas.JSONLD_PUBLISHED_KEYS)
+_UPD_KEYS = ", ".join(_q(k) for k in schemas.JSONLD_UPDATED_KEYS)
+
+DATE_CTES = duckdb_ctes("fx_pages") + f""",
+ok AS (SELECT page_id, url, html, http_last_modified FROM fx_pages WHERE status_code = 200),
+scripts AS (SELECT page_id, url, unnest(s) AS txt, generate_subscripts(s, 1) AS script_ord
+            FROM (SELECT page_id, url, regexp_extract_all(html, {_q(_X.JSONLD_SCRIPT_RE)}, 1) AS s FROM ok) x),
+valid AS (SELECT * FROM scripts WHERE trim(txt) <> '' AND json_valid(txt)),
+items AS (
+  SELECT page_id, url, script_ord, 1 AS item_ord, CAST(txt AS JSON) AS item FROM valid WHERE json_type(txt) <> 'ARRAY'
+  UNION ALL
+  SELECT page_id, url, script_ord, item_ord, item FROM (
+    SELECT page_id, url, script_ord, unnest(CAST(txt AS JSON[])) AS item,
+           generate_subscripts(CAST(txt AS JSON[]), 1) AS item_ord FROM valid WHERE json_type(txt) = 'ARRAY') y),
+items_n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY script_ord, item_ord) - 1 AS gi FROM items),
+tree AS (
+  SELECT i.page_id, i.url, i.gi, t.id, t.parent, lower(t.key) AS k,
+         CASE WHEN t.type = 'VARCHAR' THEN json_extract_string(t.value, '$') ELSE CAST(t.value AS VARCHAR) END AS v
+  FROM items_n i, json_tree(i.item) t
+  WHERE t.type NOT IN ('OBJECT', 'ARRAY', 'NULL') AND t.fullkey NOT LIKE '%]'),
+jl_pub AS (SELECT page_id, url, gi, v FROM (SELECT *, row_number() OVER (PARTITION BY page_id, gi ORDER BY parent, id) AS rn
+           FROM tree WHERE k IN ({_PUB_KEYS})) z WHERE rn = 1),
+jl_upd AS (SELECT page_id, url, gi, v FROM (SELECT *, row_number() OVER (PARTITION BY page_id, gi ORDER BY parent, id) AS rn
+           FROM tree WHERE k IN ({_UPD_KEYS})) z WHERE rn = 1),
+raw_jsonld AS (
+  SELECT page_id, url, 'published' AS kind, {schemas.JSONLD_PUBLISHED[0]} AS weight, v AS raw,
+         {_q(schemas.JSONLD_PUBLISHED[1])} AS source, CAST({_S} + gi * 2 AS BIGINT) AS ord FROM jl_pub
+  UNION ALL
+  SELECT page_id, url, 'updated', {schemas.JSONLD_UPDATED[0]}, v, {_q(schemas.JSONLD_UPDATED[1])},
+         CAST({_S} + gi * 2 + 1 AS BIGINT) FROM jl_upd),
+meta_tags AS (SELECT page_id, url, unnest(t) AS tag, generate_subscripts(t, 1) AS tag_ord
+              FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<meta\\b[^>]*>', 0) AS t FROM ok) x),
+meta_attrs AS (SELECT page_id, url, tag_ord, {_attr_sql('tag', 'property')} AS property, {_attr_sql('tag', 'name')} AS name,
+   {_attr_sql('tag', 'itemprop')} AS itemprop,
+   coalesce(nullif({_attr_sql('tag', 'content')}, ''), nullif({_attr_sql('tag', 'value')}, ''),
+            nullif({_attr_sql('tag', 'datetime')}, '')) AS val FROM meta_tags),
+meta_first AS (SELECT * FROM (SELECT m.page_id, m.url, m.val, r.*, row_number() OVER (PARTITION BY m.page_id, r.rule_ord ORDER BY m.tag_ord) AS rn
+   FROM meta_attrs m JOIN {_RULES} r ON (CASE r.attr WHEN 'property' THEN m.property WHEN 'name' THEN m.name ELSE m.itemprop END) = r.value) z
+   WHERE rn = 1),
+raw_meta AS (SELECT page_id, url, kind, CAST(weight AS INTEGER) AS weight, nullif({_strip_sql('val')}, '') AS raw, label AS source,
+   CAST({2 * _S} + rule_ord AS BIGINT) AS ord FROM meta_first),
+time_els AS (SELECT page_id, url, unnest(e) AS el, generate_subscripts(e, 1) - 1 AS i
+   FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<time\\b[^>]*>.*?</time\\s*>', 0) AS e FROM ok) x),
+time_p AS (SELECT page_id, url, i, regexp_extract(el, '^<[^>]*>', 0) AS tag,
+   regexp_extract(el, '(?is)^<time\\b[^>]*>(.*)</time\\s*>$', 1) AS inner_html FROM time_els),
+time_f AS (SELECT page_id, url, i, {_attr_sql('tag', 'datetime')} AS dt_attr, {_attr_sql('tag', 'id')} AS tid,
+   {_attr_sql('tag', 'class')} AS cls, {_nodes_sql('inner_html')} AS nodes FROM time_p),
+time_c AS (SELECT *, lower(array_to_string(list_filter(list_concat([array_to_string(nodes, ' ')],
+     CASE WHEN tid <> '' THEN list_concat(regexp_split_to_array(cls, '\\s+'), [tid]) ELSE [] END), lambda x: x <> ''), ' ')) AS ctx
+   FROM time_f),
+raw_time AS (SELECT page_id, url, CASE WHEN {_TIME_WORDS} THEN 'updated' ELSE 'published' END AS kind,
+   CAST(CASE WHEN {_TIME_WORDS} THEN {schemas.TIME_UPDATED_WEIGHT} ELSE {schemas.TIME_PUBLISHED_WEIGHT} END AS INTEGER) AS weight,
+   coalesce(nullif(dt_attr, ''), nullif(array_to_string(nodes, ''), '')) AS raw, {_q(schemas.TIME_LABEL)} AS source,
+   CAST({3 * _S} + i AS BIGINT) AS ord FROM time_c),
+vis AS (SELECT page_id, url, {_get_text_sql('html')} AS text FROM ok),
+raw_text AS (
+  SELECT page_id, url, 'published' AS kind, {schemas.TEXT_LABEL_WEIGHT} AS weight,
+    nullif(left(regexp_extract(text, {_q(_X.text_label_re(schemas.TEXT_PUBLISHED_PATTERN))}, 1), {schemas.TEXT_RAW_MAX}), '') AS raw,
+    {_q('text:' + schemas.TEXT_PUBLISHED_PATTERN)} AS source, CAST({4 * _S} AS BIGINT) AS ord FROM vis
+  UNION ALL
+  SELECT page_id, url, 'updated', {schemas.TEXT_LABEL_WEIGHT},
+    nullif(left(regexp_extract(text, {_q(_X.text_label_re(schemas.TEXT_UPDATED_PATTERN))}, 1), {schemas.TEXT_RAW_MAX}), ''),
+    {_q('text:' + schemas.TEXT_UPDATED_PATTERN)}, CAST({4 * _S + 1} AS BIGINT) FROM vis),
+raw_http AS (SELECT page_id, url, 'updated' AS kind, {schemas.HTTP_LAST_MODIFIED[0]} AS weight, http_last_modified AS raw,
+   {_q(schemas.HTTP_LAST_MODIFIED[1])} AS source, CAST({5 * _S} AS BIGINT) AS ord FROM ok)
+"""
+
+
+def _dated(src: str) -> str:
+    return (f"SELECT page_id, url, kind, CAST(weight AS INTEGER) AS weight, raw, {_D.parse_date_sql('raw')} AS dt, "
+            f"source, ord FROM {src}")
+
+
+def _cands(*srcs: str) -> str:
+    body = " UNION ALL ".join(_dated(s) for s in srcs)
+    return f"SELECT * FROM ({body}) c WHERE raw IS NOT NULL AND dt IS NOT NULL"
+
+
+ORACLE["pages_ok"] = duckdb_ctes("fx_pages") + (
+    " SELECT page_id, url, status_code, http_last_modified FROM fx_pages WHERE status_code = 200")
+ORACLE["dates_jsonld"] = DATE_CTES + _cands("raw_jsonld")
+ORACLE["dates_meta"] = DATE_CTES + _cands("raw_meta")
+ORACLE["dates_time"] = DATE_CTES + _cands("raw_time")
+ORACLE["dates_text"] = DATE_CTES + _cands("raw_text")
+ORACLE["dates_last_modified"] = DATE_CTES + _cands("raw_http")
+ALL_CANDS = _cands("raw_jsonld", "raw_meta", "raw_time", "raw_text", "raw_http")
+ORACLE["date_candidates"] = DATE_CTES + ALL_CANDS
+PAGE_DATES_SQL = DATE_CTES + f""",
+cands AS ({ALL_CANDS}),
+bp AS (SELECT page_id, dt FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY weight DESC, dt, ord) AS rn
+       FROM cands WHERE kind = 'published') z WHERE rn = 1),
+bu AS (SELECT page_id, dt FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY weight DESC, dt DESC, ord) AS rn
+       FROM cands WHERE kind = 'updated') z WHERE rn = 1)
+SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {_D.parse_date_sql('ok.http_last_modified')} AS http_last_modified
+FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id LEFT JOIN bu ON ok.page_id = bu.page_id
+"""
+ORACLE["page_dates"] = PAGE_DATES_SQL
