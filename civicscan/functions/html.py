@@ -101,3 +101,66 @@ def text_nodes(html: Column) -> Column:
 def get_text(html: Column, sep: str = " ", blocks=tuple(SKIPPED_BLOCKS)) -> Column:
     """Visible text, text nodes stripped and joined by ``sep``."""
     return F.array_join(text_nodes(drop_hidden(html, blocks)), sep)
+
+
+# ---------------------------------------------------------------- article text helpers
+
+ARTICLE_HIDDEN = ["script", "style", "template", "noscript", "form", "footer", "nav", "aside"]
+BLOCK_TAGS = ["p", "div", "br", "li", "ul", "ol", "tr", "table", "article", "section", "main",
+              "header", "footer", "nav", "aside", "blockquote", "pre", "h1", "h2", "h3", "h4",
+              "h5", "h6", "title", "hr"]
+ANCHOR_RE = r"(?is)<a\b[^>]*\shref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>"
+IMG_RE = r"(?i)<img\b[^>]*>"
+HEAD_RE = r"(?is)<head\b[^>]*>.*?</head\s*>"
+BLOCK_RE = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
+HEADING_RE = r"(?i)<h([1-6])\b[^>]*>"
+LI_RE = r"(?i)<li\b[^>]*>"
+
+
+def squeeze_newlines(s: Column) -> Column:
+    """runs of 2+ newlines -> one blank line."""
+    return F.regexp_replace(s, r"\n{2,}", "\n\n")
+
+
+def clean_lines(s: Column) -> Column:
+    """strip every line, drop blank lines, join with newlines."""
+    return F.array_join(F.filter(F.transform(F.split(s, r"\r?\n|\r"), strip_ws),
+                                 lambda x: x != F.lit("")), "\n")
+
+
+def rstrip_lines(s: Column) -> Column:
+    """right-trim every line."""
+    return F.regexp_replace(s, r"(?m)[ \t\x{00A0}]+$", "")
+
+
+def article_text(html: Column) -> Column:
+    """X9 (article cleanup): page text without script/style/noscript/form/
+    footer/nav/aside, one stripped text node per line, blank runs squeezed."""
+    return strip_ws(squeeze_newlines(get_text(html, "\n", tuple(ARTICLE_HIDDEN))))
+
+
+def markdown_text(html: Column) -> Column:
+    """X11: link-keeping plain text: anchors -> [text](url), images dropped,
+    headings -> '#' marks, list items -> '* ', block tags -> line breaks,
+    other tags removed, entities decoded, lines right-trimmed."""
+    s = F.regexp_replace(html, COMMENT_RE, "")
+    for b in ("script", "style", "template"):
+        s = F.regexp_replace(s, block_re(b), "")
+    s = F.regexp_replace(s, HEAD_RE, "")
+    s = F.regexp_replace(s, IMG_RE, "")
+    s = F.regexp_replace(s, ANCHOR_RE, "[$2]($1)")
+    s = F.regexp_replace(s, HEADING_RE, "\n\n<hmark$1>")
+    for n in range(1, 7):
+        s = F.replace(s, F.lit(f"<hmark{n}>"), F.lit("#" * n + " "))
+    s = F.regexp_replace(s, LI_RE, "\n* ")
+    s = F.regexp_replace(s, BLOCK_RE, "\n")
+    s = F.regexp_replace(s, TAG_RE, "")
+    s = decode_entities(s)
+    s = rstrip_lines(s)
+    s = F.regexp_replace(s, r"\n{3,}", "\n\n")
+    return strip_ws(s)
+
+
+def looks_like_html(s: Column) -> Column:
+    """Contains '<', '>' and '</'."""
+    return s.contains("<") & s.contains(">") & s.contains("</")

@@ -285,3 +285,39 @@ def date_candidates(spark, sf_dir):
 @query
 def page_dates(spark, sf_dir):
     return dates.page_dates(fx(spark, sf_dir, "fx_pages"))
+
+
+# ---------------------------------------------------------------- articles
+
+from ..functions import html as H  # noqa: E402
+from ..operators import articles  # noqa: E402
+
+
+@query
+def jsonld_articles(spark, sf_dir):
+    pages = fx(spark, sf_dir, "fx_pages")
+    return articles.jsonld_articles(pages.where(articles.fetched(pages)))
+
+
+@query
+def visible_text(spark, sf_dir):
+    pages = fx(spark, sf_dir, "fx_pages")
+    return pages.select("page_id", H.get_text(F.col("html"), " ").alias("text_all"),
+                        H.article_text(F.col("html")).alias("text_article"))
+
+
+@query
+def markdown_text(spark, sf_dir):
+    pages = fx(spark, sf_dir, "fx_pages")
+    return pages.select("page_id", H.markdown_text(F.col("html")).alias("markdown"))
+
+
+@query
+def best_container(spark, sf_dir):
+    pages = fx(spark, sf_dir, "fx_pages")
+    return articles.best_containers(pages.where(articles.fetched(pages)))
+
+
+@query
+def article_records(spark, sf_dir):
+    return articles.article_records(fx(spark, sf_dir, "fx_pages"))

@@ -347,3 +347,63 @@ SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {_D.parse_date_
 FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id LEFT JOIN bu ON ok.page_id = bu.page_id
 """
 ORACLE["page_dates"] = PAGE_DATES_SQL
+
+
+# ---------------------------------------------------------------- articles
+
+_TYPES = "[" + ", ".join(_q(t) for t in schemas.ARTICLE_TYPES) + "]"
+
+
+def _get_text_sep_sql(x: str, sep: str, blocks) -> str:
+    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, ' ', 'g')"
+    for b in blocks:
+        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, ' ', 'g')"
+    return f"array_to_string({_nodes_sql(s)}, {_q(sep)})"
+
+
+def _markdown_sql(x: str) -> str:
+    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, '', 'g')"
+    for b in ("script", "style", "template"):
+        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, '', 'g')"
+    s = f"regexp_replace({s}, {_q(_H.HEAD_RE)}, '', 'g')"
+    s = f"regexp_replace({s}, {_q(_H.IMG_RE)}, '', 'g')"
+    s = f"regexp_replace({s}, {_q(_H.ANCHOR_RE)}, '[\\2](\\1)', 'g')"
+    s = f"regexp_replace({s}, {_q(_H.HEADING_RE)}, {_q(chr(10) * 2 + '<hmark')} || '\\1>', 'g')"
+    for n in range(1, 7):
+        s = f"replace({s}, '<hmark{n}>', {_q('#' * n + ' ')})"
+    s = f"regexp_replace({s}, {_q(_H.LI_RE)}, {_q(chr(10) + '* ')}, 'g')"
+    s = f"regexp_replace({s}, {_q(_H.BLOCK_RE)}, {_q(chr(10))}, 'g')"
+    s = f"regexp_replace({s}, {_q(_H.TAG_RE)}, '', 'g')"
+    s = _decode_sql(s)
+    s = f"regexp_replace({s}, {_q('(?m)[ ' + chr(9) + chr(92) + 'x{00A0}]+$')}, '', 'g')"
+    s = f"regexp_replace({s}, {_q(chr(10) + '{3,}')}, {_q(chr(10) * 2)}, 'g')"
+    return _strip_sql(s)
+
+
+ORACLE["jsonld_articles"] = DATE_CTES + f""",
+art AS (SELECT page_id, item FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY gi) AS rn FROM items_n
+   WHERE json_type(item) = 'OBJECT' AND (
+     (json_type(item, '$."@type"') = 'ARRAY' AND list_has_any(CAST(json_extract(item, '$."@type"') AS VARCHAR[]), {_TYPES}))
+     OR (json_type(item, '$."@type"') = 'VARCHAR' AND list_contains({_TYPES}, json_extract_string(item, '$."@type"'))))) z
+   WHERE rn = 1)
+SELECT page_id,
+  coalesce(nullif(json_extract_string(item, '$.headline'), ''), nullif(json_extract_string(item, '$.name'), '')) AS title,
+  CASE json_type(item, '$.author')
+    WHEN 'ARRAY' THEN array_to_string(list_transform(CAST(json_extract(item, '$.author') AS JSON[]),
+         lambda a: CASE WHEN json_type(a) = 'OBJECT' THEN json_extract_string(a, '$.name') ELSE json_extract_string(a, '$') END), ', ')
+    WHEN 'OBJECT' THEN json_extract_string(item, '$.author.name')
+    ELSE nullif(json_extract_string(item, '$.author'), '') END AS author,
+  coalesce(nullif(json_extract_string(item, '$.datePublished'), ''), nullif(json_extract_string(item, '$.dateCreated'), '')) AS date,
+  json_extract_string(item, '$.description') AS description,
+  json_extract_string(item, '$.articleBody') AS article_body,
+  CASE WHEN json_type(item, '$.publisher') = 'OBJECT' THEN json_extract_string(item, '$.publisher.name')
+       ELSE json_extract_string(item, '$.publisher') END AS publisher,
+  json_extract_string(item, '$.url') AS url
+FROM art
+"""
+
+ORACLE["visible_text"] = duckdb_ctes("fx_pages") + (
+    f" SELECT page_id, {_get_text_sep_sql('html', ' ', _H.SKIPPED_BLOCKS)} AS text_all, "
+    f"{_strip_sql(chr(10).join(['']) + 'regexp_replace(' + _get_text_sep_sql('html', chr(10), _H.ARTICLE_HIDDEN) + ', ' + _q(chr(10) + '{2,}') + ', ' + _q(chr(10) * 2) + ', ' + _q('g') + ')')} AS text_article "
+    f"FROM fx_pages")
+ORACLE["markdown_text"] = duckdb_ctes("fx_pages") + f" SELECT page_id, {_markdown_sql('html')} AS markdown FROM fx_pages"
