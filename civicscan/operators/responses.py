@@ -151,4 +151,4 @@ def advisory_rows(advs: DataFrame, extras: DataFrame, on: Sequence[str],
     base = advs.drop(*[c for c in extra_cols if c in advs.columns])
     joined = base.join(extras, list(on), "inner")
     cols = [F.col(c) if c in joined.columns else F.lit("").alias(c) for c in fields]
-    return joined.select(*list(on), *cols)
+    return joined.select(*[c for c in on if c not in fields], *cols)

@@ -321,3 +321,32 @@ def best_container(spark, sf_dir):
 @query
 def article_records(spark, sf_dir):
     return articles.article_records(fx(spark, sf_dir, "fx_pages"))
+
+
+# ---------------------------------------------------------------- composite jobs (K5–K8)
+
+from . import notices  # noqa: E402
+
+
+@query
+def utility_notices(spark, sf_dir):
+    return notices.utility_notices(fx(spark, sf_dir, "fx_utilities"), fx(spark, sf_dir, "fx_search_log"),
+                                   fx(spark, sf_dir, "fx_crawl"))
+
+
+@query
+def summary_advisories(spark, sf_dir):
+    return notices.summary_advisories(fx(spark, sf_dir, "fx_utilities"), fx(spark, sf_dir, "fx_news_log"),
+                                      fx(spark, sf_dir, "fx_crawl"), fx(spark, sf_dir, "fx_summary_llm"))
+
+
+@query
+def sampled_advisories(spark, sf_dir):
+    return notices.sampled_advisories(spark, fx(spark, sf_dir, "fx_utilities"), fx(spark, sf_dir, "fx_local_log"),
+                                      fx(spark, sf_dir, "fx_site_log"), fx(spark, sf_dir, "fx_verdict_log"),
+                                      fx(spark, sf_dir, "fx_crawl"), fx(spark, sf_dir, "fx_article_llm"))
+
+
+@query
+def enriched_news(spark, sf_dir):
+    return notices.enriched_news(news_locations(spark, sf_dir), fx(spark, sf_dir, "fx_news_crawl"))

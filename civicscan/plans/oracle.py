@@ -253,7 +253,7 @@ _TIME_WORDS = " OR ".join(f"contains(ctx, {_q(w)})" for w in schemas.TIME_UPDATE
 _PUB_KEYS = ", ".join(_q(k) for k in schemas.JSONLD_PUBLISHED_KEYS)
 _UPD_KEYS = ", ".join(_q(k) for k in schemas.JSONLD_UPDATED_KEYS)
 
-DATE_CTES = duckdb_ctes("fx_pages") + f""",
+DATE_BODY = f""",
 ok AS (SELECT page_id, url, html, http_last_modified FROM fx_pages WHERE status_code = 200),
 scripts AS (SELECT page_id, url, unnest(s) AS txt, generate_subscripts(s, 1) AS script_ord
             FROM (SELECT page_id, url, regexp_extract_all(html, {_q(_X.JSONLD_SCRIPT_RE)}, 1) AS s FROM ok) x),
@@ -316,6 +316,7 @@ raw_text AS (
 raw_http AS (SELECT page_id, url, 'updated' AS kind, {schemas.HTTP_LAST_MODIFIED[0]} AS weight, http_last_modified AS raw,
    {_q(schemas.HTTP_LAST_MODIFIED[1])} AS source, CAST({5 * _S} AS BIGINT) AS ord FROM ok)
 """
+DATE_CTES = duckdb_ctes("fx_pages") + DATE_BODY
 
 
 def _dated(src: str) -> str:
@@ -337,12 +338,14 @@ ORACLE["dates_text"] = DATE_CTES + _cands("raw_text")
 ORACLE["dates_last_modified"] = DATE_CTES + _cands("raw_http")
 ALL_CANDS = _cands("raw_jsonld", "raw_meta", "raw_time", "raw_text", "raw_http")
 ORACLE["date_candidates"] = DATE_CTES + ALL_CANDS
-PAGE_DATES_SQL = DATE_CTES + f""",
+PD_BODY = f""",
 cands AS ({ALL_CANDS}),
 bp AS (SELECT page_id, dt FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY weight DESC, dt, ord) AS rn
        FROM cands WHERE kind = 'published') z WHERE rn = 1),
 bu AS (SELECT page_id, dt FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY weight DESC, dt DESC, ord) AS rn
        FROM cands WHERE kind = 'updated') z WHERE rn = 1)
+"""
+PAGE_DATES_SQL = DATE_CTES + PD_BODY + f"""
 SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {_D.parse_date_sql('ok.http_last_modified')} AS http_last_modified
 FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id LEFT JOIN bu ON ok.page_id = bu.page_id
 """
@@ -407,3 +410,25 @@ ORACLE["visible_text"] = duckdb_ctes("fx_pages") + (
     f"{_strip_sql(chr(10).join(['']) + 'regexp_replace(' + _get_text_sep_sql('html', chr(10), _H.ARTICLE_HIDDEN) + ', ' + _q(chr(10) + '{2,}') + ', ' + _q(chr(10) * 2) + ', ' + _q('g') + ')')} AS text_article "
     f"FROM fx_pages")
 ORACLE["markdown_text"] = duckdb_ctes("fx_pages") + f" SELECT page_id, {_markdown_sql('html')} AS markdown FROM fx_pages"
+
+
+# ---------------------------------------------------------------- composite K5
+
+ORACLE["utility_notices"] = duckdb_ctes("fx_pages", "fx_crawl", "fx_utilities", "fx_search", "fx_search_log") \
+    + DATE_BODY + PD_BODY + """,
+pd AS (SELECT ok.page_id, bp.dt AS published FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id),
+crawl_pd AS (SELECT url, published FROM (SELECT c.url, pd.published,
+    row_number() OVER (PARTITION BY c.url ORDER BY c.page_id) AS rn FROM fx_crawl c JOIN pd ON c.page_id = pd.page_id) z
+  WHERE rn = 1),
+reqs AS (SELECT utility_id, county_name AS county, state_code AS state, CAST(y.range AS BIGINT) AS year,
+  concat('Boil Water Advsiory in ', CAST(y.range AS VARCHAR), ' at ', county_name, ', ', state_code) AS query
+  FROM fx_utilities, range(2020, 2026) y WHERE population_served_count > 5000),
+ans AS (SELECT r.*, CAST(json_extract(l.body, '$.data.webPages.value') AS JSON[]) AS arr FROM reqs r JOIN fx_search_log l ON r.query = l.query
+  WHERE json_valid(l.body) AND json_type(l.body, '$.data.webPages.value') = 'ARRAY'),
+res AS (SELECT utility_id, county, state, year, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans),
+hits AS (SELECT utility_id, county, state, year, json_extract_string(r, '$.displayUrl') AS display_url,
+  json_extract_string(r, '$.snippet') AS snippet FROM res WHERE rank <= 2 AND contains(json_extract_string(r, '$.snippet'), 'boil'))
+SELECT h.utility_id, h.year, h.county, h.state, h.display_url AS link, h.snippet,
+  strftime(c.published, '%m/%d/%Y') AS publish_date
+FROM hits h LEFT JOIN crawl_pd c ON h.display_url = c.url
+"""

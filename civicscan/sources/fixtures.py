@@ -89,6 +89,62 @@ FX_LLM = r"""
 SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'Sure: {"advisories":[{"type":"E","location":"Richmond","start_date":"2024-01-02","end_date":null},{"type":"P","location":["Austin","Waco"],"start_date":"null","end_date":"2024-02-03"}]} done' WHEN 1 THEN '{"advisories":[]}' WHEN 2 THEN '{"advisories":"none"}' WHEN 3 THEN 'YES I cannot help' WHEN 4 THEN '{}' ELSE '{advisories:[{type:"P",location:"Ohio",}]}' END AS response FROM ${documents}
 """
 
+# Collected search responses keyed by request text, as a search service
+# would have answered the utility x year requests (one body per distinct query,
+# the first document wins).
+FX_SEARCH_LOG = r"""
+SELECT query, body FROM (
+ SELECT concat('Boil Water Advsiory in ', CAST(2020 + s.doc_id % 6 AS STRING), ' at ', u.county_name, ', ', u.state_code) AS query,
+  s.body, row_number() OVER (PARTITION BY concat('Boil Water Advsiory in ', CAST(2020 + s.doc_id % 6 AS STRING), ' at ', u.county_name, ', ', u.state_code) ORDER BY s.doc_id) AS rn
+ FROM fx_search s JOIN fx_utilities u ON u.utility_id = CAST(floor(s.doc_id / 6) AS BIGINT)) r
+WHERE rn = 1
+"""
+
+# Responses to the county news-site requests (nested shape, up to 5 results).
+FX_NEWS_LOG = r"""
+SELECT query, body FROM (
+ SELECT concat('boil water advisory warning from news sites ', u.county_name, ', ', left(u.pwsid, 2)) AS query, s.body,
+  row_number() OVER (PARTITION BY concat('boil water advisory warning from news sites ', u.county_name, ', ', left(u.pwsid, 2)) ORDER BY s.doc_id) AS rn
+ FROM fx_search s JOIN fx_utilities u ON u.utility_id = s.doc_id) r
+WHERE rn = 1
+"""
+
+# Responses to the local-news and site-restricted requests (flat shape).
+FX_LOCAL_LOG = r"""
+SELECT query, body FROM (
+ SELECT concat('local news in ', u.county_name, ', ', left(u.pwsid, 2)) AS query, f.body,
+  row_number() OVER (PARTITION BY concat('local news in ', u.county_name, ', ', left(u.pwsid, 2)) ORDER BY f.doc_id) AS rn
+ FROM fx_search_flat f JOIN fx_utilities u ON u.county_fips = 10001 + f.doc_id) r
+WHERE rn = 1
+"""
+FX_SITE_LOG = r"""
+SELECT concat('Boil Water Notice site:https://a.example/', CAST(doc_id AS STRING), ' after:2025-01-01') AS query, body
+FROM fx_search_flat WHERE doc_id < 50
+"""
+
+# Model answers: yes/no verdicts keyed by the snippet, extractions keyed by
+# the article link.
+FX_VERDICT_LOG = r"""
+SELECT CASE doc_id WHEN 0 THEN 'City says boil your water' WHEN 1 THEN 'BOIL notice lifted' WHEN 2 THEN 'school news'
+  WHEN 3 THEN 'boil order issued' WHEN 4 THEN 'weather' ELSE 'boil advisory' END AS snippet,
+ CASE WHEN doc_id IN (0, 3, 5) THEN 'YES, it is about an advisory.' ELSE 'NO' END AS response
+FROM ${documents} WHERE doc_id < 6
+"""
+FX_ARTICLE_LLM = r"""
+SELECT c.url AS link, l.response FROM fx_crawl c JOIN fx_llm l ON l.doc_id = c.page_id
+"""
+
+# Model answers about search-result summaries, keyed by the summary text.
+FX_SUMMARY_LLM = r"""
+SELECT CASE WHEN doc_id = 0 THEN 's' ELSE 't' END AS input_text, response FROM fx_llm WHERE doc_id IN (0, 1)
+"""
+
+# Crawled article pages for the news links (url rewritten onto the feed links).
+FX_NEWS_CRAWL = r"""
+SELECT page_id, concat('https://news', CAST(page_id % 20 AS STRING), '.example.com/Boil-Water-Advisory-', CAST(page_id AS STRING)) AS url,
+ html, http_last_modified, status_code FROM fx_pages
+"""
+
 FIXTURES = {
     "fx_gkg": FX_GKG,
     "fx_utilities": FX_UTILITIES,
@@ -98,9 +154,26 @@ FIXTURES = {
     "fx_search": FX_SEARCH,
     "fx_search_flat": FX_SEARCH_FLAT,
     "fx_llm": FX_LLM,
+    "fx_search_log": FX_SEARCH_LOG,
+    "fx_news_log": FX_NEWS_LOG,
+    "fx_local_log": FX_LOCAL_LOG,
+    "fx_site_log": FX_SITE_LOG,
+    "fx_verdict_log": FX_VERDICT_LOG,
+    "fx_article_llm": FX_ARTICLE_LLM,
+    "fx_news_crawl": FX_NEWS_CRAWL,
+    "fx_summary_llm": FX_SUMMARY_LLM,
 }
 
-DEPENDS = {"fx_crawl": ["fx_pages"]}
+DEPENDS = {
+    "fx_crawl": ["fx_pages"],
+    "fx_search_log": ["fx_search", "fx_utilities"],
+    "fx_news_log": ["fx_search", "fx_utilities"],
+    "fx_local_log": ["fx_search_flat", "fx_utilities"],
+    "fx_site_log": ["fx_search_flat"],
+    "fx_article_llm": ["fx_crawl", "fx_llm"],
+    "fx_news_crawl": ["fx_pages"],
+    "fx_summary_llm": ["fx_llm"],
+}
 
 BASE_TABLES = {
     "fx_gkg": ["events"],
@@ -111,6 +184,14 @@ BASE_TABLES = {
     "fx_search": ["documents"],
     "fx_search_flat": ["documents"],
     "fx_llm": ["documents"],
+    "fx_search_log": [],
+    "fx_news_log": [],
+    "fx_local_log": [],
+    "fx_site_log": [],
+    "fx_verdict_log": ["documents"],
+    "fx_article_llm": [],
+    "fx_news_crawl": [],
+    "fx_summary_llm": [],
 }
 
 
@@ -140,8 +221,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = Template(FIXTURES[name]).substitute(mapping)
     deps = DEPENDS.get(name, [])
     if deps:
+        import re
         kwargs = {d: load(spark, sf_dir, d) for d in deps}
         for d in deps:
-            text = text.replace(f"FROM {d}", "FROM {" + d + "}")
+            text = re.sub(rf"\b{d}\b", "{" + d + "}", text)
         return spark.sql(text, **kwargs)
     return spark.sql(text)
