@@ -37,6 +37,8 @@ TAG_RE = r"<[/!?]?[A-Za-z][^>]*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 SKIPPED_BLOCKS = ["script", "style", "template"]
 STRIP_RE = r"^[\s\x{00A0}]+|[\s\x{00A0}]+$"
+# Characters removed by ``strip_ws`` (regex \s plus the no-break space).
+WS_CHARS = " \t\n\x0b\x0c\r\u00a0"
 
 
 def block_re(tag: str) -> str:
@@ -73,14 +75,16 @@ def attr(tag: Column, name: str) -> Column:
 
 
 def decode_entities(s: Column) -> Column:
+    """Named references of ``ENTITIES``; pieces without '&' skip the chain."""
+    d = s
     for ent, ch in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+        d = F.replace(d, F.lit(ent), F.lit(ch))
+    return F.when(F.instr(s, "&") > 0, d).otherwise(s)
 
 
 def strip_ws(s: Column) -> Column:
-    """Python-style strip (all whitespace incl. no-break space)."""
-    return F.regexp_replace(s, STRIP_RE, "")
+    """Python-style strip (whitespace incl. no-break space), no regex."""
+    return F.btrim(s, F.lit(WS_CHARS))
 
 
 def drop_hidden(html: Column, blocks=tuple(SKIPPED_BLOCKS)) -> Column:

@@ -79,8 +79,12 @@ def unnest_locations(cands: DataFrame, country: str | None = "US") -> DataFrame:
 
     A null list yields no rows; short records give nulls (then fail P2).
     """
-    exploded = cands.select("publish_time", "link", "source",
-                            F.explode(_record_parts(F.col("v2locations"), country)).alias("p"))
+    # explode_outer + null filter: a plain explode makes the optimizer push an
+    # inferred size(...) > 0 filter below the projection, evaluating the
+    # split/filter expression twice per row.
+    exploded = (cands.select("publish_time", "link", "source",
+                             F.explode_outer(_record_parts(F.col("v2locations"), country)).alias("p"))
+                .where(F.col("p").isNotNull()))
     p = F.col("p")
     return exploded.select(
         "publish_time", "link", "source",

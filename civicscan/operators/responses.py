@@ -20,6 +20,14 @@ def _ids(ids: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in ids]
 
 
+def _unpack(df: DataFrame, ids: Sequence[str], arr: Column, name: str = "r") -> DataFrame:
+    """posexplode without the optimizer's inferred size(arr) > 0 pre-filter
+    (which would evaluate the JSON parse twice): outer generator, then drop
+    the null row of empty / missing arrays."""
+    return (df.select(*_ids(ids), F.posexplode_outer(arr).alias("pos", name))
+            .where(F.col("pos").isNotNull()))
+
+
 def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body",
                    top_n: int | None = None) -> DataFrame:
     """S9 + P13 (+ W4 when ``top_n``): ``data.webPages.value[]`` -> rows.
@@ -31,7 +39,7 @@ def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body:
     arr = parsed.getField("data").getField("webPages").getField("value")
     if top_n is not None:
         arr = F.slice(arr, 1, top_n)
-    ex = responses.select(*_ids(ids), F.posexplode(arr).alias("pos", "r"))
+    ex = _unpack(responses, ids, arr)
     return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("rank"),
                      F.col("r.url").alias("url"), F.col("r.displayUrl").alias("display_url"),
                      F.col("r.snippet").alias("snippet"), F.col("r.summary").alias("summary"))
@@ -45,7 +53,7 @@ def flat_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: s
     arr = parsed.getField("items")
     if top_n is not None:
         arr = F.slice(arr, 1, top_n)
-    ex = responses.select(*_ids(ids), F.posexplode(arr).alias("pos", "r"))
+    ex = _unpack(responses, ids, arr)
     return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("rank"),
                      F.col("r.title").alias("title"), F.col("r.link").alias("link"),
                      F.col("r.snippet").alias("snippet"))
@@ -125,7 +133,7 @@ def advisories(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "res
     """X13 + J10 + F17 + F18: one normalised row per advisory; the parent
     columns (``ids``) repeat on each."""
     checked = _checked(df, text, lenient).where(F.col("_reason").isNull())
-    ex = checked.select(*_ids(ids), F.posexplode(F.col("_parsed.advisories")).alias("pos", "a"))
+    ex = _unpack(checked, ids, F.col("_parsed.advisories"), "a")
     a = F.col("a")
     return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("adv_pos"),
                      F.coalesce(a.getField("type"), F.lit("")).alias("type"),

@@ -225,7 +225,7 @@ def _decode_sql(x: str) -> str:
 
 
 def _strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, {_q(_H.STRIP_RE)}, '', 'g')"
+    return f"trim({x}, {_q(_H.WS_CHARS)})"
 
 
 def _nodes_sql(x: str) -> str:
