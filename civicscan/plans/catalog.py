@@ -12,13 +12,23 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import feed, trends
+from ..session import ship_package
 from ..sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    """Register ``fn``; the registered callable first makes sure the Python
+    workers can import this package (pandas UDFs live in it)."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

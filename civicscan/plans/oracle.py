@@ -8,7 +8,7 @@ match the Spark outputs exactly.
 from __future__ import annotations
 
 from .. import schemas
-from ..sources.fixtures import duckdb_ctes, duckdb_text
+from ..sources.fixtures import duckdb_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -115,10 +115,6 @@ ORACLE["state_extent"] = FEED_CTES + (
     "WHERE name NOT IN (" + ", ".join(_sql_str(x) for x in schemas.MAP_EXCLUDED_REGIONS) + ")) b")
 
 
-def _unused():  # keep import for later sections
-    return duckdb_text
-
-
 # ---------------------------------------------------------------- utilities
 
 UTIL_CTES = duckdb_ctes("fx_utilities", "fx_crosswalk")
@@ -405,10 +401,12 @@ SELECT page_id,
 FROM art
 """
 
+_ARTICLE_TEXT_SQL = _strip_sql(
+    f"regexp_replace({_get_text_sep_sql('html', chr(10), _H.ARTICLE_HIDDEN)}, "
+    f"{_q(chr(10) + '{2,}')}, {_q(chr(10) * 2)}, 'g')")
 ORACLE["visible_text"] = duckdb_ctes("fx_pages") + (
     f" SELECT page_id, {_get_text_sep_sql('html', ' ', _H.SKIPPED_BLOCKS)} AS text_all, "
-    f"{_strip_sql(chr(10).join(['']) + 'regexp_replace(' + _get_text_sep_sql('html', chr(10), _H.ARTICLE_HIDDEN) + ', ' + _q(chr(10) + '{2,}') + ', ' + _q(chr(10) * 2) + ', ' + _q('g') + ')')} AS text_article "
-    f"FROM fx_pages")
+    f"{_ARTICLE_TEXT_SQL} AS text_article FROM fx_pages")
 ORACLE["markdown_text"] = duckdb_ctes("fx_pages") + f" SELECT page_id, {_markdown_sql('html')} AS markdown FROM fx_pages"
 
 

@@ -58,3 +58,37 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``civicscan`` importable in Python workers (the ``--py-files``
+    mechanism): zip the package once per SparkContext and ``addPyFile`` it.
+    The zip is written under the shared checkpoint folder when that is a
+    local path, else next to the driver (executors fetch it from the driver).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    if not base.startswith("/"):
+        base = tempfile.mkdtemp(prefix="civicscan-pyfiles-")
+    folder = os.path.join(base, f"civicscan-pyfiles-{uuid.uuid4().hex[:12]}")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "civicscan.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
