@@ -90,11 +90,26 @@ def verdict_prompt(snippet: Column) -> Column:
     return F.concat(snippet, F.lit(schemas.VERDICT_PROMPT_SUFFIX))
 
 
+PARTS_SCHEMA = "array<struct<type:string,text:string>>"
+
+
 def response_text(parts: Column) -> Column:
-    """Concatenated text parts of a model response (array<struct<text>>)."""
+    """Concatenated text parts of a model response (array<struct<text>>);
+    parts without text are skipped."""
     return F.array_join(F.transform(parts, lambda p: F.coalesce(p.getField("text"), F.lit(""))), "")
 
 
+def model_texts(df: DataFrame, ids: Sequence[str] = ("doc_id",), content: str = "content") -> DataFrame:
+    """S14 over stored responses: JSON content-part arrays -> one text per
+    response; bodies that are not a part array give no row."""
+    c = F.col(content)
+    # from_json would wrap a lone top-level object into a one-element array
+    is_list = jsonx.is_strict_json(c) & (jsonx.json_kind(F.try_parse_json(c)) == F.lit("ARRAY"))
+    parts = F.when(is_list, F.from_json(c, PARTS_SCHEMA))
+    return (df.select(*_ids(ids), parts.alias("_parts")).where(F.col("_parts").isNotNull())
+            .select(*_ids(ids), response_text(F.col("_parts")).alias("response")))
+
+
 # ------------------------------------------------------------------ advisories
 
 def _advisory_status(j: Column, lenient: bool) -> tuple[Column, Column]:

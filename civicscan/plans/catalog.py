@@ -360,3 +360,19 @@ def sampled_advisories(spark, sf_dir):
 @query
 def enriched_news(spark, sf_dir):
     return notices.enriched_news(news_locations(spark, sf_dir), fx(spark, sf_dir, "fx_news_crawl"))
+
+
+@query
+def site_chain(spark, sf_dir):
+    return notices.site_chain(spark, fx(spark, sf_dir, "fx_utilities"), fx(spark, sf_dir, "fx_local_log"))
+
+
+@query
+def news_head(spark, sf_dir):
+    """O3: the first 100 news rows in (publish_time, link) order."""
+    return news_first(spark, sf_dir).orderBy(F.col("publish_time").asc_nulls_last(), "link").limit(100)
+
+
+@query
+def model_response_text(spark, sf_dir):
+    return responses.model_texts(fx(spark, sf_dir, "fx_llm_parts"))

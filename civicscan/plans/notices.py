@@ -67,18 +67,25 @@ def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: Data
     return responses.advisory_rows(advs.drop("adv_pos"), extras, ["utility_id", "rank"])
 
 
+def site_chain(spark, utilities_df: DataFrame, local_log: DataFrame, seed: int = 0) -> DataFrame:
+    """Sampled county -> top-1 local-news result -> site-restricted notice
+    request text (dated after a fixed day)."""
+    counties = utilities.county_first(utilities_df, utilities.county_sample(spark, utilities_df, seed))
+    local_q = utilities.county_requests(counties, schemas.LOCAL_NEWS_QUERY)
+    local = responses.flat_results(local_q.join(local_log, "query"), ("county_fips", "county", "state"),
+                                   top_n=1)
+    after = F.date_format(F.lit(schemas.SITE_NOTICE_AFTER).cast("date"), "yyyy-MM-dd")   # F12
+    return local.select("county_fips", "county", "state", "link", utilities.template(
+        schemas.SITE_NOTICE_QUERY, link=F.col("link"), after=after).alias("query"))
+
+
 def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, site_log: DataFrame,
                        verdict_log: DataFrame, crawl: DataFrame, article_llm: DataFrame,
                        seed: int = 0) -> DataFrame:
     """K6: county sample -> top local-news site -> site-restricted notices after
     a date -> snippet has 'boil' -> verdict says YES -> article record ->
     advisories with the article's (parsed) date, county, state and link."""
-    counties = utilities.county_first(utilities_df, utilities.county_sample(spark, utilities_df, seed))
-    local_q = utilities.county_requests(counties, schemas.LOCAL_NEWS_QUERY)
-    local = responses.flat_results(local_q.join(local_log, "query"), ("county_fips", "county", "state"),
-                                   top_n=1)                                             # J9 step 1
-    site_q = local.select("county_fips", "county", "state", utilities.template(
-        schemas.SITE_NOTICE_QUERY, link=F.col("link"), after=F.lit(schemas.SITE_NOTICE_AFTER)).alias("query"))
+    site_q = site_chain(spark, utilities_df, local_log, seed).drop("link")             # J9
     found = responses.flat_results(site_q.join(site_log, "query"), ("county_fips", "county", "state"),
                                    top_n=2)                                             # J9 step 2
     hits = responses.snippet_contains(found)                                            # P4

@@ -430,3 +430,26 @@ SELECT h.utility_id, h.year, h.county, h.state, h.display_url AS link, h.snippet
   strftime(c.published, '%m/%d/%Y') AS publish_date
 FROM hits h LEFT JOIN crawl_pd c ON h.display_url = c.url
 """
+
+
+# ---------------------------------------------------------------- J9, O3, S14
+
+ORACLE["site_chain"] = duckdb_ctes("fx_utilities", "fx_crosswalk", "fx_search_flat", "fx_local_log") + \
+    SAMPLE_CTES[len(UTIL_CTES):] + """,
+counties AS (SELECT county_fips, county, state FROM (
+  SELECT county_fips, county_name AS county, left(pwsid, 2) AS state,
+         row_number() OVER (PARTITION BY county_fips ORDER BY utility_id NULLS LAST) AS rn
+  FROM fx_utilities WHERE county_fips IN (SELECT county_fips FROM sample)) r WHERE rn = 1),
+local AS (SELECT c.county_fips, c.county, c.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
+  FROM counties c JOIN fx_local_log l ON l.query = concat('local news in ', c.county, ', ', c.state)
+  WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY' AND len(CAST(json_extract(l.body, '$.items') AS JSON[])) >= 1)
+SELECT county_fips, county, state, json_extract_string(arr[1], '$.link') AS link,
+  concat('Boil Water Notice site:', json_extract_string(arr[1], '$.link'), ' after:2025-01-01') AS query
+FROM local
+"""
+ORACLE["news_head"] = FEED_CTES + f"SELECT {K1_COLS} FROM k1_first ORDER BY publish_time NULLS LAST, link LIMIT 100"
+ORACLE["model_response_text"] = duckdb_ctes("fx_llm_parts") + """
+SELECT doc_id, array_to_string(list_transform(CAST(content AS JSON[]),
+  lambda p: coalesce(json_extract_string(p, '$.text'), '')), '') AS response
+FROM fx_llm_parts WHERE json_valid(content) AND json_type(content) = 'ARRAY'
+"""

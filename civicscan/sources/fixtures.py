@@ -139,6 +139,14 @@ FX_SUMMARY_LLM = r"""
 SELECT CASE WHEN doc_id = 0 THEN 's' ELSE 't' END AS input_text, response FROM fx_llm WHERE doc_id IN (0, 1)
 """
 
+# Model answers stored as content parts (text and non-text blocks).
+FX_LLM_PARTS = r"""
+SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '[]' WHEN doc_id % 5 = 0 THEN '{"error":"overloaded"}'
+ ELSE concat('[{"type":"text","text":"Verdict for ', CAST(doc_id AS STRING), ': "},{"type":"tool_use","id":"t', CAST(doc_id AS STRING),
+  '"},{"type":"text","text":"', CASE WHEN doc_id % 2 = 0 THEN 'YES' ELSE 'NO' END, '"}]') END AS content
+FROM ${documents}
+"""
+
 # Crawled article pages for the news links (url rewritten onto the feed links).
 FX_NEWS_CRAWL = r"""
 SELECT page_id, concat('https://news', CAST(page_id % 20 AS STRING), '.example.com/Boil-Water-Advisory-', CAST(page_id AS STRING)) AS url,
@@ -162,6 +170,7 @@ FIXTURES = {
     "fx_article_llm": FX_ARTICLE_LLM,
     "fx_news_crawl": FX_NEWS_CRAWL,
     "fx_summary_llm": FX_SUMMARY_LLM,
+    "fx_llm_parts": FX_LLM_PARTS,
 }
 
 DEPENDS = {
@@ -192,6 +201,7 @@ BASE_TABLES = {
     "fx_article_llm": [],
     "fx_news_crawl": [],
     "fx_summary_llm": [],
+    "fx_llm_parts": ["documents"],
 }
 
 
