@@ -87,19 +87,21 @@ def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, sit
     advisories with the article's (parsed) date, county, state and link."""
     site_q = site_chain(spark, utilities_df, local_log, seed).drop("link")             # J9
     found = responses.flat_results(site_q.join(site_log, "query"), ("county_fips", "county", "state"),
-                                   top_n=2)                                             # J9 step 2
+                                   top_n=2)
     hits = responses.snippet_contains(found)                                            # P4
     judged = responses.verdict_yes(hits.join(verdict_log, "snippet"))                   # P5
-    links = judged.select("county_fips", "county", "state", "link").dropDuplicates(["county_fips", "link"])
-    recs = articles.article_records(crawl.join(links.select("link").distinct(),
-                                               crawl.url == F.col("link"), "left_semi"))
-    enriched = links.join(recs.select("url", F.col("date").alias("article_date"), "text"),
-                          links.link == F.col("url")).drop("url")
+    links = judged.select("county_fips", "rank", "county", "state", "link")
+    # one record per crawled url (lowest page id); links without a page keep
+    # their row with no article date
+    pages = crawl.join(links.select("link").distinct(), crawl.url == F.col("link"), "left_semi")
+    recs = keep_first(articles.article_records(pages), "url", [F.col("page_id").asc()])
+    enriched = links.join(recs.select(F.col("url").alias("link"), F.col("date").alias("article_date")),
+                          "link", "left")
     answers = enriched.join(article_llm, "link")
-    advs = responses.advisories(answers, ("county_fips", "link"))
-    extras = enriched.select("county_fips", "link", "county", "state",
+    advs = responses.advisories(answers, ("county_fips", "rank"))
+    extras = enriched.select("county_fips", "rank", "link", "county", "state",
                              D.format_mdy(D.parse_date(F.col("article_date"))).alias("publish_date"))
-    return responses.advisory_rows(advs.drop("adv_pos", "publish_date"), extras, ["county_fips", "link"],
+    return responses.advisory_rows(advs.drop("adv_pos", "publish_date"), extras, ["county_fips", "rank"],
                                    fields=schemas.ADVISORY_CSV_FIELDS_B)
 
 

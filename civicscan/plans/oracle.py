@@ -453,3 +453,90 @@ SELECT doc_id, array_to_string(list_transform(CAST(content AS JSON[]),
   lambda p: coalesce(json_extract_string(p, '$.text'), '')), '') AS response
 FROM fx_llm_parts WHERE json_valid(content) AND json_type(content) = 'ARRAY'
 """
+
+
+# ---------------------------------------------------------------- composite K7, K6
+
+def _adv_chain(src: str, ids: list[str], p: str) -> str:
+    """CTEs ``{p}_adv`` (normalised advisories) over ``src`` (ids..., response)."""
+    idl = ", ".join(ids)
+
+    def norm(field):
+        x = f"json_extract_string(a, '$.{field}')"
+        return f"CASE WHEN {x} IS NULL OR {x} = 'null' THEN '' ELSE {x} END AS {field}"
+
+    return f""",
+{p}_j AS (SELECT {idl}, regexp_extract(response, '(?s)\\{{.*\\}}', 0) AS j FROM {src}),
+{p}_ok AS (SELECT {idl}, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM {p}_j
+   WHERE j <> '' AND json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
+{p}_items AS (SELECT {idl}, unnest(arr) AS a FROM {p}_ok),
+{p}_adv AS (SELECT {idl}, coalesce(json_extract_string(a, '$.type'), '') AS type,
+   coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
+        THEN array_to_string(CAST(json_extract(a, '$.location') AS VARCHAR[]), ', ')
+        ELSE json_extract_string(a, '$.location') END, '') AS location,
+   {norm('start_date')}, {norm('end_date')} FROM {p}_items)"""
+
+
+_CRAWL_PD = """,
+pd AS (SELECT ok.page_id, bp.dt AS published FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id),
+crawl_pd AS (SELECT url, published FROM (SELECT c.url, pd.published,
+    row_number() OVER (PARTITION BY c.url ORDER BY c.page_id) AS rn FROM fx_crawl c JOIN pd ON c.page_id = pd.page_id) z
+  WHERE rn = 1)"""
+
+ORACLE["summary_advisories"] = duckdb_ctes("fx_pages", "fx_crawl", "fx_utilities", "fx_search", "fx_news_log",
+                                           "fx_llm", "fx_summary_llm") + DATE_BODY + PD_BODY + _CRAWL_PD + """,
+u AS (SELECT utility_id, county_name AS county, left(pwsid, 2) AS state FROM fx_utilities WHERE population_served_count > 5000),
+ans AS (SELECT u.*, CAST(json_extract(l.body, '$.data.webPages.value') AS JSON[]) AS arr FROM u
+  JOIN fx_news_log l ON l.query = concat('boil water advisory warning from news sites ', u.county, ', ', u.state)
+  WHERE json_valid(l.body) AND json_type(l.body, '$.data.webPages.value') = 'ARRAY'),
+res AS (SELECT utility_id, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans),
+hits AS (SELECT utility_id, county, state, CAST(rank AS BIGINT) AS rank, json_extract_string(r, '$.displayUrl') AS link,
+  json_extract_string(r, '$.summary') AS summary FROM res
+  WHERE rank <= 5 AND contains(json_extract_string(r, '$.snippet'), 'boil')),
+extras AS (SELECT h.*, coalesce(strftime(c.published, '%m/%d/%Y'), '') AS publish_date
+  FROM hits h LEFT JOIN crawl_pd c ON h.link = c.url),
+answers AS (SELECT e.utility_id, e.rank, s.response FROM extras e JOIN fx_summary_llm s ON e.summary = s.input_text)""" \
+    + _adv_chain("answers", ["utility_id", "rank"], "k7") + """
+SELECT a.utility_id, a.rank, a.type, a.location, a.start_date, a.end_date, e.publish_date, e.county, e.state, e.link, e.summary
+FROM k7_adv a JOIN extras e ON a.utility_id = e.utility_id AND a.rank = e.rank
+"""
+
+ORACLE["sampled_advisories"] = duckdb_ctes("fx_pages", "fx_crawl", "fx_utilities", "fx_crosswalk", "fx_search_flat",
+                                           "fx_local_log", "fx_site_log", "fx_verdict_log", "fx_llm",
+                                           "fx_article_llm") + DATE_BODY + \
+    SAMPLE_CTES[len(UTIL_CTES):] + f""",
+counties AS (SELECT county_fips, county, state FROM (
+  SELECT county_fips, county_name AS county, left(pwsid, 2) AS state,
+         row_number() OVER (PARTITION BY county_fips ORDER BY utility_id NULLS LAST) AS rn
+  FROM fx_utilities WHERE county_fips IN (SELECT county_fips FROM sample)) r WHERE rn = 1),
+local AS (SELECT c.county_fips, c.county, c.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
+  FROM counties c JOIN fx_local_log l ON l.query = concat('local news in ', c.county, ', ', c.state)
+  WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY' AND len(CAST(json_extract(l.body, '$.items') AS JSON[])) >= 1),
+site_q AS (SELECT county_fips, county, state,
+  concat('Boil Water Notice site:', json_extract_string(arr[1], '$.link'), ' after:2025-01-01') AS query FROM local),
+found AS (SELECT q.county_fips, q.county, q.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
+  FROM site_q q JOIN fx_site_log l ON l.query = q.query
+  WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY'),
+site_items AS (SELECT county_fips, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM found),
+hits AS (SELECT county_fips, county, state, CAST(rank AS BIGINT) AS rank, json_extract_string(r, '$.link') AS link,
+  json_extract_string(r, '$.snippet') AS snippet FROM site_items WHERE rank <= 2 AND contains(json_extract_string(r, '$.snippet'), 'boil')),
+judged AS (SELECT h.* FROM hits h JOIN fx_verdict_log v ON h.snippet = v.snippet WHERE contains(v.response, 'YES')),
+art AS (SELECT page_id, item FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY gi) AS rn FROM items_n
+   WHERE json_type(item) = 'OBJECT' AND (
+     (json_type(item, '$."@type"') = 'ARRAY' AND list_has_any(CAST(json_extract(item, '$."@type"') AS VARCHAR[]), {_TYPES}))
+     OR (json_type(item, '$."@type"') = 'VARCHAR' AND list_contains({_TYPES}, json_extract_string(item, '$."@type"'))))) z
+   WHERE rn = 1),
+art_date AS (SELECT page_id, coalesce(nullif(json_extract_string(item, '$.datePublished'), ''),
+   nullif(json_extract_string(item, '$.dateCreated'), '')) AS d FROM art),
+first_page AS (SELECT url, page_id, status_code FROM (SELECT c.url, c.page_id, c.status_code,
+   row_number() OVER (PARTITION BY c.url ORDER BY c.page_id) AS rn FROM fx_crawl c) z WHERE rn = 1),
+link_date AS (SELECT f.url, CASE WHEN f.status_code BETWEEN 200 AND 299 THEN ad.d END AS article_date
+   FROM first_page f LEFT JOIN art_date ad ON f.page_id = ad.page_id),
+enriched AS (SELECT j.county_fips, j.rank, j.county, j.state, j.link, ld.article_date
+   FROM judged j LEFT JOIN link_date ld ON j.link = ld.url),
+answers AS (SELECT e.county_fips, e.rank, l.response FROM enriched e JOIN fx_article_llm l ON e.link = l.link)""" \
+    + _adv_chain("answers", ["county_fips", "rank"], "k6") + f"""
+SELECT a.county_fips, a.rank, a.type, a.location, a.start_date, a.end_date,
+  strftime({_D.parse_date_sql('e.article_date')}, '%m/%d/%Y') AS publish_date, e.county, e.state, e.link
+FROM k6_adv a JOIN enriched e ON a.county_fips = e.county_fips AND a.rank = e.rank
+"""
