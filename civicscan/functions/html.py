@@ -37,8 +37,11 @@ TAG_RE = r"<[/!?]?[A-Za-z][^>]*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 SKIPPED_BLOCKS = ["script", "style", "template"]
 STRIP_RE = r"^[\s\x{00A0}]+|[\s\x{00A0}]+$"
-# Characters removed by ``strip_ws`` (regex \s plus the no-break space).
-WS_CHARS = " \t\n\x0b\x0c\r\u00a0"
+# Characters removed by ``strip_ws``: Python's whitespace set (str.isspace),
+# built from the rule rather than listed.
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+# Line boundaries of Python's str.splitlines().
+LINE_SPLIT_RE = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
 
 
 def block_re(tag: str) -> str:
@@ -128,7 +131,7 @@ def squeeze_newlines(s: Column) -> Column:
 
 def clean_lines(s: Column) -> Column:
     """strip every line, drop blank lines, join with newlines."""
-    return F.array_join(F.filter(F.transform(F.split(s, r"\r?\n|\r"), strip_ws),
+    return F.array_join(F.filter(F.transform(F.split(s, LINE_SPLIT_RE), strip_ws),
                                  lambda x: x != F.lit("")), "\n")
 
 
