@@ -175,3 +175,22 @@ def advisory_rows(advs: DataFrame, extras: DataFrame, on: Sequence[str],
     joined = base.join(extras, list(on), "inner")
     cols = [F.col(c) if c in joined.columns else F.lit("").alias(c) for c in fields]
     return joined.select(*[c for c in on if c not in fields], *cols)
+
+
+def advisories_carrying(df: DataFrame, ids: Sequence[str], extras: Sequence[str],
+                        fields: Sequence[str] = tuple(schemas.ADVISORY_CSV_FIELDS_A),
+                        text: str = "response", lenient: bool = False) -> DataFrame:
+    """R5 in one pass: the per-article extra columns ride along the advisory
+    explode (no join back to the article table) and replace the advisory
+    field of the same name; missing fields are ''."""
+    carried = df.select(*_ids(ids), *[F.col(c).alias(f"_x_{c}") for c in extras], F.col(text))
+    advs = advisories(carried, [*ids, *[f"_x_{c}" for c in extras]], text=text, lenient=lenient)
+    cols = []
+    for f in fields:
+        if f in extras:
+            cols.append(F.col(f"_x_{f}").alias(f))
+        elif f in advs.columns:
+            cols.append(F.col(f))
+        else:
+            cols.append(F.lit("").alias(f))
+    return advs.select(*[c for c in ids if c not in fields], *cols)

@@ -18,6 +18,7 @@ from .. import schemas
 from ..functions import dates as D
 from ..operators import articles, dates, responses, utilities
 from ..operators.feed import first_per_link, keep_first
+from ..operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
 
 
 def dates_by_url(crawl: DataFrame) -> DataFrame:
@@ -63,8 +64,8 @@ def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: Data
         "utility_id", "rank", "county", "state", F.col("display_url").alias("link"), "summary",
         F.coalesce("publish_date", F.lit("")).alias("publish_date"))
     answers = extras.join(extract_log, extras["summary"] == extract_log["input_text"]).drop("input_text")
-    advs = responses.advisories(answers, ("utility_id", "rank"))
-    return responses.advisory_rows(advs.drop("adv_pos"), extras, ["utility_id", "rank"])
+    return responses.advisories_carrying(answers, ["utility_id", "rank"],
+                                         ["county", "state", "link", "summary", "publish_date"])
 
 
 def site_chain(spark, utilities_df: DataFrame, local_log: DataFrame, seed: int = 0) -> DataFrame:
@@ -91,18 +92,19 @@ def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, sit
     hits = responses.snippet_contains(found)                                            # P4
     judged = responses.verdict_yes(hits.join(verdict_log, "snippet"))                   # P5
     links = judged.select("county_fips", "rank", "county", "state", "link")
-    # one record per crawled url (lowest page id); links without a page keep
-    # their row with no article date
-    pages = crawl.join(links.select("link").distinct(), crawl.url == F.col("link"), "left_semi")
+    # The link set is bounded by the sample size x 2 results, so it is
+    # broadcast into the crawl scan: only matching pages are parsed and no
+    # HTML is shuffled.  One record per url (lowest page id); links without a
+    # page keep their row with no article date.
+    pages = crawl.join(F.broadcast(links.select("link").distinct()), crawl.url == F.col("link"), "left_semi")
     recs = keep_first(articles.article_records(pages), "url", [F.col("page_id").asc()])
-    enriched = links.join(recs.select(F.col("url").alias("link"), F.col("date").alias("article_date")),
+    enriched = links.join(F.broadcast(recs.select(F.col("url").alias("link"), F.col("date").alias("article_date"))),
                           "link", "left")
-    answers = enriched.join(article_llm, "link")
-    advs = responses.advisories(answers, ("county_fips", "rank"))
-    extras = enriched.select("county_fips", "rank", "link", "county", "state",
-                             D.format_mdy(D.parse_date(F.col("article_date"))).alias("publish_date"))
-    return responses.advisory_rows(advs.drop("adv_pos", "publish_date"), extras, ["county_fips", "rank"],
-                                   fields=schemas.ADVISORY_CSV_FIELDS_B)
+    answers = (enriched.join(article_llm, "link")
+               .withColumn("publish_date", D.format_mdy(D.parse_date(F.col("article_date")))))
+    return responses.advisories_carrying(answers, ["county_fips", "rank"],
+                                         ["county", "state", "link", "publish_date"],
+                                         fields=schemas.ADVISORY_CSV_FIELDS_B)
 
 
 def enriched_news(news: DataFrame, crawl: DataFrame) -> DataFrame:
@@ -110,7 +112,13 @@ def enriched_news(news: DataFrame, crawl: DataFrame) -> DataFrame:
     and description of its page (left join on the link)."""
     first = first_per_link(news)
     links = first.select("link").distinct()
-    pages = crawl.join(links, crawl.url == links.link, "left_semi")
+    if estimated_bytes(links) <= BROADCAST_LIMIT_BYTES:
+        # small link set: filter the crawl scan by broadcast, parse only those pages
+        pages = crawl.join(F.broadcast(links), crawl.url == links.link, "left_semi")
+    else:
+        # large link set: never shuffle raw HTML; extract every page narrowly
+        # and shuffle only the extracted records for the join below
+        pages = crawl
     recs = articles.article_records(pages).select(
         "page_id", F.col("url").alias("link"), F.col("title").alias("article_title"),
         F.col("text").alias("article_text"), F.col("description").alias("article_summary"))
