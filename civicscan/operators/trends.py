@@ -75,7 +75,8 @@ def counts_by_state_year(df: DataFrame, states: DataFrame,
     dense = states.select(F.col("name").alias("state"),
                           F.explode(F.sequence(F.lit(years[0]).cast("bigint"),
                                                F.lit(years[1]).cast("bigint"))).alias("year"))
-    return (dense.join(counts, ["year", "state"], "left")
+    # counts has at most (#years x #states) rows: a proven bound, so broadcast
+    return (dense.join(F.broadcast(counts), ["year", "state"], "left")
             .select("year", "state", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 

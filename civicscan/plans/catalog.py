@@ -129,9 +129,12 @@ def _state_geo(spark, sf_dir):
 
 @query
 def state_map_table(spark, sf_dir):
+    # one located frame feeds both branches, so its dedupe exchange is reused
     states = schemas.state_names(spark)
-    counts = trends.counts_by_state_year(known_located(spark, sf_dir), states)
-    return trends.state_map_table(counts, _state_geo(spark, sf_dir), states)
+    known = known_located(spark, sf_dir)
+    counts = trends.counts_by_state_year(known, states)
+    geo = trends.state_geo_from_points(known, states)
+    return trends.state_map_table(counts, geo, states)
 
 
 @query
