@@ -124,3 +124,15 @@ def enriched_news(news: DataFrame, crawl: DataFrame) -> DataFrame:
         F.col("text").alias("article_text"), F.col("description").alias("article_summary"))
     recs = keep_first(recs, "link", [F.col("page_id").asc()]).drop("page_id")
     return first.join(recs, "link", "left")                                             # J8 + R8
+
+
+def build_utility_master(spark, utilities_csv: str, crosswalk_csv: str, out_dir: str,
+                         utilities_schema=None, crosswalk_schema=None) -> DataFrame:
+    """K9: utility CSV (explicit schema) joined with the county crosswalk on the
+    county code, written as a CSV report directory; returns the joined frame."""
+    from ..sources import csvio
+    u = csvio.read_csv(spark, utilities_csv, utilities_schema or schemas.UTILITY_CSV_SCHEMA)
+    x = csvio.read_csv(spark, crosswalk_csv, crosswalk_schema or "COUNTYFIPS long, county_label string, county_class string")
+    master = utilities.with_crosswalk(u, x, key="COUNTYFIPS")
+    csvio.write_csv(master, out_dir)
+    return master

@@ -23,3 +23,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Scan of a ``partitionBy`` layout; filters on partition columns prune directories."""
     return spark.read.option("basePath", path).parquet(path)
+
+
+STATE_GEO_SCHEMA = ("name string, minx double, miny double, maxx double, maxy double, "
+                    "cx double, cy double")
+PAGE_SCHEMA = ("page_id long, url string, final_url string, status_code int, "
+               "http_last_modified string, html string")
+
+
+def read_state_geo(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """State extent / centre dimension (name, minx, miny, maxx, maxy, cx, cy)."""
+    r = spark.read.schema(STATE_GEO_SCHEMA)
+    return r.option("header", True).csv(path) if fmt == "csv" else r.parquet(path)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Crawl table; ``final_url`` (after redirects) may be null."""
+    return spark.read.schema(PAGE_SCHEMA).parquet(path)

@@ -70,3 +70,28 @@ def test_feed_stream_matches_batch_links(spark, tmp_path):
     assert {r.link for r in out.select("link").collect()} == batch_links
     assert out.count() == len(batch_links)
     assert os.path.isdir(ckpt)
+
+
+def test_utility_master_build(spark, tmp_path):
+    from civicscan.plans.notices import build_utility_master
+    from civicscan.sources import fixtures
+    u = fixtures.load(spark, SF_SMALL, "fx_utilities").selectExpr(
+        "pwsid AS PWSID", "state_code AS STATE_CODE", "county_fips AS COUNTYFIPS",
+        "county_name AS `County Name`", "population_served_count AS POPULATION_SERVED_COUNT")
+    x = fixtures.load(spark, SF_SMALL, "fx_crosswalk").selectExpr("county_fips AS COUNTYFIPS", "county_label", "county_class")
+    u.write.option("header", True).csv(str(tmp_path / "u"))
+    x.write.option("header", True).csv(str(tmp_path / "x"))
+    master = build_utility_master(spark, str(tmp_path / "u"), str(tmp_path / "x"), str(tmp_path / "m"))
+    want = u.join(x, "COUNTYFIPS").count()
+    assert master.count() == want > 0
+    back = spark.read.option("header", True).csv(str(tmp_path / "m"))
+    assert back.count() == want and "County Name" in back.columns and "county_class" in back.columns
+
+
+def test_final_url_wins(spark):
+    from civicscan.operators import dates as X
+    pages = spark.createDataFrame(
+        [(1, "http://a", "http://b", 200, None, '<meta name="date" content="2020-02-03">')],
+        "page_id long, url string, final_url string, status_code int, http_last_modified string, html string")
+    r = X.page_dates(pages).collect()[0]
+    assert r.url == "http://b" and str(r.published) == "2020-02-03"
