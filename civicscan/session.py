@@ -17,6 +17,8 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HTML rows are large: keep Arrow batches to the pandas UDFs small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
