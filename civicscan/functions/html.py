@@ -36,7 +36,6 @@ ENTITIES = [
 TAG_RE = r"<[/!?]?[A-Za-z][^>]*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 SKIPPED_BLOCKS = ["script", "style", "template"]
-STRIP_RE = r"^[\s\x{00A0}]+|[\s\x{00A0}]+$"
 # Characters removed by ``strip_ws``: Python's whitespace set (str.isspace),
 # built from the rule rather than listed.
 WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())

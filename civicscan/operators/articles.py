@@ -238,6 +238,7 @@ def article_records(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     body2 = F.coalesce(_truthy(F.col("_b1")), H.markdown_text(F.col("_html")))
     s6 = s5.select(id_col, "url", "_html", "m", body2.alias("_b2"))
     missing = F.col("_html").isNull()
+    # output columns in the order of schemas.ARTICLE_FIELDS
     return s6.select(
         id_col,
         F.when(~missing, F.col("m.title")).alias("title"),

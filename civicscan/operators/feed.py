@@ -20,10 +20,6 @@ from .. import schemas
 # Field offsets of a '#'-delimited location record.
 LOC_TYPE, LOC_FULLNAME, LOC_COUNTRY, LOC_ADM1, LOC_LAT, LOC_LON = 0, 1, 2, 3, 5, 6
 
-PARSED_COLUMNS = ["publish_time", "link", "source", "location_type", "location_fullname",
-                  "country_code", "adm1_code", "latitude", "longitude"]
-
-
 def scan_range(df: DataFrame, start: str = "2013-01-01", end: str | None = None,
                partition_col: str = "partition_date") -> DataFrame:
     """Keep partitions in [start, end]; ``end`` defaults to today.

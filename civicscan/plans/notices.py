@@ -41,9 +41,8 @@ def utility_notices(utilities_df: DataFrame, search_log: DataFrame, crawl: DataF
     hits = responses.snippet_contains(res)                         # P4
     pd_ = dates_by_url(crawl).select(F.col("url").alias("display_url"), "published")
     joined = hits.join(pd_, "display_url", "left")                 # J7
-    return joined.select("utility_id", "year", "county", "state",
-                         F.col("display_url").alias("link"), "snippet",
-                         F.col("published").alias("publish_date"))   # R4
+    out = joined.withColumnsRenamed({"display_url": "link", "published": "publish_date"})
+    return out.select("utility_id", "year", *schemas.SNIPPET_CSV_FIELDS)      # R4
 
 
 def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: DataFrame,
@@ -90,7 +89,8 @@ def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, sit
     found = responses.flat_results(site_q.join(site_log, "query"), ("county_fips", "county", "state"),
                                    top_n=2)
     hits = responses.snippet_contains(found)                                            # P4
-    judged = responses.verdict_yes(hits.join(verdict_log, "snippet"))                   # P5
+    asked = hits.withColumn("prompt", responses.verdict_prompt(F.col("snippet")))       # F13
+    judged = responses.verdict_yes(asked.join(verdict_log, "prompt"))                   # P5
     links = judged.select("county_fips", "rank", "county", "state", "link")
     # The link set is bounded by the sample size x 2 results, so it is
     # broadcast into the crawl scan: only matching pages are parsed and no

@@ -520,7 +520,9 @@ found AS (SELECT q.county_fips, q.county, q.state, CAST(json_extract(l.body, '$.
 site_items AS (SELECT county_fips, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM found),
 hits AS (SELECT county_fips, county, state, CAST(rank AS BIGINT) AS rank, json_extract_string(r, '$.link') AS link,
   json_extract_string(r, '$.snippet') AS snippet FROM site_items WHERE rank <= 2 AND contains(json_extract_string(r, '$.snippet'), 'boil')),
-judged AS (SELECT h.* FROM hits h JOIN fx_verdict_log v ON h.snippet = v.snippet WHERE contains(v.response, 'YES')),
+judged AS (SELECT h.* FROM hits h JOIN fx_verdict_log v
+  ON concat(h.snippet, ' Responding in either "YES" or "NO" do you think this news article is about a boil water advisory') = v.prompt
+  WHERE contains(v.response, 'YES')),
 art AS (SELECT page_id, item FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY gi) AS rn FROM items_n
    WHERE json_type(item) = 'OBJECT' AND (
      (json_type(item, '$."@type"') = 'ARRAY' AND list_has_any(CAST(json_extract(item, '$."@type"') AS VARCHAR[]), {_TYPES}))

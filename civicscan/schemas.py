@@ -2,8 +2,8 @@
 
 Everything in the FIXED VALUES block must equal the behaviour being matched
 (lookup rows, word lists, weights, labels); it is kept as plain data in
-natural order.  Dimension rows are turned into small DataFrames by
-``dimension_frames`` and joined by broadcast (their size is fixed).
+natural order.  The state rows become a small DataFrame (``state_names``)
+that is joined by broadcast (its size is fixed).
 """
 
 from __future__ import annotations
@@ -210,8 +210,3 @@ def state_names(spark: SparkSession) -> DataFrame:
     from pyspark.sql import functions as F
     return df.withColumn("geo_name", F.regexp_replace("name", r" [A-Z]{2}$", ""))
 
-
-def meta_rules(spark: SparkSession) -> DataFrame:
-    rows = [(i, k, a, v, w, l) for i, (k, a, v, w, l) in enumerate(META_DATE_RULES)]
-    return spark.createDataFrame(
-        rows, "rule_ord int, kind string, attr string, value string, weight int, label string")

@@ -56,12 +56,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 _SHIPPED: set[int] = set()
 
 

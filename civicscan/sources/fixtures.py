@@ -122,11 +122,12 @@ SELECT concat('Boil Water Notice site:https://a.example/', CAST(doc_id AS STRING
 FROM fx_search_flat WHERE doc_id < 50
 """
 
-# Model answers: yes/no verdicts keyed by the snippet, extractions keyed by
-# the article link.
+# Model answers: yes/no verdicts keyed by the verdict prompt, extractions
+# keyed by the article link.
 FX_VERDICT_LOG = r"""
-SELECT CASE doc_id WHEN 0 THEN 'City says boil your water' WHEN 1 THEN 'BOIL notice lifted' WHEN 2 THEN 'school news'
-  WHEN 3 THEN 'boil order issued' WHEN 4 THEN 'weather' ELSE 'boil advisory' END AS snippet,
+SELECT concat(CASE doc_id WHEN 0 THEN 'City says boil your water' WHEN 1 THEN 'BOIL notice lifted' WHEN 2 THEN 'school news'
+  WHEN 3 THEN 'boil order issued' WHEN 4 THEN 'weather' ELSE 'boil advisory' END,
+  ' Responding in either "YES" or "NO" do you think this news article is about a boil water advisory') AS prompt,
  CASE WHEN doc_id IN (0, 3, 5) THEN 'YES, it is about an advisory.' ELSE 'NO' END AS response
 FROM ${documents} WHERE doc_id < 6
 """
