@@ -94,3 +94,14 @@ def test_partition_pruning(spark, tmp_path):
     plan = scanned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition_date" in plan
     assert scanned.count() == 2
+
+
+def test_feed_and_trend_plans_stay_in_the_jvm(spark):
+    from civicscan.plans.catalog import QUERIES
+    names = ["feed_us_locations", "feed_first_location", "feed_keyword_include", "feed_keyword_exclude",
+             "feed_excluded_count", "location_type_counts", "non_country_rows", "state_lookup",
+             "state_lookup_unknown", "counts_by_year", "counts_by_state", "counts_by_state_year",
+             "state_map_table", "state_extent", "news_head"]
+    for n in names:
+        plan = QUERIES[n](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, n

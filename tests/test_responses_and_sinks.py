@@ -95,3 +95,24 @@ def test_final_url_wins(spark):
         "page_id long, url string, final_url string, status_code int, http_last_modified string, html string")
     r = X.page_dates(pages).collect()[0]
     assert r.url == "http://b" and str(r.published) == "2020-02-03"
+
+
+def test_feed_stream_restart_is_exactly_once(spark, tmp_path):
+    from civicscan.sources import fixtures
+    from civicscan.streaming.feed_stream import run_feed_stream
+    src = str(tmp_path / "gkg")
+    gkg = fixtures.load(spark, SF_SMALL, "fx_gkg")
+    days = sorted(r.partition_date for r in gkg.select("partition_date").distinct().collect())
+    half = days[len(days) // 2]
+    gkg.where(gkg.partition_date < half).write.partitionBy("partition_date").parquet(src)
+    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
+    first = spark.read.parquet(sink).count()
+    # a restart with no new files adds nothing
+    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
+    assert spark.read.parquet(sink).count() == first
+    # new day partitions arrive: only their first-seen links are appended
+    gkg.where(gkg.partition_date >= half).write.mode("append").partitionBy("partition_date").parquet(src)
+    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
+    out = spark.read.parquet(sink)
+    assert out.count() == out.select("link").distinct().count() > first
