@@ -6,10 +6,11 @@ text without a year and a month gives null (never "today").
 
   1. year-month-day   2024-01-05, 2024/1/5, 2024.01.05 (ISO date-times too)
   2. compact          20240105 or 20240105123000
-  3. month/day/year   1/5/2024 (month first)
+  3. month/day/year   1/5/2024, 01-05-2024, 1.5.2024 (month first)
   4. month-name day year   January 5, 2024 / Jan. 5th 2024
   5. day month-name year   5 January 2024 / Wed, 21 Oct 2015 07:28:00 GMT
   6. month-name year       January 2024
+  7. year-month            2024-03 (day 1)
 
 Every pattern is valid in Java regex and RE2, so the DuckDB oracle reuses the
 texts (``LADDER``).  Month names map to numbers through their first three
@@ -29,10 +30,11 @@ MONTH_WORD = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july
 LADDER = [
     (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3), False),
     (r"(^|[^0-9])(\d{4})(\d{2})(\d{2})(\d{6})?([^0-9]|$)", (2, 3, 4), False),
-    (r"(\d{1,2})/(\d{1,2})/(\d{4})", (3, 1, 2), False),
+    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", (3, 1, 2), False),
     (r"(?i)\b" + MONTH_WORD + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})", (3, 1, 2), True),
     (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)?\s+" + MONTH_WORD + r"\.?,?\s+(\d{4})", (3, 2, 1), True),
     (r"(?i)\b" + MONTH_WORD + r"\.?,?\s+(\d{4})", (2, 1, None), True),
+    (r"(^|[^0-9])(\d{4})-(\d{1,2})([^-0-9]|$)", (2, 3, None), False),
 ]
 
 

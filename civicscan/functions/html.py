@@ -104,6 +104,15 @@ def text_nodes(html: Column) -> Column:
                     lambda x: x != F.lit(""))
 
 
+# Unicode spaces that Python's \s matches but Java's and RE2's do not.
+UNICODE_SPACES_RE = r"[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def ascii_spaces(s: Column) -> Column:
+    """Map Unicode spaces to ' ' so the ASCII whitespace class in label patterns sees them."""
+    return F.regexp_replace(s, UNICODE_SPACES_RE, " ")
+
+
 def get_text(html: Column, sep: str = " ", blocks=tuple(SKIPPED_BLOCKS)) -> Column:
     """Visible text, text nodes stripped and joined by ``sep``."""
     return F.array_join(text_nodes(drop_hidden(html, blocks)), sep)

@@ -300,7 +300,7 @@ raw_time AS (SELECT page_id, url, CASE WHEN {_TIME_WORDS} THEN 'updated' ELSE 'p
    CAST(CASE WHEN {_TIME_WORDS} THEN {schemas.TIME_UPDATED_WEIGHT} ELSE {schemas.TIME_PUBLISHED_WEIGHT} END AS INTEGER) AS weight,
    coalesce(nullif(dt_attr, ''), nullif(array_to_string(nodes, ''), '')) AS raw, {_q(schemas.TIME_LABEL)} AS source,
    CAST({3 * _S} + i AS BIGINT) AS ord FROM time_c),
-vis AS (SELECT page_id, url, {_get_text_sql('html')} AS text FROM ok),
+vis AS (SELECT page_id, url, regexp_replace({_get_text_sql('html')}, {_q(_H.UNICODE_SPACES_RE)}, ' ', 'g') AS text FROM ok),
 raw_text AS (
   SELECT page_id, url, 'published' AS kind, {schemas.TEXT_LABEL_WEIGHT} AS weight,
     nullif(left(regexp_extract(text, {_q(_X.text_label_re(schemas.TEXT_PUBLISHED_PATTERN))}, 1), {schemas.TEXT_RAW_MAX}), '') AS raw,

@@ -89,3 +89,17 @@ def test_date_plan_is_narrow(spark):
     from civicscan.plans.catalog import QUERIES
     plan = QUERIES["page_dates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_ladder_more_shapes(spark):
+    got = parse_all(spark, ["01-05-2024", "1.5.2024", "as of 2024-03", "2024-03-07", "Posted: March 9, 2021"])
+    assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2024, 3, 1), dt.date(2024, 3, 7),
+                   dt.date(2021, 3, 9)]
+
+
+def test_label_after_no_break_space(spark):
+    html = "<html><body><p>Posted:&nbsp;March 9, 2021</p></body></html>"
+    pages = spark.createDataFrame([(1, "u", html, None, 200)],
+                                  "page_id long, url string, html string, http_last_modified string, status_code int")
+    rows = X.candidate_rows(X.candidates(pages, ("text",))).collect()
+    assert [(r.kind, r.dt) for r in rows] == [("published", dt.date(2021, 3, 9))]
