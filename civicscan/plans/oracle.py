@@ -542,3 +542,29 @@ SELECT a.county_fips, a.rank, a.type, a.location, a.start_date, a.end_date,
   strftime({_D.parse_date_sql('e.article_date')}, '%m/%d/%Y') AS publish_date, e.county, e.state, e.link
 FROM k6_adv a JOIN enriched e ON a.county_fips = e.county_fips AND a.rank = e.rank
 """
+
+
+# ---------------------------------------------------------------- X13 lenient (F16)
+# Independent of Spark's parser options: the DuckDB twin rewrites the text to
+# strict JSON (trailing commas dropped, bare keys quoted, single quotes made
+# double) and then parses strictly.
+
+ORACLE["advisories_lenient"] = duckdb_ctes("fx_llm") + r"""
+, lj AS (SELECT doc_id, regexp_extract(response, '(?s)\{.*\}', 0) AS j FROM fx_llm),
+lj2 AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(j,
+   ',\s*([}\]])', '\1', 'g'),
+   '([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', '\1"\2":', 'g'),
+   '''([^'']*)''', '"\1"', 'g') AS j FROM lj WHERE j <> ''),
+lok AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM lj2
+   WHERE json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
+litems AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM lok)
+SELECT doc_id, adv_pos,
+   coalesce(json_extract_string(a, '$.type'), '') AS type,
+   coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
+        THEN array_to_string(CAST(json_extract(a, '$.location') AS VARCHAR[]), ', ')
+        ELSE json_extract_string(a, '$.location') END, '') AS location,
+   CASE WHEN json_extract_string(a, '$.start_date') IS NULL OR json_extract_string(a, '$.start_date') = 'null' THEN '' ELSE json_extract_string(a, '$.start_date') END AS start_date,
+   CASE WHEN json_extract_string(a, '$.end_date') IS NULL OR json_extract_string(a, '$.end_date') = 'null' THEN '' ELSE json_extract_string(a, '$.end_date') END AS end_date,
+   CASE WHEN json_extract_string(a, '$.publish_date') IS NULL OR json_extract_string(a, '$.publish_date') = 'null' THEN '' ELSE json_extract_string(a, '$.publish_date') END AS publish_date
+FROM litems
+"""
