@@ -31,6 +31,15 @@ def is_strict_json(j: Column) -> Column:
     return F.coalesce(n == F.lit(1), F.lit(False))
 
 
+def strict_json(j: Column) -> Column:
+    """F15 in one parse: the variant of ``j`` when it is exactly one JSON
+    value (nothing after it), else null.  Typed reads then use
+    ``try_variant_get`` on the result instead of parsing the text again."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), j, F.lit("]")))
+    one = F.coalesce(F.array_size(F.try_variant_get(wrapped, "$", "array<variant>")) == F.lit(1), F.lit(False))
+    return F.when(one, F.variant_get(wrapped, "$[0]", "variant"))
+
+
 def json_kind(v: Column, path: str = "$") -> Column:
     """Upper-case kind of a variant value at ``path``: OBJECT, ARRAY, STRING, ..."""
     s = F.schema_of_variant(F.variant_get(v, path, "variant"))

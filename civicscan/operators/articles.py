@@ -47,10 +47,10 @@ def jsonld_items(html: Column) -> Column:
     """Every JSON-LD item of the page (arrays flattened; malformed
     scripts skipped), as variants in document order."""
     def items(s):
-        v = F.try_parse_json(s)
+        v = jsonx.strict_json(s)                       # one strict parse per script
         as_list = F.when(jsonx.json_kind(v) == F.lit("ARRAY"),
                          F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
-        return F.when(jsonx.is_strict_json(s), as_list).otherwise(F.array().cast("array<variant>"))
+        return F.when(v.isNotNull(), as_list).otherwise(F.array().cast("array<variant>"))
     return F.flatten(F.transform(jsonld_scripts(html), items))
 
 
@@ -181,11 +181,19 @@ def _nodes_of(html) -> list[dict]:
 
 
 @F.pandas_udf(NODE_TYPE)
-def html_nodes(html: pd.Series) -> pd.Series:
-    """Container nodes of each page: (node_ord, tag, text, n_links)."""
+def _html_nodes(html: pd.Series) -> pd.Series:
     return html.map(_nodes_of)
 
 
+def html_nodes(html: Column) -> Column:
+    """Container nodes of each page: (node_ord, tag, text, n_links).
+
+    Comments and the subtrees whose text and links the density rule ignores
+    (script, style, noscript, form) are cut JVM-side first, so less HTML
+    crosses into Python and the parser has less to walk."""
+    return _html_nodes(H.drop_hidden(html, DROPPED_SUBTREES))
+
+
 def best_container_text(nodes: Column, min_chars: int = schemas.MIN_TEXT_CHARS) -> Column:
     """P16 + F29 + A11: text of the node with the highest length/(links+1)
     among nodes longer than ``min_chars``; the first node wins ties."""

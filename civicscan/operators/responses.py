@@ -28,15 +28,19 @@ def _unpack(df: DataFrame, ids: Sequence[str], arr: Column, name: str = "r") ->
             .where(F.col("pos").isNotNull()))
 
 
+NESTED_VALUE_TYPE = "array<struct<url:string,displayUrl:string,snippet:string,summary:string>>"
+FLAT_ITEMS_TYPE = "array<struct<title:string,link:string,snippet:string>>"
+
+
 def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body",
                    top_n: int | None = None) -> DataFrame:
     """S9 + P13 (+ W4 when ``top_n``): ``data.webPages.value[]`` -> rows.
 
-    Non-JSON bodies (strict check) and bodies without the path give no rows.
+    One strict parse per body; non-JSON bodies and bodies without the path
+    (or with a non-array there) give no rows.
     """
-    b = F.col(body)
-    parsed = F.when(jsonx.is_strict_json(b), F.from_json(b, schemas.NESTED_SEARCH_SCHEMA))
-    arr = parsed.getField("data").getField("webPages").getField("value")
+    v = jsonx.strict_json(F.col(body))
+    arr = F.try_variant_get(v, "$.data.webPages.value", NESTED_VALUE_TYPE)
     if top_n is not None:
         arr = F.slice(arr, 1, top_n)
     ex = _unpack(responses, ids, arr)
@@ -48,9 +52,7 @@ def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body:
 def flat_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body",
                  top_n: int | None = None) -> DataFrame:
     """S10 (+ W4): ``items[]`` of {title, link, snippet} -> rows."""
-    b = F.col(body)
-    parsed = F.when(jsonx.is_strict_json(b), F.from_json(b, schemas.FLAT_SEARCH_SCHEMA))
-    arr = parsed.getField("items")
+    arr = F.try_variant_get(jsonx.strict_json(F.col(body)), "$.items", FLAT_ITEMS_TYPE)
     if top_n is not None:
         arr = F.slice(arr, 1, top_n)
     ex = _unpack(responses, ids, arr)
@@ -61,9 +63,7 @@ def flat_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: s
 
 def result_urls(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body") -> DataFrame:
     """The url list of each nested response (responses without results dropped)."""
-    b = F.col(body)
-    parsed = F.when(jsonx.is_strict_json(b), F.from_json(b, schemas.NESTED_SEARCH_SCHEMA))
-    urls = F.transform(parsed.getField("data").getField("webPages").getField("value"),
+    urls = F.transform(F.try_variant_get(jsonx.strict_json(F.col(body)), "$.data.webPages.value", NESTED_VALUE_TYPE),
                        lambda r: r.getField("url"))
     out = responses.select(*_ids(ids), urls.alias("urls")).where(F.col("urls").isNotNull())
     return out.select(*_ids(ids), F.array_size("urls").cast("bigint").alias("n_urls"),
@@ -102,16 +102,18 @@ def response_text(parts: Column) -> Column:
 def model_texts(df: DataFrame, ids: Sequence[str] = ("doc_id",), content: str = "content") -> DataFrame:
     """S14 over stored responses: JSON content-part arrays -> one text per
     response; bodies that are not a part array give no row."""
-    c = F.col(content)
-    # from_json would wrap a lone top-level object into a one-element array
-    is_list = jsonx.is_strict_json(c) & (jsonx.json_kind(F.try_parse_json(c)) == F.lit("ARRAY"))
-    parts = F.when(is_list, F.from_json(c, PARTS_SCHEMA))
+    # typed read of a strictly parsed array (a lone object is not a part list)
+    parts = F.try_variant_get(jsonx.strict_json(F.col(content)), "$", PARTS_SCHEMA)
     return (df.select(*_ids(ids), parts.alias("_parts")).where(F.col("_parts").isNotNull())
             .select(*_ids(ids), response_text(F.col("_parts")).alias("response")))
 
 
 # ------------------------------------------------------------------ advisories
 
+ADVISORY_ITEMS_TYPE = ("array<struct<type:string,location:string,start_date:string,"
+                       "end_date:string,publish_date:string>>")
+
+
 def _advisory_status(j: Column, lenient: bool) -> tuple[Column, Column]:
     """(reason or null, parsed struct) for the extracted JSON text ``j``."""
     if lenient:
@@ -123,12 +125,12 @@ def _advisory_status(j: Column, lenient: bool) -> tuple[Column, Column]:
                   .when(as_map.isNull(), "invalid_json")
                   .when(adv.isNull() | ~F.ltrim(adv).startswith("["), "no_advisories"))
         return reason, parsed
-    v = F.try_parse_json(j)
+    v = jsonx.strict_json(j)
     reason = (F.when(j == F.lit(""), "no_json")
-              .when(~jsonx.is_strict_json(j), "invalid_json")
+              .when(v.isNull(), "invalid_json")
               .when(F.coalesce(jsonx.json_kind(v, "$.advisories") != F.lit("ARRAY"), F.lit(True)),
                     "no_advisories"))
-    return reason, F.from_json(j, schemas.ADVISORY_SCHEMA)
+    return reason, F.struct(F.try_variant_get(v, "$.advisories", ADVISORY_ITEMS_TYPE).alias("advisories"))
 
 
 def _checked(df: DataFrame, text: str, lenient: bool) -> DataFrame:
