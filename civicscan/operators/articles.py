@@ -214,7 +214,10 @@ def best_containers(pages: DataFrame) -> DataFrame:
         (-n.getField("node_ord")).alias("neg_ord"), n.getField("node_ord").alias("node_ord"),
         n.getField("tag").alias("tag"), n.getField("n_links").alias("n_links"),
         n.getField("text").alias("text")))
-    best = staged.select("page_id", F.array_max(scored).alias("b")).where(F.col("b").isNotNull())
+    # filter on a generator output: a plain where(b IS NOT NULL) would be
+    # pushed below the projection and run the node UDF a second time
+    best = (staged.select("page_id", F.explode_outer(F.array(F.array_max(scored))).alias("b"))
+            .where(F.col("b").isNotNull()))
     return best.select("page_id", "b.node_ord", "b.tag", "b.n_links", "b.score",
                        H.strip_ws(H.squeeze_newlines(F.col("b.text"))).alias("text"))
 
