@@ -12,8 +12,10 @@ from .. import schemas
 from .feed import keep_first
 from .joins import maybe_broadcast
 
-# Multiplier of the seeded sample order (Knuth's multiplicative hash, 32 bits).
-SAMPLE_HASH_MULT = 2654435761
+# Seeded sample order: a 32-bit integer mix (add seed, then xor-shift /
+# multiply rounds), written with arithmetic both Spark and SQL engines share.
+SAMPLE_SEED_MULT = 2654435761
+SAMPLE_MIX_MULT = 73244475
 SAMPLE_HASH_MOD = 1 << 32
 
 
@@ -56,7 +58,10 @@ def with_crosswalk(utilities: DataFrame, crosswalk: DataFrame, key: str = "count
 
 
 def sample_rank(code: Column, seed: int) -> Column:
-    return (code * F.lit(SAMPLE_HASH_MULT) + F.lit(seed)) % F.lit(SAMPLE_HASH_MOD)
+    x = (code + F.lit(seed) * F.lit(SAMPLE_SEED_MULT)) % F.lit(SAMPLE_HASH_MOD)
+    for _ in range(2):
+        x = (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(SAMPLE_MIX_MULT)) % F.lit(SAMPLE_HASH_MOD)
+    return x.bitwiseXOR(F.shiftright(x, 16))
 
 
 def county_sample(spark: SparkSession, utilities: DataFrame, seed: int = 0,

@@ -133,7 +133,10 @@ _FIXED = ", ".join(str(c) for c in schemas.SAMPLE_FIXED_CODES)
 SAMPLE_CTES = UTIL_CTES + f""",
 pool AS (SELECT DISTINCT CAST(county_fips AS BIGINT) AS county_fips FROM fx_utilities
          WHERE county_fips BETWEEN 10000 AND 90000 AND county_fips NOT IN ({_FIXED})),
-drawn AS (SELECT county_fips FROM pool ORDER BY (county_fips * 2654435761 + 0) % 4294967296, county_fips
+h0 AS (SELECT county_fips, (county_fips + 0 * 2654435761) % 4294967296 AS x FROM pool),
+h1 AS (SELECT county_fips, (xor(x, x >> 16) * 73244475) % 4294967296 AS x FROM h0),
+h2 AS (SELECT county_fips, (xor(x, x >> 16) * 73244475) % 4294967296 AS x FROM h1),
+drawn AS (SELECT county_fips FROM h2 ORDER BY xor(x, x >> 16), county_fips
           LIMIT {schemas.SAMPLE_SIZE - len(schemas.SAMPLE_FIXED_CODES)}),
 sample AS (SELECT CAST(c AS BIGINT) AS county_fips, 0 AS drawn FROM unnest([{_FIXED}]) t(c)
            UNION ALL SELECT county_fips, 1 AS drawn FROM drawn)

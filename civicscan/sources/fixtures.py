@@ -132,7 +132,7 @@ SELECT concat(CASE doc_id WHEN 0 THEN 'City says boil your water' WHEN 1 THEN 'B
 FROM ${documents} WHERE doc_id < 6
 """
 FX_ARTICLE_LLM = r"""
-SELECT c.url AS link, l.response FROM fx_crawl c JOIN fx_llm l ON l.doc_id = c.page_id
+SELECT c.url AS link, l.response FROM fx_crawl c JOIN fx_llm l ON l.doc_id = c.page_id * 3
 """
 
 # Model answers about search-result summaries, keyed by the summary text.
