@@ -116,3 +116,12 @@ def test_feed_stream_restart_is_exactly_once(spark, tmp_path):
     run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
     out = spark.read.parquet(sink)
     assert out.count() == out.select("link").distinct().count() > first
+
+
+def test_cli_runs_a_job_and_writes_csv(spark, tmp_path):
+    from civicscan.__main__ import main
+    out = str(tmp_path / "years")
+    assert main(["run", "counts_by_year", "--data", SF_SMALL, "--out", out]) == 0
+    back = spark.read.option("header", True).schema("year long, n long").csv(out)
+    assert back.count() == 11
+    assert main(["run", "no_such_job", "--data", SF_SMALL, "--out", out]) == 2
