@@ -22,3 +22,12 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     choice to the planner (sort-merge join, or AQE's runtime broadcast when the
     measured size turns out small)."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that yields fewer partitions than the cluster has
+    task slots (a small table stored as one row group would otherwise run all
+    its per-row work in one task).  Large inputs already have more splits
+    than slots and pass through untouched, so at scale this adds nothing."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

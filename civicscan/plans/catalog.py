@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import feed, trends
 from ..session import ship_package
+from ..operators.joins import spread
 from ..sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +36,7 @@ def query(fn):
 # ---------------------------------------------------------------- shared inputs
 
 def news_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.us_locations(fixtures.load(spark, sf_dir, "fx_gkg"))
+    return feed.us_locations(fx(spark, sf_dir, "fx_gkg"))
 
 
 def news_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,8 +148,13 @@ def state_extent(spark, sf_dir):
 from ..operators import responses, utilities  # noqa: E402
 
 
+# inputs whose rows carry heavy per-row work (HTML, location lists)
+SPREAD = {"fx_pages", "fx_crawl", "fx_news_crawl", "fx_gkg"}
+
+
 def fx(spark, sf_dir, name):
-    return fixtures.load(spark, sf_dir, name)
+    df = fixtures.load(spark, sf_dir, name)
+    return spread(df) if name in SPREAD else df
 
 
 @query

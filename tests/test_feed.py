@@ -75,7 +75,7 @@ def test_plan_shapes(spark):
     from civicscan.plans.catalog import QUERIES
     sf = "/root/testdata/sf0.001"
     k1 = QUERIES["feed_us_locations"](spark, sf)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in k1 and "BatchEvalPython" not in k1 and "ArrowEvalPython" not in k1
+    assert "Exchange hashpartitioning" not in k1 and "EvalPython" not in k1
     first = QUERIES["feed_first_location"](spark, sf)
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
