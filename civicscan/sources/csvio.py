@@ -14,12 +14,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+NEWS_SCHEMA = ("publish_time timestamp_ntz, link string, source string, location_type bigint, "
+               "location_fullname string, country_code string, adm1_code string, "
+               "latitude double, longitude double")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Header row, explicit schema, malformed rows kept as nulls."""
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
             .option("multiLine", True).option("escape", '"').csv(path))
 
 
+def read_news_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A news report written by ``write_csv`` (parsed rows, one per link)
+    read back with its schema; empty text fields come back as null."""
+    return (spark.read.schema(NEWS_SCHEMA).option("header", True).option("escape", '"')
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
+
+
 def for_csv(df: DataFrame) -> DataFrame:
     """Sink view: dates as MM/DD/YYYY text, nulls in text columns as ''."""
     cols = []

@@ -125,3 +125,23 @@ def test_cli_runs_a_job_and_writes_csv(spark, tmp_path):
     back = spark.read.option("header", True).schema("year long, n long").csv(out)
     assert back.count() == 11
     assert main(["run", "no_such_job", "--data", SF_SMALL, "--out", out]) == 2
+
+
+def test_news_csv_hand_off_to_trends(spark, tmp_path):
+    """Feed report -> CSV -> trend job reads it back (S6 then S4), same counts."""
+    from civicscan import schemas
+    from civicscan.operators import feed, trends
+    from civicscan.plans.catalog import QUERIES
+    path = str(tmp_path / "news")
+    news = QUERIES["feed_first_location"](spark, SF_SMALL)
+    csvio.write_csv(news, path)
+    back = csvio.read_news_csv(spark, path)
+    assert back.count() == news.count()
+    direct = [(r.year, r.n) for r in QUERIES["counts_by_year"](spark, SF_SMALL).collect()]
+    via_csv = [(r.year, r.n) for r in trends.counts_by_year(
+        trends.non_country_rows(feed.keyword_include(back))).collect()]
+    assert via_csv == direct
+    states = schemas.state_names(spark)
+    assert trends.lookup_state(trends.non_country_rows(back), states).count() == \
+        QUERIES["non_country_rows"](spark, SF_SMALL).count() + \
+        feed.keyword_exclude(trends.non_country_rows(back)).count()
