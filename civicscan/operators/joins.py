@@ -24,10 +24,17 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that yields fewer partitions than the cluster has
-    task slots (a small table stored as one row group would otherwise run all
-    its per-row work in one task).  Large inputs already have more splits
-    than slots and pass through untouched, so at scale this adds nothing."""
+# Only inputs estimated below this size are ever re-spread.
+SPREAD_LIMIT_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, limit: int = SPREAD_LIMIT_BYTES) -> DataFrame:
+    """Round-robin a *small* input that yields fewer partitions than the
+    cluster has task slots (a table stored as one row group would otherwise
+    run all its per-row work in one task).  Inputs estimated above ``limit``
+    are never reshuffled: on a large cluster a big table with fewer splits
+    than slots is still better read where it lies."""
     slots = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) > limit:
+        return df
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -32,3 +32,12 @@ def test_narrow_jobs_do_not_shuffle(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_python_runs_at_most_once(spark, name):
     assert physical(spark, name).count("ArrowEvalPython") <= 1, name
+
+
+def test_spread_only_touches_small_single_split_inputs(spark):
+    from civicscan.operators.joins import spread
+    small = spark.range(10).coalesce(1)
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 1)
+    assert spread(many) is many
+    assert spread(small, limit=0) is small          # estimated above the limit: untouched
