@@ -12,7 +12,8 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())   # py4j int or BigInt
     except Exception:  # noqa: BLE001 - unknown size counts as large
         return 1 << 62
 

@@ -41,3 +41,10 @@ def test_spread_only_touches_small_single_split_inputs(spark):
     many = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 1)
     assert spread(many) is many
     assert spread(small, limit=0) is small          # estimated above the limit: untouched
+
+
+def test_size_estimate_is_real(spark):
+    from civicscan.operators.joins import estimated_bytes, maybe_broadcast
+    assert 0 < estimated_bytes(spark.range(10)) < 1 << 20
+    plan = spark.range(1000).join(maybe_broadcast(spark.range(5)), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
