@@ -86,7 +86,8 @@ def state_geo_from_points(located: DataFrame, states: DataFrame) -> DataFrame:
     ``located`` carries ``state`` (looked-up name), latitude and longitude.
     Output: name (suffix-free), minx, miny, maxx, maxy, cx, cy.
     """
-    named = located.join(F.broadcast(states.select(F.col("name").alias("state"), "geo_name")),
+    regions = states.where(~F.col("abbreviation").isin(list(schemas.MAP_NO_GEOMETRY)))
+    named = located.join(F.broadcast(regions.select(F.col("name").alias("state"), "geo_name")),
                          "state")
     return (named.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
             .groupBy(F.col("geo_name").alias("name"))
@@ -98,9 +99,11 @@ def state_geo_from_points(located: DataFrame, states: DataFrame) -> DataFrame:
 
 def state_map_table(state_year_counts: DataFrame, geo: DataFrame, states: DataFrame,
                     excluded: Sequence[str] = tuple(schemas.MAP_EXCLUDED_REGIONS)) -> DataFrame:
-    """J4 + P12 + F30: every mapped state per year with its count (0 if none)
-    and the count as label text; excluded regions dropped."""
-    dim = states.select(F.col("name").alias("state"), F.col("geo_name").alias("name"))
+    """J4 + P12 + F30: every region of the state geometry set per year with
+    its count (0 if none) and the count as label text; excluded regions
+    dropped."""
+    dim = (states.where(~F.col("abbreviation").isin(list(schemas.MAP_NO_GEOMETRY)))
+           .select(F.col("name").alias("state"), F.col("geo_name").alias("name")))
     merged = (state_year_counts.join(F.broadcast(dim), "state")
               .join(F.broadcast(geo), "name", "left"))
     return (merged.where(~F.col("name").isin(list(excluded)))

@@ -66,6 +66,7 @@ geo AS (
          max(k.longitude) AS maxx, max(k.latitude) AS maxy
   FROM known k JOIN {STATES_SQL} s ON k.state = s.name
   WHERE k.latitude IS NOT NULL AND k.longitude IS NOT NULL
+    AND s.abbreviation NOT IN ({", ".join(_sql_str(x) for x in schemas.MAP_NO_GEOMETRY)})
   GROUP BY s.geo_name),
 geo2 AS (SELECT *, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM geo),
 years AS (SELECT CAST(range AS BIGINT) AS year FROM range({schemas.TREND_YEARS[0]}, {schemas.TREND_YEARS[1] + 1})),
@@ -107,7 +108,8 @@ ORACLE["state_map_table"] = FEED_CTES + (
     "SELECT sy.year, s.geo_name AS name, sy.n, CAST(sy.n AS VARCHAR) AS label, g.cx, g.cy "
     f"FROM state_year sy JOIN {STATES_SQL} s ON sy.state = s.name "
     "LEFT JOIN geo2 g ON g.name = s.geo_name "
-    "WHERE s.geo_name NOT IN (" + ", ".join(_sql_str(x) for x in schemas.MAP_EXCLUDED_REGIONS) + ")")
+    "WHERE s.geo_name NOT IN (" + ", ".join(_sql_str(x) for x in schemas.MAP_EXCLUDED_REGIONS) + ") "
+    "AND s.abbreviation NOT IN (" + ", ".join(_sql_str(x) for x in schemas.MAP_NO_GEOMETRY) + ")")
 ORACLE["state_extent"] = FEED_CTES + (
     "SELECT minx, miny, maxx, maxy, minx - (maxx - minx) * 0.03 AS xlim_lo, maxx + (maxx - minx) * 0.03 AS xlim_hi, "
     "miny - (maxy - miny) * 0.03 AS ylim_lo, maxy + (maxy - miny) * 0.03 AS ylim_hi FROM ("

@@ -88,6 +88,9 @@ SLUG_WORDS = ["boil", "water"]
 
 # Regions left out of the contiguous-states map.
 MAP_EXCLUDED_REGIONS = ["Alaska", "Hawaii", "Puerto Rico"]
+# Lookup entries with no shape in the state geometry set (which holds the 50
+# states, DC and Puerto Rico).
+MAP_NO_GEOMETRY = ["AS", "GU", "MP", "VI"]
 MAP_PAD_FRACTION = 0.03
 
 # Trend years and request years (inclusive ranges).
