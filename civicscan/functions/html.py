@@ -130,6 +130,8 @@ HEAD_RE = r"(?is)<head\b[^>]*>.*?</head\s*>"
 BLOCK_RE = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
 HEADING_RE = r"(?i)<h([1-6])\b[^>]*>"
 LI_RE = r"(?i)<li\b[^>]*>"
+BOLD_RE = r"(?i)</?(?:b|strong)\b[^>]*>"
+ITALIC_RE = r"(?i)</?(?:i|em)\b[^>]*>"
 
 
 def squeeze_newlines(s: Column) -> Column:
@@ -156,8 +158,9 @@ def article_text(html: Column) -> Column:
 
 def markdown_text(html: Column) -> Column:
     """X11: link-keeping plain text: anchors -> [text](url), images dropped,
-    headings -> '#' marks, list items -> '* ', block tags -> line breaks,
-    other tags removed, entities decoded, lines right-trimmed."""
+    headings -> '#' marks, list items -> '* ', bold -> '**', italics -> '_'
+    (one mark per tag, like tag events), block tags -> line breaks, other
+    tags removed, entities decoded, lines right-trimmed."""
     s = F.regexp_replace(html, COMMENT_RE, "")
     for b in ("script", "style", "template"):
         s = F.regexp_replace(s, block_re(b), "")
@@ -168,6 +171,8 @@ def markdown_text(html: Column) -> Column:
     for n in range(1, 7):
         s = F.replace(s, F.lit(f"<hmark{n}>"), F.lit("#" * n + " "))
     s = F.regexp_replace(s, LI_RE, "\n* ")
+    s = F.regexp_replace(s, BOLD_RE, "**")
+    s = F.regexp_replace(s, ITALIC_RE, "_")
     s = F.regexp_replace(s, BLOCK_RE, "\n")
     s = F.regexp_replace(s, TAG_RE, "")
     s = decode_entities(s)

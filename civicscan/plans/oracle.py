@@ -376,6 +376,8 @@ def _markdown_sql(x: str) -> str:
     for n in range(1, 7):
         s = f"replace({s}, '<hmark{n}>', {_q('#' * n + ' ')})"
     s = f"regexp_replace({s}, {_q(_H.LI_RE)}, {_q(chr(10) + '* ')}, 'g')"
+    s = f"regexp_replace({s}, {_q(_H.BOLD_RE)}, '**', 'g')"
+    s = f"regexp_replace({s}, {_q(_H.ITALIC_RE)}, '_', 'g')"
     s = f"regexp_replace({s}, {_q(_H.BLOCK_RE)}, {_q(chr(10))}, 'g')"
     s = f"regexp_replace({s}, {_q(_H.TAG_RE)}, '', 'g')"
     s = _decode_sql(s)

@@ -38,9 +38,9 @@ def test_best_container_prefers_dense_inner_node(spark):
 def test_article_record_fallbacks(spark):
     rec = A.article_records(frame(spark, PAGE)).collect()[0]
     assert rec.text == BODY and rec.url == "http://u" and rec.title == "T"
-    short = "<html><body><p>tiny <a href='/z'>z</a></p><img src='i.png'></body></html>"
+    short = "<html><body><p>tiny <a href='/z'>z</a> <b>bold</b> <em>it</em></p><img src='i.png'><br></body></html>"
     rec2 = A.article_records(frame(spark, short)).collect()[0]
-    assert rec2.text == "tiny [z](/z)"
+    assert rec2.text == "tiny [z](/z) **bold** _it_"
     rec3 = A.article_records(frame(spark, PAGE, 404)).collect()[0]
     assert rec3.text is None and rec3.url == "http://u" and rec3.title is None
 
