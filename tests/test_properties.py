@@ -103,3 +103,58 @@ def test_year_counts_bounded_by_feed(spark):
 def test_at_most_one_best_date_per_page(spark):
     df = QUERIES["page_dates"](spark, SF_SMALL)
     assert df.count() == df.select("page_id").distinct().count()
+
+
+WORDS = st.text(alphabet="abcdefghij ", min_size=0, max_size=90)
+
+
+@st.composite
+def html_tree(draw, depth=0):
+    tags = ["div", "section", "article", "main", "p", "span", "a", "script", "form"]
+    parts = []
+    for _ in range(draw(st.integers(0, 3 if depth < 3 else 0))):
+        if draw(st.booleans()):
+            parts.append(draw(WORDS))
+        else:
+            tag = draw(st.sampled_from(tags))
+            inner = draw(html_tree(depth + 1)) if tag not in ("script",) else draw(WORDS)
+            attr = ' href="/x"' if tag == "a" else ""
+            parts.append(f"<{tag}{attr}>{inner}</{tag}>")
+    return "".join(parts)
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(html_tree(), min_size=1, max_size=4))
+def test_best_container_matches_tree_model(spark, bodies):
+    import re
+
+    from civicscan.operators import articles
+    from test_articles import brute_best
+    pages = [(i, f"u{i}", f"<html><body>{b}</body></html>", 200) for i, b in enumerate(bodies)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, status_code int")
+    got = {r.page_id: r.text for r in articles.best_containers(df).collect()}
+    for i, _, html, _ in pages:
+        want = brute_best(html)
+        want = re.sub(r"\n{2,}", "\n\n", want).strip() if want else None
+        assert got.get(i) == want, html
+
+
+cand = st.tuples(st.sampled_from(["published", "updated"]), st.sampled_from([40, 50, 68, 70, 90, 100]),
+                 st.dates(min_value=dt.date(2000, 1, 1), max_value=dt.date(2030, 12, 31)))
+
+
+@SETTINGS
+@given(st.lists(cand, max_size=8))
+def test_best_date_matches_sort_model(spark, cands):
+    from civicscan.operators import dates as X
+    rows = [(k, w, str(d), d, "s", i) for i, (k, w, d) in enumerate(cands)]
+    df = spark.createDataFrame([(rows,)], "c array<struct<kind:string,weight:int,raw:string,dt:date,source:string,ord:bigint>>")
+    r = df.select(X.best(F.col("c"), "published").alias("p"), X.best(F.col("c"), "updated").alias("u"),
+                  X.best(F.col("c"), "published", tie="lexical").alias("pl")).collect()[0]
+
+    def pick(kind, key):
+        mine = [x for x in rows if x[0] == kind]
+        return min(mine, key=key)[3] if mine else None
+    assert r.p == pick("published", lambda x: (-x[1], x[3], x[5]))
+    assert r.u == pick("updated", lambda x: (-x[1], -x[3].toordinal(), x[5]))
+    assert r.pl == pick("published", lambda x: (-x[1], x[3].strftime("%m/%d/%Y"), x[5]))
