@@ -158,3 +158,36 @@ def test_best_date_matches_sort_model(spark, cands):
     assert r.p == pick("published", lambda x: (-x[1], x[3], x[5]))
     assert r.u == pick("updated", lambda x: (-x[1], -x[3].toordinal(), x[5]))
     assert r.pl == pick("published", lambda x: (-x[1], x[3].strftime("%m/%d/%Y"), x[5]))
+
+
+KEYS = st.sampled_from(["datePublished", "DATEMODIFIED", "updated", "uploadDate", "x", "y", "@graph"])
+LEAF = st.one_of(st.none(), st.booleans(), st.integers(0, 9), st.text(alphabet="0123456789-", max_size=10))
+JSONV = st.recursive(LEAF, lambda kids: st.one_of(st.lists(kids, max_size=3),
+                                                  st.dictionaries(KEYS, kids, max_size=4)), max_leaves=15)
+
+
+def recursive_model(obj):
+    hits = {}
+
+    def visit(o):
+        if isinstance(o, dict):
+            for k, v in {str(k).lower(): v for k, v in o.items()}.items():
+                if isinstance(v, (str, int, float)):
+                    if k in ("datepublished", "uploaddate"):
+                        hits.setdefault("published", str(v))
+                    if k in ("datemodified", "updated"):
+                        hits.setdefault("updated", str(v))
+            for v in o.values():
+                visit(v)
+        elif isinstance(o, list):
+            for v in o:
+                visit(v)
+    visit(obj)
+    return hits.get("published"), hits.get("updated")
+
+
+@settings(max_examples=200, deadline=None)
+@given(JSONV)
+def test_jsonld_walk_matches_recursive_model(obj):
+    from civicscan.operators import dates as X
+    assert X._first_dates(obj) == recursive_model(obj)
