@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from civicscan import schemas
 from civicscan.operators import articles as A
 from civicscan.operators import dates as X
@@ -69,4 +67,3 @@ def test_q24_null_dates_become_empty_only_at_the_csv_sink(spark):
     from civicscan.sources.csvio import for_csv
     df = spark.createDataFrame([(None, None)], "d date, s string")
     assert for_csv(df).collect()[0].asDict() == {"d": "", "s": ""}
-    assert F is not None

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from civicscan.operators import responses as R
 from civicscan.sources import csvio
