@@ -144,3 +144,21 @@ def test_news_csv_hand_off_to_trends(spark, tmp_path):
     assert trends.lookup_state(trends.non_country_rows(back), states).count() == \
         QUERIES["non_country_rows"](spark, SF_SMALL).count() + \
         feed.keyword_exclude(trends.non_country_rows(back)).count()
+
+
+def test_page_dates_stream_matches_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from civicscan.plans.catalog import QUERIES
+    from civicscan.sources import fixtures
+    from civicscan.streaming.page_dates_stream import run_page_dates_stream
+    src = str(tmp_path / "pages")
+    pages = fixtures.load(spark, SF_SMALL, "fx_pages").withColumn("final_url", F.lit(None).cast("string"))
+    pages.where("page_id % 2 = 0").write.parquet(src)
+    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    run_page_dates_stream(spark, src, sink, ckpt).awaitTermination(300)
+    pages.where("page_id % 2 = 1").write.mode("append").parquet(src)      # new files arrive
+    run_page_dates_stream(spark, src, sink, ckpt).awaitTermination(300)
+    got = sorted(map(tuple, spark.read.parquet(sink).collect()))
+    want = sorted(map(tuple, QUERIES["page_dates"](spark, SF_SMALL).collect()))
+    assert got == want
