@@ -104,3 +104,24 @@ def test_feed_and_trend_plans_stay_in_the_jvm(spark):
     for n in names:
         plan = QUERIES[n](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, n
+
+
+def test_hot_link_is_reduced_before_the_shuffle(spark):
+    """One link holds a third of all rows: the result is still one row per
+    link (the first in the total order), and the plan cuts each map task's
+    share of the hot link to one row before the exchange."""
+    d = dt.date(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        link = "https://x/boil-water-HOT" if i % 3 == 0 else f"https://x/boil-water-{i}"
+        rows.append((i, 20240101000000 + (i % 50), d, link, f"s{i % 7}", f"{1 + i % 3}#P{i % 11}#US#USVA##1#2"))
+    df = spark.createDataFrame(rows, GKG_SCHEMA).repartition(6)
+    first = feed.first_per_link(feed.us_locations(df))
+    got = {r.link: r for r in first.collect()}
+    assert len(got) == 1 + 2000
+    hot = got["https://x/boil-water-HOT"]
+    assert (hot.publish_time, hot.location_type, hot.location_fullname) == (
+        dt.datetime(2024, 1, 1, 0, 0, 0), 1, "P0")
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("WindowGroupLimit")            # the final limit sits above the exchange
+    assert "Partial" in plan[plan.index("Exchange hashpartitioning(link"):] and partial >= 0
