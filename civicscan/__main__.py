@@ -29,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--format", choices=["csv", "parquet"], default="csv")
     run.add_argument("--by-year", action="store_true", help="one folder per year (needs a year column)")
     run.add_argument("--master", default=None)
+    rep = sub.add_parser("reports", help="utility notices + summary advisories, sharing one page-date table")
+    rep.add_argument("--data", required=True)
+    rep.add_argument("--out", required=True)
+    rep.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     from .plans.catalog import QUERIES
@@ -36,6 +40,22 @@ def main(argv: list[str] | None = None) -> int:
         for name in QUERIES:
             print(name)
         return 0
+    if args.cmd == "reports":
+        import os
+
+        from .plans import notices
+        from .plans.catalog import fx
+        from .session import get_session, ship_package
+        from .sources import csvio
+        spark = get_session(args.master, app="civicscan-reports")
+        ship_package(spark)
+        k5, k7 = notices.notice_reports(fx(spark, args.data, "fx_utilities"), fx(spark, args.data, "fx_search_log"),
+                                        fx(spark, args.data, "fx_news_log"), fx(spark, args.data, "fx_crawl"),
+                                        fx(spark, args.data, "fx_summary_llm"))
+        csvio.write_csv(k5, os.path.join(args.out, "utility_notices"))
+        csvio.write_csv(k7, os.path.join(args.out, "summary_advisories"))
+        print(f"reports: written to {args.out}")
+        return 0
     if args.job not in QUERIES:
         print(f"unknown job {args.job!r}; see `python -m civicscan list`", file=sys.stderr)
         return 2

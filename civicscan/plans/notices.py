@@ -31,7 +31,8 @@ def dates_by_url(crawl: DataFrame) -> DataFrame:
 
 
 def utility_notices(utilities_df: DataFrame, search_log: DataFrame, crawl: DataFrame,
-                    top_n: int = schemas.NESTED_RESULTS_PER_REQUEST) -> DataFrame:
+                    top_n: int = schemas.NESTED_RESULTS_PER_REQUEST,
+                    url_dates: DataFrame | None = None) -> DataFrame:
     """K5: utility x year requests -> responses -> results with 'boil' in the
     snippet -> published date of the result page -> snippet report rows."""
     reqs = utilities.year_requests(utilities.over_threshold(utilities_df))
@@ -39,14 +40,16 @@ def utility_notices(utilities_df: DataFrame, search_log: DataFrame, crawl: DataF
     res = responses.nested_results(answered, ("utility_id", "county", "state", "year", "query"),
                                    top_n=top_n)                    # S9 + P13 + W4
     hits = responses.snippet_contains(res)                         # P4
-    pd_ = dates_by_url(crawl).select(F.col("url").alias("display_url"), "published")
+    url_dates = dates_by_url(crawl) if url_dates is None else url_dates
+    pd_ = url_dates.select(F.col("url").alias("display_url"), "published")
     joined = hits.join(pd_, "display_url", "left")                 # J7
     out = joined.withColumnsRenamed({"display_url": "link", "published": "publish_date"})
     return out.select("utility_id", "year", *schemas.SNIPPET_CSV_FIELDS)      # R4
 
 
 def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: DataFrame,
-                       extract_log: DataFrame, top_n: int = schemas.FLAT_RESULTS_DEFAULT) -> DataFrame:
+                       extract_log: DataFrame, top_n: int = schemas.FLAT_RESULTS_DEFAULT,
+                       url_dates: DataFrame | None = None) -> DataFrame:
     """K7: county news-site requests -> results with 'boil' -> page dates ->
     advisories extracted from the result summary, with the result columns.
 
@@ -58,7 +61,8 @@ def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: Data
     res = responses.nested_results(reqs.join(news_log, "query"), ("utility_id", "county", "state"),
                                    top_n=top_n)
     hits = responses.snippet_contains(res)
-    pd_ = dates_by_url(crawl).select(F.col("url").alias("display_url"), F.col("published").alias("publish_date"))
+    url_dates = dates_by_url(crawl) if url_dates is None else url_dates
+    pd_ = url_dates.select(F.col("url").alias("display_url"), F.col("published").alias("publish_date"))
     extras = hits.join(pd_, "display_url", "left").select(
         "utility_id", "rank", "county", "state", F.col("display_url").alias("link"), "summary",
         F.coalesce("publish_date", F.lit("")).alias("publish_date"))
@@ -136,3 +140,14 @@ def build_utility_master(spark, utilities_csv: str, crosswalk_csv: str, out_dir:
     master = utilities.with_crosswalk(u, x, key="COUNTYFIPS")
     csvio.write_csv(master, out_dir)
     return master
+
+
+def notice_reports(utilities_df: DataFrame, search_log: DataFrame, news_log: DataFrame,
+                   crawl: DataFrame, extract_log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """K5 and K7 together: the per-url page dates (the expensive, HTML-wide
+    step) are computed once, written to the shared checkpoint folder, and
+    both reports read that table."""
+    from ..session import materialize
+    url_dates = materialize(dates_by_url(crawl), "url-dates")
+    return (utility_notices(utilities_df, search_log, crawl, url_dates=url_dates),
+            summary_advisories(utilities_df, news_log, crawl, extract_log, url_dates=url_dates))

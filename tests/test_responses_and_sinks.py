@@ -162,3 +162,16 @@ def test_page_dates_stream_matches_batch(spark, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(sink).collect()))
     want = sorted(map(tuple, QUERIES["page_dates"](spark, SF_SMALL).collect()))
     assert got == want
+
+
+def test_notice_reports_share_one_materialized_date_table(spark):
+    from civicscan.plans import notices
+    from civicscan.plans.catalog import QUERIES, fx
+    from tools.oracle_check import rows_of
+    k5, k7 = notices.notice_reports(fx(spark, SF_SMALL, "fx_utilities"), fx(spark, SF_SMALL, "fx_search_log"),
+                                    fx(spark, SF_SMALL, "fx_news_log"), fx(spark, SF_SMALL, "fx_crawl"),
+                                    fx(spark, SF_SMALL, "fx_summary_llm"))
+    for got, name in [(k5, "utility_notices"), (k7, "summary_advisories")]:
+        want = QUERIES[name](spark, SF_SMALL)
+        assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.collect())
+        assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()
