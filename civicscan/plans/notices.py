@@ -22,9 +22,11 @@ from ..operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
 
 
 def dates_by_url(crawl: DataFrame) -> DataFrame:
-    """X8 keyed by url: best published date text (MM/DD/YYYY) per crawled url,
-    the lowest page id winning when a url was crawled twice."""
-    pd_ = dates.page_dates(crawl)
+    """X8 keyed by the requested url: best published date text (MM/DD/YYYY)
+    per crawled url, the lowest page id winning when a url was crawled twice.
+    Results are joined on the url they asked for, so a redirect target
+    (``final_url``) must not replace the key here."""
+    pd_ = dates.page_dates(crawl.drop("final_url") if "final_url" in crawl.columns else crawl)
     one = keep_first(pd_, "url", [F.col("page_id").asc()])
     return one.select("url", D.format_mdy(F.col("published")).alias("published"),
                       D.format_mdy(F.col("updated")).alias("updated"))

@@ -175,3 +175,12 @@ def test_notice_reports_share_one_materialized_date_table(spark):
         want = QUERIES[name](spark, SF_SMALL)
         assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.collect())
         assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_url_dates_keyed_by_requested_url(spark):
+    from civicscan.plans.notices import dates_by_url
+    crawl = spark.createDataFrame(
+        [(1, "http://asked", "http://redirected", 200, None, '<meta name="date" content="2020-02-03">')],
+        "page_id long, url string, final_url string, status_code int, http_last_modified string, html string")
+    r = dates_by_url(crawl).collect()[0]
+    assert (r.url, r.published) == ("http://asked", "02/03/2020")
