@@ -7,10 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicscan.llm import simhash
+from civicscan.llm import bpe, langid, order_minhash, packing, simhash
 from civicscan.llm.common import documents
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file on the driver."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -18,6 +41,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
+    "op4_order_minhash": op4_order_minhash,
+    "op6_packing": op6_packing,
+    "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
 }
 
