@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicscan.llm import bpe, langid, order_minhash, packing, simhash
-from civicscan.llm.common import documents
+from civicscan.llm import bpe, embed_dedup, langid, order_minhash, packing, sharding, simhash
+from civicscan.llm.common import documents, table
 
 
 def vocabulary(name: str) -> str:
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.fit(docs)).withColumnRenamed("id", "doc_id")
@@ -26,6 +30,14 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(documents(spark, sf_dir))
+    text = F.col("record.text")
+    return out.select("record.doc_id", sharding.size_of("record.text").alias("size"),
+                      F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+                      "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
@@ -41,8 +53,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_language_id": op3_language_id,
     "op4_order_minhash": op4_order_minhash,
+    "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
