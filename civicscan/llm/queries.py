@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicscan.llm import bpe, embed_dedup, langid, line_dedup, order_minhash, packing, sharding, simhash
+from civicscan.llm import bpe, embed_dedup, langid, line_dedup, order_minhash, packing, page_text, sharding, simhash
 from civicscan.llm.common import documents, table
 
 
@@ -52,6 +52,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
+    "op9_page_text": op9_page_text,
     "op10_line_dedup": op10_line_dedup,
 }
 
