@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicscan.llm import bpe, embed_dedup, langid, line_dedup, order_minhash, packing, page_text, sharding, simhash
+from civicscan.llm import bpe, embed_dedup, langid, licenses, line_dedup, order_minhash, packing, page_text, sharding, simhash
 from civicscan.llm.common import documents, table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -61,6 +65,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_language_id": op3_language_id,
     "op4_order_minhash": op4_order_minhash,
