@@ -294,8 +294,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         docs: int = TRAIN_DOCS) -> Model:
     """Fit on up to ``docs`` texts of each language that aren't held out: those
     with the smallest text hashes, up to ``TRAIN_CHARS`` characters of each."""
-    rows = (df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(lang_col).alias("y"), F.xxhash64(text_col).alias("h")))
+    known = df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = known.select(F.col(lang_col).alias("y"), F.xxhash64(text_col).alias("h"))
     w = Window.partitionBy("y").orderBy("h")
     picked = rows.distinct().withColumn("r", F.row_number().over(w)).filter(F.col("r") <= docs)
     top = {r["y"]: r["h"] for r in picked.groupBy("y").agg(F.max("h").alias("h")).collect()}
@@ -304,8 +304,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     chosen = F.lit(False)
     for y, h in sorted(top.items()):
         chosen = chosen | ((F.col(lang_col) == y) & (F.xxhash64(text_col) <= h))
-    sample = (df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & chosen)
-              .select(F.substring(text_col, 1, TRAIN_CHARS).alias("t"), F.col(lang_col).alias("y")).distinct())
+    sample = known.filter(chosen).select(F.substring(text_col, 1, TRAIN_CHARS).alias("t"), F.col(lang_col).alias("y")).distinct()
     return train(sorted((r["t"], r["y"]) for r in sample.collect()))
 
 
