@@ -150,6 +150,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     gone = removals(df, id_col, text_col, least, window)
     key, th, lines = fresh(df, "__line_id"), fresh(df, "__line_text"), fresh(df, "__line_gone")
     gone = gone.select(F.col("id").alias(key), F.col("th").alias(th), F.col("lines").alias(lines))
+    # what is deleted grows with the input, so the plan is the same at every size: no broadcast
+    gone = gone.hint("merge")
     same = df[id_col].cast("long").eqNullSafe(gone[key]) & (F.xxhash64(df[text_col]) == gone[th])
     joined = df.join(gone, same, "left").select(*[df[c] for c in df.columns], lines)
     names, at = df.columns, df.columns.index(text_col)
