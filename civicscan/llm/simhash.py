@@ -176,7 +176,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     both id and text are copies.  All columns are kept as they are."""
     _, groups = _grouped(docs, id_col, text_col, k, radius, BUCKET_LIMIT)
     key, text_hash, rank = fresh(docs, "__id"), fresh(docs, "__text_hash"), fresh(docs, "__rank")
-    kept = groups.select(F.col("first.id").alias(key), F.col("first.text_hash").alias(text_hash)).distinct()
+    kept = groups.select(F.col("first.id").alias(key), F.col("first.text_hash").alias(text_hash)).distinct().hint("merge")
     same = docs[id_col].cast("long").eqNullSafe(kept[key]) & (F.xxhash64(docs[text_col]) == kept[text_hash])
     rows = docs.join(kept, same, "left_semi")
     w = Window.partitionBy(F.col(id_col), F.xxhash64(text_col)).orderBy(text_col)
