@@ -1,40 +1,63 @@
-"""F19 fuzzy date parsing as a ladder of built-in expressions.
+"""F19 fuzzy date parsing with built-in expressions.
 
-Free text is searched for the first date shape in this order; the wall-clock
-date is kept and any zone is ignored; a month without a day gives day 1;
-text without a year and a month gives null (never "today").
-
-  1. year-month-day   2024-01-05, 2024/1/5, 2024.01.05 (ISO date-times too)
-  2. compact          20240105 or 20240105123000
-  3. month/day/year   1/5/2024, 01-05-2024, 1.5.2024 (month first)
-  4. month-name day year   January 5, 2024 / Jan. 5th 2024
-  5. day month-name year   5 January 2024 / Wed, 21 Oct 2015 07:28:00 GMT
-  6. month-name year       January 2024
-  7. year-month            2024-03 (day 1)
+Free text is searched for every shape of ``SHAPES``; the valid date that
+stands first in the text wins, and of those at one place the earlier shape.
+The wall-clock date is kept and any zone is ignored; a month without a day
+gives day 1; text without a year and a month gives null (never "today").
+Numbers are month first, and day first where the month could not be one;
+two-digit years are 1969 to 2068.
 
 Every pattern is valid in Java regex and RE2, so the DuckDB oracle reuses the
-texts (``LADDER``).  Month names map to numbers through their first three
-letters' position in ``MONTH_KEYS``.
+texts; tests hold the shapes against an independent parser.  Month names map
+to numbers through their first three letters' position in ``MONTH_KEYS``.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTH_KEYS = "janfebmaraprmayjunjulaugsepoctnovdec"
 MONTH_WORD = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
               r"|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
-
-# (pattern, (year group, month group, day group or None), month is a name)
-LADDER = [
-    (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3), False),
-    (r"(^|[^0-9])(\d{4})(\d{2})(\d{2})(\d{6})?([^0-9]|$)", (2, 3, 4), False),
-    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", (3, 1, 2), False),
-    (r"(?i)\b" + MONTH_WORD + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})", (3, 1, 2), True),
-    (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)?\s+" + MONTH_WORD + r"\.?,?\s+(\d{4})", (3, 2, 1), True),
-    (r"(?i)\b" + MONTH_WORD + r"\.?,?\s+(\d{4})", (2, 1, None), True),
-    (r"(^|[^0-9])(\d{4})-(\d{1,2})([^-0-9]|$)", (2, 3, None), False),
+_TH = "(?:st|nd|rd|th)?"
+
+
+class Shape(NamedTuple):
+    pattern: str
+    year: int          # groups of the pattern
+    month: int
+    day: int | None
+    named: bool = False     # the month is a name
+    either: bool = False    # month first, or day first where that can't be
+    bounded: bool = False   # group 1 is what stands before the date
+
+
+SHAPES = [
+    # 2024-01-05, 2024/1/5, 2024.01.05, ISO date-times
+    Shape(r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", 1, 2, 3),
+    # 20240105, 202401051230, 20240105123000
+    Shape(r"(^|[^0-9])(\d{4})(\d{2})(\d{2})(?:\d{4}|\d{6})?([^0-9]|$)", 2, 3, 4, bounded=True),
+    # 1/5/2024, 01-05-2024, 1.5.2024, 25/12/2023
+    Shape(r"(^|[^0-9])(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", 4, 2, 3, either=True, bounded=True),
+    # 01/05/24
+    Shape(r"(^|[^0-9./-])(\d{1,2})[-/](\d{1,2})[-/](\d{2})([^0-9/-]|$)", 4, 2, 3, either=True, bounded=True),
+    # January 5, 2024 / Jan. 5th 2024 / Jan-05-2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?[\s-]+(\d{{1,2}}){_TH}(?:,\s*|\s+|-)(\d{{4}})", 3, 1, 2, named=True),
+    # Jan  5 12:30:00 2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}})\s+\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s+(?:[A-Z]{{3,4}}\s+)?(\d{{4}})", 3, 1, 2, named=True),
+    # Jan 5 '24
+    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}}){_TH},?\s+'(\d{{2}})([^0-9]|$)", 3, 1, 2, named=True),
+    # 5 January 2024 / 5th of January 2024 / 5-Jan-2024 / Wed, 21 Oct 2015 07:28:00 GMT
+    Shape(rf"(?i)\b(\d{{1,2}}){_TH}(?:\s+of)?[\s-]+{MONTH_WORD}\.?,?[\s-]+(\d{{4}})", 3, 2, 1, named=True),
+    # Sunday, 06-Nov-94 08:49:37 GMT
+    Shape(rf"(?i)\b(\d{{1,2}})[\s-]{MONTH_WORD}[\s-](\d{{2}})([^0-9:]|$)", 3, 2, 1, named=True),
+    # January 2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?,?\s+(\d{{4}})", 2, 1, None, named=True),
+    # 2024-03
+    Shape(r"(^|[^0-9])(\d{4})-(\d{1,2})([^-0-9]|$)", 2, 3, None, bounded=True),
 ]
 
 
@@ -43,19 +66,26 @@ def month_number(name: Column) -> Column:
     return ((pos + F.lit(2)) / F.lit(3)).cast("int")
 
 
-def _rung(s: Column, pattern: str, groups: tuple, named: bool) -> Column:
-    yg, mg, dg = groups
-    y = F.regexp_extract(s, pattern, yg)
-    m_raw = F.regexp_extract(s, pattern, mg)
-    m = month_number(m_raw) if named else m_raw.cast("int")
-    d = F.regexp_extract(s, pattern, dg).cast("int") if dg else F.lit(1)
-    text = F.concat_ws("-", y, F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
-    return F.when(y != F.lit(""), F.try_to_date(text, "yyyy-MM-dd"))
+def _found(s: Column, rank: int, shape: Shape) -> Column:
+    """(place in the text, rank of the shape, date) of the shape's first match."""
+    group = lambda g: F.regexp_extract(s, shape.pattern, g)
+    y = group(shape.year).try_cast("int")
+    y = F.when(F.length(group(shape.year)) == 2, y + F.when(y < 69, 2000).otherwise(1900)).otherwise(y)
+    m = month_number(group(shape.month)) if shape.named else group(shape.month).try_cast("int")
+    d = group(shape.day).try_cast("int") if shape.day else F.lit(1)
+    if shape.either:
+        swap = (m > 12) & (d <= 12)
+        m, d = F.when(swap, d).otherwise(m), F.when(swap, m).otherwise(d)
+    text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
+    at = F.regexp_instr(s, F.lit(shape.pattern)) + (F.length(group(1)) if shape.bounded else F.lit(0))
+    return F.when(y.isNotNull(), F.struct(at.alias("at"), F.lit(rank).alias("rank"),
+                                          F.try_to_date(text, "yyyy-MM-dd").alias("d")))
 
 
 def parse_date(s: Column) -> Column:
-    """first date found in ``s`` as DateType (null when none)."""
-    return F.coalesce(*[_rung(s, p, g, n) for p, g, n in LADDER])
+    """the first date in ``s`` as DateType (null when none)."""
+    found = F.array(*[_found(s, i, shape) for i, shape in enumerate(SHAPES)])
+    return F.array_min(F.filter(found, lambda f: f.getField("d").isNotNull())).getField("d")
 
 
 def format_mdy(d: Column) -> Column:
@@ -67,17 +97,19 @@ def format_mdy(d: Column) -> Column:
 
 def parse_date_sql(expr: str) -> str:
     """DuckDB text of ``parse_date`` for the oracle."""
-    def q(p):
-        return "'" + p.replace("'", "''") + "'"
-
-    rungs = []
-    for p, (yg, mg, dg), named in LADDER:
-        y = f"regexp_extract({expr}, {q(p)}, {yg})"
-        mr = f"regexp_extract({expr}, {q(p)}, {mg})"
-        m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({mr}, 1, 3))) + 2) // 3 AS INTEGER)"
-             if named else f"try_cast({mr} AS INTEGER)")
-        d = f"try_cast(regexp_extract({expr}, {q(p)}, {dg}) AS INTEGER)" if dg else "1"
-        txt = (f"concat({y}, '-', lpad(CAST({m} AS VARCHAR), 2, '0'), '-', "
-               f"lpad(CAST({d} AS VARCHAR), 2, '0'))")
-        rungs.append(f"CASE WHEN {y} <> '' THEN try_cast({txt} AS DATE) END")
-    return "coalesce(" + ", ".join(rungs) + ")"
+    def found(rank: int, shape: Shape) -> str:
+        p = "'" + shape.pattern.replace("'", "''") + "'"
+        group = lambda g: f"regexp_extract({expr}, {p}, {g})"
+        y0 = f"try_cast({group(shape.year)} AS INTEGER)"
+        y = f"(CASE WHEN length({group(shape.year)}) = 2 THEN {y0} + CASE WHEN {y0} < 69 THEN 2000 ELSE 1900 END ELSE {y0} END)"
+        m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({group(shape.month)}, 1, 3))) + 2) // 3 AS INTEGER)"
+             if shape.named else f"try_cast({group(shape.month)} AS INTEGER)")
+        d = f"try_cast({group(shape.day)} AS INTEGER)" if shape.day else "1"
+        if shape.either:
+            m, d = f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {d} ELSE {m} END)", f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {m} ELSE {d} END)"
+        text = f"concat(lpad(CAST({y} AS VARCHAR), 4, '0'), '-', lpad(CAST({m} AS VARCHAR), 2, '0'), '-', lpad(CAST({d} AS VARCHAR), 2, '0'))"
+        at = f"strpos({expr}, regexp_extract({expr}, {p}, 0))" + (f" + length({group(1)})" if shape.bounded else "")
+        return f"{{'at': {at}, 'rank': {rank}, 'd': CASE WHEN {y0} IS NOT NULL THEN try_cast({text} AS DATE) END}}"
+
+    shapes = ", ".join(found(i, s) for i, s in enumerate(SHAPES))
+    return f"list_min(list_filter([{shapes}], lambda f: f.d IS NOT NULL)).d"

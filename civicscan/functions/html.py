@@ -8,33 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES: named character references decoded in text (in this order;
-# '&amp;' last so that '&amp;lt;' stays '&lt;').
-# ---------------------------------------------------------------------------
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&trade;", "™"),
-    ("&middot;", "·"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-]
-
-TAG_RE = r"<[/!?]?[A-Za-z][^>]*>"
-COMMENT_RE = r"(?s)<!--.*?-->"
+# Attributes of a tag: quoted values may hold '>'.
+ATTRS = r"""[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*"""
+
+
+def open_re(tag: str) -> str:
+    """An opening tag: its name ends at white space, '/' or '>'."""
+    return rf"<{tag}(?:[\s/]{ATTRS})?>"
+
+
+TAG_RE = rf"<[/!?]?[A-Za-z]{ATTRS}>"
+# Comments, and the blocks whose bodies are kept as they are while comments go.
+COMMENT_OR_RAW_RE = rf"(?is)({open_re('script')}.*?</script\s*>|{open_re('style')}.*?</style\s*>)|<!--.*?-->"
 SKIPPED_BLOCKS = ["script", "style", "template"]
 # Characters removed by ``strip_ws``: Python's whitespace set (str.isspace),
 # built from the rule rather than listed.
@@ -44,44 +29,93 @@ LINE_SPLIT_RE = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
 
 
 def block_re(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"
+    return rf"(?is){open_re(tag)}.*?</{tag}\s*>"
+
+
+def cut_comments(html: Column, by: str = " ") -> Column:
+    """Comments cut; script and style bodies stay untouched."""
+    return F.regexp_replace(html, COMMENT_OR_RAW_RE, "$1" + by)
 
 
 def void_tags(html: Column, tag: str) -> Column:
     """All opening tags ``<tag ...>`` in document order (e.g. meta)."""
-    return F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}\b[^>]*>"), 0)
+    return F.regexp_extract_all(html, F.lit(f"(?i){open_re(tag)}"), 0)
 
 
 def elements(html: Column, tag: str) -> Column:
     """All ``<tag ...>inner</tag>`` elements (whole text) in document order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"), 0)
+    return F.regexp_extract_all(html, F.lit(block_re(tag)), 0)
 
 
 def element_inner(el: Column, tag: str) -> Column:
-    return F.regexp_extract(el, rf"(?is)^<{tag}\b[^>]*>(.*)</{tag}\s*>$", 1)
+    return F.regexp_extract(el, rf"(?is)^{open_re(tag)}(.*)</{tag}\s*>$", 1)
 
 
 def open_tag(el: Column) -> Column:
-    return F.regexp_extract(el, r"^<[^>]*>", 0)
+    return F.regexp_extract(el, f"^<[A-Za-z]{ATTRS}>", 0)
+
+
+# One attribute: name, then a quoted or bare value.  Matches follow one
+# another, so text inside a value is never taken for an attribute.
+ATTR_RE = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+ATTR_VALUE_RE = r"""(?s)^[^=]*=\s*(?:"(.*)"|'(.*)'|([^"'].*))$"""
+
+
+def attributes(tag: Column) -> Column:
+    """The attributes of an opening tag, as written, in order."""
+    return F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]*", ""), F.lit(ATTR_RE), 0)
 
 
-def attr_re(name: str) -> str:
-    return rf"(?i)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+def _once(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
 
 
 def attr(tag: Column, name: str) -> Column:
-    """Value of attribute ``name`` in an opening tag ('' when absent)."""
-    p = attr_re(name)
-    return F.concat(F.regexp_extract(tag, p, 1), F.regexp_extract(tag, p, 2),
-                    F.regexp_extract(tag, p, 3))
+    """Value of the first attribute ``name`` of an opening tag, references
+    decoded ('' when absent or without a value)."""
+    mine = F.get(F.filter(attributes(tag), lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]+", 0)) == F.lit(name)), 0)
+    value = _once(mine, lambda a: F.concat(*[F.regexp_extract(a, ATTR_VALUE_RE, i) for i in (1, 2, 3)]))
+    return F.coalesce(decode_entities(value), F.lit(""))
+
+
+def _named_references() -> dict[str, str]:
+    """The HTML named references, and the numbers 128-159 that stand for
+    Windows-1252 characters."""
+    from html.entities import html5
+    out = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    for n in range(128, 160):
+        out[f"#{n}"] = bytes([n]).decode("cp1252", "replace")
+    return out
+
+
+def _reference_text(piece: Column) -> Column:
+    """Text after an '&' with a leading reference decoded."""
+    import json
+    named = F.from_json(F.lit(json.dumps(_named_references())), "map<string,string>")   # folded to one literal
+    number = F.regexp_extract(piece, r"^#([0-9]{1,7});?", 1)
+    hexed = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
+    point = F.when(number != "", number.try_cast("int")).when(hexed != "", F.conv(hexed, 16, 10).try_cast("int"))
+    word = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+    rest_number = F.regexp_replace(piece, r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", "")
+    valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(point.cast("bigint")), 8, "0")), "UTF-32")
+    known = F.element_at(named, F.when(point.between(128, 159), F.concat(F.lit("#"), point.cast("string"))).otherwise(word))
+    return (F.when(point.between(128, 159), F.concat(known, rest_number))
+            .when(valid, F.concat(char, rest_number))
+            .when(point.isNotNull(), F.concat(F.lit("�"), rest_number))
+            .when(known.isNotNull(), F.concat(known, F.substr(piece, F.length(word) + 2)))
+            .otherwise(F.concat(F.lit("&"), piece)))
 
 
 def decode_entities(s: Column) -> Column:
-    """Named references of ``ENTITIES``; pieces without '&' skip the chain."""
-    d = s
-    for ent, ch in ENTITIES:
-        d = F.replace(d, F.lit(ent), F.lit(ch))
-    return F.when(F.instr(s, "&") > 0, d).otherwise(s)
+    """Named and numeric character references, each decoded once, so
+    '&amp;lt;' is '&lt;'.  Text without '&' is left as it is; a reference
+    without its semicolon is decoded only if numeric."""
+    def pieces(parts):
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _reference_text)
+        return F.concat(F.get(parts, 0), F.array_join(rest, ""))
+    return _once(s, lambda x: F.when(F.instr(x, "&") > 0, _once(F.split(x, "&"), pieces)).otherwise(x))
 
 
 def strip_ws(s: Column) -> Column:
@@ -91,7 +125,7 @@ def strip_ws(s: Column) -> Column:
 
 def drop_hidden(html: Column, blocks=tuple(SKIPPED_BLOCKS)) -> Column:
     """Remove comments and the blocks whose text is not page text."""
-    s = F.regexp_replace(html, COMMENT_RE, " ")
+    s = cut_comments(html)
     for b in blocks:
         s = F.regexp_replace(s, block_re(b), " ")
     return s
@@ -124,14 +158,14 @@ ARTICLE_HIDDEN = ["script", "style", "template", "noscript", "form", "footer", "
 BLOCK_TAGS = ["p", "div", "br", "li", "ul", "ol", "tr", "table", "article", "section", "main",
               "header", "footer", "nav", "aside", "blockquote", "pre", "h1", "h2", "h3", "h4",
               "h5", "h6", "title", "hr"]
-ANCHOR_RE = r"(?is)<a\b[^>]*\shref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>"
-IMG_RE = r"(?i)<img\b[^>]*>"
-HEAD_RE = r"(?is)<head\b[^>]*>.*?</head\s*>"
-BLOCK_RE = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
-HEADING_RE = r"(?i)<h([1-6])\b[^>]*>"
-LI_RE = r"(?i)<li\b[^>]*>"
-BOLD_RE = r"(?i)</?(?:b|strong)\b[^>]*>"
-ITALIC_RE = r"(?i)</?(?:i|em)\b[^>]*>"
+ANCHOR_RE = rf"(?is)<a\s(?:{ATTRS}\s)?href\s*=\s*[\"']([^\"']*)[\"']{ATTRS}>(.*?)</a\s*>"
+IMG_RE = f"(?i){open_re('img')}"
+HEAD_RE = rf"(?is){open_re('head')}.*?</head\s*>"
+BLOCK_RE = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/]{ATTRS})?>"
+HEADING_RE = rf"(?i)<h([1-6])(?:[\s/]{ATTRS})?>"
+LI_RE = f"(?i){open_re('li')}"
+BOLD_RE = rf"(?i)</?(?:b|strong)(?:[\s/]{ATTRS})?>"
+ITALIC_RE = rf"(?i)</?(?:i|em)(?:[\s/]{ATTRS})?>"
 
 
 def squeeze_newlines(s: Column) -> Column:
@@ -161,7 +195,7 @@ def markdown_text(html: Column) -> Column:
     headings -> '#' marks, list items -> '* ', bold -> '**', italics -> '_'
     (one mark per tag, like tag events), block tags -> line breaks, other
     tags removed, entities decoded, lines right-trimmed."""
-    s = F.regexp_replace(html, COMMENT_RE, "")
+    s = cut_comments(html, "")
     for b in ("script", "style", "template"):
         s = F.regexp_replace(s, block_re(b), "")
     s = F.regexp_replace(s, HEAD_RE, "")

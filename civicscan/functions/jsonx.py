@@ -20,17 +20,6 @@ def first_json_object(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
 
-def is_strict_json(j: Column) -> Column:
-    """F15 strictness: exactly one JSON value and nothing after it.
-
-    Spark's parsers stop after the first value, so the text is wrapped in an
-    array and must come back as a one-element array.
-    """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), j, F.lit("]")))
-    n = F.array_size(F.try_variant_get(wrapped, "$", "array<variant>"))
-    return F.coalesce(n == F.lit(1), F.lit(False))
-
-
 def strict_json(j: Column) -> Column:
     """F15 in one parse: the variant of ``j`` when it is exactly one JSON
     value (nothing after it), else null.  Typed reads then use

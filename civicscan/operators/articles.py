@@ -7,9 +7,9 @@ the page row, so extraction is narrow (no shuffle) and a page with huge HTML
 only ever costs its own task.
 
 The container tree (nested <article>/<section>/<div>/<main> with their text
-and link counts) needs an HTML parser; ``html_nodes`` is one Arrow-batched
-pandas UDF over stdlib ``html.parser``.  Scoring, the 200-char gate and the
-arg-max run in Spark.
+and link counts) needs an HTML parser; ``densest`` is one Arrow-batched pandas
+UDF over stdlib ``html.parser``.  It keeps one list of the page's text pieces;
+a container is a range of it, so work and output stay linear in the page.
 """
 
 from __future__ import annotations
@@ -24,17 +24,19 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import html as H
 from ..functions import jsonx
-from .dates import jsonld_scripts
+from . import dates
 
 CONTAINER_TAGS = ("article", "section", "div", "main")
-DROPPED_SUBTREES = ("script", "style", "noscript", "form")
+DROPPED_SUBTREES = ("script", "style", "noscript", "form", "template")
 
-NODE_TYPE = T.ArrayType(T.StructType([
+BEST_TYPE = T.StructType([
     T.StructField("node_ord", T.IntegerType()),
     T.StructField("tag", T.StringType()),
-    T.StructField("text", T.StringType()),
     T.StructField("n_links", T.IntegerType()),
-]))
+    T.StructField("score", T.DoubleType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("error", T.StringType()),
+])
 
 
 # ------------------------------------------------------------------ JSON-LD article
@@ -44,14 +46,10 @@ def _is_object(v: Column) -> Column:
 
 
 def jsonld_items(html: Column) -> Column:
-    """Every JSON-LD item of the page (arrays flattened; malformed
-    scripts skipped), as variants in document order."""
-    def items(s):
-        v = jsonx.strict_json(s)                       # one strict parse per script
-        as_list = F.when(jsonx.json_kind(v) == F.lit("ARRAY"),
-                         F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
-        return F.when(v.isNotNull(), as_list).otherwise(F.array().cast("array<variant>"))
-    return F.flatten(F.transform(jsonld_scripts(html), items))
+    """Every JSON-LD item of the page (arrays flattened; malformed scripts
+    skipped), as variants in document order; read as for the dates."""
+    read = dates.jsonld_items(dates.jsonld_scripts(html))
+    return F.transform(read, lambda it: F.try_parse_json(it.getField("item")))
 
 
 def _is_article(item: Column) -> Column:
@@ -107,7 +105,8 @@ def article_meta(art: Column) -> Column:
 def jsonld_articles(pages: DataFrame) -> DataFrame:
     """X3 per page with an article object: its metadata (staged so the item
     search runs once per page)."""
-    staged = pages.select("page_id", first_article(F.col("html")).alias("_art"))
+    # tested on a generator output, else the filter runs the item reader a second time
+    staged = pages.select("page_id", F.explode_outer(F.array(first_article(F.col("html")))).alias("_art"))
     return (staged.where(F.col("_art").isNotNull())
             .select("page_id", article_meta(F.col("_art")).alias("m"))
             .select("page_id", "m.*"))
@@ -115,111 +114,110 @@ def jsonld_articles(pages: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ container nodes
 
-class _NodeCollector(HTMLParser):
-    """Collects container nodes in document (pre-)order with the text nodes
-    and links inside them, ignoring script/style/noscript/form subtrees."""
+class _Containers(HTMLParser):
+    """Containers in document order as ranges of the page's text pieces and
+    links, leaving out subtrees whose text is not page text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[int] = []      # indexes into nodes, innermost last
-        self.stack: list[str] = []     # open container tag names (parallel to open)
-        self.skip: list[str] = []      # open dropped-subtree tags
+        self.pieces: list[str] = []
+        self.links = 0
+        self.nodes: list[list] = []    # [tag, first piece, end piece, links before, links at the end]
+        self.open: list[int] = []      # open containers, innermost last
+        self.skip: list[str] = []      # open dropped subtrees
 
     def handle_starttag(self, tag, attrs):
-        if self.skip:
-            if tag in DROPPED_SUBTREES:
-                self.skip.append(tag)
-            return
         if tag in DROPPED_SUBTREES:
             self.skip.append(tag)
+        elif self.skip:
+            return
         elif tag in CONTAINER_TAGS:
-            self.nodes.append({"node_ord": len(self.nodes), "tag": tag, "parts": [], "n_links": 0})
-            self.open.append(len(self.nodes) - 1)
-            self.stack.append(tag)
+            self.open.append(len(self.nodes))
+            self.nodes.append([tag, len(self.pieces), None, self.links, None])
         elif tag == "a":
-            for i in self.open:
-                self.nodes[i]["n_links"] += 1
+            self.links += 1
 
     def handle_startendtag(self, tag, attrs):
         if tag == "a" and not self.skip:
-            for i in self.open:
-                self.nodes[i]["n_links"] += 1
+            self.links += 1
 
     def handle_endtag(self, tag):
         if self.skip:
             if tag == self.skip[-1]:
                 self.skip.pop()
-            return
-        if tag in CONTAINER_TAGS and tag in self.stack:
-            while self.stack:
-                t = self.stack.pop()
-                self.open.pop()
-                if t == tag:
-                    break
+        elif any(self.nodes[i][0] == tag for i in self.open):
+            while self._end(self.open.pop()) != tag:
+                pass
+
+    def _end(self, i: int) -> str:
+        node = self.nodes[i]
+        node[2], node[4] = len(self.pieces), self.links
+        return node[0]
 
     def handle_data(self, data):
-        if self.skip or not self.open:
-            return
-        piece = data.strip()
-        if piece:
-            for i in self.open:
-                self.nodes[i]["parts"].append(piece)
+        if not self.skip and self.open and (piece := data.strip()):
+            self.pieces.append(piece)
 
+    def finish(self) -> None:
+        while self.open:
+            self._end(self.open.pop())
 
-def _nodes_of(html) -> list[dict]:
+
+def _best(html, min_chars: int) -> dict | None:
     if html is None:
-        return []
-    p = _NodeCollector()
+        return None
+    page, error = _Containers(), None
     try:
-        p.feed(html)
-        p.close()
-    except Exception:  # noqa: BLE001 - a broken page yields the nodes seen so far
-        pass
-    return [{"node_ord": n["node_ord"], "tag": n["tag"], "text": "\n".join(n["parts"]),
-             "n_links": n["n_links"]} for n in p.nodes]
-
-
-@F.pandas_udf(NODE_TYPE)
-def _html_nodes(html: pd.Series) -> pd.Series:
-    return html.map(_nodes_of)
-
-
-def html_nodes(html: Column) -> Column:
-    """Container nodes of each page: (node_ord, tag, text, n_links).
-
-    Comments and the subtrees whose text and links the density rule ignores
-    (script, style, noscript, form) are cut JVM-side first, so less HTML
-    crosses into Python and the parser has less to walk."""
-    return _html_nodes(H.drop_hidden(html, DROPPED_SUBTREES))
-
-
-def best_container_text(nodes: Column, min_chars: int = schemas.MIN_TEXT_CHARS) -> Column:
-    """P16 + F29 + A11: text of the node with the highest length/(links+1)
-    among nodes longer than ``min_chars``; the first node wins ties."""
-    keep = F.filter(nodes, lambda n: F.length(n.getField("text")) > F.lit(min_chars))
-    scored = F.transform(keep, lambda n: F.struct(
-        (F.length(n.getField("text")) / (n.getField("n_links") + F.lit(1))).alias("score"),
-        (-n.getField("node_ord")).alias("neg_ord"), n.getField("text").alias("text")))
-    best = F.array_max(scored).getField("text")
-    return H.strip_ws(H.squeeze_newlines(best))
+        page.feed(html)
+        page.close()
+    except (AssertionError, ValueError, RecursionError) as e:
+        error = f"{type(e).__name__}: {e}"
+    page.finish()
+    total = [0]
+    for p in page.pieces:
+        total.append(total[-1] + len(p))
+    best = None
+    for i, (tag, a, b, before, after) in enumerate(page.nodes):
+        n = total[b] - total[a] + max(0, b - a - 1)
+        score = n / (after - before + 1)
+        if n > min_chars and (best is None or score > best[0]):
+            best = (score, i, tag, after - before, a, b)
+    if best is None:
+        return {"error": error} if error else None
+    score, i, tag, n_links, a, b = best
+    return {"node_ord": i, "tag": tag, "n_links": n_links, "score": score, "text": "\n".join(page.pieces[a:b]), "error": error}
+
+
+@F.pandas_udf(BEST_TYPE)
+def _densest(html: pd.Series) -> pd.DataFrame:
+    rows = [_best(h, schemas.MIN_TEXT_CHARS) or {} for h in html]
+    out = pd.DataFrame(rows, columns=[f.name for f in BEST_TYPE.fields], dtype=object)
+    return out.astype({"node_ord": "Int32", "n_links": "Int32", "score": "Float64"})
+
+
+def densest(html: Column) -> Column:
+    """P16 + F29 + A11: the container with the highest length/(links+1) among
+    those of more than 200 characters, the first of equals: (node_ord, tag,
+    n_links, score, text, error); all null without one.  ``error`` tells that
+    the parser gave up, so the pick is from the part before.
+
+    Comments and the subtrees whose text and links don't count are cut
+    JVM-side first, so less HTML crosses into Python."""
+    return _densest(H.drop_hidden(html, DROPPED_SUBTREES))
+
+
+def _container_text(text: Column) -> Column:
+    return H.strip_ws(H.squeeze_newlines(text))
 
 
 def best_containers(pages: DataFrame) -> DataFrame:
     """X10 per page: best container (tag, score inputs, text)."""
-    staged = pages.select("page_id", html_nodes(F.col("html")).alias("_nodes"))
-    keep = F.filter(F.col("_nodes"), lambda n: F.length(n.getField("text")) > F.lit(schemas.MIN_TEXT_CHARS))
-    scored = F.transform(keep, lambda n: F.struct(
-        (F.length(n.getField("text")) / (n.getField("n_links") + F.lit(1))).alias("score"),
-        (-n.getField("node_ord")).alias("neg_ord"), n.getField("node_ord").alias("node_ord"),
-        n.getField("tag").alias("tag"), n.getField("n_links").alias("n_links"),
-        n.getField("text").alias("text")))
     # filter on a generator output: a plain where(b IS NOT NULL) would be
-    # pushed below the projection and run the node UDF a second time
-    best = (staged.select("page_id", F.explode_outer(F.array(F.array_max(scored))).alias("b"))
-            .where(F.col("b").isNotNull()))
+    # pushed below the projection and run the UDF a second time
+    best = (pages.select("page_id", F.explode_outer(F.array(densest(F.col("html")))).alias("b"))
+            .where(F.col("b.text").isNotNull()))
     return best.select("page_id", "b.node_ord", "b.tag", "b.n_links", "b.score",
-                       H.strip_ws(H.squeeze_newlines(F.col("b.text"))).alias("text"))
+                       _container_text(F.col("b.text")).alias("text"))
 
 
 # ------------------------------------------------------------------ article record
@@ -235,13 +233,15 @@ def fetched(pages: DataFrame) -> Column:
 def article_records(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """JSON-LD body, else best container text, else link-keeping text;
     HTML-looking bodies reduced to text; lines stripped; url falls back to the
-    page url.  Unfetched pages keep a row with only the url."""
+    page url.  ``request_url`` is always the url that was asked for: the key to
+    join records on, as the page may name another url as its own.  Unfetched
+    pages keep a row with only the urls."""
     html = F.when(fetched(pages), F.col("html"))
     s1 = pages.select(id_col, "url", html.alias("_html"))
     s2 = s1.select(id_col, "url", "_html", first_article(F.col("_html")).alias("_art"),
-                   html_nodes(F.col("_html")).alias("_nodes"))
+                   densest(F.col("_html")).alias("_best"))
     s3 = s2.select(id_col, "url", "_html", article_meta(F.col("_art")).alias("m"),
-                   best_container_text(F.col("_nodes")).alias("_dense"))
+                   _container_text(F.col("_best.text")).alias("_dense"))
     body0 = F.coalesce(_truthy(F.col("m.article_body")), _truthy(F.col("_dense")))
     s4 = s3.select(id_col, "url", "_html", "m", body0.alias("_b0"))
     body1 = F.when(H.looks_like_html(F.col("_b0")), H.get_text(F.col("_b0"), "\n")).otherwise(F.col("_b0"))
@@ -251,7 +251,7 @@ def article_records(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     missing = F.col("_html").isNull()
     # output columns in the order of schemas.ARTICLE_FIELDS
     return s6.select(
-        id_col,
+        id_col, F.col("url").alias("request_url"),
         F.when(~missing, F.col("m.title")).alias("title"),
         F.when(~missing, F.col("m.author")).alias("author"),
         F.when(~missing, F.col("m.date")).alias("date"),

@@ -1,41 +1,23 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides larger than this are shuffled instead of broadcast.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Copies of each looked-up row, so that one key's rows are dealt to so many tasks.
+SALTS = 16
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of ``df`` (no job is run)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size) if isinstance(size, int) else int(size.toString())   # py4j int or BigInt
-    except Exception:  # noqa: BLE001 - unknown size counts as large
-        return 1 << 62
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Left join of ``rows`` with a narrow ``table`` that has one row per ``key``.
 
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint when the estimate is under ``limit``; otherwise leave the
-    choice to the planner (sort-merge join, or AQE's runtime broadcast when the
-    measured size turns out small)."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
-# Only inputs estimated below this size are ever re-spread.
-SPREAD_LIMIT_BYTES = 1 << 30
-
-
-def spread(df: DataFrame, limit: int = SPREAD_LIMIT_BYTES) -> DataFrame:
-    """Round-robin a *small* input that yields fewer partitions than the
-    cluster has task slots (a table stored as one row group would otherwise
-    run all its per-row work in one task).  Inputs estimated above ``limit``
-    are never reshuffled: on a large cluster a big table with fewer splits
-    than slots is still better read where it lies."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    A key may stand behind a large share of ``rows`` (a site's landing page
+    behind most results).  The rows of every key are dealt over ``salts``
+    values and each table row is copied for each of them, so no key is one
+    task, whatever the adaptive planner finds.  The copies are of the narrow
+    side only; the result is that of the plain left join.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return dealt.join(copies, [key, "_salt"], "left").drop("_salt")

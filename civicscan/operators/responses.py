@@ -28,8 +28,34 @@ def _unpack(df: DataFrame, ids: Sequence[str], arr: Column, name: str = "r") ->
             .where(F.col("pos").isNotNull()))
 
 
-NESTED_VALUE_TYPE = "array<struct<url:string,displayUrl:string,snippet:string,summary:string>>"
-FLAT_ITEMS_TYPE = "array<struct<title:string,link:string,snippet:string>>"
+def _items(body: Column, path: str) -> Column:
+    """The array at ``path`` of a strictly parsed body, as variants."""
+    return F.try_variant_get(jsonx.strict_json(body), path, "array<variant>")
+
+
+def _result_rows(responses: DataFrame, ids: Sequence[str], arr: Column, top_n: int | None,
+                 fields: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per object of ``arr`` (its rank is its place in the array);
+    items of another kind (text, numbers, null) are no results."""
+    if top_n is not None:
+        arr = F.slice(arr, 1, top_n)
+    ex = _unpack(responses, ids, arr).where(F.coalesce(jsonx.json_kind(F.col("r")) == F.lit("OBJECT"), F.lit(False)))
+    return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("rank"),
+                     *[F.try_variant_get(F.col("r"), f"$.{key}", "string").alias(name) for key, name in fields])
+
+
+NESTED_PATH = "$.data.webPages.value"
+FLAT_PATH = "$.items"
+
+
+def one_answer(log: DataFrame, key: str, value: str, path: str | None = None) -> DataFrame:
+    """One stored answer per request: a request logged more than once keeps
+    the smallest answer text; with ``path``, the smallest of those that are
+    JSON with an array there, if any is.  The minimum is taken before the
+    shuffle too, so a request with very many rows is one row per map task."""
+    usable = _items(F.col(value), path).isNotNull() if path else F.lit(True)
+    best = F.min(F.struct((~usable).alias("no"), F.col(value).alias("v")))
+    return log.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.v").alias(value))
 
 
 def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body",
@@ -39,32 +65,22 @@ def nested_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body:
     One strict parse per body; non-JSON bodies and bodies without the path
     (or with a non-array there) give no rows.
     """
-    v = jsonx.strict_json(F.col(body))
-    arr = F.try_variant_get(v, "$.data.webPages.value", NESTED_VALUE_TYPE)
-    if top_n is not None:
-        arr = F.slice(arr, 1, top_n)
-    ex = _unpack(responses, ids, arr)
-    return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("rank"),
-                     F.col("r.url").alias("url"), F.col("r.displayUrl").alias("display_url"),
-                     F.col("r.snippet").alias("snippet"), F.col("r.summary").alias("summary"))
+    return _result_rows(responses, ids, _items(F.col(body), NESTED_PATH), top_n,
+                        [("url", "url"), ("displayUrl", "display_url"), ("snippet", "snippet"), ("summary", "summary")])
 
 
 def flat_results(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body",
                  top_n: int | None = None) -> DataFrame:
     """S10 (+ W4): ``items[]`` of {title, link, snippet} -> rows."""
-    arr = F.try_variant_get(jsonx.strict_json(F.col(body)), "$.items", FLAT_ITEMS_TYPE)
-    if top_n is not None:
-        arr = F.slice(arr, 1, top_n)
-    ex = _unpack(responses, ids, arr)
-    return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("rank"),
-                     F.col("r.title").alias("title"), F.col("r.link").alias("link"),
-                     F.col("r.snippet").alias("snippet"))
+    return _result_rows(responses, ids, _items(F.col(body), FLAT_PATH), top_n,
+                        [("title", "title"), ("link", "link"), ("snippet", "snippet")])
 
 
 def result_urls(responses: DataFrame, ids: Sequence[str] = ("doc_id",), body: str = "body") -> DataFrame:
     """The url list of each nested response (responses without results dropped)."""
-    urls = F.transform(F.try_variant_get(jsonx.strict_json(F.col(body)), "$.data.webPages.value", NESTED_VALUE_TYPE),
-                       lambda r: r.getField("url"))
+    objects = F.filter(_items(F.col(body), NESTED_PATH),
+                       lambda r: F.coalesce(jsonx.json_kind(r) == F.lit("OBJECT"), F.lit(False)))
+    urls = F.transform(objects, lambda r: F.try_variant_get(r, "$.url", "string"))
     out = responses.select(*_ids(ids), urls.alias("urls")).where(F.col("urls").isNotNull())
     return out.select(*_ids(ids), F.array_size("urls").cast("bigint").alias("n_urls"),
                       F.array_join("urls", "\n").alias("urls_text"))
@@ -110,62 +126,64 @@ def model_texts(df: DataFrame, ids: Sequence[str] = ("doc_id",), content: str =
 
 # ------------------------------------------------------------------ advisories
 
-ADVISORY_ITEMS_TYPE = ("array<struct<type:string,location:string,start_date:string,"
-                       "end_date:string,publish_date:string>>")
-
-
 def _advisory_status(j: Column, lenient: bool) -> tuple[Column, Column]:
-    """(reason or null, parsed struct) for the extracted JSON text ``j``."""
+    """(reason or null, array of item variants) for the extracted JSON text ``j``."""
     if lenient:
-        cleaned = jsonx.strip_trailing_commas(j)
-        as_map = F.from_json(cleaned, "map<string,string>", jsonx.LENIENT_OPTIONS)
-        adv = F.element_at(as_map, F.lit("advisories"))
-        parsed = F.from_json(cleaned, schemas.ADVISORY_SCHEMA, jsonx.LENIENT_OPTIONS)
-        reason = (F.when(j == F.lit(""), "no_json")
-                  .when(as_map.isNull(), "invalid_json")
-                  .when(adv.isNull() | ~F.ltrim(adv).startswith("["), "no_advisories"))
-        return reason, parsed
-    v = jsonx.strict_json(j)
-    reason = (F.when(j == F.lit(""), "no_json")
-              .when(v.isNull(), "invalid_json")
-              .when(F.coalesce(jsonx.json_kind(v, "$.advisories") != F.lit("ARRAY"), F.lit(True)),
-                    "no_advisories"))
-    return reason, F.struct(F.try_variant_get(v, "$.advisories", ADVISORY_ITEMS_TYPE).alias("advisories"))
+        as_map = F.from_json(jsonx.strip_trailing_commas(j), "map<string,string>", jsonx.LENIENT_OPTIONS)
+        # the lenient reader writes a nested value back as strict JSON text
+        items = F.try_variant_get(F.try_parse_json(F.element_at(as_map, F.lit("advisories"))), "$", "array<variant>")
+        readable = as_map.isNotNull()
+    else:
+        v = jsonx.strict_json(j)
+        items = F.try_variant_get(v, "$.advisories", "array<variant>")
+        readable = v.isNotNull()
+    reason = (F.when(j == F.lit(""), "no_json").when(~readable, "invalid_json").when(items.isNull(), "no_advisories"))
+    return reason, items
 
 
 def _checked(df: DataFrame, text: str, lenient: bool) -> DataFrame:
     j = jsonx.first_json_object(F.col(text))
-    reason, parsed = _advisory_status(j, lenient)
-    return df.withColumn("_reason", reason).withColumn("_parsed", parsed)
+    reason, items = _advisory_status(j, lenient)
+    return df.withColumn("_reason", reason).withColumn("_items", items)
+
+
+def _is_item(a: Column) -> Column:
+    return F.coalesce(jsonx.json_kind(a) == F.lit("OBJECT"), F.lit(False))
 
 
-def _location_text(loc: Column) -> Column:
-    """a list-valued location arrives as JSON text; join its items."""
-    as_list = F.from_json(loc, "array<string>")
-    return F.when(F.ltrim(loc).startswith("[") & as_list.isNotNull(), F.array_join(as_list, ", ")).otherwise(loc)
+def _location_text(a: Column) -> Column:
+    """the items of a list-valued location joined, any other value as text."""
+    as_list = F.try_variant_get(a, "$.location", "array<string>")
+    return F.when(jsonx.json_kind(a, "$.location") == F.lit("ARRAY"), F.array_join(as_list, ", ")) \
+        .otherwise(F.try_variant_get(a, "$.location", "string"))
 
 
 def advisories(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "response",
                lenient: bool = False) -> DataFrame:
-    """X13 + J10 + F17 + F18: one normalised row per advisory; the parent
-    columns (``ids``) repeat on each."""
+    """X13 + J10 + F17 + F18: one normalised row per advisory object; the
+    parent columns (``ids``) repeat on each.  ``adv_pos`` counts all items of
+    the response; items of another kind are in ``advisories_rejected``."""
     checked = _checked(df, text, lenient).where(F.col("_reason").isNull())
-    ex = _unpack(checked, ids, F.col("_parsed.advisories"), "a")
+    ex = _unpack(checked, ids, F.col("_items"), "a").where(_is_item(F.col("a")))
     a = F.col("a")
+    field = lambda name: F.try_variant_get(a, f"$.{name}", "string")
     return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("adv_pos"),
-                     F.coalesce(a.getField("type"), F.lit("")).alias("type"),
-                     F.coalesce(_location_text(a.getField("location")), F.lit("")).alias("location"),
-                     jsonx.nullish(a.getField("start_date")).alias("start_date"),
-                     jsonx.nullish(a.getField("end_date")).alias("end_date"),
-                     jsonx.nullish(a.getField("publish_date")).alias("publish_date"))
+                     F.coalesce(field("type"), F.lit("")).alias("type"),
+                     F.coalesce(_location_text(a), F.lit("")).alias("location"),
+                     *[jsonx.nullish(field(d)).alias(d) for d in ("start_date", "end_date", "publish_date")])
 
 
 def advisories_rejected(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "response",
                         lenient: bool = False) -> DataFrame:
-    """P20 quarantine: responses that are not a JSON object with an
-    ``advisories`` array, with the reason."""
-    checked = _checked(df, text, lenient).where(F.col("_reason").isNotNull())
-    return checked.select(*_ids(ids), F.col("_reason").alias("reason"))
+    """P20 quarantine, with the reason: responses that are not a JSON object
+    with an ``advisories`` array, and one row per response with items that are
+    not objects (its other items are still advisories)."""
+    odd = F.exists(F.col("_items"), lambda a: ~_is_item(a))
+    checked = _checked(df, text, lenient).withColumn(
+        "_reason", F.coalesce(F.col("_reason"), F.when(odd, "item_not_object")))
+    # tested on a generator output, so the parse isn't repeated below the projection
+    return (checked.select(*_ids(ids), F.explode_outer(F.array("_reason")).alias("reason"))
+            .where(F.col("reason").isNotNull()))
 
 
 def advisory_rows(advs: DataFrame, extras: DataFrame, on: Sequence[str],

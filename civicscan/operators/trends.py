@@ -29,7 +29,7 @@ def non_country_rows(df: DataFrame, country_type: int = 1) -> DataFrame:
 
 def with_state_code(df: DataFrame) -> DataFrame:
     """state abbreviation = adm1_code from its third character."""
-    return df.withColumn("state_code", F.substring(F.col("adm1_code"), 3, 1 << 20))
+    return df.withColumn("state_code", F.substr("adm1_code", F.lit(3)))
 
 
 def lookup_state(df: DataFrame, states: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from .feed import keep_first
-from .joins import maybe_broadcast
 
 # Seeded sample order: a 32-bit integer mix (add seed, then xor-shift /
 # multiply rounds), written with arithmetic both Spark and SQL engines share.
@@ -52,9 +51,9 @@ def year_requests(utilities: DataFrame, years: tuple[int, int] = schemas.REQUEST
 
 
 def with_crosswalk(utilities: DataFrame, crosswalk: DataFrame, key: str = "county_fips") -> DataFrame:
-    """Inner equi-join on the county code; the crosswalk side is broadcast
-    only when its estimated size is under the limit."""
-    return utilities.join(maybe_broadcast(crosswalk), key, "inner")
+    """Inner equi-join on the county code; the planner broadcasts the
+    crosswalk where its size is under the session's limit."""
+    return utilities.join(crosswalk, key, "inner")
 
 
 def sample_rank(code: Column, seed: int) -> Column:

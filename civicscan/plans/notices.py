@@ -2,11 +2,12 @@
 page evidence -> report rows.
 
 Every former network call is a join with a collected-response table keyed by
-the request text (or by the article link), so each job is one Spark plan.
-Skew: the same result url (a site's landing page) can stand behind a large
-share of all results; the joins against per-url tables are plain equi-joins
-that AQE splits when a partition is skewed, and the per-url tables are built
-narrow (one row per crawled page, deduplicated by url before the join).
+the request text (or by the article link).  A request logged more than once
+counts once.  Pages are looked up by the url that was requested, and only the
+pages that results ask for are parsed.
+Skew: the same result url (a site's landing page) or summary can stand behind
+a large share of all results; those lookups are salted, and the tables looked
+up are narrow (one row per url).
 """
 
 from __future__ import annotations
@@ -18,7 +19,19 @@ from .. import schemas
 from ..functions import dates as D
 from ..operators import articles, dates, responses, utilities
 from ..operators.feed import first_per_link, keep_first
-from ..operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
+from ..operators.joins import salted_lookup
+from ..session import materialize
+
+
+def pages_for(crawl: DataFrame, urls: DataFrame, name: str) -> DataFrame:
+    """The crawled pages of the requested ``urls`` (one column, repeats allowed).
+
+    The distinct urls are written to the shared folder first: they are
+    computed once, and the planner knows their size when it chooses how to cut
+    the crawl, before any HTML is parsed.  The pages are the same either way.
+    """
+    wanted = materialize(urls.toDF("_url").distinct(), name)
+    return crawl.join(wanted, crawl.url == wanted["_url"], "left_semi")
 
 
 def dates_by_url(crawl: DataFrame) -> DataFrame:
@@ -38,13 +51,14 @@ def utility_notices(utilities_df: DataFrame, search_log: DataFrame, crawl: DataF
     """K5: utility x year requests -> responses -> results with 'boil' in the
     snippet -> published date of the result page -> snippet report rows."""
     reqs = utilities.year_requests(utilities.over_threshold(utilities_df))
-    answered = reqs.join(search_log, "query")                      # J6
+    answered = reqs.join(responses.one_answer(search_log, "query", "body", responses.NESTED_PATH), "query")   # J6
     res = responses.nested_results(answered, ("utility_id", "county", "state", "year", "query"),
                                    top_n=top_n)                    # S9 + P13 + W4
-    hits = responses.snippet_contains(res)                         # P4
-    url_dates = dates_by_url(crawl) if url_dates is None else url_dates
+    hits = materialize(responses.snippet_contains(res), "notice-hits")   # P4
+    if url_dates is None:
+        url_dates = dates_by_url(pages_for(crawl, hits.select("display_url"), "notice-urls"))
     pd_ = url_dates.select(F.col("url").alias("display_url"), "published")
-    joined = hits.join(pd_, "display_url", "left")                 # J7
+    joined = salted_lookup(hits, pd_, "display_url")               # J7
     out = joined.withColumnsRenamed({"display_url": "link", "published": "publish_date"})
     return out.select("utility_id", "year", *schemas.SNIPPET_CSV_FIELDS)      # R4
 
@@ -60,15 +74,18 @@ def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: Data
     u = utilities.over_threshold(utilities_df).select(
         "utility_id", F.col("county_name").alias("county"), F.left(F.col("pwsid"), F.lit(2)).alias("state"))
     reqs = utilities.county_requests(u, schemas.COUNTY_NEWS_QUERY)
-    res = responses.nested_results(reqs.join(news_log, "query"), ("utility_id", "county", "state"),
-                                   top_n=top_n)
-    hits = responses.snippet_contains(res)
-    url_dates = dates_by_url(crawl) if url_dates is None else url_dates
+    res = responses.nested_results(reqs.join(responses.one_answer(news_log, "query", "body", responses.NESTED_PATH), "query"),
+                                   ("utility_id", "county", "state"), top_n=top_n)
+    hits = materialize(responses.snippet_contains(res), "summary-hits")
+    if url_dates is None:
+        url_dates = dates_by_url(pages_for(crawl, hits.select("display_url"), "summary-urls"))
     pd_ = url_dates.select(F.col("url").alias("display_url"), F.col("published").alias("publish_date"))
-    extras = hits.join(pd_, "display_url", "left").select(
+    extras = salted_lookup(hits, pd_, "display_url").select(
         "utility_id", "rank", "county", "state", F.col("display_url").alias("link"), "summary",
         F.coalesce("publish_date", F.lit("")).alias("publish_date"))
-    answers = extras.join(extract_log, extras["summary"] == extract_log["input_text"]).drop("input_text")
+    stored = responses.one_answer(extract_log, "input_text", "response").withColumnRenamed("input_text", "summary")
+    # many results may carry the same summary
+    answers = salted_lookup(extras, stored, "summary").where(F.col("response").isNotNull())
     return responses.advisories_carrying(answers, ["utility_id", "rank"],
                                          ["county", "state", "link", "summary", "publish_date"])
 
@@ -78,8 +95,8 @@ def site_chain(spark, utilities_df: DataFrame, local_log: DataFrame, seed: int =
     request text (dated after a fixed day)."""
     counties = utilities.county_first(utilities_df, utilities.county_sample(spark, utilities_df, seed))
     local_q = utilities.county_requests(counties, schemas.LOCAL_NEWS_QUERY)
-    local = responses.flat_results(local_q.join(local_log, "query"), ("county_fips", "county", "state"),
-                                   top_n=1)
+    local = responses.flat_results(local_q.join(responses.one_answer(local_log, "query", "body", responses.FLAT_PATH), "query"),
+                                   ("county_fips", "county", "state"), top_n=1)
     after = F.date_format(F.lit(schemas.SITE_NOTICE_AFTER).cast("date"), "yyyy-MM-dd")   # F12
     return local.select("county_fips", "county", "state", "link", utilities.template(
         schemas.SITE_NOTICE_QUERY, link=F.col("link"), after=after).alias("query"))
@@ -92,43 +109,45 @@ def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, sit
     a date -> snippet has 'boil' -> verdict says YES -> article record ->
     advisories with the article's (parsed) date, county, state and link."""
     site_q = site_chain(spark, utilities_df, local_log, seed).drop("link")             # J9
-    found = responses.flat_results(site_q.join(site_log, "query"), ("county_fips", "county", "state"),
-                                   top_n=2)
+    found = responses.flat_results(site_q.join(responses.one_answer(site_log, "query", "body", responses.FLAT_PATH), "query"),
+                                   ("county_fips", "county", "state"), top_n=2)
     hits = responses.snippet_contains(found)                                            # P4
     asked = hits.withColumn("prompt", responses.verdict_prompt(F.col("snippet")))       # F13
-    judged = responses.verdict_yes(asked.join(verdict_log, "prompt"))                   # P5
-    links = judged.select("county_fips", "rank", "county", "state", "link")
-    # The link set is bounded by the sample size x 2 results, so it is
-    # broadcast into the crawl scan: only matching pages are parsed and no
-    # HTML is shuffled.  One record per url (lowest page id); links without a
-    # page keep their row with no article date.
-    pages = crawl.join(F.broadcast(links.select("link").distinct()), crawl.url == F.col("link"), "left_semi")
-    recs = keep_first(articles.article_records(pages), "url", [F.col("page_id").asc()])
-    enriched = links.join(F.broadcast(recs.select(F.col("url").alias("link"), F.col("date").alias("article_date"))),
-                          "link", "left")
-    answers = (enriched.join(article_llm, "link")
+    judged = responses.verdict_yes(asked.join(responses.one_answer(verdict_log, "prompt", "response"), "prompt"))   # P5
+    # at most (sample size x 2) rows, computed once: they choose the pages and carry the answers
+    links = materialize(judged.select("county_fips", "rank", "county", "state", "link"), "judged-links")
+    # One record per requested url (lowest page id); links without a page keep
+    # their row with no article date.
+    asked_about = article_requests(links, crawl)
+    enriched = links.join(asked_about.select("link", "article_date"), "link", "left")
+    answers = (enriched.join(responses.one_answer(article_llm, "link", "response"), "link")
                .withColumn("publish_date", D.format_mdy(D.parse_date(F.col("article_date")))))
     return responses.advisories_carrying(answers, ["county_fips", "rank"],
                                          ["county", "state", "link", "publish_date"],
                                          fields=schemas.ADVISORY_CSV_FIELDS_B)
 
 
+def record_per_url(pages: DataFrame) -> DataFrame:
+    """X12, one record per requested url: the one of the lowest page id.  A
+    page may name another url as its own; that one is no key here."""
+    return keep_first(articles.article_records(pages), "request_url", [F.col("page_id").asc()])
+
+
+def article_requests(links: DataFrame, crawl: DataFrame) -> DataFrame:
+    """K6's model requests: per link with a crawled page the article date and
+    the extraction prompt around the whole article text (F13)."""
+    recs = record_per_url(pages_for(crawl, links.select("link"), "article-urls"))
+    return recs.select(F.col("request_url").alias("link"), F.col("date").alias("article_date"),
+                       responses.extraction_prompt(F.col("text")).alias("prompt"))
+
+
 def enriched_news(news: DataFrame, crawl: DataFrame) -> DataFrame:
     """K8: first row per link of the news feed with the article title, text
-    and description of its page (left join on the link)."""
-    first = first_per_link(news)
-    links = first.select("link").distinct()
-    if estimated_bytes(links) <= BROADCAST_LIMIT_BYTES:
-        # small link set: filter the crawl scan by broadcast, parse only those pages
-        pages = crawl.join(F.broadcast(links), crawl.url == links.link, "left_semi")
-    else:
-        # large link set: never shuffle raw HTML; extract every page narrowly
-        # and shuffle only the extracted records for the join below
-        pages = crawl
-    recs = articles.article_records(pages).select(
-        "page_id", F.col("url").alias("link"), F.col("title").alias("article_title"),
+    and description of the page crawled for it (left join on the link)."""
+    first = materialize(first_per_link(news), "news-first")
+    recs = record_per_url(pages_for(crawl, first.select("link"), "news-urls")).select(
+        F.col("request_url").alias("link"), F.col("title").alias("article_title"),
         F.col("text").alias("article_text"), F.col("description").alias("article_summary"))
-    recs = keep_first(recs, "link", [F.col("page_id").asc()]).drop("page_id")
     return first.join(recs, "link", "left")                                             # J8 + R8
 
 
@@ -149,7 +168,6 @@ def notice_reports(utilities_df: DataFrame, search_log: DataFrame, news_log: Dat
     """K5 and K7 together: the per-url page dates (the expensive, HTML-wide
     step) are computed once, written to the shared checkpoint folder, and
     both reports read that table."""
-    from ..session import materialize
     url_dates = materialize(dates_by_url(crawl), "url-dates")
     return (utility_notices(utilities_df, search_log, crawl, url_dates=url_dates),
             summary_advisories(utilities_df, news_log, crawl, extract_log, url_dates=url_dates))

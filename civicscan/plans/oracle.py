@@ -155,7 +155,7 @@ ORACLE["county_first"] = SAMPLE_CTES + (
 NESTED_CTES = duckdb_ctes("fx_search") + """,
 nested_ok AS (SELECT doc_id, CAST(json_extract(body, '$.data.webPages.value') AS JSON[]) AS arr
               FROM fx_search WHERE json_valid(body) AND json_type(body, '$.data.webPages.value') = 'ARRAY'),
-nested AS (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM nested_ok),
+nested AS (SELECT * FROM (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM nested_ok) x WHERE json_type(r) = 'OBJECT'),
 nested_rows AS (SELECT doc_id, rank, json_extract_string(r, '$.url') AS url,
   json_extract_string(r, '$.displayUrl') AS display_url, json_extract_string(r, '$.snippet') AS snippet,
   json_extract_string(r, '$.summary') AS summary FROM nested)
@@ -163,7 +163,7 @@ nested_rows AS (SELECT doc_id, rank, json_extract_string(r, '$.url') AS url,
 FLAT_CTES = duckdb_ctes("fx_search_flat") + """,
 flat_ok AS (SELECT doc_id, CAST(json_extract(body, '$.items') AS JSON[]) AS arr
             FROM fx_search_flat WHERE json_valid(body) AND json_type(body, '$.items') = 'ARRAY'),
-flat AS (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM flat_ok),
+flat AS (SELECT * FROM (SELECT doc_id, unnest(arr) AS r, CAST(generate_subscripts(arr, 1) AS BIGINT) AS rank FROM flat_ok) x WHERE json_type(r) = 'OBJECT'),
 flat_rows AS (SELECT doc_id, rank, json_extract_string(r, '$.title') AS title,
   json_extract_string(r, '$.link') AS link, json_extract_string(r, '$.snippet') AS snippet FROM flat)
 """
@@ -171,8 +171,9 @@ ORACLE["search_results"] = NESTED_CTES + " SELECT * FROM nested_rows"
 ORACLE["search_flat"] = FLAT_CTES + " SELECT * FROM flat_rows WHERE rank <= 5"
 ORACLE["search_top_n"] = FLAT_CTES + " SELECT * FROM flat_rows WHERE rank <= 2"
 ORACLE["search_urls"] = NESTED_CTES + (
-    " SELECT doc_id, CAST(len(arr) AS BIGINT) AS n_urls,"
-    " array_to_string([json_extract_string(x, '$.url') for x in arr], chr(10)) AS urls_text FROM nested_ok")
+    " SELECT doc_id, CAST(len(objects) AS BIGINT) AS n_urls,"
+    " array_to_string([json_extract_string(x, '$.url') for x in objects], chr(10)) AS urls_text"
+    " FROM (SELECT doc_id, list_filter(arr, lambda x: json_type(x) = 'OBJECT') AS objects FROM nested_ok) o")
 ORACLE["snippet_hits"] = NESTED_CTES + " SELECT * FROM nested_rows WHERE contains(snippet, 'boil')"
 ORACLE["verdict_yes"] = duckdb_ctes("fx_llm") + " SELECT doc_id, response FROM fx_llm WHERE contains(response, 'YES')"
 ORACLE["prompt_text"] = ("SELECT doc_id, concat('Article text:', chr(10), text, chr(10), chr(10), "
@@ -183,7 +184,8 @@ adv_j AS (SELECT doc_id, regexp_extract(response, '(?s)\\{.*\\}', 0) AS j FROM f
 adv_checked AS (SELECT doc_id, j, CASE WHEN j = '' THEN 'no_json' WHEN NOT json_valid(j) THEN 'invalid_json'
    WHEN coalesce(json_type(j, '$.advisories') <> 'ARRAY', true) THEN 'no_advisories' END AS reason FROM adv_j),
 adv_arr AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM adv_checked WHERE reason IS NULL),
-adv_items AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM adv_arr),
+adv_all AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM adv_arr),
+adv_items AS (SELECT * FROM adv_all WHERE json_type(a) = 'OBJECT'),
 adv AS (SELECT doc_id, adv_pos,
    coalesce(json_extract_string(a, '$.type'), '') AS type,
    coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
@@ -195,7 +197,7 @@ adv AS (SELECT doc_id, adv_pos,
    FROM adv_items)
 """
 ORACLE["advisories_strict"] = ADV_CTES + " SELECT * FROM adv"
-ORACLE["advisories_bad"] = ADV_CTES + " SELECT doc_id, reason FROM adv_checked WHERE reason IS NOT NULL"
+ORACLE["advisories_bad"] = ADV_CTES + " SELECT doc_id, reason FROM adv_checked WHERE reason IS NOT NULL UNION ALL SELECT DISTINCT doc_id, 'item_not_object' AS reason FROM adv_all WHERE json_type(a) <> 'OBJECT'"
 ORACLE["advisory_report"] = ADV_CTES.replace("WITH ", "WITH ", 1) + """,
 nested_ok AS (SELECT doc_id, CAST(json_extract(body, '$.data.webPages.value') AS JSON[]) AS arr
               FROM fx_search WHERE json_valid(body) AND json_type(body, '$.data.webPages.value') = 'ARRAY'),
@@ -210,43 +212,84 @@ FROM adv a JOIN extras e ON a.doc_id = e.doc_id
 
 # ---------------------------------------------------------------- page dates
 
+from html.entities import html5 as _html5  # noqa: E402
+
 from ..functions import dates as _D  # noqa: E402
-from ..functions import html as _H  # noqa: E402
 from ..operators import dates as _X  # noqa: E402
 
+# The page twins tokenize HTML by patterns of their own.
+_BODY = r"""(?:"[^"]*"|'[^']*'|[^"'>])*"""
+_ANY_TAG = rf"<[/!?]?[A-Za-z]{_BODY}>"
+_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_WIDE_SPACE = "[\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SKIPPED = ("script", "style", "template")
+_ARTICLE_SKIPPED = ("script", "style", "template", "noscript", "form", "footer", "nav", "aside")
+
 
 def _q(p: str) -> str:
     return _sql_str(p)
 
 
+def _open(tag: str) -> str:
+    return rf"<(?:{tag})(?:(?:\s|/){_BODY})?>"
+
+
+def _element(tag: str) -> str:
+    return rf"(?is){_open(tag)}.*?</{tag}\s*>"
+
+
+def _uncommented(x: str, by: str = " ") -> str:
+    raw = f"{_open('script')}.*?</script\\s*>|{_open('style')}.*?</style\\s*>"
+    return f"regexp_replace({x}, {_q(f'(?is)({raw})|<!--.*?-->')}, '\\1{by}', 'g')"
+
+
 def _decode_sql(x: str) -> str:
-    for ent, ch in _H.ENTITIES:
-        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
-    return x
+    """References decoded piece by piece after each '&'."""
+    names = {n: t for n, t in _html5.items() if n.endswith(";")}
+    table = "MAP {" + ", ".join(f"{_q(n[:-1])}: {_q(t)}" for n, t in sorted(names.items())) + "}"
+    number = "regexp_extract(p, '^#([0-9]{1,7});?', 1)"
+    hexed = "regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});?', 1)"
+    word = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
+    piece = (f"CASE WHEN {number} <> '' THEN concat(chr(CAST({number} AS INTEGER)), regexp_replace(p, '^#[0-9]+;?', '')) "
+             f"WHEN {hexed} <> '' THEN concat(chr(CAST(concat('0x', {hexed}) AS INTEGER)), regexp_replace(p, '^#[xX][0-9a-fA-F]+;?', '')) "
+             f"WHEN {word} <> '' AND map_contains(refs, {word}) THEN concat(refs[{word}], substring(p, length({word}) + 2)) "
+             f"ELSE concat('&', p) END").replace("refs", table)
+    return (f"CASE WHEN contains({x}, '&') THEN concat(string_split({x}, '&')[1], array_to_string(list_transform("
+            f"string_split({x}, '&')[2:], lambda p: {piece}), '')) ELSE {x} END")
 
 
 def _strip_sql(x: str) -> str:
-    return f"trim({x}, {_q(_H.WS_CHARS)})"
+    return f"trim({x}, {_q(_SPACE)})"
 
 
 def _nodes_sql(x: str) -> str:
-    return (f"list_filter(list_transform(regexp_split_to_array({x}, {_q(_H.TAG_RE)}), "
+    return (f"list_filter(list_transform(regexp_split_to_array({x}, {_q(_ANY_TAG)}), "
             f"lambda t: {_strip_sql(_decode_sql('t'))}), lambda t: t <> '')")
 
 
-def _get_text_sql(x: str) -> str:
-    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, ' ', 'g')"
-    for b in _H.SKIPPED_BLOCKS:
-        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, ' ', 'g')"
-    return f"array_to_string({_nodes_sql(s)}, ' ')"
+def _without(x: str, tags, by: str = " ") -> str:
+    x = _uncommented(x, by)
+    for t in tags:
+        x = f"regexp_replace({x}, {_q(_element(t))}, '{by}', 'g')"
+    return x
+
+
+def _get_text_sql(x: str, sep: str = " ", tags=_SKIPPED) -> str:
+    return f"array_to_string({_nodes_sql(_without(x, tags))}, {_q(sep)})"
 
 
 def _attr_sql(tag: str, name: str) -> str:
-    p = _q(_H.attr_re(name))
-    return (f"concat(regexp_extract({tag}, {p}, 1), regexp_extract({tag}, {p}, 2), "
-            f"regexp_extract({tag}, {p}, 3))")
+    """Value of an attribute: the tag's attributes are cut up first, so that a value never counts as one."""
+    parts = f"regexp_extract_all(regexp_replace({tag}, '^<[^\\s/>]*', ''), {_q(_ATTR)})"
+    mine = f"list_filter({parts}, lambda a: lower(regexp_extract(a, '^[^\\s=]*')) = {_q(name)})[1]"
+    value = f"trim(regexp_replace({mine}, '(?s)^[^=]*=?\\s*', ''))"
+    value = f"CASE WHEN contains({mine}, '=') THEN regexp_replace({value}, {_q(_QUOTES)}, '', 'g') ELSE '' END"
+    return f"coalesce(list_transform([{value}], lambda v: {_decode_sql('v')})[1], '')"
 
 
+_ATTR = r"""[^\s=<>/"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+_QUOTES = r"""^["']|["']$"""
+
 _RULES = _values([(i, k, a, v, w, l) for i, (k, a, v, w, l) in enumerate(schemas.META_DATE_RULES)],
                  ["rule_ord", "kind", "attr", "value", "weight", "label"])
 _S = _X.SIGNAL_STRIDE
@@ -256,8 +299,10 @@ _UPD_KEYS = ", ".join(_q(k) for k in schemas.JSONLD_UPDATED_KEYS)
 
 DATE_BODY = f""",
 ok AS (SELECT page_id, url, html, http_last_modified FROM fx_pages WHERE status_code = 200),
-scripts AS (SELECT page_id, url, unnest(s) AS txt, generate_subscripts(s, 1) AS script_ord
-            FROM (SELECT page_id, url, regexp_extract_all(html, {_q(_X.JSONLD_SCRIPT_RE)}, 1) AS s FROM ok) x),
+script_els AS (SELECT page_id, url, unnest(s) AS el, generate_subscripts(s, 1) AS script_ord
+            FROM (SELECT page_id, url, regexp_extract_all({_uncommented('html')}, {_q(_element('script'))}) AS s FROM ok) x),
+scripts AS (SELECT page_id, url, script_ord, regexp_extract(el, {_q('(?is)^' + _open('script') + '(.*)</script')}, 1) AS txt
+            FROM script_els WHERE lower(trim({_attr_sql("regexp_extract(el, '^<" + _BODY.replace("'", "''") + ">')", 'type')})) = 'application/ld+json'),
 valid AS (SELECT * FROM scripts WHERE trim(txt) <> '' AND json_valid(txt)),
 items AS (
   SELECT page_id, url, script_ord, 1 AS item_ord, CAST(txt AS JSON) AS item FROM valid WHERE json_type(txt) <> 'ARRAY'
@@ -282,7 +327,7 @@ raw_jsonld AS (
   SELECT page_id, url, 'updated', {schemas.JSONLD_UPDATED[0]}, v, {_q(schemas.JSONLD_UPDATED[1])},
          CAST({_S} + gi * 2 + 1 AS BIGINT) FROM jl_upd),
 meta_tags AS (SELECT page_id, url, unnest(t) AS tag, generate_subscripts(t, 1) AS tag_ord
-              FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<meta\\b[^>]*>', 0) AS t FROM ok) x),
+              FROM (SELECT page_id, url, regexp_extract_all({_uncommented('html')}, {_q('(?i)' + _open('meta'))}) AS t FROM ok) x),
 meta_attrs AS (SELECT page_id, url, tag_ord, {_attr_sql('tag', 'property')} AS property, {_attr_sql('tag', 'name')} AS name,
    {_attr_sql('tag', 'itemprop')} AS itemprop,
    coalesce(nullif({_attr_sql('tag', 'content')}, ''), nullif({_attr_sql('tag', 'value')}, ''),
@@ -293,9 +338,9 @@ meta_first AS (SELECT * FROM (SELECT m.page_id, m.url, m.val, r.*, row_number()
 raw_meta AS (SELECT page_id, url, kind, CAST(weight AS INTEGER) AS weight, nullif({_strip_sql('val')}, '') AS raw, label AS source,
    CAST({2 * _S} + rule_ord AS BIGINT) AS ord FROM meta_first),
 time_els AS (SELECT page_id, url, unnest(e) AS el, generate_subscripts(e, 1) - 1 AS i
-   FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<time\\b[^>]*>.*?</time\\s*>', 0) AS e FROM ok) x),
-time_p AS (SELECT page_id, url, i, regexp_extract(el, '^<[^>]*>', 0) AS tag,
-   regexp_extract(el, '(?is)^<time\\b[^>]*>(.*)</time\\s*>$', 1) AS inner_html FROM time_els),
+   FROM (SELECT page_id, url, regexp_extract_all({_uncommented('html')}, {_q(_element('time'))}) AS e FROM ok) x),
+time_p AS (SELECT page_id, url, i, regexp_extract(el, {_q('^<' + _BODY + '>')}) AS tag,
+   regexp_extract(el, {_q('(?is)^' + _open('time') + '(.*)</time')}, 1) AS inner_html FROM time_els),
 time_f AS (SELECT page_id, url, i, {_attr_sql('tag', 'datetime')} AS dt_attr, {_attr_sql('tag', 'id')} AS tid,
    {_attr_sql('tag', 'class')} AS cls, {_nodes_sql('inner_html')} AS nodes FROM time_p),
 time_c AS (SELECT *, lower(array_to_string(list_filter(list_concat([array_to_string(nodes, ' ')],
@@ -305,7 +350,7 @@ raw_time AS (SELECT page_id, url, CASE WHEN {_TIME_WORDS} THEN 'updated' ELSE 'p
    CAST(CASE WHEN {_TIME_WORDS} THEN {schemas.TIME_UPDATED_WEIGHT} ELSE {schemas.TIME_PUBLISHED_WEIGHT} END AS INTEGER) AS weight,
    coalesce(nullif(dt_attr, ''), nullif(array_to_string(nodes, ''), '')) AS raw, {_q(schemas.TIME_LABEL)} AS source,
    CAST({3 * _S} + i AS BIGINT) AS ord FROM time_c),
-vis AS (SELECT page_id, url, regexp_replace({_get_text_sql('html')}, {_q(_H.UNICODE_SPACES_RE)}, ' ', 'g') AS text FROM ok),
+vis AS (SELECT page_id, url, regexp_replace({_get_text_sql('html')}, {_q(_WIDE_SPACE)}, ' ', 'g') AS text FROM ok),
 raw_text AS (
   SELECT page_id, url, 'published' AS kind, {schemas.TEXT_LABEL_WEIGHT} AS weight,
     nullif(left(regexp_extract(text, {_q(_X.text_label_re(schemas.TEXT_PUBLISHED_PATTERN))}, 1), {schemas.TEXT_RAW_MAX}), '') AS raw,
@@ -358,32 +403,29 @@ ORACLE["page_dates"] = PAGE_DATES_SQL
 _TYPES = "[" + ", ".join(_q(t) for t in schemas.ARTICLE_TYPES) + "]"
 
 
-def _get_text_sep_sql(x: str, sep: str, blocks) -> str:
-    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, ' ', 'g')"
-    for b in blocks:
-        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, ' ', 'g')"
-    return f"array_to_string({_nodes_sql(s)}, {_q(sep)})"
+_LINES = ("p div br li ul ol tr table article section main header footer nav aside blockquote pre "
+          "h1 h2 h3 h4 h5 h6 title hr").replace(" ", "|")
 
 
 def _markdown_sql(x: str) -> str:
-    s = f"regexp_replace({x}, {_q(_H.COMMENT_RE)}, '', 'g')"
-    for b in ("script", "style", "template"):
-        s = f"regexp_replace({s}, {_q(_H.block_re(b))}, '', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.HEAD_RE)}, '', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.IMG_RE)}, '', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.ANCHOR_RE)}, '[\\2](\\1)', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.HEADING_RE)}, {_q(chr(10) * 2 + '<hmark')} || '\\1>', 'g')"
+    def sub(x: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({x}, {_q(pattern)}, {by}, 'g')"
+
+    def tags(names: str) -> str:
+        return rf"(?i)</?(?:{names})(?:(?:\s|/){_BODY})?>"
+
+    s = _without(x, ("script", "style", "template", "head"), "")
+    s = sub(s, "(?i)" + _open("img"), "''")
+    s = sub(s, rf"""(?is)<a\s(?:{_BODY}\s)?href\s*=\s*["']([^"']*)["']{_BODY}>(.*?)</a\s*>""", "'[\\2](\\1)'")
     for n in range(1, 7):
-        s = f"replace({s}, '<hmark{n}>', {_q('#' * n + ' ')})"
-    s = f"regexp_replace({s}, {_q(_H.LI_RE)}, {_q(chr(10) + '* ')}, 'g')"
-    s = f"regexp_replace({s}, {_q(_H.BOLD_RE)}, '**', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.ITALIC_RE)}, '_', 'g')"
-    s = f"regexp_replace({s}, {_q(_H.BLOCK_RE)}, {_q(chr(10))}, 'g')"
-    s = f"regexp_replace({s}, {_q(_H.TAG_RE)}, '', 'g')"
-    s = _decode_sql(s)
-    s = f"regexp_replace({s}, {_q('(?m)[ ' + chr(9) + chr(92) + 'x{00A0}]+$')}, '', 'g')"
-    s = f"regexp_replace({s}, {_q(chr(10) + '{3,}')}, {_q(chr(10) * 2)}, 'g')"
-    return _strip_sql(s)
+        s = sub(s, "(?i)" + _open(f"h{n}"), _q("\n\n" + "#" * n + " "))
+    s = sub(s, "(?i)" + _open("li"), _q("\n* "))
+    s = sub(s, tags("b|strong"), "'**'")
+    s = sub(s, tags("i|em"), "'_'")
+    s = sub(s, tags(_LINES), _q("\n"))
+    s = _decode_sql(sub(s, _ANY_TAG, "''"))
+    s = sub(s, "(?m)[ \t\u00a0]+$", "''")
+    return _strip_sql(sub(s, "\n{3,}", _q("\n\n")))
 
 
 ORACLE["jsonld_articles"] = DATE_CTES + f""",
@@ -409,11 +451,9 @@ FROM art
 """
 
 _ARTICLE_TEXT_SQL = _strip_sql(
-    f"regexp_replace({_get_text_sep_sql('html', chr(10), _H.ARTICLE_HIDDEN)}, "
-    f"{_q(chr(10) + '{2,}')}, {_q(chr(10) * 2)}, 'g')")
+    f"regexp_replace({_get_text_sql('html', chr(10), _ARTICLE_SKIPPED)}, {_q(chr(10) + '{2,}')}, {_q(chr(10) * 2)}, 'g')")
 ORACLE["visible_text"] = duckdb_ctes("fx_pages") + (
-    f" SELECT page_id, {_get_text_sep_sql('html', ' ', _H.SKIPPED_BLOCKS)} AS text_all, "
-    f"{_ARTICLE_TEXT_SQL} AS text_article FROM fx_pages")
+    f" SELECT page_id, {_get_text_sql('html')} AS text_all, {_ARTICLE_TEXT_SQL} AS text_article FROM fx_pages")
 ORACLE["markdown_text"] = duckdb_ctes("fx_pages") + f" SELECT page_id, {_markdown_sql('html')} AS markdown FROM fx_pages"
 
 
@@ -428,9 +468,9 @@ crawl_pd AS (SELECT url, published FROM (SELECT c.url, pd.published,
 reqs AS (SELECT utility_id, county_name AS county, state_code AS state, CAST(y.range AS BIGINT) AS year,
   concat('Boil Water Advsiory in ', CAST(y.range AS VARCHAR), ' at ', county_name, ', ', state_code) AS query
   FROM fx_utilities, range(2020, 2026) y WHERE population_served_count > 5000),
-ans AS (SELECT r.*, CAST(json_extract(l.body, '$.data.webPages.value') AS JSON[]) AS arr FROM reqs r JOIN fx_search_log l ON r.query = l.query
+ans AS (SELECT r.*, CAST(json_extract(l.body, '$.data.webPages.value') AS JSON[]) AS arr FROM reqs r JOIN (SELECT query, CASE WHEN json_valid(body) THEN body END AS body FROM (SELECT query, body, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN json_valid(body) THEN CASE WHEN json_type(body, '$.data.webPages.value') = 'ARRAY' THEN 0 ELSE 1 END ELSE 1 END, body) AS rn FROM fx_search_log) b WHERE rn = 1) l ON r.query = l.query
   WHERE json_valid(l.body) AND json_type(l.body, '$.data.webPages.value') = 'ARRAY'),
-res AS (SELECT utility_id, county, state, year, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans),
+res AS (SELECT * FROM (SELECT utility_id, county, state, year, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans) x WHERE json_type(r) = 'OBJECT'),
 hits AS (SELECT utility_id, county, state, year, json_extract_string(r, '$.displayUrl') AS display_url,
   json_extract_string(r, '$.snippet') AS snippet FROM res WHERE rank <= 2 AND contains(json_extract_string(r, '$.snippet'), 'boil'))
 SELECT h.utility_id, h.year, h.county, h.state, h.display_url AS link, h.snippet,
@@ -448,11 +488,11 @@ counties AS (SELECT county_fips, county, state FROM (
          row_number() OVER (PARTITION BY county_fips ORDER BY utility_id NULLS LAST) AS rn
   FROM fx_utilities WHERE county_fips IN (SELECT county_fips FROM sample)) r WHERE rn = 1),
 local AS (SELECT c.county_fips, c.county, c.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
-  FROM counties c JOIN fx_local_log l ON l.query = concat('local news in ', c.county, ', ', c.state)
+  FROM counties c JOIN (SELECT query, CASE WHEN json_valid(body) THEN body END AS body FROM (SELECT query, body, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN json_valid(body) THEN CASE WHEN json_type(body, '$.items') = 'ARRAY' THEN 0 ELSE 1 END ELSE 1 END, body) AS rn FROM fx_local_log) b WHERE rn = 1) l ON l.query = concat('local news in ', c.county, ', ', c.state)
   WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY' AND len(CAST(json_extract(l.body, '$.items') AS JSON[])) >= 1)
 SELECT county_fips, county, state, json_extract_string(arr[1], '$.link') AS link,
   concat('Boil Water Notice site:', json_extract_string(arr[1], '$.link'), ' after:2025-01-01') AS query
-FROM local
+FROM local WHERE json_type(arr[1]) = 'OBJECT'
 """
 ORACLE["news_head"] = FEED_CTES + f"SELECT {K1_COLS} FROM k1_first ORDER BY publish_time NULLS LAST, link LIMIT 100"
 ORACLE["model_response_text"] = duckdb_ctes("fx_llm_parts") + """
@@ -476,7 +516,7 @@ def _adv_chain(src: str, ids: list[str], p: str) -> str:
 {p}_j AS (SELECT {idl}, regexp_extract(response, '(?s)\\{{.*\\}}', 0) AS j FROM {src}),
 {p}_ok AS (SELECT {idl}, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM {p}_j
    WHERE j <> '' AND json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
-{p}_items AS (SELECT {idl}, unnest(arr) AS a FROM {p}_ok),
+{p}_items AS (SELECT * FROM (SELECT {idl}, unnest(arr) AS a FROM {p}_ok) x WHERE json_type(a) = 'OBJECT'),
 {p}_adv AS (SELECT {idl}, coalesce(json_extract_string(a, '$.type'), '') AS type,
    coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
         THEN array_to_string(CAST(json_extract(a, '$.location') AS VARCHAR[]), ', ')
@@ -494,15 +534,15 @@ ORACLE["summary_advisories"] = duckdb_ctes("fx_pages", "fx_crawl", "fx_utilities
                                            "fx_llm", "fx_summary_llm") + DATE_BODY + PD_BODY + _CRAWL_PD + """,
 u AS (SELECT utility_id, county_name AS county, left(pwsid, 2) AS state FROM fx_utilities WHERE population_served_count > 5000),
 ans AS (SELECT u.*, CAST(json_extract(l.body, '$.data.webPages.value') AS JSON[]) AS arr FROM u
-  JOIN fx_news_log l ON l.query = concat('boil water advisory warning from news sites ', u.county, ', ', u.state)
+  JOIN (SELECT query, CASE WHEN json_valid(body) THEN body END AS body FROM (SELECT query, body, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN json_valid(body) THEN CASE WHEN json_type(body, '$.data.webPages.value') = 'ARRAY' THEN 0 ELSE 1 END ELSE 1 END, body) AS rn FROM fx_news_log) b WHERE rn = 1) l ON l.query = concat('boil water advisory warning from news sites ', u.county, ', ', u.state)
   WHERE json_valid(l.body) AND json_type(l.body, '$.data.webPages.value') = 'ARRAY'),
-res AS (SELECT utility_id, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans),
+res AS (SELECT * FROM (SELECT utility_id, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM ans) x WHERE json_type(r) = 'OBJECT'),
 hits AS (SELECT utility_id, county, state, CAST(rank AS BIGINT) AS rank, json_extract_string(r, '$.displayUrl') AS link,
   json_extract_string(r, '$.summary') AS summary FROM res
   WHERE rank <= 5 AND contains(json_extract_string(r, '$.snippet'), 'boil')),
 extras AS (SELECT h.*, coalesce(strftime(c.published, '%m/%d/%Y'), '') AS publish_date
   FROM hits h LEFT JOIN crawl_pd c ON h.link = c.url),
-answers AS (SELECT e.utility_id, e.rank, s.response FROM extras e JOIN fx_summary_llm s ON e.summary = s.input_text)""" \
+answers AS (SELECT e.utility_id, e.rank, s.response FROM extras e JOIN (SELECT input_text, min(response) AS response FROM fx_summary_llm GROUP BY input_text) s ON e.summary = s.input_text)""" \
     + _adv_chain("answers", ["utility_id", "rank"], "k7") + """
 SELECT a.utility_id, a.rank, a.type, a.location, a.start_date, a.end_date, e.publish_date, e.county, e.state, e.link, e.summary
 FROM k7_adv a JOIN extras e ON a.utility_id = e.utility_id AND a.rank = e.rank
@@ -517,17 +557,17 @@ counties AS (SELECT county_fips, county, state FROM (
          row_number() OVER (PARTITION BY county_fips ORDER BY utility_id NULLS LAST) AS rn
   FROM fx_utilities WHERE county_fips IN (SELECT county_fips FROM sample)) r WHERE rn = 1),
 local AS (SELECT c.county_fips, c.county, c.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
-  FROM counties c JOIN fx_local_log l ON l.query = concat('local news in ', c.county, ', ', c.state)
+  FROM counties c JOIN (SELECT query, CASE WHEN json_valid(body) THEN body END AS body FROM (SELECT query, body, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN json_valid(body) THEN CASE WHEN json_type(body, '$.items') = 'ARRAY' THEN 0 ELSE 1 END ELSE 1 END, body) AS rn FROM fx_local_log) b WHERE rn = 1) l ON l.query = concat('local news in ', c.county, ', ', c.state)
   WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY' AND len(CAST(json_extract(l.body, '$.items') AS JSON[])) >= 1),
 site_q AS (SELECT county_fips, county, state,
-  concat('Boil Water Notice site:', json_extract_string(arr[1], '$.link'), ' after:2025-01-01') AS query FROM local),
+  concat('Boil Water Notice site:', json_extract_string(arr[1], '$.link'), ' after:2025-01-01') AS query FROM local WHERE json_type(arr[1]) = 'OBJECT'),
 found AS (SELECT q.county_fips, q.county, q.state, CAST(json_extract(l.body, '$.items') AS JSON[]) AS arr
-  FROM site_q q JOIN fx_site_log l ON l.query = q.query
+  FROM site_q q JOIN (SELECT query, CASE WHEN json_valid(body) THEN body END AS body FROM (SELECT query, body, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN json_valid(body) THEN CASE WHEN json_type(body, '$.items') = 'ARRAY' THEN 0 ELSE 1 END ELSE 1 END, body) AS rn FROM fx_site_log) b WHERE rn = 1) l ON l.query = q.query
   WHERE json_valid(l.body) AND json_type(l.body, '$.items') = 'ARRAY'),
-site_items AS (SELECT county_fips, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM found),
+site_items AS (SELECT * FROM (SELECT county_fips, county, state, unnest(arr) AS r, generate_subscripts(arr, 1) AS rank FROM found) x WHERE json_type(r) = 'OBJECT'),
 hits AS (SELECT county_fips, county, state, CAST(rank AS BIGINT) AS rank, json_extract_string(r, '$.link') AS link,
   json_extract_string(r, '$.snippet') AS snippet FROM site_items WHERE rank <= 2 AND contains(json_extract_string(r, '$.snippet'), 'boil')),
-judged AS (SELECT h.* FROM hits h JOIN fx_verdict_log v
+judged AS (SELECT h.* FROM hits h JOIN (SELECT prompt, min(response) AS response FROM fx_verdict_log GROUP BY prompt) v
   ON concat(h.snippet, ' Responding in either "YES" or "NO" do you think this news article is about a boil water advisory') = v.prompt
   WHERE contains(v.response, 'YES')),
 art AS (SELECT page_id, item FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY gi) AS rn FROM items_n
@@ -543,7 +583,7 @@ link_date AS (SELECT f.url, CASE WHEN f.status_code BETWEEN 200 AND 299 THEN ad.
    FROM first_page f LEFT JOIN art_date ad ON f.page_id = ad.page_id),
 enriched AS (SELECT j.county_fips, j.rank, j.county, j.state, j.link, ld.article_date
    FROM judged j LEFT JOIN link_date ld ON j.link = ld.url),
-answers AS (SELECT e.county_fips, e.rank, l.response FROM enriched e JOIN fx_article_llm l ON e.link = l.link)""" \
+answers AS (SELECT e.county_fips, e.rank, l.response FROM enriched e JOIN (SELECT link, min(response) AS response FROM fx_article_llm GROUP BY link) l ON e.link = l.link)""" \
     + _adv_chain("answers", ["county_fips", "rank"], "k6") + f"""
 SELECT a.county_fips, a.rank, a.type, a.location, a.start_date, a.end_date,
   strftime({_D.parse_date_sql('e.article_date')}, '%m/%d/%Y') AS publish_date, e.county, e.state, e.link
@@ -564,7 +604,7 @@ lj2 AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(j,
    '''([^'']*)''', '"\1"', 'g') AS j FROM lj WHERE j <> ''),
 lok AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM lj2
    WHERE json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
-litems AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM lok)
+litems AS (SELECT * FROM (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM lok) x WHERE json_type(a) = 'OBJECT')
 SELECT doc_id, adv_pos,
    coalesce(json_extract_string(a, '$.type'), '') AS type,
    coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'

@@ -170,27 +170,6 @@ ADVISORY_SCHEMA = T.StructType([
     ]))),
 ])
 
-NESTED_SEARCH_SCHEMA = T.StructType([
-    T.StructField("data", T.StructType([
-        T.StructField("webPages", T.StructType([
-            T.StructField("value", T.ArrayType(T.StructType([
-                T.StructField("url", T.StringType()),
-                T.StructField("displayUrl", T.StringType()),
-                T.StructField("snippet", T.StringType()),
-                T.StructField("summary", T.StringType()),
-            ]))),
-        ])),
-    ])),
-])
-
-FLAT_SEARCH_SCHEMA = T.StructType([
-    T.StructField("items", T.ArrayType(T.StructType([
-        T.StructField("title", T.StringType()),
-        T.StructField("link", T.StringType()),
-        T.StructField("snippet", T.StringType()),
-    ]))),
-])
-
 UTILITY_CSV_SCHEMA = T.StructType([
     T.StructField("PWSID", T.StringType()),
     T.StructField("STATE_CODE", T.StringType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,9 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # HTML rows are large: keep Arrow batches to the pandas UDFs small
+    # HTML rows are large: bound Arrow batches to the pandas UDFs by rows and by bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
@@ -43,11 +45,15 @@ def get_session(master: str | None = None, app: str = "civicscan",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when unset (tests,
-    local runs) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a session on this
+    machine alone (``local[...]``) may go without: it gets a private folder.
+    Anywhere else executors could not read each other's files, so an unset
+    folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="civicscan-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
@@ -62,8 +68,7 @@ _SHIPPED: set[int] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``civicscan`` importable in Python workers (the ``--py-files``
     mechanism): zip the package once per SparkContext and ``addPyFile`` it.
-    The zip is written under the shared checkpoint folder when that is a
-    local path, else next to the driver (executors fetch it from the driver).
+    The zip lies next to the driver; executors fetch it from the driver.
     """
     import zipfile
 
@@ -72,14 +77,7 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if not base.startswith("/"):
-        base = tempfile.mkdtemp(prefix="civicscan-pyfiles-")
-    folder = os.path.join(base, f"civicscan-pyfiles-{uuid.uuid4().hex[:12]}")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, "civicscan.zip")
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="civicscan-pyfiles-")), "civicscan.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg):
             for f in files:

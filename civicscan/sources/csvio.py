@@ -19,17 +19,20 @@ NEWS_SCHEMA = ("publish_time timestamp_ntz, link string, source string, location
                "latitude double, longitude double")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header row, explicit schema, malformed rows kept as nulls."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Header row, explicit schema, malformed rows kept as nulls.
+
+    ``multi_line`` reads fields with line breaks; a file is then one task, so
+    it is off unless asked for."""
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("multiLine", True).option("escape", '"').csv(path))
+            .option("multiLine", multi_line).option("escape", '"')
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
 
 
-def read_news_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_news_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A news report written by ``write_csv`` (parsed rows, one per link)
     read back with its schema; empty text fields come back as null."""
-    return (spark.read.schema(NEWS_SCHEMA).option("header", True).option("escape", '"')
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
+    return read_csv(spark, path, NEWS_SCHEMA, multi_line)
 
 
 def for_csv(df: DataFrame) -> DataFrame:
@@ -63,8 +66,8 @@ def append_csv(df: DataFrame, path: str) -> None:
 
 def write_by_year(df: DataFrame, path: str, column: str = "year") -> None:
     """One folder per year, replacing only the years present in ``df``."""
-    (for_csv(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("header", True).partitionBy(column).csv(path))
+    (_writer(for_csv(df), "overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

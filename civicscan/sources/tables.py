@@ -35,8 +35,3 @@ def read_state_geo(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     """State extent / centre dimension (name, minx, miny, maxx, maxy, cx, cy)."""
     r = spark.read.schema(STATE_GEO_SCHEMA)
     return r.option("header", True).csv(path) if fmt == "csv" else r.parquet(path)
-
-
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Crawl table; ``final_url`` (after redirects) may be null."""
-    return spark.read.schema(PAGE_SCHEMA).parquet(path)

@@ -1 +1 @@
-"""Incremental (Structured Streaming) form of the news-feed job."""
+"""Incremental (Structured Streaming) form of the page-date job."""

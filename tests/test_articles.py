@@ -81,7 +81,7 @@ def _texts(n, out):
         if isinstance(k, str):
             if k.strip():
                 out.append(k.strip())
-        elif k["tag"] not in ("script", "style", "noscript", "form"):
+        elif k["tag"] not in ("script", "style", "noscript", "form", "template"):
             _texts(k, out)
     return out
 
@@ -89,14 +89,14 @@ def _texts(n, out):
 def _links(n):
     c = 0
     for k in n["kids"]:
-        if isinstance(k, dict) and k["tag"] not in ("script", "style", "noscript", "form"):
+        if isinstance(k, dict) and k["tag"] not in ("script", "style", "noscript", "form", "template"):
             c += (k["tag"] == "a") + _links(k)
     return c
 
 
 def _containers(n, out):
     for k in n["kids"]:
-        if isinstance(k, dict) and k["tag"] not in ("script", "style", "noscript", "form"):
+        if isinstance(k, dict) and k["tag"] not in ("script", "style", "noscript", "form", "template"):
             if k["tag"] in ("article", "section", "div", "main"):
                 out.append(k)
             _containers(k, out)

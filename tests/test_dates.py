@@ -26,9 +26,38 @@ def test_ladder(spark):
 def test_jsonld_walk_order():
     obj = {"a": {"datePublished": "nested"}, "DatePublished": "own", "l": [{"updated": 3}],
            "dateModified": None}
-    assert X._first_dates(obj) == ("own", "3")
-    assert X._walk_scripts(['[{"@type":"X"}, {"uploadDate": "2020-01-02"}]', "{broken", "  "]) == [
-        {"published": None, "updated": None}, {"published": "2020-01-02", "updated": None}]
+    assert X.first_dates(obj) == ("own", "3")
+    read = X.read_items(['[{"@type":"X"}, {"uploadDate": "2020-01-02"}]', "{broken", "  ", "[" * 100_000, None])
+    assert [(i["published"], i["updated"]) for i in read] == [(None, None), ("2020-01-02", None)]
+
+
+def test_shapes_that_stand_in_pages(spark):
+    day = dt.date(2024, 1, 5)
+    cases = {"01/05/24": day, "25/12/2023": dt.date(2023, 12, 25), "5-Jan-2024": day, "Jan-05-2024": day, "Fri Jan  5 12:30:00 2024": day,
+             "Jan 5 '24": day, "202401051230": day, "Sunday, 06-Nov-94 08:49:37 GMT": dt.date(1994, 11, 6), "5th of January 2024": day,
+             "January 5, 2024 3:00 PM (see 2023-12-01)": day, "see 2023-12-01 or January 5, 2024": dt.date(2023, 12, 1),
+             "5 Jan 12:30": None, "version 1.2.3": None, "99/99/2024": None}
+    assert parse_all(spark, list(cases)) == list(cases.values())
+
+
+FORMATS = ["%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d", "%Y-%m-%dT%H:%M:%S", "%Y%m%d", "%Y%m%d%H%M", "%Y%m%d%H%M%S", "%m/%d/%Y", "%m-%d-%Y",
+           "%m/%d/%y", "%B %d, %Y", "%b %d, %Y", "%b. %d %Y", "%b-%d-%Y", "%d %B %Y", "%d-%b-%Y", "%d-%b-%y", "%a, %d %b %Y %H:%M:%S GMT",
+           "%a %b %d %H:%M:%S %Y", "%A, %d-%b-%y %H:%M:%S GMT", "%d of %B %Y", "%b %d '%y", "Updated: %B %d, %Y at %H:%M"]
+
+
+def test_shapes_agree_with_an_independent_parser(spark):
+    import random
+
+    from dateutil import parser
+    rng = random.Random(7)
+    texts = []
+    for f in FORMATS:
+        for _ in range(40):
+            d = dt.datetime(rng.choice([1995, 2001, 2013, 2019, 2024]), rng.randint(1, 12), rng.randint(1, 28), rng.randint(0, 23), rng.randint(0, 59), 7)
+            texts.append(d.strftime(f))
+    want = [parser.parse(t, default=dt.datetime(1970, 1, 1), fuzzy=True).date() for t in texts]
+    got = parse_all(spark, texts)
+    assert [(t, g, w) for t, g, w in zip(texts, got, want) if g != w] == []
 
 
 PAGE = """<html><head>

@@ -160,34 +160,31 @@ def test_best_date_matches_sort_model(spark, cands):
     assert r.pl == pick("published", lambda x: (-x[1], x[3].strftime("%m/%d/%Y"), x[5]))
 
 
-KEYS = st.sampled_from(["datePublished", "DATEMODIFIED", "updated", "uploadDate", "x", "y", "@graph"])
+NOISE_KEYS = st.sampled_from(["x", "y", "@graph", "date", "published", "author"])
 LEAF = st.one_of(st.none(), st.booleans(), st.integers(0, 9), st.text(alphabet="0123456789-", max_size=10))
-JSONV = st.recursive(LEAF, lambda kids: st.one_of(st.lists(kids, max_size=3),
-                                                  st.dictionaries(KEYS, kids, max_size=4)), max_leaves=15)
-
-
-def recursive_model(obj):
-    hits = {}
-
-    def visit(o):
-        if isinstance(o, dict):
-            for k, v in {str(k).lower(): v for k, v in o.items()}.items():
-                if isinstance(v, (str, int, float)):
-                    if k in ("datepublished", "uploaddate"):
-                        hits.setdefault("published", str(v))
-                    if k in ("datemodified", "updated"):
-                        hits.setdefault("updated", str(v))
-            for v in o.values():
-                visit(v)
-        elif isinstance(o, list):
-            for v in o:
-                visit(v)
-    visit(obj)
-    return hits.get("published"), hits.get("updated")
+NOISE = st.recursive(LEAF, lambda kids: st.one_of(st.lists(kids, max_size=3), st.dictionaries(NOISE_KEYS, kids, max_size=4)), max_leaves=10)
+SPELLINGS = {"published": ["datePublished", "DATEPUBLISHED", "uploadDate"], "updated": ["dateModified", "Updated", "updated"]}
 
 
 @settings(max_examples=200, deadline=None)
-@given(JSONV)
-def test_jsonld_walk_matches_recursive_model(obj):
+@given(st.data())
+def test_jsonld_dates_are_found_where_they_were_put(data):
+    """One hit per kind is put at a known place: below noise, beside noise,
+    and ahead of later or deeper hits that must lose."""
     from civicscan.operators import dates as X
-    assert X._first_dates(obj) == recursive_model(obj)
+    want = {}
+    item = {"head": data.draw(NOISE)}
+    for kind, names in SPELLINGS.items():
+        if data.draw(st.booleans()):
+            value = data.draw(st.one_of(st.integers(1900, 2100), st.text(alphabet="0123456789-", min_size=1, max_size=10)))
+            want[kind] = str(value)
+            hit = {data.draw(st.sampled_from(names)): value}
+            loser = {data.draw(st.sampled_from(names)): "late"}
+            if data.draw(st.booleans()):  # own keys come before children, wherever they are written
+                item = {"child": loser, "noise": data.draw(NOISE), **item, **hit} if item.keys().isdisjoint(hit) else {**hit, "rest": item}
+            else:  # the first child in document order
+                item = {"n": data.draw(NOISE), "a": [data.draw(NOISE), {"b": hit}], "c": loser, "rest": item}
+    depth = data.draw(st.integers(0, 4))
+    for i in range(depth):
+        item = {"wrap": [item]} if i % 2 else {"p": data.draw(LEAF), "wrap": item}
+    assert X.first_dates(item) == (want.get("published"), want.get("updated"))

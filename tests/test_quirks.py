@@ -59,8 +59,8 @@ def test_q21_first_matching_meta_only(spark):
 
 
 def test_q28_non_text_date_hit_blocks_later_hits():
-    assert X._first_dates({"datePublished": 5, "x": {"datePublished": "2020-01-01"}}) == ("5", None)
-    assert X._first_dates({"datePublished": None, "x": {"datePublished": "2020-01-01"}}) == ("2020-01-01", None)
+    assert X.first_dates({"datePublished": 5, "x": {"datePublished": "2020-01-01"}}) == ("5", None)
+    assert X.first_dates({"datePublished": None, "x": {"datePublished": "2020-01-01"}}) == ("2020-01-01", None)
 
 
 def test_q24_null_dates_become_empty_only_at_the_csv_sink(spark):

@@ -55,22 +55,6 @@ def test_write_by_year_replaces_only_present_years(spark, tmp_path):
     assert got == [(2020, "x"), (2021, "z")]
 
 
-def test_feed_stream_matches_batch_links(spark, tmp_path):
-    from civicscan.plans.catalog import QUERIES
-    from civicscan.sources import fixtures
-    from civicscan.streaming.feed_stream import run_feed_stream
-    src = str(tmp_path / "gkg")
-    fixtures.load(spark, SF_SMALL, "fx_gkg").write.partitionBy("partition_date").parquet(src)
-    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    q = run_feed_stream(spark, src, sink, ckpt, delay="36500 days")
-    q.awaitTermination(300)
-    out = spark.read.parquet(sink)
-    batch_links = {r.link for r in QUERIES["feed_first_location"](spark, SF_SMALL).select("link").collect()}
-    assert {r.link for r in out.select("link").collect()} == batch_links
-    assert out.count() == len(batch_links)
-    assert os.path.isdir(ckpt)
-
-
 def test_utility_master_build(spark, tmp_path):
     from civicscan.plans.notices import build_utility_master
     from civicscan.sources import fixtures
@@ -96,27 +80,6 @@ def test_final_url_wins(spark):
     assert r.url == "http://b" and str(r.published) == "2020-02-03"
 
 
-def test_feed_stream_restart_is_exactly_once(spark, tmp_path):
-    from civicscan.sources import fixtures
-    from civicscan.streaming.feed_stream import run_feed_stream
-    src = str(tmp_path / "gkg")
-    gkg = fixtures.load(spark, SF_SMALL, "fx_gkg")
-    days = sorted(r.partition_date for r in gkg.select("partition_date").distinct().collect())
-    half = days[len(days) // 2]
-    gkg.where(gkg.partition_date < half).write.partitionBy("partition_date").parquet(src)
-    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
-    first = spark.read.parquet(sink).count()
-    # a restart with no new files adds nothing
-    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
-    assert spark.read.parquet(sink).count() == first
-    # new day partitions arrive: only their first-seen links are appended
-    gkg.where(gkg.partition_date >= half).write.mode("append").partitionBy("partition_date").parquet(src)
-    run_feed_stream(spark, src, sink, ckpt, delay="36500 days").awaitTermination(300)
-    out = spark.read.parquet(sink)
-    assert out.count() == out.select("link").distinct().count() > first
-
-
 def test_cli_runs_a_job_and_writes_csv(spark, tmp_path):
     from civicscan.__main__ import main
     out = str(tmp_path / "years")
@@ -184,3 +147,53 @@ def test_url_dates_keyed_by_requested_url(spark):
         "page_id long, url string, final_url string, status_code int, http_last_modified string, html string")
     r = dates_by_url(crawl).collect()[0]
     assert (r.url, r.published) == ("http://asked", "02/03/2020")
+
+
+def test_text_with_quotes_commas_and_line_breaks_survives_every_sink(spark, tmp_path):
+    from civicscan.sources import csvio
+    rows = [(2020, 'say "hi", x', "a,b"), (2020, "two\nlines", '""'), (2021, "", "plain"), (2021, 'end"', "\\ back")]
+    df = spark.createDataFrame(rows, "year int, v string, w string")
+    csvio.write_csv(df, str(tmp_path / "all"))
+    csvio.write_by_year(df, str(tmp_path / "years"))
+    want = sorted(rows)
+    for name, columns in (("all", "year int, v string, w string"), ("years", "v string, w string, year int")):
+        back = csvio.read_csv(spark, str(tmp_path / name), columns, multi_line=True).na.fill("").select("year", "v", "w")
+        assert sorted(tuple(r) for r in back.collect()) == want, name
+
+
+def test_items_of_another_kind_are_quarantined(spark):
+    from civicscan.operators import responses as R
+    rows = [(1, '{"advisories":[{"type":"E","location":["a","b"]},"none"]}'), (2, '{"advisories":["x",null]}'), (3, '{"advisories":[]}'),
+            (4, '{"advisories":{"type":"E"}}'), (5, "no json")]
+    df = spark.createDataFrame(rows, "doc_id long, response string")
+    for lenient in (False, True):
+        got = R.advisories(df, lenient=lenient).collect()
+        assert [(r.doc_id, r.adv_pos, r.type, r.location) for r in got] == [(1, 1, "E", "a, b")]
+        bad = {(r.doc_id, r.reason) for r in R.advisories_rejected(df, lenient=lenient).collect()}
+        assert bad == {(1, "item_not_object"), (2, "item_not_object"), (4, "no_advisories"), (5, "no_json")}
+    body = '{"data":{"webPages":{"value":["odd",{"url":"u","snippet":"s"},null]}}}'
+    found = R.nested_results(spark.createDataFrame([(1, body)], "doc_id long, body string")).collect()
+    assert [(r.rank, r.url, r.snippet) for r in found] == [(2, "u", "s")]
+
+
+def test_one_answer_per_request(spark):
+    from civicscan.operators import responses as R
+    log = spark.createDataFrame([("q", "<html>"), ("q", '{"items":[2]}'), ("q", '{"items":[1]}'), ("r", "<b>"), ("r", "<a>"), ("s", None)],
+                                "query string, body string")
+    got = {r.query: r.body for r in R.one_answer(log, "query", "body", R.FLAT_PATH).collect()}
+    assert got == {"q": '{"items":[1]}', "r": "<a>", "s": None}
+
+
+def test_state_geometry_input(spark, tmp_path):
+    from civicscan import schemas
+    from civicscan.operators import trends
+    from civicscan.sources import tables
+    geo = [("Virginia", -83.0, 36.5, -75.0, 39.5, -79.0, 38.0), ("Texas", -106.0, 25.8, -93.5, 36.5, -99.0, 31.0)]
+    path = str(tmp_path / "geo")
+    spark.createDataFrame(geo, tables.STATE_GEO_SCHEMA).write.parquet(path)
+    table = tables.read_state_geo(spark, path)
+    states = schemas.state_names(spark)
+    counts = states.selectExpr("name AS state").crossJoin(spark.range(2020, 2021).withColumnRenamed("id", "year")).selectExpr("year", "state", "1L AS n")
+    rows = {r.name: (r.cx, r.cy) for r in trends.state_map_table(counts, table, states).collect()}
+    assert rows["Virginia"] == (-79.0, 38.0) and rows["Ohio"] == (None, None)
+    assert trends.state_extent(table).first().minx == -106.0
