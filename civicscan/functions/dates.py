@@ -61,31 +61,35 @@ SHAPES = [
 ]
 
 
-def month_number(name: Column) -> Column:
-    pos = F.instr(F.lit(MONTH_KEYS), F.lower(F.substring(name, 1, 3)))
-    return ((pos + F.lit(2)) / F.lit(3)).cast("int")
-
-
-def _found(s: Column, rank: int, shape: Shape) -> Column:
-    """(place in the text, rank of the shape, date) of the shape's first match."""
-    group = lambda g: F.regexp_extract(s, shape.pattern, g)
-    y = group(shape.year).try_cast("int")
-    y = F.when(F.length(group(shape.year)) == 2, y + F.when(y < 69, 2000).otherwise(1900)).otherwise(y)
-    m = month_number(group(shape.month)) if shape.named else group(shape.month).try_cast("int")
-    d = group(shape.day).try_cast("int") if shape.day else F.lit(1)
+def _found(x: str, rank: int, shape: Shape) -> str:
+    """(place in the text, rank of the shape, date) of the shape's first match in ``x``."""
+    p = f'r"{shape.pattern}"'
+    group = lambda g: f"regexp_extract({x}, {p}, {g})"
+    y = f"try_cast({group(shape.year)} AS INT)"
+    y = f"({y} + CASE WHEN length({group(shape.year)}) > 2 THEN 0 WHEN {y} < 69 THEN 2000 ELSE 1900 END)"
+    m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({group(shape.month)}, 1, 3))) + 2) / 3 AS INT)" if shape.named
+         else f"try_cast({group(shape.month)} AS INT)")
+    d = f"try_cast({group(shape.day)} AS INT)" if shape.day else "1"
     if shape.either:
-        swap = (m > 12) & (d <= 12)
-        m, d = F.when(swap, d).otherwise(m), F.when(swap, m).otherwise(d)
-    text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
-    at = F.regexp_instr(s, F.lit(shape.pattern)) + (F.length(group(1)) if shape.bounded else F.lit(0))
-    return F.when(y.isNotNull(), F.struct(at.alias("at"), F.lit(rank).alias("rank"),
-                                          F.try_to_date(text, "yyyy-MM-dd").alias("d")))
-
-
-def parse_date(s: Column) -> Column:
-    """the first date in ``s`` as DateType (null when none)."""
-    found = F.array(*[_found(s, i, shape) for i, shape in enumerate(SHAPES)])
-    return F.array_min(F.filter(found, lambda f: f.getField("d").isNotNull())).getField("d")
+        swap = f"{m} > 12 AND {d} <= 12"
+        m, d = f"CASE WHEN {swap} THEN {d} ELSE {m} END", f"CASE WHEN {swap} THEN {m} ELSE {d} END"
+    text = f"concat_ws('-', lpad({y}, 4, '0'), lpad({m}, 2, '0'), lpad({d}, 2, '0'))"
+    at = f"regexp_instr({x}, {p})" + (f" + length({group(1)})" if shape.bounded else "")
+    # the groups are read only of texts that have the shape
+    return f"CASE WHEN {x} RLIKE {p} THEN named_struct('at', {at}, 'rank', {rank}, 'd', try_to_date({text}, 'yyyy-MM-dd')) END"
+
+
+def parse_date_text(x: str) -> str:
+    """Spark SQL text of ``parse_date`` for a column, field or lambda variable."""
+    found = ", ".join(_found(x, i, shape) for i, shape in enumerate(SHAPES))
+    return f"array_min(filter(array({found}), f -> f.d IS NOT NULL)).d"
+
+
+def parse_date(column: str) -> Column:
+    """the first date in the text of ``column`` as DateType (null when
+    none).  Written as SQL text: thousands of column calls would cost the
+    driver seconds per query."""
+    return F.expr(parse_date_text(column))
 
 
 def format_mdy(d: Column) -> Column:

@@ -5,6 +5,9 @@ valid in Java regex and RE2 so the oracle can reuse it.
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,20 +82,20 @@ def attr(tag: Column, name: str) -> Column:
     return F.coalesce(decode_entities(value), F.lit(""))
 
 
-def _named_references() -> dict[str, str]:
+@lru_cache(maxsize=1)
+def _named_references() -> str:
     """The HTML named references, and the numbers 128-159 that stand for
-    Windows-1252 characters."""
+    Windows-1252 characters, as a JSON object."""
     from html.entities import html5
     out = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
     for n in range(128, 160):
         out[f"#{n}"] = bytes([n]).decode("cp1252", "replace")
-    return out
+    return json.dumps(out)
 
 
 def _reference_text(piece: Column) -> Column:
     """Text after an '&' with a leading reference decoded."""
-    import json
-    named = F.from_json(F.lit(json.dumps(_named_references())), "map<string,string>")   # folded to one literal
+    named = F.from_json(F.lit(_named_references()), "map<string,string>")   # folded to one literal
     number = F.regexp_extract(piece, r"^#([0-9]{1,7});?", 1)
     hexed = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
     point = F.when(number != "", number.try_cast("int")).when(hexed != "", F.conv(hexed, 16, 10).try_cast("int"))

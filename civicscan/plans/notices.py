@@ -121,7 +121,7 @@ def sampled_advisories(spark, utilities_df: DataFrame, local_log: DataFrame, sit
     asked_about = article_requests(links, crawl)
     enriched = links.join(asked_about.select("link", "article_date"), "link", "left")
     answers = (enriched.join(responses.one_answer(article_llm, "link", "response"), "link")
-               .withColumn("publish_date", D.format_mdy(D.parse_date(F.col("article_date")))))
+               .withColumn("publish_date", D.format_mdy(D.parse_date("article_date"))))
     return responses.advisories_carrying(answers, ["county_fips", "rank"],
                                          ["county", "state", "link", "publish_date"],
                                          fields=schemas.ADVISORY_CSV_FIELDS_B)

@@ -23,6 +23,8 @@ CLUSTER_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # long expressions are built from many column calls; don't record the call site of each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -31,9 +31,8 @@ def summary(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
     spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.sql.adaptive.enabled": "false"})
-    qs = E.queries()
+    from civicscan.plans.catalog import QUERIES as qs
     print("# PLANS\n")
     print(f"Physical plans of every catalog query on `{sf_dir}`, planned with AQE off so the")
     print("static plan is visible (AQE only coalesces partitions, switches joins to broadcast")
