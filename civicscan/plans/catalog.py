@@ -300,6 +300,11 @@ def page_dates(spark, sf_dir):
     return dates.page_dates(fx(spark, sf_dir, "fx_pages"))
 
 
+@query
+def page_date_lists(spark, sf_dir):
+    return dates.candidate_lists(fx(spark, sf_dir, "fx_pages"))
+
+
 # ---------------------------------------------------------------- articles
 
 from ..functions import html as H  # noqa: E402

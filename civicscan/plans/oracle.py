@@ -396,6 +396,14 @@ SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {_D.parse_date_
 FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id LEFT JOIN bu ON ok.page_id = bu.page_id
 """
 ORACLE["page_dates"] = PAGE_DATES_SQL
+ORACLE["page_date_lists"] = DATE_CTES + f""",
+cands AS ({ALL_CANDS}),
+lists AS (SELECT page_id, kind, string_agg(concat_ws('|', weight, raw, strftime(dt, '%m/%d/%Y'), source), chr(10) ORDER BY ord) AS listed
+          FROM cands GROUP BY page_id, kind)
+SELECT ok.page_id, ok.url, coalesce(p.listed, '') AS published_candidates, coalesce(u.listed, '') AS updated_candidates
+FROM ok LEFT JOIN (SELECT * FROM lists WHERE kind = 'published') p ON ok.page_id = p.page_id
+LEFT JOIN (SELECT * FROM lists WHERE kind = 'updated') u ON ok.page_id = u.page_id
+"""
 
 
 # ---------------------------------------------------------------- articles
