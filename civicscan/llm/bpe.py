@@ -27,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicscan.llm.common import map_arrow
+from civicscan.llm.common import map_arrow, worker_state
 
 #: Words kept per Python worker; a full table is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 # The split pattern of byte-level vocabularies.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -207,16 +207,9 @@ class Bpe:
         return self.blob[at + np.repeat(start - (end - size), size)].tobytes()
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def loaded(data: bytes) -> Bpe:
     """The worker's encoder for this vocabulary, built once."""
-    key = hashlib.sha256(data).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Bpe(data)
-    return _LOADED[key]
+    return worker_state(("bpe", hashlib.sha256(data).hexdigest()), lambda: Bpe(data))
 
 
 _DECODE_BLOCK = 1 << 20

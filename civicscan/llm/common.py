@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from civicscan.session import materialize, ship_package
 
-__all__ = ["components", "documents", "fresh", "map_arrow", "materialize", "ship_package", "table"]
+__all__ = ["components", "documents", "fresh", "map_arrow", "materialize", "ship_package", "table", "worker_state"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,18 @@ def map_arrow(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]],
     return df.mapInArrow(run, schema)
 
 
+_STATE: dict = {}
+
+
+def worker_state(key: object, build: Callable[[], object]):
+    """The tables an operator keeps in a Python worker between tasks.  Workers
+    are reused by other stages, so only one operator's tables are held at a time."""
+    if _STATE.get("key") != key:
+        _STATE.clear()
+        _STATE.update(key=key, value=build())
+    return _STATE["value"]
+
+
 class Forest:
     """Union-find over hashable nodes; the root is the smallest member."""
 

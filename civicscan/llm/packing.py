@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicscan.llm.common import materialize, ship_package
+from civicscan.llm.common import materialize, ship_package, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_ID = 2
 #: Words kept per Python worker; a full table is emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 350_000
 
 # str.split() also splits at U+001C..U+001F, which the vocabulary's white space does not include
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -99,15 +99,8 @@ class WordTokenizer:
         return out
 
 
-_LOADED: dict[str, WordTokenizer] = {}
-
-
 def _loaded(data: bytes) -> WordTokenizer:
-    key = hashlib.sha256(data).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = WordTokenizer(data)
-    return _LOADED[key]
+    return worker_state(("packing", hashlib.sha256(data).hexdigest()), lambda: WordTokenizer(data))
 
 
 def tokenized(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
