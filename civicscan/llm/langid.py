@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicscan.llm.common import map_arrow, ship_package
+from civicscan.llm.common import map_arrow, ship_package, worker_state
 
 #: Bounds of the labelled sample a model is fitted on.
 TRAIN_DOCS = 250  # documents of each language
@@ -31,7 +31,7 @@ NGRAM = 4
 STEPS = 40
 CHUNK = 32  # words whose messages are computed side by side
 #: Words kept per Python worker; a full table is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 UNKNOWN = "und"
 
 
@@ -295,9 +295,17 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     """Fit on up to ``docs`` texts of each language that aren't held out: those
     with the smallest text hashes, up to ``TRAIN_CHARS`` characters of each."""
     known = df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = known.select(F.col(lang_col).alias("y"), F.xxhash64(text_col).alias("h"))
-    w = Window.partitionBy("y").orderBy("h")
-    picked = rows.distinct().withColumn("r", F.row_number().over(w)).filter(F.col("r") <= docs)
+    rows = known.select(F.col(lang_col).alias("y"), F.xxhash64(text_col).alias("h")).distinct()
+    rows = rows.withColumn("range", F.shiftright("h", 54))
+    # a language may hold most rows: its smallest hashes are found by counts of hash ranges first
+    counts = rows.groupBy("y", "range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("y").orderBy("range")) - F.col("n")
+    last = {r["y"]: r["last"] for r in counts.withColumn("before", before).filter(F.col("before") < docs)
+            .groupBy("y").agg(F.max("range").alias("last")).collect()}
+    few = F.lit(False)
+    for y, r in sorted(last.items()):
+        few = few | ((F.col("y") == y) & (F.col("range") <= r))
+    picked = rows.filter(few).withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).filter(F.col("r") <= docs)
     top = {r["y"]: r["h"] for r in picked.groupBy("y").agg(F.max("h").alias("h")).collect()}
     if not top:
         return train([])
@@ -308,13 +316,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return train(sorted((r["t"], r["y"]) for r in sample.collect()))
 
 
-_CURRENT: list = [None, None]
-
-
 def _labeller(key: int, model: Model) -> Labeller:
-    if _CURRENT[0] != key:
-        _CURRENT[:] = [key, Labeller(model)]
-    return _CURRENT[1]
+    return worker_state(("langid", key), lambda: Labeller(model))
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
