@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicscan.llm.common import components, map_arrow, materialize, ship_package
+from civicscan.llm.common import Forest, components, map_arrow, materialize, ship_package
 
 THRESHOLD = 0.98
 WINDOW = 48
@@ -31,7 +31,7 @@ SEED = 11
 #: Probability of missing a pair at the threshold in every pass.
 MISS = 1e-4
 #: Vectors of a component compared in one block.
-PART = 1024
+PART = 256
 
 
 def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
@@ -138,8 +138,10 @@ def _window_links(keyed: DataFrame, rows: int, window: int, threshold: float, ki
                     head = more if head is None else pa.concat_tables([head, more])
                 seen += new.num_rows
                 t = new if held is None else pa.concat_tables([held, new])
-                u, v = links(t)
-                yield out(u, v)
+                f = Forest()  # a spanning star per local group: rows linear in the vectors
+                for a, b in zip(*(x.tolist() for x in links(t))):
+                    f.link(a, b)
+                yield out(*f.stars())
                 held = t.slice(max(0, t.num_rows - window))
         if held is not None:
             yield edge(head, 0)
