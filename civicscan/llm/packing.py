@@ -24,8 +24,9 @@ from civicscan.llm.common import materialize, ship_package, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_ID = 2
-#: Words kept per Python worker; a full table is emptied.
-CACHE_WORDS = 350_000
+#: Words kept per Python worker in each of two tables: a full one becomes the
+#: old one, from which words still in use are taken over.
+CACHE_WORDS = 250_000
 
 # str.split() also splits at U+001C..U+001F, which the vocabulary's white space does not include
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -47,6 +48,7 @@ class WordTokenizer:
         self.tokenizer.no_truncation()
         self.merges = self.tokenizer.model
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -60,8 +62,11 @@ class WordTokenizer:
         return np.array([t.id for t in self.merges.tokenize(word)], "<u4").tobytes()
 
     def _learn(self, missing: set[str]) -> None:
-        words, others = self.words, []
+        words, old, others = self.words, self.old, []
         for w in missing:
+            if w in old:
+                words[w] = old[w]
+                continue
             # a mark after a letter is a word of its own: "word," is "word" and ","
             mark = w[-1] if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalpha() else ""
             head = w[:-1] if mark else w
@@ -92,7 +97,7 @@ class WordTokenizer:
             ids = list(map(self.words.get, words))
             if None in ids:
                 if len(self.words) > CACHE_WORDS:
-                    self.words.clear()
+                    self.old, self.words = self.words, {}
                 self._learn({w for w in words if w not in self.words})
                 ids = map(self.words.__getitem__, words)
             out.append(b"".join(ids))
