@@ -1,21 +1,27 @@
 """Line dedup by winnowing over line hashes.
 
-A text is its sequence of lines that aren't blank, each hashed with white space
-squeezed.  A shingle is the shortest run of lines from a line on that has at
-least ``MIN_WORDS`` words.  Of the shingles that start within ``WINDOW_WORDS``
-words of each other the one with the smallest hash is a fingerprint (the last
-of equals).  Which one that is depends on the window's lines alone, so every
-run of lines with MIN_WORDS + WINDOW_WORDS words that occurs twice carries the
-same fingerprint both times.
-
-Occurrences of a fingerprint are joined with its first one, in order of
-document id and line; the match is extended both ways over equal lines; the
+A repeated passage is a run of lines with over ``OVER_WORDS`` words that
+occurs twice.  A text is its sequence of lines that aren't blank, each hashed
+with white space squeezed.  A shingle is the shortest run of lines from a line
+on that has at least ``MIN_WORDS`` words.  Of the shingles that start within
+``WINDOW_WORDS`` words of each other the one with the smallest hash is selected
+(the last of equals).  Which one that is depends on the window's lines alone.
+The shingles that start in a passage's first WINDOW_WORDS words all end inside
+it, as MIN_WORDS + WINDOW_WORDS is no more than OVER_WORDS + 1, so both copies
+of every passage select the same one.
+
+A selected shingle may be shorter than a passage, and then its first occurrence
+says nothing about longer runs.  So the fingerprints are the shortest runs of
+over OVER_WORDS words that hold it; a passage that holds the shingle holds one
+of them.  Occurrences of a fingerprint are joined with its first one, in order
+of document id and line; the match is extended both ways over equal lines; the
 later run is deleted.  Each deleted line stands, in the same order, in an
-earlier place.
+earlier place, in a run of over OVER_WORDS words.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +32,10 @@ from pyspark.sql import functions as F
 
 from civicscan.llm.common import fresh, map_arrow, materialize, ship_package
 
-MIN_WORDS = 50
+#: Repeated passages of more words are deleted.
+OVER_WORDS = 50
+#: Words of a shingle and of a window: together no more than OVER_WORDS + 1.
+MIN_WORDS = 39
 WINDOW_WORDS = 12
 
 
@@ -42,8 +51,8 @@ def line_hashes(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     return at, np.array(hashes, np.uint64), np.array(words, np.int64)
 
 
-def winnow(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, window: int = WINDOW_WORDS) -> list[tuple[int, int]]:
-    """``(fingerprint, first line)`` of the selected shingles."""
+def shingles(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, window: int = WINDOW_WORDS) -> list[tuple[int, int]]:
+    """First and last line of the selected shingles."""
     end = np.cumsum(words)
     begin = end - words
     last = np.searchsorted(end, begin + least)  # the line that completes the shingle
@@ -54,7 +63,24 @@ def winnow(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, window
     picked: dict[int, None] = {}
     for i in range(n):
         picked[min(range(i, reach[i]), key=lambda j: (value[j], -j))] = None
-    return [(value[i], i) for i in picked]
+    return [(i, int(last[i])) for i in picked]
+
+
+def winnow(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, window: int = WINDOW_WORDS,
+           over: int = OVER_WORDS) -> list[tuple[int, int]]:
+    """``(fingerprint, first line)`` of the shortest runs of over ``over`` words that hold a selected shingle."""
+    end = np.cumsum(words).tolist()
+    begin = [0, *end]  # words before each line
+    found: dict[tuple[int, int], None] = {}
+    for i, last in shingles(hashes, words, least, window):
+        for a in range(i, -1, -1):
+            b = max(last, bisect_right(end, begin[a] + over))
+            if b < len(end):
+                found[a, b] = None
+            if end[last] - begin[a] > over:  # from a line before, the run would not be shortest
+                break
+    raw = hashes.tobytes()
+    return [(xxhash.xxh64_intdigest(raw[8 * a:8 * b + 8]), a) for a, b in found]
 
 
 def extend(later: np.ndarray, earlier: np.ndarray, matches: list[tuple[int, int]], same: bool) -> list[tuple[int, int]]:
@@ -80,12 +106,12 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def _lines(df: DataFrame, id_col: str, text_col: str, least: int, window: int) -> DataFrame:
+def _lines(df: DataFrame, id_col: str, text_col: str, least: int, window: int, over: int) -> DataFrame:
     def run(c):
         out: dict[str, list] = {"id": c["id"], "th": c["th"], "at": [], "hashes": [], "prints": [], "pos": []}
         for t in c["t"]:
             at, hashes, words = line_hashes(t.decode("utf-8", "replace") if t else "")
-            picked = winnow(hashes, words, least, window)
+            picked = winnow(hashes, words, least, window, over)
             out["at"].append(np.array(at, "<i4").tobytes())
             out["hashes"].append(hashes.tobytes())
             out["prints"].append([_signed(h) for h, _ in picked])
@@ -101,10 +127,10 @@ def _lines(df: DataFrame, id_col: str, text_col: str, least: int, window: int) -
 
 
 def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS,
-             window: int = WINDOW_WORDS) -> DataFrame:
+             window: int = WINDOW_WORDS, over: int = OVER_WORDS) -> DataFrame:
     """``(id, th, lines)`` of each text that loses lines: their numbers from 0, ascending; ``th`` is the text's hash."""
     # rows equal in id and text are one document
-    lines = _lines(df, id_col, text_col, least, window)
+    lines = _lines(df, id_col, text_col, least, window, over)
     name = F.struct(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("none"), "th")
     lines = lines.withColumn("doc", name)
     seen = (lines.select("doc", F.explode(F.arrays_zip("prints", "pos")).alias("p"))
@@ -138,7 +164,7 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS,
-          window: int = WINDOW_WORDS, removed: str | None = None) -> DataFrame:
+          window: int = WINDOW_WORDS, removed: str | None = None, over: int = OVER_WORDS) -> DataFrame:
     """``df`` with the later repeated runs deleted from the text column.
 
     All columns and rows are kept (a text whose lines all go is empty); with
@@ -147,7 +173,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     last, then by the text's hash; rows equal in both are one document and get
     the same result.  An empty table stays empty.
     """
-    gone = removals(df, id_col, text_col, least, window)
+    gone = removals(df, id_col, text_col, least, window, over)
     key, th, lines = fresh(df, "__line_id"), fresh(df, "__line_text"), fresh(df, "__line_gone")
     gone = gone.select(F.col("id").alias(key), F.col("th").alias(th), F.col("lines").alias(lines))
     # what is deleted grows with the input, so the plan is the same at every size: no broadcast

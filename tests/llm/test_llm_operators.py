@@ -442,6 +442,46 @@ def test_winnow_guarantee():
             assert prints[0] & prints[1]
 
 
+def _passages(texts, over=50):
+    """Lines in runs of over ``over`` words that stand earlier too: all pairs of places, no fingerprints."""
+    docs = [(i, [(k, " ".join(x.split())) for k, x in enumerate(t.split("\n")) if x.split()]) for i, t in sorted(texts.items())]
+    gone = {i: set() for i in texts}
+    for n, (i, later) in enumerate(docs):
+        for _, earlier in docs[:n]:
+            for p in range(len(later)):
+                for q in range(len(earlier)):
+                    k = 0
+                    while p + k < len(later) and q + k < len(earlier) and later[p + k][1] == earlier[q + k][1]:
+                        k += 1
+                    if sum(len(x.split()) for _, x in later[p:p + k]) > over:
+                        gone[i].update(a for a, _ in later[p:p + k])
+    return {i: sorted(x) for i, x in gone.items()}
+
+
+def test_passages_of_51_to_61_words_in_short_lines(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    line = lambda n: " ".join(word() for _ in range(n))
+    texts, planted = {}, 0
+    for shape in ([11] * 5, [9] * 6, [8] * 7, [3] * 18, [3] * 17, [1] * 51, [51], [30, 25], [10] * 5, [3] * 16):
+        for _ in range(12):
+            passage = [line(n) for n in shape]
+            planted += sum(shape) > 50
+            for _ in range(2):
+                before, after = ([line(rng.randint(1, 12)) for _ in range(8)] for _ in range(2))
+                texts[len(texts)] = "\n".join(before + passage + after)
+    # a part of the later passage stands in a first document, too short by itself
+    for _ in range(12):
+        passage = [line(3) for _ in range(18)]
+        for part in (passage[:15], passage, passage):
+            texts[len(texts)] = "\n".join([line(5) for _ in range(6)] + part + [line(5) for _ in range(6)])
+    rows = list(texts.items())
+    got = {r.doc_id: list(r.removed_lines) for r in line_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want = _passages(texts)
+    assert sum(map(bool, want.values())) == planted + 12
+    assert got == want
+
+
 # --- pipeline
 
 def test_pipeline_equals_brute_force(spark):
