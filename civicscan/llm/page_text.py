@@ -82,6 +82,11 @@ def parse(page: str) -> Node:
     Unclosed elements end with their parent, a stray end tag is ignored."""
     root = Node("#")
     stack, at = [root], 0
+    opened: Counter = Counter()  # elements on the stack by tag
+
+    def close(i: int) -> None:
+        opened.subtract(x.tag for x in stack[i:])
+        del stack[i:]
 
     def text(s: str) -> None:
         if s:
@@ -96,9 +101,9 @@ def parse(page: str) -> Node:
                 text(m[0][9:].removesuffix("]]>"))
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 # an inline or paragraph end tag doesn't close what holds it
                 if (tag in INLINE or tag == "p") and stack[i].tag not in INLINE and stack[i].tag != "p":
@@ -111,9 +116,9 @@ def parse(page: str) -> Node:
             while i > 0 and (stack[i].tag in INLINE or stack[i].tag == "p" and same != ("p",)):
                 i -= 1
             if stack[i].tag in same:
-                del stack[i:]
+                close(i)
                 if tag == "tr" and stack[-1].tag == "tr":
-                    stack.pop()
+                    close(len(stack) - 1)
         node = Node(tag, _names(m[3]) if m[3] else frozenset())
         stack[-1].items.append(node)
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "math"):
@@ -122,8 +127,8 @@ def parse(page: str) -> Node:
             end = _END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
-        if len(stack) < 400:  # deeper elements join their parent
-            stack.append(node)
+        stack.append(node)
+        opened[tag] += 1
     text(page[at:])
     return root
 

@@ -375,6 +375,12 @@ def test_site_template_is_deleted_where_it_recurs(spark):
     assert got[100] == "Stay on our list for more of this kind More."  # on one page of that host only
 
 
+def test_text_after_deep_elements_stays():
+    deep = "<div>" * 3000 + "Deep." + "</div>" * 3000
+    page = f"<body><div>Out.</div><div><article><p>Before.</p>{deep}<p>After.</p></article></div></body>"
+    assert page_text.main_text(page, {}) == "Before. Deep. After."
+
+
 # --- line dedup
 
 def _brute_lines(texts):
