@@ -1,8 +1,10 @@
 """Main text of web pages by site template removal.
 
 Pass 1 parses every page and hashes its element subtrees; Spark counts, per
-host, the pages that hold each hash.  Subtrees that recur across many pages of
-a host are its template.  Pass 2 parses again, deletes template subtrees and
+host and hash, the parent subtrees that hold it.  Copies of a page or of an
+article have the parent in common and count once.  Subtrees that recur in many
+parents of a host are its template, whatever their length; they are joined to
+the pages that hold them.  Pass 2 parses again, deletes template subtrees and
 elements that by tag or naming are not article text, picks the article, and
 joins its blocks.
 """
@@ -21,14 +23,13 @@ from pyspark.sql import functions as F
 
 from civicscan.llm.common import as_long, map_arrow, materialize
 
-#: A subtree is template if it stands on so many pages of the host, and on this share of them.
+#: A subtree is template if it stands in so many different parents on the host's
+#: pages, and in ROOT_SHARE times the root of the number of different pages: 3
+#: of 36, 50 of 10,000, 500 of 1,000,000.
 MIN_PAGES = 3
-MIN_SHARE = 0.1
+ROOT_SHARE = 0.5
 #: Inside an article only groups of blocks that most pages share are template.
 ARTICLE_SHARE = 0.5
-#: Longer subtrees are text even if pages repeat them.
-MAX_WORDS = 100
-
 # Elements by kind, and words of class, id and role names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object xmp noembed noframes".split())
@@ -157,14 +158,16 @@ def measure(root: Node) -> None:
         n.hash = xxhash.xxh64_intdigest(b"\x00".join(parts))
 
 
-def subtrees(root: Node) -> set[int]:
-    """Hashes of the subtrees that hold text and may be template."""
-    out, todo = set(), [root]
+def subtrees(root: Node) -> dict[int, int]:
+    """Hashes of the subtrees that hold text and may be template, each with the
+    hash of its parent (the smallest, if it stands in several)."""
+    out: dict[int, int] = {}
+    todo = [(root, 0)]
     while todo:
-        n = todo.pop()
-        if n.words and n.words <= MAX_WORDS and n.tag not in ("#", "html", "body") and n.tag not in INLINE:
-            out.add(n.hash)
-        todo.extend(x for x in n.items if not isinstance(x, str) and x.words)
+        n, parent = todo.pop()
+        if n.words and n.tag not in ("#", "html", "body", "article", "main") and n.tag not in INLINE:
+            out[n.hash] = min(out.get(n.hash, parent), parent)
+        todo.extend((x, n.hash) for x in n.items if not isinstance(x, str) and x.words)
     return out
 
 
@@ -277,34 +280,49 @@ def host_of(url_col: str):
     return F.lower(F.coalesce(F.regexp_extract(url_col, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#\s]*)", 1), F.lit("")))
 
 
+def _pages(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """``host, page, t`` and what ``df`` has; ``page`` hashes the host and the bytes."""
+    return df.withColumns({"host": host_of(url_col), "t": F.col(html_col).cast("binary")}).withColumn("page", F.xxhash64("host", "t"))
+
+
 def templates(df: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, hashes, shares)``: the template subtrees of each host.  A share
-    of at least ``MIN_SHARE`` bounds their number by the subtrees of a page
-    over that share.  Counts are summed per slice of pages first, so a host
-    with a third of all pages is no hot group."""
+    """``(page, hashes, shares)``: the template subtrees on each page that has
+    any.  Hashes are joined to pages in rows, so a host's template has no bound.
+    A key is a subtree's hash XOR the host's; 0 stands for the page itself."""
 
     def run(c):
-        count: Counter = Counter()
-        for host, t in zip(c["host"], c["t"]):
-            count[host, None] += 1
-            if t:
-                root = parse(t.decode("utf-8", "replace"))
-                measure(root)
-                for h in subtrees(root):
-                    count[host, h] += 1
-        keys = list(count)
-        return {"host": [k[0] for k in keys], "page": [k[1] is None for k in keys],
-                "hash": as_long(np.array([k[1] or 0 for k in keys], np.uint64)), "n": pa.array([count[k] for k in keys], pa.int64())}
-
-    rows = df.select(host_of(url_col).alias("host"), F.col(html_col).cast("binary").alias("t"))
-    counts = (map_arrow(rows, run, "host string, page boolean, hash long, n long", rows=1024)
-              .groupBy("host", "page", "hash").agg(F.sum("n").alias("n")))
-    # a subtree of one page is no template; page totals keep their row
-    counts = materialize(counts.filter(F.col("page") | (F.col("n") >= MIN_PAGES)), "page-subtrees")
-    pages = counts.filter("page").select("host", F.col("n").alias("pages"))
-    many = (counts.filter("not page").join(pages, "host").withColumn("share", F.col("n") / F.col("pages"))
-            .filter(F.col("share") >= MIN_SHARE))
-    return materialize(many.groupBy("host").agg(F.collect_list("hash").alias("hashes"), F.collect_list("share").alias("shares")), "page-templates")
+        out: dict[str, list] = {"page": [], "host": [], "body": [], "keys": [], "parents": []}
+        seen = set()
+        for host, page, t in zip(c["host"], c["page"], c["t"]):
+            if not t or page in seen:
+                continue
+            seen.add(page)
+            root = parse(t.decode("utf-8", "replace"))
+            measure(root)
+            found, h = subtrees(root), xxhash.xxh64_intdigest(host.encode())
+            out["page"].append(page)
+            out["host"].append(h)
+            out["body"].append(root.hash)
+            out["keys"].append(np.array([x ^ h for x in found], np.uint64).view(np.int64))
+            out["parents"].append(np.array(list(found.values()), np.uint64).view(np.int64))
+        return {"page": pa.array(out["page"], pa.int64()), "host": as_long(np.array(out["host"], np.uint64)),
+                "body": as_long(np.array(out["body"], np.uint64)), "keys": pa.array(out["keys"], pa.list_(pa.int64())),
+                "parents": pa.array(out["parents"], pa.list_(pa.int64()))}
+
+    rows = _pages(df.select(url_col, html_col), url_col, html_col).select("host", "page", "t")
+    held = materialize(map_arrow(rows, run, "page long, host long, body long, keys array<long>, parents array<long>", rows=1024), "page-subtrees")
+    single = held.select("host", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("parents").alias("parent"))).alias("x"))
+    single = single.select("host", "x.key", "x.parent").unionByName(held.select("host", F.col("host").alias("key"), F.col("body").alias("parent")))
+    # distinct rows first, so neither a host nor a subtree is a hot group
+    counts = single.distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
+    counts = materialize(counts.filter((F.col("key") == F.col("host")) | (F.col("n") >= MIN_PAGES)), "page-counts")
+    pages = counts.filter("key = host").select("host", F.col("n").alias("pages"))
+    many = (counts.filter("key <> host").join(pages, "host").filter(F.col("n") >= ROOT_SHARE * F.sqrt("pages"))
+            .select("key", "host", (F.col("n") / F.col("pages")).alias("share")))
+    # what is template grows with the hosts, so no broadcast
+    on = held.select("page", "host", F.explode("keys").alias("key")).join(many.hint("merge"), ["host", "key"])
+    found = on.groupBy("page").agg(F.collect_set(F.struct(F.col("key").bitwiseXOR(F.col("host")).alias("hash"), "share")).alias("x"))
+    return materialize(found.select("page", F.col("x.hash").alias("hashes"), F.col("x.share").alias("shares")), "page-templates")
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -317,16 +335,13 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     template = templates(df, url_col, html_col)
 
     def run(c):
-        known: dict[str, dict[int, float]] = {}
         texts = []
-        for host, hashes, shares, t in zip(c["host"], c["hashes"], c["shares"], c["t"]):
-            if host not in known:
-                known[host] = {h & (1 << 64) - 1: s for h, s in zip(hashes or (), shares or ())}
-            texts.append(main_text(t.decode("utf-8", "replace") if t else None, known[host]))
+        for hashes, shares, t in zip(c["hashes"], c["shares"], c["t"]):
+            known = {h & (1 << 64) - 1: s for h, s in zip(hashes or (), shares or ())}
+            texts.append(main_text(t.decode("utf-8", "replace") if t else None, known))
         return {"id": pa.array(c["id"], pa.int64()), "url": pa.array(c["url"], pa.string()), "text": texts,
                 "n_chars": pa.array([len(t) for t in texts], pa.int64())}
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"),
-                     F.col(html_col).cast("binary").alias("t"))
-    return map_arrow(rows.join(template, "host", "left").select("id", "url", "host", "hashes", "shares", "t"), run,
-                     "id long, url string, text string, n_chars long")
+    rows = _pages(df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "url", "html")
+    with_template = rows.select("id", "url", "page", "t").join(template.hint("merge"), "page", "left")
+    return map_arrow(with_template.select("id", "url", "hashes", "shares", "t"), run, "id long, url string, text string, n_chars long")

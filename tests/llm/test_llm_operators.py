@@ -375,6 +375,19 @@ def test_site_template_is_deleted_where_it_recurs(spark):
     assert got[100] == "Stay on our list for more of this kind More."  # on one page of that host only
 
 
+def test_template_of_any_length_and_share_goes_copies_stay(spark):
+    legal = "<div>" + " ".join(f"term{i}" for i in range(300)) + "</div>"
+    section = "<div>More of the section</div>"
+    copied = "<p>An article that stands on several pages.</p><p>All of it is text.</p>"
+    rows = [(i, f"http://big.example/{i}", f"<body>{legal}{section if i % 12 == 0 else ''}<div><p>Text {i} alone.</p></div></body>") for i in range(1200)]
+    rows += [(2000 + i, f"http://a.example/{i}", f"<head><title>{i}</title></head><body><article>{copied}</article><div>Link {i}</div></body>") for i in range(6)]
+    rows += [(3000 + i, f"http://d.example/{i}", f"<body><div>Link {i // 3}</div><div>{copied}</div></body>") for i in range(6)]
+    got = {r.id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Text {i} alone." for i in range(1200))
+    article = "An article that stands on several pages. All of it is text."
+    assert all(article in got[i] for k in (2000, 3000) for i in range(k, k + 6))
+
+
 def test_text_after_deep_elements_stays():
     deep = "<div>" * 3000 + "Deep." + "</div>" * 3000
     page = f"<body><div>Out.</div><div><article><p>Before.</p>{deep}<p>After.</p></article></div></body>"
