@@ -93,23 +93,17 @@ SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Sure: {"advisories":[{"type":"E","lo
 """
 
 # Collected search responses keyed by request text, as a search service
-# would have answered the utility x year requests; some requests are logged
-# twice, with different answers.
+# would have answered the utility x year requests; requests are logged more
+# than once, with different answers.
 FX_SEARCH_LOG = r"""
-SELECT query, body FROM (
- SELECT concat('Boil Water Advsiory in ', CAST(2020 + s.doc_id % 6 AS STRING), ' at ', u.county_name, ', ', u.state_code) AS query,
-  s.body, row_number() OVER (PARTITION BY concat('Boil Water Advsiory in ', CAST(2020 + s.doc_id % 6 AS STRING), ' at ', u.county_name, ', ', u.state_code) ORDER BY s.doc_id) AS rn
- FROM fx_search s JOIN fx_utilities u ON u.utility_id = CAST(floor(s.doc_id / 6) AS BIGINT)) r
-WHERE rn <= 2
+SELECT concat('Boil Water Advsiory in ', CAST(2020 + s.doc_id % 6 AS STRING), ' at ', u.county_name, ', ', u.state_code) AS query, s.body
+FROM fx_search s JOIN fx_utilities u ON u.utility_id = CAST(floor(s.doc_id / 6) AS BIGINT)
 """
 
 # Responses to the county news-site requests (nested shape, up to 5 results).
 FX_NEWS_LOG = r"""
-SELECT query, body FROM (
- SELECT concat('boil water advisory warning from news sites ', u.county_name, ', ', left(u.pwsid, 2)) AS query, s.body,
-  row_number() OVER (PARTITION BY concat('boil water advisory warning from news sites ', u.county_name, ', ', left(u.pwsid, 2)) ORDER BY s.doc_id) AS rn
- FROM fx_search s JOIN fx_utilities u ON u.utility_id = s.doc_id) r
-WHERE rn <= 2
+SELECT concat('boil water advisory warning from news sites ', u.county_name, ', ', left(u.pwsid, 2)) AS query, s.body
+FROM fx_search s JOIN fx_utilities u ON u.utility_id = s.doc_id
 """
 
 # Responses to the local-news and site-restricted requests (flat shape), from
@@ -143,7 +137,7 @@ SELECT c.url AS link, l.response FROM fx_crawl c JOIN fx_llm l ON l.doc_id = c.p
 # Model answers about search-result summaries, keyed by the summary text.
 FX_SUMMARY_LLM = r"""
 SELECT concat('s', CAST(CAST(floor(doc_id / 4) AS BIGINT) AS STRING)) AS input_text, response FROM fx_llm
-UNION ALL SELECT 't' AS input_text, response FROM fx_llm WHERE doc_id % 20 = 8
+UNION ALL SELECT 't' AS input_text, response FROM fx_llm
 """
 
 # Model answers stored as content parts (text and non-text blocks).

@@ -197,3 +197,17 @@ def test_state_geometry_input(spark, tmp_path):
     rows = {r.name: (r.cx, r.cy) for r in trends.state_map_table(counts, table, states).collect()}
     assert rows["Virginia"] == (-79.0, 38.0) and rows["Ohio"] == (None, None)
     assert trends.state_extent(table).first().minx == -106.0
+
+
+def test_logs_keep_every_answer(spark):
+    from pyspark.sql import functions as F
+
+    from civicscan.plans.catalog import fx
+    search = fx(spark, SF_SMALL, "fx_search").select("doc_id", "body")
+    utilities = fx(spark, SF_SMALL, "fx_utilities").select("utility_id")
+    asked = search.join(utilities, F.expr("utility_id = floor(doc_id / 6)"))
+    assert fx(spark, SF_SMALL, "fx_search_log").count() == asked.count()
+    assert fx(spark, SF_SMALL, "fx_news_log").count() == search.join(utilities, F.expr("utility_id = doc_id")).count()
+    log = fx(spark, SF_SMALL, "fx_summary_llm")
+    assert log.count() == 2 * search.count()
+    assert log.filter("input_text = 't'").count() == search.count()
