@@ -1,119 +1,133 @@
 """F19 fuzzy date parsing with built-in expressions.
 
-Free text is searched for every shape of ``SHAPES``; the valid date that
-stands first in the text wins, and of those at one place the earlier shape.
+A text is cut into tokens once; a fold over the tokens fills the slots of a
+date.  Numbers and month names that stand together, with nothing but blanks,
+commas, '-', '/', '.', an apostrophe, "of" or a time of day between them, are
+one group.  A group of three resolves at once, a month and a year when the
+group ends; the first group that gives a valid date wins.
+
 The wall-clock date is kept and any zone is ignored; a month without a day
 gives day 1; text without a year and a month gives null (never "today").
 Numbers are month first, and day first where the month could not be one;
 two-digit years are 1969 to 2068.
-
-Every pattern is valid in Java regex and RE2, so the DuckDB oracle reuses the
-texts; tests hold the shapes against an independent parser.  Month names map
-to numbers through their first three letters' position in ``MONTH_KEYS``.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTH_KEYS = "janfebmaraprmayjunjulaugsepoctnovdec"
 MONTH_WORD = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
               r"|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
-_TH = "(?:st|nd|rd|th)?"
-
-
-class Shape(NamedTuple):
-    pattern: str
-    year: int          # groups of the pattern
-    month: int
-    day: int | None
-    named: bool = False     # the month is a name
-    either: bool = False    # month first, or day first where that can't be
-    bounded: bool = False   # group 1 is what stands before the date
-
-
-SHAPES = [
-    # 2024-01-05, 2024/1/5, 2024.01.05, ISO date-times
-    Shape(r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", 1, 2, 3),
-    # 20240105, 202401051230, 20240105123000
-    Shape(r"(^|[^0-9])(\d{4})(\d{2})(\d{2})(?:\d{4}|\d{6})?([^0-9]|$)", 2, 3, 4, bounded=True),
-    # 1/5/2024, 01-05-2024, 1.5.2024, 25/12/2023
-    Shape(r"(^|[^0-9])(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", 4, 2, 3, either=True, bounded=True),
-    # 01/05/24
-    Shape(r"(^|[^0-9./-])(\d{1,2})[-/](\d{1,2})[-/](\d{2})([^0-9/-]|$)", 4, 2, 3, either=True, bounded=True),
-    # January 5, 2024 / Jan. 5th 2024 / Jan-05-2024
-    Shape(rf"(?i)\b{MONTH_WORD}\.?[\s-]+(\d{{1,2}}){_TH}(?:,\s*|\s+|-)(\d{{4}})", 3, 1, 2, named=True),
-    # Jan  5 12:30:00 2024
-    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}})\s+\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s+(?:[A-Z]{{3,4}}\s+)?(\d{{4}})", 3, 1, 2, named=True),
-    # Jan 5 '24
-    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}}){_TH},?\s+'(\d{{2}})([^0-9]|$)", 3, 1, 2, named=True),
-    # 5 January 2024 / 5th of January 2024 / 5-Jan-2024 / Wed, 21 Oct 2015 07:28:00 GMT
-    Shape(rf"(?i)\b(\d{{1,2}}){_TH}(?:\s+of)?[\s-]+{MONTH_WORD}\.?,?[\s-]+(\d{{4}})", 3, 2, 1, named=True),
-    # Sunday, 06-Nov-94 08:49:37 GMT
-    Shape(rf"(?i)\b(\d{{1,2}})[\s-]{MONTH_WORD}[\s-](\d{{2}})([^0-9:]|$)", 3, 2, 1, named=True),
-    # January 2024
-    Shape(rf"(?i)\b{MONTH_WORD}\.?,?\s+(\d{{4}})", 2, 1, None, named=True),
-    # 2024-03
-    Shape(r"(^|[^0-9])(\d{4})-(\d{1,2})([^-0-9]|$)", 2, 3, None, bounded=True),
-]
-
-
-def _found(x: str, rank: int, shape: Shape) -> str:
-    """(place in the text, rank of the shape, date) of the shape's first match in ``x``."""
-    p = f'r"{shape.pattern}"'
-    group = lambda g: f"regexp_extract({x}, {p}, {g})"
-    y = f"try_cast({group(shape.year)} AS INT)"
-    y = f"({y} + CASE WHEN length({group(shape.year)}) > 2 THEN 0 WHEN {y} < 69 THEN 2000 ELSE 1900 END)"
-    m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({group(shape.month)}, 1, 3))) + 2) / 3 AS INT)" if shape.named
-         else f"try_cast({group(shape.month)} AS INT)")
-    d = f"try_cast({group(shape.day)} AS INT)" if shape.day else "1"
-    if shape.either:
-        swap = f"{m} > 12 AND {d} <= 12"
-        m, d = f"CASE WHEN {swap} THEN {d} ELSE {m} END", f"CASE WHEN {swap} THEN {m} ELSE {d} END"
-    text = f"concat_ws('-', lpad({y}, 4, '0'), lpad({m}, 2, '0'), lpad({d}, 2, '0'))"
-    at = f"regexp_instr({x}, {p})" + (f" + length({group(1)})" if shape.bounded else "")
-    # the groups are read only of texts that have the shape
-    return f"CASE WHEN {x} RLIKE {p} THEN named_struct('at', {at}, 'rank', {rank}, 'd', try_to_date({text}, 'yyyy-MM-dd')) END"
+
+#: Times of day, numbers with an ordinal's ending, words, and any other character.
+TOKEN_RE = r"(?i)\d{1,2}\s*[ap]\.?m\b|\d{1,2}:\d{2}(?::\d{2})?|\d+(?:(?:st|nd|rd|th)\b)?|[a-z]+|[^a-z\d]"
+
+# kinds of tokens
+BLANK, DASH, DOT, TIME, MONTH, YEAR, TWO, ONE, WHOLE, ODD, WORD, OTHER = range(12)
+
+
+def _token(t: str) -> str:
+    """Spark SQL text: (kind, value) of a token."""
+    size = f"length(regexp_extract({t}, '^[0-9]+', 0))"
+    number = (f"CASE WHEN {t} RLIKE '(?i)^[0-9]+(:|\\\\s*[ap]\\\\.?m)' THEN {TIME} WHEN {size} = 1 OR {size} = 2 AND length({t}) > 2 THEN {ONE} "
+              f"WHEN {size} = 2 THEN {TWO} WHEN {size} = 4 THEN {YEAR} WHEN {size} IN (8, 12, 14) THEN {WHOLE} ELSE {ODD} END")
+    kind = (f"CASE WHEN {t} RLIKE '^[0-9]' THEN {number} WHEN {t} RLIKE '(?i)^{MONTH_WORD}$' THEN {MONTH} "
+            f"WHEN lower({t}) IN (',', 'of', '’', '\\'') OR trim({t}) = '' OR {t} RLIKE '^\\\\s$' THEN {BLANK} WHEN {t} IN ('-', '/') THEN {DASH} "
+            f"WHEN {t} = '.' THEN {DOT} WHEN {t} RLIKE '(?i)^[a-z]' THEN {WORD} ELSE {OTHER} END")
+    value = (f"coalesce(try_cast(regexp_extract({t}, '^[0-9]{{1,8}}', 0) AS INT), "
+             f"CAST((instr('{MONTH_KEYS}', lower(left({t}, 3))) + 2) / 3 AS INT))")
+    return f"named_struct('k', {kind}, 'v', {value})"
+
+
+def _date(y: str, m: str, d: str) -> str:
+    return f"try_to_date(format_string('%04d-%02d-%02d', {y}, {m}, {d}), 'yyyy-MM-dd')"
+
+
+def _full(y: str) -> str:
+    """The year of a slot of kind YEAR or TWO."""
+    return f"({y}.v + IF({y}.k = {TWO}, IF({y}.v < 69, 2000, 1900), 0))"
+
+
+_SMALL = f"({TWO}, {ONE})"
+_ANY_YEAR = f"({YEAR}, {TWO})"
+
+
+def _triple(a: str, b: str, c: str, joins: str) -> str:
+    """The date of three slots; ``joins`` counts the explicit separators between them."""
+    def case(when: str, y: str, m: str, d: str) -> str:
+        return f"WHEN {when} THEN {_date(_full(y), m + '.v', d + '.v')}"
+    first_month = f"IF({a}.v > 12 AND {b}.v <= 12, {b}.v, {a}.v)"
+    first_day = f"IF({a}.v > 12 AND {b}.v <= 12, {a}.v, {b}.v)"
+    return " ".join([
+        "CASE",
+        case(f"{a}.k = {MONTH} AND {b}.k IN {_SMALL} AND {c}.k IN {_ANY_YEAR}", c, a, b),
+        case(f"{a}.k = {MONTH} AND {b}.k = {YEAR} AND {c}.k IN {_SMALL} AND {joins} = 2", b, a, c),
+        case(f"{b}.k = {MONTH} AND {a}.k = {YEAR} AND {c}.k IN {_SMALL}", a, b, c),
+        case(f"{b}.k = {MONTH} AND {a}.k IN {_SMALL} AND {c}.k IN {_ANY_YEAR}", c, b, a),
+        case(f"{c}.k = {MONTH} AND {a}.k = {YEAR} AND {b}.k IN {_SMALL}", a, c, b),
+        case(f"{c}.k = {MONTH} AND {b}.k = {YEAR} AND {a}.k IN {_SMALL}", b, c, a),
+        case(f"{a}.k = {YEAR} AND {b}.k IN {_SMALL} AND {c}.k IN {_SMALL}", a, b, c),
+        case(f"{a}.k = {TWO} AND {a}.v > 31 AND {b}.k IN {_SMALL} AND {c}.k IN {_SMALL} AND {joins} = 2", a, b, c),
+        f"WHEN {a}.k IN {_SMALL} AND {b}.k IN {_SMALL} AND ({c}.k = {YEAR} OR {c}.k = {TWO} AND {joins} = 2)",
+        f"THEN {_date(_full(c), first_month, first_day)}",
+        "END"])
+
+
+def _pair(a: str, b: str, numbers: str) -> str:
+    """The first day of the month of two slots; two numbers only where ``numbers`` holds."""
+    return (f"CASE WHEN {a}.k = {MONTH} AND {b}.k = {YEAR} OR {a}.k IN {_SMALL} AND {b}.k = {YEAR} AND {numbers} THEN {_date(b + '.v', a + '.v', '1')} "
+            f"WHEN {a}.k = {YEAR} AND ({b}.k = {MONTH} OR {b}.k IN {_SMALL} AND {numbers}) THEN {_date(a + '.v', b + '.v', '1')} END")
+
+
+_NONE = "named_struct('k', -1, 'v', 0)"
+
+
+def _state(n: str, a: str, b: str, joins: str, sep: str, lost: str, timed: str, d: str) -> str:
+    """n slots a, b; explicit joins between them; the separator since; whether
+    numbers belong to something else; whether a time stands just before; the date."""
+    return f"named_struct('n', {n}, 'a', {a}, 'b', {b}, 'j', {joins}, 's', {sep}, 'lost', {lost}, 'timed', {timed}, 'd', {d})"
+
+
+_NO_DATE = "CAST(NULL AS DATE)"
+_START = _state("0", _NONE, _NONE, "0", str(BLANK), "false", "false", _NO_DATE)
+
+
+def _step(g: str, c: str) -> str:
+    joined = f"{g}.j + IF({g}.s = {BLANK}, 0, 1)"
+    # a slot: the third one resolves the group, or the first one leaves it
+    three = f"coalesce({_triple(g + '.a', g + '.b', c, '(' + joined + ')')}, {_pair(g + '.a', g + '.b', 'false')})"
+    named = f"{MONTH} IN ({g}.a.k, {g}.b.k, {c}.k)"
+    third = (f"CASE WHEN {named} OR {joined} = 0 OR {g}.b.k = {YEAR} THEN {_state('2', g + '.b', c, f'IF({g}.s = {BLANK}, 0, 1)', str(BLANK), 'false', 'false', three)} "
+             f"ELSE {_state('0', _NONE, _NONE, '0', str(BLANK), 'true', 'false', three)} END")
+    slot = (f"CASE WHEN {g}.lost AND {c}.k <> {YEAR} AND {c}.k <> {MONTH} THEN {g} "
+            f"WHEN {g}.n = 0 THEN {_state('1', c, _NONE, '0', str(BLANK), 'false', 'false', _NO_DATE)} "
+            f"WHEN {g}.n = 1 THEN {_state('2', g + '.a', c, joined, str(BLANK), 'false', 'false', _NO_DATE)} ELSE {third} END")
+    # what is no part of a date ends the group: two slots may do, and a number of another kind spoils those joined to it
+    two = f"IF({g}.n = 2, {_pair(g + '.a', g + '.b', f'({g}.j = 1 AND {g}.s <> {DASH})')}, {_NO_DATE})"
+    whole = f"IF({c}.k = {WHOLE}, {_date(f'CAST({c}.v / 10000 AS INT)', f'CAST({c}.v / 100 AS INT) % 100', f'{c}.v % 100')}, {_NO_DATE})"
+    end = _state("0", _NONE, _NONE, "0", str(BLANK), f"{c}.k IN ({ODD}, {WHOLE})", "false", f"coalesce({two}, {whole})")
+    between = _state(f"{g}.n", f"{g}.a", f"{g}.b", f"{g}.j", f"IF({c}.k IN ({DASH}, {DOT}) AND {g}.s <> {DASH}, {c}.k, {g}.s)",
+                     f"{g}.lost AND {c}.k IN ({DASH}, {DOT})", f"{c}.k = {TIME} OR {g}.timed AND {c}.k = {BLANK}", _NO_DATE)
+    zone = f"{c}.k = {WORD} AND {g}.timed"
+    return (f"CASE WHEN {g}.d IS NOT NULL THEN {g} WHEN {c}.k IN ({MONTH}, {YEAR}, {TWO}, {ONE}) THEN {slot} "
+            f"WHEN {c}.k IN ({BLANK}, {DASH}, {DOT}, {TIME}) OR {zone} THEN {between} ELSE {end} END")
 
 
 def parse_date_text(x: str) -> str:
     """Spark SQL text of ``parse_date`` for a column, field or lambda variable."""
-    found = ", ".join(_found(x, i, shape) for i, shape in enumerate(SHAPES))
-    return f"array_min(filter(array({found}), f -> f.d IS NOT NULL)).d"
+    tokens = f"transform(regexp_extract_all({x}, r\"{TOKEN_RE}\", 0), t -> {_token('t')})"
+    stop = f"named_struct('k', {OTHER}, 'v', 0)"
+    return f"aggregate(concat({tokens}, array({stop})), {_START}, (g, c) -> {_step('g', 'c')}, g -> g.d)"
 
 
 def parse_date(column: str) -> Column:
     """the first date in the text of ``column`` as DateType (null when
-    none).  Written as SQL text: thousands of column calls would cost the
-    driver seconds per query."""
+    none).  Written as SQL text: column calls cost the driver more."""
     return F.expr(parse_date_text(column))
 
 
 def format_mdy(d: Column) -> Column:
     """The MM/DD/YYYY text form of a date (CSV sinks)."""
     return F.date_format(d, "MM/dd/yyyy")
-
-
-# ---------------------------------------------------------------- SQL twin (oracle)
-
-def parse_date_sql(expr: str) -> str:
-    """DuckDB text of ``parse_date`` for the oracle."""
-    def found(rank: int, shape: Shape) -> str:
-        p = "'" + shape.pattern.replace("'", "''") + "'"
-        group = lambda g: f"regexp_extract({expr}, {p}, {g})"
-        y0 = f"try_cast({group(shape.year)} AS INTEGER)"
-        y = f"(CASE WHEN length({group(shape.year)}) = 2 THEN {y0} + CASE WHEN {y0} < 69 THEN 2000 ELSE 1900 END ELSE {y0} END)"
-        m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({group(shape.month)}, 1, 3))) + 2) // 3 AS INTEGER)"
-             if shape.named else f"try_cast({group(shape.month)} AS INTEGER)")
-        d = f"try_cast({group(shape.day)} AS INTEGER)" if shape.day else "1"
-        if shape.either:
-            m, d = f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {d} ELSE {m} END)", f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {m} ELSE {d} END)"
-        text = f"concat(lpad(CAST({y} AS VARCHAR), 4, '0'), '-', lpad(CAST({m} AS VARCHAR), 2, '0'), '-', lpad(CAST({d} AS VARCHAR), 2, '0'))"
-        at = f"strpos({expr}, regexp_extract({expr}, {p}, 0))" + (f" + length({group(1)})" if shape.bounded else "")
-        return f"{{'at': {at}, 'rank': {rank}, 'd': CASE WHEN {y0} IS NOT NULL THEN try_cast({text} AS DATE) END}}"
-
-    shapes = ", ".join(found(i, s) for i, s in enumerate(SHAPES))
-    return f"list_min(list_filter([{shapes}], lambda f: f.d IS NOT NULL)).d"

@@ -1,29 +1,23 @@
-"""HTML helpers on columns: tag / element extraction, attribute values,
-entity decoding, visible text.  Built-in expressions only; every pattern is
-valid in Java regex and RE2 so the oracle can reuse it.
+"""Page signals and page text on columns.
+
+``signals`` is the one Python step of the page jobs: an Arrow-batched UDF that
+walks each page once (``markup.Page``) and returns every signal its caller
+asks for as one struct.  What follows from the signals is built-in expressions.
 """
 
 from __future__ import annotations
 
-import json
-from functools import lru_cache
+from collections.abc import Callable
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-# Attributes of a tag: quoted values may hold '>'.
-ATTRS = r"""[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*"""
-
-
-def open_re(tag: str) -> str:
-    """An opening tag: its name ends at white space, '/' or '>'."""
-    return rf"<{tag}(?:[\s/]{ATTRS})?>"
+from ..session import ship_package
+from .markup import Page
 
-
-TAG_RE = rf"<[/!?]?[A-Za-z]{ATTRS}>"
-# Comments, and the blocks whose bodies are kept as they are while comments go.
-COMMENT_OR_RAW_RE = rf"(?is)({open_re('script')}.*?</script\s*>|{open_re('style')}.*?</style\s*>)|<!--.*?-->"
-SKIPPED_BLOCKS = ["script", "style", "template"]
 # Characters removed by ``strip_ws``: Python's whitespace set (str.isspace),
 # built from the rule rather than listed.
 WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
@@ -31,94 +25,19 @@ WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 LINE_SPLIT_RE = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
 
 
-def block_re(tag: str) -> str:
-    return rf"(?is){open_re(tag)}.*?</{tag}\s*>"
-
-
-def cut_comments(html: Column, by: str = " ") -> Column:
-    """Comments cut; script and style bodies stay untouched."""
-    return F.regexp_replace(html, COMMENT_OR_RAW_RE, "$1" + by)
-
-
-def void_tags(html: Column, tag: str) -> Column:
-    """All opening tags ``<tag ...>`` in document order (e.g. meta)."""
-    return F.regexp_extract_all(html, F.lit(f"(?i){open_re(tag)}"), 0)
-
-
-def elements(html: Column, tag: str) -> Column:
-    """All ``<tag ...>inner</tag>`` elements (whole text) in document order."""
-    return F.regexp_extract_all(html, F.lit(block_re(tag)), 0)
-
-
-def element_inner(el: Column, tag: str) -> Column:
-    return F.regexp_extract(el, rf"(?is)^{open_re(tag)}(.*)</{tag}\s*>$", 1)
-
-
-def open_tag(el: Column) -> Column:
-    return F.regexp_extract(el, f"^<[A-Za-z]{ATTRS}>", 0)
-
-
-# One attribute: name, then a quoted or bare value.  Matches follow one
-# another, so text inside a value is never taken for an attribute.
-ATTR_RE = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
-ATTR_VALUE_RE = r"""(?s)^[^=]*=\s*(?:"(.*)"|'(.*)'|([^"'].*))$"""
-
-
-def attributes(tag: Column) -> Column:
-    """The attributes of an opening tag, as written, in order."""
-    return F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]*", ""), F.lit(ATTR_RE), 0)
-
-
-def _once(value: Column, fn) -> Column:
-    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
-    return F.get(F.transform(F.array(value), fn), 0)
+def signals(html: Column, linked: bool = False, **fields: tuple[str, Callable[[Page], object]]) -> Column:
+    """A struct of ``fields``, each a type and a function of the walked page;
+    null for a null page.  ``linked`` also writes the link-keeping text."""
+    spark = SparkSession.active()
+    ship_package(spark)
+    schema = T.StructType([T.StructField(name, T._parse_datatype_string(ddl)) for name, (ddl, _) in fields.items()])
+    kind, wanted = to_arrow_type(schema), {name: fn for name, (_, fn) in fields.items()}
 
+    def walk(pages: pa.Array) -> pa.Array:
+        found = (None if h is None else Page(h, linked) for h in pages.to_pylist())
+        return pa.array([None if p is None else {name: fn(p) for name, fn in wanted.items()} for p in found], kind)
 
-def attr(tag: Column, name: str) -> Column:
-    """Value of the first attribute ``name`` of an opening tag, references
-    decoded ('' when absent or without a value)."""
-    mine = F.get(F.filter(attributes(tag), lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]+", 0)) == F.lit(name)), 0)
-    value = _once(mine, lambda a: F.concat(*[F.regexp_extract(a, ATTR_VALUE_RE, i) for i in (1, 2, 3)]))
-    return F.coalesce(decode_entities(value), F.lit(""))
-
-
-@lru_cache(maxsize=1)
-def _named_references() -> str:
-    """The HTML named references, and the numbers 128-159 that stand for
-    Windows-1252 characters, as a JSON object."""
-    from html.entities import html5
-    out = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
-    for n in range(128, 160):
-        out[f"#{n}"] = bytes([n]).decode("cp1252", "replace")
-    return json.dumps(out)
-
-
-def _reference_text(piece: Column) -> Column:
-    """Text after an '&' with a leading reference decoded."""
-    named = F.from_json(F.lit(_named_references()), "map<string,string>")   # folded to one literal
-    number = F.regexp_extract(piece, r"^#([0-9]{1,7});?", 1)
-    hexed = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
-    point = F.when(number != "", number.try_cast("int")).when(hexed != "", F.conv(hexed, 16, 10).try_cast("int"))
-    word = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-    rest_number = F.regexp_replace(piece, r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", "")
-    valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(point.cast("bigint")), 8, "0")), "UTF-32")
-    known = F.element_at(named, F.when(point.between(128, 159), F.concat(F.lit("#"), point.cast("string"))).otherwise(word))
-    return (F.when(point.between(128, 159), F.concat(known, rest_number))
-            .when(valid, F.concat(char, rest_number))
-            .when(point.isNotNull(), F.concat(F.lit("�"), rest_number))
-            .when(known.isNotNull(), F.concat(known, F.substr(piece, F.length(word) + 2)))
-            .otherwise(F.concat(F.lit("&"), piece)))
-
-
-def decode_entities(s: Column) -> Column:
-    """Named and numeric character references, each decoded once, so
-    '&amp;lt;' is '&lt;'.  Text without '&' is left as it is; a reference
-    without its semicolon is decoded only if numeric."""
-    def pieces(parts):
-        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _reference_text)
-        return F.concat(F.get(parts, 0), F.array_join(rest, ""))
-    return _once(s, lambda x: F.when(F.instr(x, "&") > 0, _once(F.split(x, "&"), pieces)).otherwise(x))
+    return F.arrow_udf(walk, schema)(html)
 
 
 def strip_ws(s: Column) -> Column:
@@ -126,21 +45,6 @@ def strip_ws(s: Column) -> Column:
     return F.btrim(s, F.lit(WS_CHARS))
 
 
-def drop_hidden(html: Column, blocks=tuple(SKIPPED_BLOCKS)) -> Column:
-    """Remove comments and the blocks whose text is not page text."""
-    s = cut_comments(html)
-    for b in blocks:
-        s = F.regexp_replace(s, block_re(b), " ")
-    return s
-
-
-def text_nodes(html: Column) -> Column:
-    """Decoded, stripped, non-empty text pieces between tags."""
-    pieces = F.split(html, TAG_RE)
-    return F.filter(F.transform(pieces, lambda x: strip_ws(decode_entities(x))),
-                    lambda x: x != F.lit(""))
-
-
 # Unicode spaces that Python's \s matches but Java's and RE2's do not.
 UNICODE_SPACES_RE = r"[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -150,27 +54,8 @@ def ascii_spaces(s: Column) -> Column:
     return F.regexp_replace(s, UNICODE_SPACES_RE, " ")
 
 
-def get_text(html: Column, sep: str = " ", blocks=tuple(SKIPPED_BLOCKS)) -> Column:
-    """Visible text, text nodes stripped and joined by ``sep``."""
-    return F.array_join(text_nodes(drop_hidden(html, blocks)), sep)
-
-
 # ---------------------------------------------------------------- article text helpers
 
-ARTICLE_HIDDEN = ["script", "style", "template", "noscript", "form", "footer", "nav", "aside"]
-BLOCK_TAGS = ["p", "div", "br", "li", "ul", "ol", "tr", "table", "article", "section", "main",
-              "header", "footer", "nav", "aside", "blockquote", "pre", "h1", "h2", "h3", "h4",
-              "h5", "h6", "title", "hr"]
-ANCHOR_RE = rf"(?is)<a\s(?:{ATTRS}\s)?href\s*=\s*[\"']([^\"']*)[\"']{ATTRS}>(.*?)</a\s*>"
-IMG_RE = f"(?i){open_re('img')}"
-HEAD_RE = rf"(?is){open_re('head')}.*?</head\s*>"
-BLOCK_RE = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/]{ATTRS})?>"
-HEADING_RE = rf"(?i)<h([1-6])(?:[\s/]{ATTRS})?>"
-LI_RE = f"(?i){open_re('li')}"
-BOLD_RE = rf"(?i)</?(?:b|strong)(?:[\s/]{ATTRS})?>"
-ITALIC_RE = rf"(?i)</?(?:i|em)(?:[\s/]{ATTRS})?>"
-
-
 def squeeze_newlines(s: Column) -> Column:
     """runs of 2+ newlines -> one blank line."""
     return F.regexp_replace(s, r"\n{2,}", "\n\n")
@@ -187,35 +72,33 @@ def rstrip_lines(s: Column) -> Column:
     return F.regexp_replace(s, r"(?m)[ \t\x{00A0}]+$", "")
 
 
-def article_text(html: Column) -> Column:
-    """X9 (article cleanup): page text without script/style/noscript/form/
-    footer/nav/aside, one stripped text node per line, blank runs squeezed."""
-    return strip_ws(squeeze_newlines(get_text(html, "\n", tuple(ARTICLE_HIDDEN))))
+#: Visible text, stripped pieces joined by blanks.
+PAGE_TEXT = ("string", lambda p: p.text("page", " "))
+#: X9 (article cleanup): text without script/style/template/noscript/form/footer/nav/aside, a piece per line.
+ARTICLE_LINES = ("string", lambda p: p.text("article", "\n"))
+#: X11: anchors -> [text](url), images dropped, headings -> '#' marks, list items -> '* ', bold -> '**', italics -> '_'
+#: (one mark per tag), block tags -> line breaks, other tags removed; ``linked_text`` cleans its lines.
+LINKED = ("string", lambda p: "".join(p.linked))
+
+
+def texts(html: Column) -> Column:
+    """struct(text_all, text_article) of a page in one walk."""
+    return signals(html, text_all=PAGE_TEXT, text_article=ARTICLE_LINES)
+
+
+def article_text(lines: Column) -> Column:
+    """Blank runs of ``ARTICLE_LINES`` squeezed."""
+    return strip_ws(squeeze_newlines(lines))
+
+
+def linked_text(linked: Column) -> Column:
+    """Lines of ``LINKED`` right-trimmed, three line breaks or more made two."""
+    return strip_ws(F.regexp_replace(rstrip_lines(linked), r"\n{3,}", "\n\n"))
 
 
 def markdown_text(html: Column) -> Column:
-    """X11: link-keeping plain text: anchors -> [text](url), images dropped,
-    headings -> '#' marks, list items -> '* ', bold -> '**', italics -> '_'
-    (one mark per tag, like tag events), block tags -> line breaks, other
-    tags removed, entities decoded, lines right-trimmed."""
-    s = cut_comments(html, "")
-    for b in ("script", "style", "template"):
-        s = F.regexp_replace(s, block_re(b), "")
-    s = F.regexp_replace(s, HEAD_RE, "")
-    s = F.regexp_replace(s, IMG_RE, "")
-    s = F.regexp_replace(s, ANCHOR_RE, "[$2]($1)")
-    s = F.regexp_replace(s, HEADING_RE, "\n\n<hmark$1>")
-    for n in range(1, 7):
-        s = F.replace(s, F.lit(f"<hmark{n}>"), F.lit("#" * n + " "))
-    s = F.regexp_replace(s, LI_RE, "\n* ")
-    s = F.regexp_replace(s, BOLD_RE, "**")
-    s = F.regexp_replace(s, ITALIC_RE, "_")
-    s = F.regexp_replace(s, BLOCK_RE, "\n")
-    s = F.regexp_replace(s, TAG_RE, "")
-    s = decode_entities(s)
-    s = rstrip_lines(s)
-    s = F.regexp_replace(s, r"\n{3,}", "\n\n")
-    return strip_ws(s)
+    """X11 of a page."""
+    return linked_text(signals(html, linked=True, text=LINKED).getField("text"))
 
 
 def looks_like_html(s: Column) -> Column:

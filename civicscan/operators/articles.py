@@ -6,65 +6,46 @@ items, the container nodes and the pick of the best node are array values of
 the page row, so extraction is narrow (no shuffle) and a page with huge HTML
 only ever costs its own task.
 
-The container tree (nested <article>/<section>/<div>/<main> with their text
-and link counts) needs an HTML parser; ``densest`` is one Arrow-batched pandas
-UDF over stdlib ``html.parser``.  It keeps one list of the page's text pieces;
-a container is a range of it, so work and output stay linear in the page.
+The walk over the page (``functions.markup``) yields the containers (nested
+<article>/<section>/<div>/<main>) as ranges of one list of the page's text
+pieces, so work and output stay linear in the page.
 """
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import html as H
 from ..functions import jsonx
+from ..functions.markup import Page, densest
 from . import dates
 
-CONTAINER_TAGS = ("article", "section", "div", "main")
-DROPPED_SUBTREES = ("script", "style", "noscript", "form", "template")
-
-BEST_TYPE = T.StructType([
-    T.StructField("node_ord", T.IntegerType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("n_links", T.IntegerType()),
-    T.StructField("score", T.DoubleType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("error", T.StringType()),
-])
-
-
 # ------------------------------------------------------------------ JSON-LD article
 
 def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def jsonld_items(html: Column) -> Column:
-    """Every JSON-LD item of the page (arrays flattened; malformed scripts
-    skipped), as variants in document order; read as for the dates."""
-    read = dates.jsonld_items(dates.jsonld_scripts(html))
-    return F.transform(read, lambda it: F.try_parse_json(it.getField("item")))
+def first_article(page: Page) -> dict | None:
+    """A13 + P14: the first article-typed JSON-LD object (non-objects skipped;
+    @graph is not searched), as a JSON value."""
+    for item in map(json.loads, (found["item"] for found in dates.read_items(page.scripts))):
+        kinds = item.get("@type") if isinstance(item, dict) else None
+        if any(isinstance(k, str) and k in schemas.ARTICLE_TYPES for k in (kinds if isinstance(kinds, list) else [kinds])):
+            return item
+    return None
 
 
-def _is_article(item: Column) -> Column:
-    t = F.variant_get(item, "$['@type']", "variant")
-    names = F.when(jsonx.json_kind(item, "$['@type']") == F.lit("ARRAY"),
-                   F.try_variant_get(item, "$['@type']", "array<string>")) \
-        .otherwise(F.array(F.try_variant_get(item, "$['@type']", "string")))
-    wanted = F.array(*[F.lit(x) for x in schemas.ARTICLE_TYPES])
-    return _is_object(item) & t.isNotNull() & F.coalesce(F.arrays_overlap(names, wanted), F.lit(False))
+def _item(page: Page) -> str | None:
+    article = first_article(page)
+    return None if article is None else json.dumps(article)
 
 
-def first_article(html: Column) -> Column:
-    """A13 + P14: the first article-typed JSON-LD object (non-objects skipped;
-    @graph is not searched)."""
-    return F.get(F.filter(jsonld_items(html), _is_article), 0)
+ARTICLE = ("string", _item)
 
 
 def _s(v: Column, path: str) -> Column:
@@ -105,105 +86,24 @@ def article_meta(art: Column) -> Column:
 def jsonld_articles(pages: DataFrame) -> DataFrame:
     """X3 per page with an article object: its metadata (staged so the item
     search runs once per page)."""
-    # tested on a generator output, else the filter runs the item reader a second time
-    staged = pages.select("page_id", F.explode_outer(F.array(first_article(F.col("html")))).alias("_art"))
-    return (staged.where(F.col("_art").isNotNull())
+    # tested on a generator output, else the filter walks the page a second time
+    found = H.signals(F.col("html"), article=ARTICLE).getField("article")
+    staged = pages.select("page_id", F.explode_outer(F.array(found)).alias("_item")).where(F.col("_item").isNotNull())
+    return (staged.select("page_id", F.try_parse_json("_item").alias("_art"))
             .select("page_id", article_meta(F.col("_art")).alias("m"))
             .select("page_id", "m.*"))
 
 
 # ------------------------------------------------------------------ container nodes
 
-class _Containers(HTMLParser):
-    """Containers in document order as ranges of the page's text pieces and
-    links, leaving out subtrees whose text is not page text."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.pieces: list[str] = []
-        self.links = 0
-        self.nodes: list[list] = []    # [tag, first piece, end piece, links before, links at the end]
-        self.open: list[int] = []      # open containers, innermost last
-        self.skip: list[str] = []      # open dropped subtrees
-
-    def handle_starttag(self, tag, attrs):
-        if tag in DROPPED_SUBTREES:
-            self.skip.append(tag)
-        elif self.skip:
-            return
-        elif tag in CONTAINER_TAGS:
-            self.open.append(len(self.nodes))
-            self.nodes.append([tag, len(self.pieces), None, self.links, None])
-        elif tag == "a":
-            self.links += 1
-
-    def handle_startendtag(self, tag, attrs):
-        if tag == "a" and not self.skip:
-            self.links += 1
-
-    def handle_endtag(self, tag):
-        if self.skip:
-            if tag == self.skip[-1]:
-                self.skip.pop()
-        elif any(self.nodes[i][0] == tag for i in self.open):
-            while self._end(self.open.pop()) != tag:
-                pass
-
-    def _end(self, i: int) -> str:
-        node = self.nodes[i]
-        node[2], node[4] = len(self.pieces), self.links
-        return node[0]
-
-    def handle_data(self, data):
-        if not self.skip and self.open and (piece := data.strip()):
-            self.pieces.append(piece)
-
-    def finish(self) -> None:
-        while self.open:
-            self._end(self.open.pop())
-
-
-def _best(html, min_chars: int) -> dict | None:
-    if html is None:
-        return None
-    page, error = _Containers(), None
-    try:
-        page.feed(html)
-        page.close()
-    except (AssertionError, ValueError, RecursionError) as e:
-        error = f"{type(e).__name__}: {e}"
-    page.finish()
-    total = [0]
-    for p in page.pieces:
-        total.append(total[-1] + len(p))
-    best = None
-    for i, (tag, a, b, before, after) in enumerate(page.nodes):
-        n = total[b] - total[a] + max(0, b - a - 1)
-        score = n / (after - before + 1)
-        if n > min_chars and (best is None or score > best[0]):
-            best = (score, i, tag, after - before, a, b)
-    if best is None:
-        return {"error": error} if error else None
-    score, i, tag, n_links, a, b = best
-    return {"node_ord": i, "tag": tag, "n_links": n_links, "score": score, "text": "\n".join(page.pieces[a:b]), "error": error}
-
-
-@F.pandas_udf(BEST_TYPE)
-def _densest(html: pd.Series) -> pd.DataFrame:
-    rows = [_best(h, schemas.MIN_TEXT_CHARS) or {} for h in html]
-    out = pd.DataFrame(rows, columns=[f.name for f in BEST_TYPE.fields], dtype=object)
-    return out.astype({"node_ord": "Int32", "n_links": "Int32", "score": "Float64"})
-
-
-def densest(html: Column) -> Column:
+def _densest(page: Page) -> dict | None:
     """P16 + F29 + A11: the container with the highest length/(links+1) among
-    those of more than 200 characters, the first of equals: (node_ord, tag,
-    n_links, score, text, error); all null without one.  ``error`` tells that
-    the parser gave up, so the pick is from the part before.
+    those of more than 200 characters, the first of equals; null without one."""
+    best = densest(page, schemas.MIN_TEXT_CHARS)
+    return best and dict(zip(("node_ord", "tag", "n_links", "score", "text"), best))
 
-    Comments and the subtrees whose text and links don't count are cut
-    JVM-side first, so less HTML crosses into Python."""
-    return _densest(H.drop_hidden(html, DROPPED_SUBTREES))
+
+BEST = ("struct<node_ord:int,tag:string,n_links:int,score:double,text:string>", _densest)
 
 
 def _container_text(text: Column) -> Column:
@@ -213,9 +113,9 @@ def _container_text(text: Column) -> Column:
 def best_containers(pages: DataFrame) -> DataFrame:
     """X10 per page: best container (tag, score inputs, text)."""
     # filter on a generator output: a plain where(b IS NOT NULL) would be
-    # pushed below the projection and run the UDF a second time
-    best = (pages.select("page_id", F.explode_outer(F.array(densest(F.col("html")))).alias("b"))
-            .where(F.col("b.text").isNotNull()))
+    # pushed below the projection and walk the page a second time
+    found = H.signals(F.col("html"), best=BEST).getField("best")
+    best = pages.select("page_id", F.explode_outer(F.array(found)).alias("b")).where(F.col("b.text").isNotNull())
     return best.select("page_id", "b.node_ord", "b.tag", "b.n_links", "b.score",
                        _container_text(F.col("b.text")).alias("text"))
 
@@ -230,6 +130,21 @@ def fetched(pages: DataFrame) -> Column:
     return ok
 
 
+def _bodies(page: Page) -> dict:
+    """The page's article and densest container, with what stands in for a
+    body that is itself HTML (its text) or empty (the link-keeping text)."""
+    article, best = first_article(page), _densest(page)
+    body = article.get("articleBody") if article else None
+    body = body if isinstance(body, str) and body else (best or {}).get("text", "")
+    reduced = Page(body).text("page", "\n") if all(x in body for x in ("<", ">", "</")) else None
+    empty = not (body if reduced is None else reduced)
+    return {"article": None if article is None else json.dumps(article), "dense": (best or {}).get("text"), "reduced": reduced,
+            "linked": "".join(Page(page.source, linked=True).linked) if empty else None}
+
+
+BODIES = ("struct<article:string,dense:string,reduced:string,linked:string>", _bodies)
+
+
 def article_records(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """JSON-LD body, else best container text, else link-keeping text;
     HTML-looking bodies reduced to text; lines stripped; url falls back to the
@@ -238,16 +153,12 @@ def article_records(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     pages keep a row with only the urls."""
     html = F.when(fetched(pages), F.col("html"))
     s1 = pages.select(id_col, "url", html.alias("_html"))
-    s2 = s1.select(id_col, "url", "_html", first_article(F.col("_html")).alias("_art"),
-                   densest(F.col("_html")).alias("_best"))
-    s3 = s2.select(id_col, "url", "_html", article_meta(F.col("_art")).alias("m"),
-                   _container_text(F.col("_best.text")).alias("_dense"))
-    body0 = F.coalesce(_truthy(F.col("m.article_body")), _truthy(F.col("_dense")))
-    s4 = s3.select(id_col, "url", "_html", "m", body0.alias("_b0"))
-    body1 = F.when(H.looks_like_html(F.col("_b0")), H.get_text(F.col("_b0"), "\n")).otherwise(F.col("_b0"))
-    s5 = s4.select(id_col, "url", "_html", "m", body1.alias("_b1"))
-    body2 = F.coalesce(_truthy(F.col("_b1")), H.markdown_text(F.col("_html")))
-    s6 = s5.select(id_col, "url", "_html", "m", body2.alias("_b2"))
+    s2 = s1.select(id_col, "url", "_html", H.signals(F.col("_html"), found=BODIES).getField("found").alias("_f"))
+    s3 = s2.select(id_col, "url", "_html", "_f", article_meta(F.try_parse_json("_f.article")).alias("m"))
+    body0 = F.coalesce(_truthy(F.col("m.article_body")), _truthy(_container_text(F.col("_f.dense"))))
+    s4 = s3.select(id_col, "url", "_html", "_f", "m", body0.alias("_b0"))
+    body1 = F.when(H.looks_like_html(F.col("_b0")), F.coalesce("_f.reduced", "_b0")).otherwise(F.col("_b0"))
+    s6 = s4.select(id_col, "url", "_html", "m", F.coalesce(_truthy(body1), H.linked_text(F.col("_f.linked"))).alias("_b2"))
     missing = F.col("_html").isNull()
     # output columns in the order of schemas.ARTICLE_FIELDS
     return s6.select(

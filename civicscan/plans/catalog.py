@@ -320,8 +320,8 @@ def jsonld_articles(spark, sf_dir):
 @query
 def visible_text(spark, sf_dir):
     pages = fx(spark, sf_dir, "fx_pages")
-    return pages.select("page_id", H.get_text(F.col("html"), " ").alias("text_all"),
-                        H.article_text(F.col("html")).alias("text_article"))
+    found = pages.select("page_id", H.texts(F.col("html")).alias("t"))
+    return found.select("page_id", "t.text_all", H.article_text(F.col("t.text_article")).alias("text_article"))
 
 
 @query

@@ -213,12 +213,84 @@ FROM adv a JOIN extras e ON a.doc_id = e.doc_id
 # ---------------------------------------------------------------- page dates
 
 from html.entities import html5 as _html5  # noqa: E402
+from typing import NamedTuple as _NamedTuple  # noqa: E402
 
-from ..functions import dates as _D  # noqa: E402
 from ..operators import dates as _X  # noqa: E402
 
+# The date twin knows dates by shapes, each a pattern searched for in the whole
+# text; the engine folds over tokens.
+MONTH_KEYS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTH_WORD = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+              r"|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+_TH = "(?:st|nd|rd|th)?"
+
+
+class Shape(_NamedTuple):
+    pattern: str
+    year: int          # groups of the pattern
+    month: int
+    day: int | None
+    named: bool = False     # the month is a name
+    either: bool = False    # month first, or day first where that can't be
+    bounded: bool = False   # group 1 is what stands before the date
+
+
+SHAPES = [
+    # 2024-01-05, 2024/1/5, 2024.01.05, ISO date-times
+    Shape(r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", 1, 2, 3),
+    # 20240105, 202401051230, 20240105123000
+    Shape(r"(^|[^0-9])(\d{4})(\d{2})(\d{2})(?:\d{4}|\d{6})?([^0-9]|$)", 2, 3, 4, bounded=True),
+    # 1/5/2024, 01-05-2024, 1.5.2024, 25/12/2023
+    Shape(r"(^|[^0-9])(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", 4, 2, 3, either=True, bounded=True),
+    # 01/05/24
+    Shape(r"(^|[^0-9./-])(\d{1,2})[-/](\d{1,2})[-/](\d{2})([^0-9/-]|$)", 4, 2, 3, either=True, bounded=True),
+    # January 5, 2024 / Jan. 5th 2024 / Jan-05-2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?[\s-]+(\d{{1,2}}){_TH}(?:,\s*|\s+|-)(\d{{4}})", 3, 1, 2, named=True),
+    # Jan  5 12:30:00 2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}})\s+\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s+(?:[A-Z]{{3,4}}\s+)?(\d{{4}})", 3, 1, 2, named=True),
+    # Jan 5 '24
+    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}}){_TH},?\s+'(\d{{2}})([^0-9]|$)", 3, 1, 2, named=True),
+    # 5 January 2024 / 5th of January 2024 / 5-Jan-2024 / Wed, 21 Oct 2015 07:28:00 GMT
+    Shape(rf"(?i)\b(\d{{1,2}}){_TH}(?:\s+of)?[\s-]+{MONTH_WORD}\.?,?[\s-]+(\d{{4}})", 3, 2, 1, named=True),
+    # Sunday, 06-Nov-94 08:49:37 GMT
+    Shape(rf"(?i)\b(\d{{1,2}})[\s-]{MONTH_WORD}[\s-](\d{{2}})([^0-9:]|$)", 3, 2, 1, named=True),
+    # Jan 5, 24
+    Shape(rf"(?i)\b{MONTH_WORD}\.?\s+(\d{{1,2}}),\s+(\d{{2}})([^0-9:]|$)", 3, 1, 2, named=True),
+    # 2024-Jan-05, 2024 January 5
+    Shape(rf"(?i)(^|[^0-9])(\d{{4}})[\s-]+{MONTH_WORD}[\s-]+(\d{{1,2}})([^0-9:]|$)", 2, 3, 4, named=True, bounded=True),
+    # 05JAN2024
+    Shape(rf"(?i)(^|[^0-9])(\d{{1,2}}){MONTH_WORD}(\d{{4}})", 4, 3, 2, named=True, bounded=True),
+    # 05.01.24
+    Shape(r"(^|[^0-9./-])(\d{1,2})\.(\d{1,2})\.(\d{2})([^0-9./-]|$)", 4, 2, 3, either=True, bounded=True),
+    # January 2024
+    Shape(rf"(?i)\b{MONTH_WORD}\.?,?\s+(\d{{4}})", 2, 1, None, named=True),
+    # 2024-03
+    Shape(r"(^|[^0-9])(\d{4})-(\d{1,2})([^-0-9]|$)", 2, 3, None, bounded=True),
+]
+
+
+def parse_date_sql(expr: str) -> str:
+    """DuckDB text of ``parse_date`` for the oracle."""
+    def found(rank: int, shape: Shape) -> str:
+        p = "'" + shape.pattern.replace("'", "''") + "'"
+        group = lambda g: f"regexp_extract({expr}, {p}, {g})"
+        y0 = f"try_cast({group(shape.year)} AS INTEGER)"
+        y = f"(CASE WHEN length({group(shape.year)}) = 2 THEN {y0} + CASE WHEN {y0} < 69 THEN 2000 ELSE 1900 END ELSE {y0} END)"
+        m = (f"CAST((instr('{MONTH_KEYS}', lower(substring({group(shape.month)}, 1, 3))) + 2) // 3 AS INTEGER)"
+             if shape.named else f"try_cast({group(shape.month)} AS INTEGER)")
+        d = f"try_cast({group(shape.day)} AS INTEGER)" if shape.day else "1"
+        if shape.either:
+            m, d = f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {d} ELSE {m} END)", f"(CASE WHEN {m} > 12 AND {d} <= 12 THEN {m} ELSE {d} END)"
+        text = f"concat(lpad(CAST({y} AS VARCHAR), 4, '0'), '-', lpad(CAST({m} AS VARCHAR), 2, '0'), '-', lpad(CAST({d} AS VARCHAR), 2, '0'))"
+        at = f"strpos({expr}, regexp_extract({expr}, {p}, 0))" + (f" + length({group(1)})" if shape.bounded else "")
+        return f"{{'at': {at}, 'rank': {rank}, 'd': CASE WHEN {y0} IS NOT NULL THEN try_cast({text} AS DATE) END}}"
+
+    shapes = ", ".join(found(i, s) for i, s in enumerate(SHAPES))
+    return f"list_min(list_filter([{shapes}], lambda f: f.d IS NOT NULL)).d"
+
+
 # The page twins tokenize HTML by patterns of their own.
-_BODY = r"""(?:"[^"]*"|'[^']*'|[^"'>])*"""
+_BODY = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|=\s*[^\s"'>][^\s>]*|[^>=]|=)*?"""
 _ANY_TAG = rf"<[/!?]?[A-Za-z]{_BODY}>"
 _SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _WIDE_SPACE = "[\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -247,13 +319,16 @@ def _decode_sql(x: str) -> str:
     """References decoded piece by piece after each '&'."""
     names = {n: t for n, t in _html5.items() if n.endswith(";")}
     table = "MAP {" + ", ".join(f"{_q(n[:-1])}: {_q(t)}" for n, t in sorted(names.items())) + "}"
+    short = "MAP {" + ", ".join(f"{_q(n)}: {_q(t)}" for n, t in sorted(_html5.items()) if not n.endswith(";")) + "}"
+    bare = "regexp_extract(p, '^[A-Za-z][A-Za-z0-9]*', 0)"
     number = "regexp_extract(p, '^#([0-9]{1,7});?', 1)"
     hexed = "regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});?', 1)"
     word = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
     piece = (f"CASE WHEN {number} <> '' THEN concat(chr(CAST({number} AS INTEGER)), regexp_replace(p, '^#[0-9]+;?', '')) "
              f"WHEN {hexed} <> '' THEN concat(chr(CAST(concat('0x', {hexed}) AS INTEGER)), regexp_replace(p, '^#[xX][0-9a-fA-F]+;?', '')) "
              f"WHEN {word} <> '' AND map_contains(refs, {word}) THEN concat(refs[{word}], substring(p, length({word}) + 2)) "
-             f"ELSE concat('&', p) END").replace("refs", table)
+             f"WHEN {bare} <> '' AND map_contains(bares, {bare}) THEN concat(bares[{bare}], substring(p, length({bare}) + 1)) "
+             f"ELSE concat('&', p) END").replace("refs", table).replace("bares", short)
     return (f"CASE WHEN contains({x}, '&') THEN concat(string_split({x}, '&')[1], array_to_string(list_transform("
             f"string_split({x}, '&')[2:], lambda p: {piece}), '')) ELSE {x} END")
 
@@ -287,7 +362,7 @@ def _attr_sql(tag: str, name: str) -> str:
     return f"coalesce(list_transform([{value}], lambda v: {_decode_sql('v')})[1], '')"
 
 
-_ATTR = r"""[^\s=<>/"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+_ATTR = r"""[^\s=>/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?"""
 _QUOTES = r"""^["']|["']$"""
 
 _RULES = _values([(i, k, a, v, w, l) for i, (k, a, v, w, l) in enumerate(schemas.META_DATE_RULES)],
@@ -366,7 +441,7 @@ DATE_CTES = duckdb_ctes("fx_pages") + DATE_BODY
 
 
 def _dated(src: str) -> str:
-    return (f"SELECT page_id, url, kind, CAST(weight AS INTEGER) AS weight, raw, {_D.parse_date_sql('raw')} AS dt, "
+    return (f"SELECT page_id, url, kind, CAST(weight AS INTEGER) AS weight, raw, {parse_date_sql('raw')} AS dt, "
             f"source, ord FROM {src}")
 
 
@@ -392,7 +467,7 @@ bu AS (SELECT page_id, dt FROM (SELECT *, row_number() OVER (PARTITION BY page_i
        FROM cands WHERE kind = 'updated') z WHERE rn = 1)
 """
 PAGE_DATES_SQL = DATE_CTES + PD_BODY + f"""
-SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {_D.parse_date_sql('ok.http_last_modified')} AS http_last_modified
+SELECT ok.page_id, ok.url, bp.dt AS published, bu.dt AS updated, {parse_date_sql('ok.http_last_modified')} AS http_last_modified
 FROM ok LEFT JOIN bp ON ok.page_id = bp.page_id LEFT JOIN bu ON ok.page_id = bu.page_id
 """
 ORACLE["page_dates"] = PAGE_DATES_SQL
@@ -594,7 +669,7 @@ enriched AS (SELECT j.county_fips, j.rank, j.county, j.state, j.link, ld.article
 answers AS (SELECT e.county_fips, e.rank, l.response FROM enriched e JOIN (SELECT link, min(response) AS response FROM fx_article_llm GROUP BY link) l ON e.link = l.link)""" \
     + _adv_chain("answers", ["county_fips", "rank"], "k6") + f"""
 SELECT a.county_fips, a.rank, a.type, a.location, a.start_date, a.end_date,
-  strftime({_D.parse_date_sql('e.article_date')}, '%m/%d/%Y') AS publish_date, e.county, e.state, e.link
+  strftime({parse_date_sql('e.article_date')}, '%m/%d/%Y') AS publish_date, e.county, e.state, e.link
 FROM k6_adv a JOIN enriched e ON a.county_fips = e.county_fips AND a.rank = e.rank
 """
 

@@ -47,7 +47,7 @@ def test_article_record_fallbacks(spark):
 
 def test_visible_text(spark):
     df = spark.createDataFrame([("<p>a &amp; b</p><!-- c --><script>x</script><p>  d  </p>",)], "h string")
-    r = df.select(H.get_text(F.col("h"), " ").alias("t"), H.article_text(F.col("h")).alias("a")).collect()[0]
+    r = df.select(H.texts(F.col("h")).alias("x")).select(F.col("x.text_all").alias("t"), H.article_text(F.col("x.text_article")).alias("a")).first()
     assert r.t == "a & b d" and r.a == "a & b\nd"
 
 
