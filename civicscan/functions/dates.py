@@ -18,8 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTH_KEYS = "janfebmaraprmayjunjulaugsepoctnovdec"
-MONTH_WORD = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-              r"|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+MONTH_NAMES = [name for word in ("january february march april may june july august september october november december").split()
+               for name in dict.fromkeys((word[:3], word))] + ["sept"]
 
 #: Times of day, numbers with an ordinal's ending, words, and any other character.
 TOKEN_RE = r"(?i)\d{1,2}\s*[ap]\.?m\b|\d{1,2}:\d{2}(?::\d{2})?|\d+(?:(?:st|nd|rd|th)\b)?|[a-z]+|[^a-z\d]"
@@ -29,15 +29,20 @@ BLANK, DASH, DOT, TIME, MONTH, YEAR, TWO, ONE, WHOLE, ODD, WORD, OTHER = range(1
 
 
 def _token(t: str) -> str:
-    """Spark SQL text: (kind, value) of a token."""
-    size = f"length(regexp_extract({t}, '^[0-9]+', 0))"
-    number = (f"CASE WHEN {t} RLIKE '(?i)^[0-9]+(:|\\\\s*[ap]\\\\.?m)' THEN {TIME} WHEN {size} = 1 OR {size} = 2 AND length({t}) > 2 THEN {ONE} "
-              f"WHEN {size} = 2 THEN {TWO} WHEN {size} = 4 THEN {YEAR} WHEN {size} IN (8, 12, 14) THEN {WHOLE} ELSE {ODD} END")
-    kind = (f"CASE WHEN {t} RLIKE '^[0-9]' THEN {number} WHEN {t} RLIKE '(?i)^{MONTH_WORD}$' THEN {MONTH} "
-            f"WHEN lower({t}) IN (',', 'of', '’', '\\'') OR trim({t}) = '' OR {t} RLIKE '^\\\\s$' THEN {BLANK} WHEN {t} IN ('-', '/') THEN {DASH} "
-            f"WHEN {t} = '.' THEN {DOT} WHEN {t} RLIKE '(?i)^[a-z]' THEN {WORD} ELSE {OTHER} END")
-    value = (f"coalesce(try_cast(regexp_extract({t}, '^[0-9]{{1,8}}', 0) AS INT), "
-             f"CAST((instr('{MONTH_KEYS}', lower(left({t}, 3))) + 2) / 3 AS INT))")
+    """Spark SQL text: (kind, value) of a token, by its length and its ends (no pattern is run again)."""
+    ends_in_digit = f"right({t}, 1) BETWEEN '0' AND '9'"
+    number = (f"CASE WHEN instr({t}, ':') > 0 OR lower(right({t}, 1)) = 'm' THEN {TIME} "
+              f"WHEN NOT {ends_in_digit} THEN IF(length({t}) <= 4, {ONE}, {ODD}) "
+              f"ELSE CASE length({t}) WHEN 1 THEN {ONE} WHEN 2 THEN {TWO} WHEN 4 THEN {YEAR} WHEN 8 THEN {WHOLE} WHEN 12 THEN {WHOLE} "
+              f"WHEN 14 THEN {WHOLE} ELSE {ODD} END END")
+    names, blanks = ", ".join(f"'{n}'" for n in MONTH_NAMES), "' ', ',', 'of', '\\t', '\\n', '\\r', '\u00a0', '\u2019', '\\''"
+    kind = (f"CASE WHEN left({t}, 1) BETWEEN '0' AND '9' THEN {number} WHEN lower({t}) IN ({blanks}) THEN {BLANK} "
+            f"WHEN {t} IN ('-', '/') THEN {DASH} WHEN {t} = '.' THEN {DOT} WHEN lower({t}) IN ({names}) THEN {MONTH} "
+            f"WHEN lower(left({t}, 1)) BETWEEN 'a' AND 'z' THEN {WORD} ELSE {OTHER} END")
+    # nothing that isn't digits is cast: a failing cast costs more than all the rest
+    value = (f"CASE WHEN left({t}, 1) NOT BETWEEN '0' AND '9' THEN IF(lower({t}) IN ({names}), CAST((instr('{MONTH_KEYS}', lower(left({t}, 3))) + 2) DIV 3 AS INT), 0) "
+             f"WHEN instr({t}, ':') > 0 OR lower(right({t}, 1)) = 'm' THEN 0 WHEN {ends_in_digit} THEN CAST(left({t}, 8) AS INT) "
+             f"ELSE CAST(left({t}, least(8, length({t}) - 2)) AS INT) END")
     return f"named_struct('k', {kind}, 'v', {value})"
 
 
