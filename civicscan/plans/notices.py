@@ -19,7 +19,7 @@ from .. import schemas
 from ..functions import dates as D
 from ..operators import articles, dates, responses, utilities
 from ..operators.feed import first_per_link, keep_first
-from ..operators.joins import salted_lookup
+from ..operators.joins import keep_asked, salted_lookup
 from ..session import materialize
 
 
@@ -27,11 +27,11 @@ def pages_for(crawl: DataFrame, urls: DataFrame, name: str) -> DataFrame:
     """The crawled pages of the requested ``urls`` (one column, repeats allowed).
 
     The distinct urls are written to the shared folder first: they are
-    computed once, and the planner knows their size when it chooses how to cut
-    the crawl, before any HTML is parsed.  The pages are the same either way.
+    computed once, and counted to size the filter that cuts the crawl where it
+    is scanned, before any HTML is parsed or shuffled.
     """
     wanted = materialize(urls.toDF("_url").distinct(), name)
-    return crawl.join(wanted, crawl.url == wanted["_url"], "left_semi")
+    return keep_asked(crawl, "url", wanted)
 
 
 def dates_by_url(crawl: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def summary_advisories(utilities_df: DataFrame, news_log: DataFrame, crawl: Data
         F.coalesce("publish_date", F.lit("")).alias("publish_date"))
     stored = responses.one_answer(extract_log, "input_text", "response").withColumnRenamed("input_text", "summary")
     # many results may carry the same summary
-    answers = salted_lookup(extras, stored, "summary").where(F.col("response").isNotNull())
+    answers = salted_lookup(extras, stored, "summary", like=hits).where(F.col("response").isNotNull())
     return responses.advisories_carrying(answers, ["utility_id", "rank"],
                                          ["county", "state", "link", "summary", "publish_date"])
 
