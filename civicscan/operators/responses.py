@@ -2,18 +2,22 @@
 flat shapes), top-N, url lists, snippet / verdict tests, prompt text, and
 structured advisory extraction from model responses with a quarantine.
 
-All operators are narrow (from_json + generators); nothing shuffles.
+All operators are narrow (a parse + generators); nothing shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .. import schemas
 from ..functions import jsonx
+from ..session import ship_package
 
 
 def _ids(ids: Sequence[str]) -> list[Column]:
@@ -126,36 +130,44 @@ def model_texts(df: DataFrame, ids: Sequence[str] = ("doc_id",), content: str =
 
 # ------------------------------------------------------------------ advisories
 
-def _advisory_status(j: Column, lenient: bool) -> tuple[Column, Column]:
-    """(reason or null, array of item variants) for the extracted JSON text ``j``."""
-    if lenient:
-        as_map = F.from_json(jsonx.strip_trailing_commas(j), "map<string,string>", jsonx.LENIENT_OPTIONS)
-        # the lenient reader writes a nested value back as strict JSON text
-        items = F.try_variant_get(F.try_parse_json(F.element_at(as_map, F.lit("advisories"))), "$", "array<variant>")
-        readable = as_map.isNotNull()
-    else:
-        v = jsonx.strict_json(j)
-        items = F.try_variant_get(v, "$.advisories", "array<variant>")
-        readable = v.isNotNull()
-    reason = (F.when(j == F.lit(""), "no_json").when(~readable, "invalid_json").when(items.isNull(), "no_advisories"))
-    return reason, items
+ADVISORY_FIELDS = ("type", "location", "start_date", "end_date", "publish_date")
+READ_TYPE = ("struct<reason:string,items:array<struct<is_object:boolean," + ",".join(f"{f}:string" for f in ADVISORY_FIELDS) + ">>>")
 
 
-def _checked(df: DataFrame, text: str, lenient: bool) -> DataFrame:
-    j = jsonx.first_json_object(F.col(text))
-    reason, items = _advisory_status(j, lenient)
-    return df.withColumn("_reason", reason).withColumn("_items", items)
+def _field(item: dict, name: str) -> str | None:
+    """the items of a list-valued location joined, any other value as text."""
+    value = item.get(name)
+    if name == "location" and isinstance(value, list):
+        return ", ".join(t for t in map(jsonx.as_text, value) if t is not None)
+    return jsonx.as_text(value)
 
 
-def _is_item(a: Column) -> Column:
-    return F.coalesce(jsonx.json_kind(a) == F.lit("OBJECT"), F.lit(False))
+def read_advisories(text: str | None, lenient: bool = False) -> dict:
+    """The advisories of one extracted JSON text, in one parse: why there are
+    none, or its items with their fields as text."""
+    if text == "":
+        return {"reason": "no_json", "items": None}
+    try:
+        value = (jsonx.read_lenient if lenient else jsonx.read_strict)(text or "")
+    except ValueError:
+        return {"reason": "invalid_json", "items": None}
+    items = value.get("advisories") if isinstance(value, dict) else None
+    if not isinstance(items, list):
+        return {"reason": "no_advisories", "items": None}
+    return {"reason": None, "items": [{"is_object": isinstance(a, dict)} | {f: _field(a, f) if isinstance(a, dict) else None for f in ADVISORY_FIELDS}
+                                      for a in items]}
 
 
-def _location_text(a: Column) -> Column:
-    """the items of a list-valued location joined, any other value as text."""
-    as_list = F.try_variant_get(a, "$.location", "array<string>")
-    return F.when(jsonx.json_kind(a, "$.location") == F.lit("ARRAY"), F.array_join(as_list, ", ")) \
-        .otherwise(F.try_variant_get(a, "$.location", "string"))
+def _read(df: DataFrame, text: str, lenient: bool) -> Column:
+    """F14 + F15 / F16: struct(reason, items) of the JSON in a response text."""
+    ship_package(df.sparkSession)
+    schema = T._parse_datatype_string(READ_TYPE)
+    kind = to_arrow_type(schema)
+
+    def read(texts: pa.Array) -> pa.Array:
+        return pa.array([read_advisories(t, lenient) for t in texts.to_pylist()], kind)
+
+    return F.arrow_udf(read, schema)(jsonx.first_json_object(F.col(text)))
 
 
 def advisories(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "response",
@@ -163,14 +175,11 @@ def advisories(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "res
     """X13 + J10 + F17 + F18: one normalised row per advisory object; the
     parent columns (``ids``) repeat on each.  ``adv_pos`` counts all items of
     the response; items of another kind are in ``advisories_rejected``."""
-    checked = _checked(df, text, lenient).where(F.col("_reason").isNull())
-    ex = _unpack(checked, ids, F.col("_items"), "a").where(_is_item(F.col("a")))
-    a = F.col("a")
-    field = lambda name: F.try_variant_get(a, f"$.{name}", "string")
+    read = df.withColumn("_read", _read(df, text, lenient))
+    ex = _unpack(read, ids, F.col("_read.items"), "a").where(F.col("a.is_object"))
     return ex.select(*_ids(ids), (F.col("pos") + 1).cast("bigint").alias("adv_pos"),
-                     F.coalesce(field("type"), F.lit("")).alias("type"),
-                     F.coalesce(_location_text(a), F.lit("")).alias("location"),
-                     *[jsonx.nullish(field(d)).alias(d) for d in ("start_date", "end_date", "publish_date")])
+                     *[F.coalesce(F.col(f"a.{f}"), F.lit("")).alias(f) for f in ("type", "location")],
+                     *[jsonx.nullish(F.col(f"a.{d}")).alias(d) for d in ("start_date", "end_date", "publish_date")])
 
 
 def advisories_rejected(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "response",
@@ -178,9 +187,9 @@ def advisories_rejected(df: DataFrame, ids: Sequence[str] = ("doc_id",), text: s
     """P20 quarantine, with the reason: responses that are not a JSON object
     with an ``advisories`` array, and one row per response with items that are
     not objects (its other items are still advisories)."""
-    odd = F.exists(F.col("_items"), lambda a: ~_is_item(a))
-    checked = _checked(df, text, lenient).withColumn(
-        "_reason", F.coalesce(F.col("_reason"), F.when(odd, "item_not_object")))
+    odd = F.exists(F.col("_read.items"), lambda a: ~a.getField("is_object"))
+    reason = F.coalesce(F.col("_read.reason"), F.when(odd, "item_not_object"))
+    checked = df.withColumn("_read", _read(df, text, lenient)).withColumn("_reason", reason)
     # tested on a generator output, so the parse isn't repeated below the projection
     return (checked.select(*_ids(ids), F.explode_outer(F.array("_reason")).alias("reason"))
             .where(F.col("reason").isNotNull()))

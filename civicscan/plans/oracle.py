@@ -181,9 +181,11 @@ ORACLE["prompt_text"] = ("SELECT doc_id, concat('Article text:', chr(10), text,
 
 ADV_CTES = duckdb_ctes("fx_llm", "fx_search", "fx_utilities") + """,
 adv_j AS (SELECT doc_id, regexp_extract(response, '(?s)\\{.*\\}', 0) AS j FROM fx_llm),
-adv_checked AS (SELECT doc_id, j, CASE WHEN j = '' THEN 'no_json' WHEN NOT json_valid(j) THEN 'invalid_json'
-   WHEN coalesce(json_type(j, '$.advisories') <> 'ARRAY', true) THEN 'no_advisories' END AS reason FROM adv_j),
-adv_arr AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM adv_checked WHERE reason IS NULL),
+adv_last AS (SELECT doc_id, arg_max(e.value, e.id) AS v FROM (SELECT doc_id, CASE WHEN json_valid(j) THEN j ELSE '{}' END AS j FROM adv_j) o, json_each(o.j) e
+   WHERE e.key = 'advisories' GROUP BY doc_id),
+adv_checked AS (SELECT a.doc_id, v, CASE WHEN j = '' THEN 'no_json' WHEN NOT json_valid(j) THEN 'invalid_json'
+   WHEN coalesce(json_type(v) <> 'ARRAY', true) THEN 'no_advisories' END AS reason FROM adv_j a LEFT JOIN adv_last l ON a.doc_id = l.doc_id),
+adv_arr AS (SELECT doc_id, CAST(v AS JSON[]) AS arr FROM adv_checked WHERE reason IS NULL),
 adv_all AS (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM adv_arr),
 adv_items AS (SELECT * FROM adv_all WHERE json_type(a) = 'OBJECT'),
 adv AS (SELECT doc_id, adv_pos,
@@ -597,8 +599,9 @@ def _adv_chain(src: str, ids: list[str], p: str) -> str:
 
     return f""",
 {p}_j AS (SELECT {idl}, regexp_extract(response, '(?s)\\{{.*\\}}', 0) AS j FROM {src}),
-{p}_ok AS (SELECT {idl}, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM {p}_j
-   WHERE j <> '' AND json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
+{p}_last AS (SELECT {idl}, arg_max(e.value, e.id) AS v FROM (SELECT {idl}, CASE WHEN json_valid(j) THEN j ELSE '{{}}' END AS j FROM {p}_j) o, json_each(o.j) e
+   WHERE e.key = 'advisories' GROUP BY {idl}),
+{p}_ok AS (SELECT {idl}, CAST(v AS JSON[]) AS arr FROM {p}_last WHERE json_type(v) = 'ARRAY'),
 {p}_items AS (SELECT * FROM (SELECT {idl}, unnest(arr) AS a FROM {p}_ok) x WHERE json_type(a) = 'OBJECT'),
 {p}_adv AS (SELECT {idl}, coalesce(json_extract_string(a, '$.type'), '') AS type,
    coalesce(CASE WHEN json_type(a, '$.location') = 'ARRAY'
@@ -675,18 +678,18 @@ FROM k6_adv a JOIN enriched e ON a.county_fips = e.county_fips AND a.rank = e.ra
 
 
 # ---------------------------------------------------------------- X13 lenient (F16)
-# Independent of Spark's parser options: the DuckDB twin rewrites the text to
-# strict JSON (trailing commas dropped, bare keys quoted, single quotes made
-# double) and then parses strictly.
+# Independent of the engine's scanner: a text that is no JSON is rewritten by
+# patterns (trailing commas dropped, bare keys quoted, single quotes made double).
 
 ORACLE["advisories_lenient"] = duckdb_ctes("fx_llm") + r"""
 , lj AS (SELECT doc_id, regexp_extract(response, '(?s)\{.*\}', 0) AS j FROM fx_llm),
-lj2 AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(j,
+lj2 AS (SELECT doc_id, CASE WHEN json_valid(j) THEN j ELSE regexp_replace(regexp_replace(regexp_replace(j,
    ',\s*([}\]])', '\1', 'g'),
    '([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', '\1"\2":', 'g'),
-   '''([^'']*)''', '"\1"', 'g') AS j FROM lj WHERE j <> ''),
-lok AS (SELECT doc_id, CAST(json_extract(j, '$.advisories') AS JSON[]) AS arr FROM lj2
-   WHERE json_valid(j) AND json_type(j, '$.advisories') = 'ARRAY'),
+   '''([^'']*)''', '"\1"', 'g') END AS j FROM lj WHERE j <> ''),
+llast AS (SELECT doc_id, arg_max(e.value, e.id) AS v FROM (SELECT doc_id, CASE WHEN json_valid(j) THEN j ELSE '{}' END AS j FROM lj2) o, json_each(o.j) e
+   WHERE e.key = 'advisories' GROUP BY doc_id),
+lok AS (SELECT doc_id, CAST(v AS JSON[]) AS arr FROM llast WHERE json_type(v) = 'ARRAY'),
 litems AS (SELECT * FROM (SELECT doc_id, unnest(arr) AS a, CAST(generate_subscripts(arr, 1) AS BIGINT) AS adv_pos FROM lok) x WHERE json_type(a) = 'OBJECT')
 SELECT doc_id, adv_pos,
    coalesce(json_extract_string(a, '$.type'), '') AS type,

@@ -91,7 +91,7 @@ SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '{"kind":"customsearch#search"}' E
 
 # Model responses from ``documents``.
 FX_LLM = r"""
-SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Sure: {"advisories":[{"type":"E","location":"Richmond","start_date":"2024-01-02","end_date":null},{"type":"P","location":["Austin","Waco"],"start_date":"null","end_date":"2024-02-03"}]} done' WHEN 1 THEN '{"advisories":[]}' WHEN 2 THEN '{"advisories":"none"}' WHEN 3 THEN 'YES I cannot help' WHEN 4 THEN '{}' WHEN 5 THEN '{advisories:[{type:"P",location:"Ohio",}]}' ELSE '{"advisories":[{"type":"P","location":"Erie","start_date":"2024-05-06"},"none",null]}' END AS response FROM ${documents}
+SELECT doc_id, CASE WHEN doc_id % 77 = 20 THEN '{"advisories":[],"advisories":[{"type":"D","location":"Last"}]}' WHEN doc_id % 77 = 31 THEN '{"score":NaN,"advisories":[{"type":"N","location":"x, ]y","start_date":"a,}b"}]}' ELSE CASE doc_id % 7 WHEN 0 THEN 'Sure: {"advisories":[{"type":"E","location":"Richmond","start_date":"2024-01-02","end_date":null},{"type":"P","location":["Austin","Waco"],"start_date":"null","end_date":"2024-02-03"}]} done' WHEN 1 THEN '{"advisories":[]}' WHEN 2 THEN '{"advisories":"none"}' WHEN 3 THEN 'YES I cannot help' WHEN 4 THEN '{}' WHEN 5 THEN '{advisories:[{type:"P",location:"Ohio",}]}' ELSE '{"advisories":[{"type":"P","location":"Erie","start_date":"2024-05-06"},"none",null]}' END END AS response FROM ${documents}
 """
 
 # Collected search responses keyed by request text, as a search service
