@@ -6,6 +6,12 @@ lexicographic order of the keys, and compares each with a bounded window of
 neighbours in that order.  Pairs whose cosine, in double precision, reaches
 the threshold are links; the links of all passes are united into components.
 
+How many bits of a key single out a window depends on how the vectors of a
+label lie.  A first round makes the passes that evenly spread vectors need.
+What it joined counts as one vector; where more of a label's vectors than a
+window takes still agree in that many bits, the bits are measured and the label
+gets the further passes that they call for.
+
 A window bounds how many partners a pass can show a vector, so in dense groups
 it finds enough links to connect them but not all.  All links of a vector lie
 in its component; there they are counted exactly, block against block, without
@@ -25,25 +31,47 @@ from pyspark.sql import functions as F
 from civicscan.llm.common import Forest, components, map_arrow, materialize, ship_package
 
 THRESHOLD = 0.98
-WINDOW = 48
+WINDOW = 128
 KEY_BITS = 62
 SEED = 11
 #: Probability of missing a pair at the threshold in every pass.
 MISS = 1e-4
+#: Lengths of key prefixes that are measured, and the share of a label's vectors that may be in a crowd beyond a window.
+PREFIXES = range(0, 61, 4)
+CROWDED = 0.01
 #: Vectors of a component compared in one block.
-PART = 256
+PART = 2048
 
 
-def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
+def passes_by_bits(bits: float, threshold: float = THRESHOLD, miss: float = MISS) -> int:
     """Passes that leave a pair at the threshold unseen with probability
-    ``miss``, among ``rows`` vectors of a label: a pass shows it if their keys
-    agree in as many bits as single out a window."""
+    ``miss``, if a pass shows it when their keys agree in ``bits`` bits."""
     agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    bits = max(1.0, math.log2(max(1, rows) / window) + 1)
     seen = min(agree ** bits, 1 - 1e-9)
     return max(2, math.ceil(math.log(miss) / math.log1p(-seen)))
 
 
+def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
+    """Passes for ``rows`` vectors of a label that point evenly in all
+    directions, so that each bit halves them."""
+    return passes_by_bits(max(1.0, math.log2(max(1, rows) / window) + 1), threshold, miss)
+
+
+def crowding(reps: DataFrame, first: int, threshold: float, window: int, miss: float, seed: int, kind: str) -> DataFrame:
+    """``label, dim, passes`` of the labels that need more than ``first``
+    passes: those of the shortest key prefix that leaves all but ``CROWDED`` of
+    the label's vectors in groups that half a window holds."""
+    keyed = _keyed(reps, 0, 1, seed, kind).select("label", "dim", "key")
+    prefix = F.transform(F.array(*[F.lit(b) for b in PREFIXES]), lambda b: F.struct(
+        b.alias("bits"), F.call_function("shiftright", F.col("key"), F.lit(KEY_BITS) - b).alias("p")))
+    groups = keyed.select("label", "dim", F.inline(prefix)).groupBy("label", "dim", "bits", "p").agg(F.count("*").alias("c"))
+    crowded = F.sum(F.when(F.col("c") > window // 2, F.col("c")).otherwise(0)) / F.sum("c")
+    shares = groups.groupBy("label", "dim", "bits").agg(crowded.alias("share"))
+    bits = shares.groupBy("label", "dim").agg(F.coalesce(F.min(F.when(F.col("share") <= CROWDED, F.col("bits"))), F.lit(KEY_BITS)).alias("bits"))
+    needed = F.array(*[F.lit(passes_by_bits(b, threshold, miss)) for b in range(KEY_BITS + 1)])
+    return bits.select("label", "dim", F.get(needed, F.col("bits")).alias("passes")).filter(F.col("passes") > first)
+
+
 def _planes(dim: int, p: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, p, dim]).standard_normal((dim, KEY_BITS))
 
@@ -71,25 +99,26 @@ def _rows(df: DataFrame, id_col: str, vec_col: str, label_col: str, kind: str) -
     return map_arrow(rows, run, "id long, label string, dim int, vec binary", rows=2048)
 
 
-def _keyed(reps: DataFrame, passes: int, seed: int, kind: str) -> DataFrame:
-    """One row per pass and vector: ``pass, key`` and the vector."""
+def _keyed(reps: DataFrame, first: int, end: int, seed: int, kind: str) -> DataFrame:
+    """One row per vector and pass from ``first`` up to ``end``: ``pass, key`` and the vector."""
 
     def run(c):
         n = len(c["node"])
-        keys = np.zeros((passes, n), np.int64)
+        keys = np.zeros((end - first, n), np.int64)
         dims = np.array(c["dim"])
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
             x = _matrix([c["vec"][i] for i in at], int(d), kind)
-            for p in range(passes):
+            for p in range(first, end):
                 bits = x @ _planes(int(d), p, seed) > 0
-                keys[p, at] = bits @ (1 << np.arange(KEY_BITS, dtype=np.int64))
+                keys[p - first, at] = bits @ (1 << np.arange(KEY_BITS, dtype=np.int64))
         return {"node": c["node"], "label": pa.array(c["label"], pa.string()), "dim": pa.array(c["dim"], pa.int32()),
                 "vec": pa.array(c["vec"], pa.binary()), "keys": pa.array(list(keys.T), pa.list_(pa.int64()))}
 
     keyed = map_arrow(reps.select("node", "label", "dim", "vec"), run,
                       "node long, label string, dim int, vec binary, keys array<long>", rows=2048)
-    return keyed.select("node", "label", "dim", "vec", F.posexplode("keys").alias("pass", "key"))
+    return (keyed.select("node", "label", "dim", "vec", F.posexplode("keys").alias("at", "key"))
+            .select("node", "label", "dim", "vec", (F.col("at") + first).alias("pass"), "key"))
 
 
 def _window_links(keyed: DataFrame, rows: int, window: int, threshold: float, kind: str) -> DataFrame:
@@ -171,6 +200,19 @@ def _window_links(keyed: DataFrame, rows: int, window: int, threshold: float, ki
     return found.filter("side is null").select("u", "v").unionByName(seam)
 
 
+def _linked(reps: DataFrame, first: int, end: int, rows: int, window: int, threshold: float, seed: int, kind: str,
+            known: DataFrame | None = None) -> DataFrame:
+    """``node, component`` after the passes from ``first`` up to ``end`` (up to
+    a row's own ``passes`` if it has that), joined to what is ``known``."""
+    keyed = _keyed(reps, first, end, seed, kind)
+    if "passes" in reps.columns:
+        keyed = keyed.join(reps.select("node", "passes"), "node").filter(F.col("pass") < F.col("passes")).drop("passes")
+    links = _window_links(keyed, rows, window, threshold, kind)
+    if known is not None:
+        links = links.unionByName(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    return materialize(components(links, "embed-cc"), "embed-linked")
+
+
 def _counts(members: DataFrame, sizes: DataFrame, threshold: float, kind: str, part: int) -> DataFrame:
     """``node, linked``: copies of other vectors linked to each node, exactly.
 
@@ -235,10 +277,19 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             .withColumn("node", F.monotonically_increasing_id()))
     reps = materialize(reps, "embed-vectors")
     largest = reps.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("m"), F.sum("n").alias("s")).first()
-    if passes is None:
+    given = passes is not None
+    if not given:
         passes = passes_for(largest["m"] or 0, threshold, window)
-    keyed = _keyed(reps, passes, seed, kind)
-    comp = components(_window_links(keyed, (largest["s"] or 0) * passes, window, threshold, kind), "embed-cc")
+    comp = _linked(reps, 0, passes, (largest["s"] or 0) * passes, window, threshold, seed, kind)
+    if not given:
+        # what is joined counts as one vector, so that copies are no crowd
+        joined = comp.filter("node <> component").select("node")
+        more = materialize(crowding(reps.join(joined, "node", "left_anti"), passes, threshold, window, MISS, seed, kind), "embed-crowds")
+        need = more.agg(F.max("passes")).first()[0]
+        if need:
+            crowd = reps.join(more, ["label", "dim"])
+            rows_more = crowd.agg(F.sum(F.col("passes") - passes)).first()[0]
+            comp = _linked(crowd, passes, need, rows_more, window, threshold, seed, kind, comp)
     comp = materialize(reps.select("node", "dim", "vec", "n", "low", *[c for c in key if c != "dim"]).join(comp, "node"), "embed-members")
     best = comp.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("m"))
     linked = _counts(comp.select("component", "node", "n", "dim", "vec"), best.select("component", "m"), threshold, kind, part)

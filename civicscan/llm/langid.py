@@ -24,8 +24,9 @@ from civicscan.llm.common import map_arrow, ship_package, worker_state
 
 #: Bounds of the labelled sample a model is fitted on.
 TRAIN_DOCS = 250  # documents of each language
-TRAIN_CHARS = 4000  # characters of each, from its start
-TRAIN_WORDS = 80  # words of a training sequence
+TRAIN_CHARS = 4000  # characters of each, from a seeded place of the whole text
+TRAIN_WORDS = 80  # words of a training sequence, from a seeded place of those
+TRAIN_LANGS = 64  # languages, the most frequent ones
 FEATURE_BITS = 18
 NGRAM = 4
 STEPS = 40
@@ -111,7 +112,10 @@ def train(sample: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) -> M
     model = Model(labels, np.zeros((1 << FEATURE_BITS, k)), np.zeros((k, k)), np.zeros(k))
     if k < 2 or not docs:
         return model
-    sequences = [(w[:TRAIN_WORDS], [y] * min(len(w), TRAIN_WORDS)) for w, y in docs]
+    sequences = []
+    for w, y in docs:
+        at = int(rng.integers(max(1, len(w) - TRAIN_WORDS + 1)))
+        sequences.append((w[at:at + TRAIN_WORDS], [y] * len(w[at:at + TRAIN_WORDS])))
     for _ in range(len(docs) // 2):  # texts that switch language
         words: list[str] = []
         ys: list[int] = []
@@ -292,9 +296,12 @@ def held_out(id_col: str):
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         docs: int = TRAIN_DOCS) -> Model:
-    """Fit on up to ``docs`` texts of each language that aren't held out: those
-    with the smallest text hashes, up to ``TRAIN_CHARS`` characters of each."""
+    """Fit on up to ``docs`` texts of each of the ``TRAIN_LANGS`` most frequent
+    languages that aren't held out: those with the smallest text hashes, and
+    ``TRAIN_CHARS`` characters of each from a place its hash names."""
     known = df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    frequent = known.groupBy(lang_col).count().orderBy(F.col("count").desc(), lang_col).limit(TRAIN_LANGS).collect()
+    known = known.filter(F.col(lang_col).isin([r[0] for r in frequent]))
     rows = known.select(F.col(lang_col).alias("y"), F.xxhash64(text_col).alias("h")).distinct()
     rows = rows.withColumn("range", F.shiftright("h", 54))
     # a language may hold most rows: its smallest hashes are found by counts of hash ranges first
@@ -312,7 +319,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     chosen = F.lit(False)
     for y, h in sorted(top.items()):
         chosen = chosen | ((F.col(lang_col) == y) & (F.xxhash64(text_col) <= h))
-    sample = known.filter(chosen).select(F.substring(text_col, 1, TRAIN_CHARS).alias("t"), F.col(lang_col).alias("y")).distinct()
+    places = F.greatest(F.length(text_col) - TRAIN_CHARS + 1, F.lit(1))
+    window = F.substr(F.col(text_col), F.pmod(F.xxhash64(text_col, F.lit(1)), places).cast("int") + 1, F.lit(TRAIN_CHARS))
+    sample = known.filter(chosen).select(window.alias("t"), F.col(lang_col).alias("y")).distinct()
     return train(sorted((r["t"], r["y"]) for r in sample.collect()))
 
 

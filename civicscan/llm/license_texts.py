@@ -4,6 +4,9 @@
 TEMPLATES: dict[str, list[str]] = {
     "agpl-3.0": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "See the GNU Affero General Public License for more details.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
         "Released under the AGPL-3.0 license.",
@@ -51,6 +54,7 @@ TEMPLATES: dict[str, list[str]] = {
         "SPDX-License-Identifier: CC0-1.0",
     ],
     "gpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
@@ -66,6 +70,7 @@ TEMPLATES: dict[str, list[str]] = {
         "SPDX-License-Identifier: ISC",
     ],
     "lgpl": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "Released under the LGPL-2.1 license.",

@@ -1,7 +1,8 @@
-"""Licence scans: a sparse word n-gram logistic regression over passages.
+"""Licence scans: a sparse word n-gram logistic regression over paragraphs.
 
-A text's passages are the sentences of its lines.  Those with a trigger word
-are scored: each word n-gram of the passage that the model knows adds its
+A text's paragraphs are its runs between blank lines, whatever their line
+breaks.  A long one is cut into overlapping windows of words.  Paragraphs and
+windows with a trigger word are scored: each word n-gram of the passage that the model knows adds its
 weights, scaled by the root of their number, and a softmax at a calibrated temperature gives class probabilities
 over the licence families, ``unknown`` (licence wording of no known family)
 and ``none``.  A family counts when its probability is high enough and the
@@ -30,7 +31,9 @@ from civicscan.llm.license_texts import TEMPLATES
 TRIGGERS = ["licen", "copyright", "rights reserved", "gpl", "spdx", "public domain", "creative commons", "cc by", "cc-by", "cc0",
             "redistribut", "warrant", "permission", "permitted provided", "proprietary", "reproduced"]
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
-SENTENCE_END = r"(?<=[.!?;:])\s+|\n"
+BLANK_LINE = r"\n[ \t\r\f\x0B]*\n"
+#: Words of a window, and from one window's start to the next one's.
+WINDOW_WORDS, WINDOW_STEP = 40, 20
 #: Variations of each passage in the training set, and in the set the temperature is fitted on.
 VARIATIONS, HELD_VARIATIONS = 10, 5
 L1 = 1e-5
@@ -75,10 +78,11 @@ def _variations(text: str, n: int, rng: np.random.Generator) -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def train(seed: int = 3, steps: int = 250) -> Model:
-    """Multinomial logistic regression with an L1 penalty, by proximal gradient steps with momentum."""
+def train(seed: int = 3, steps: int = 250, without: str | None = None) -> Model:
+    """Multinomial logistic regression with an L1 penalty, by proximal gradient
+    steps with momentum; ``without`` leaves a family out, to see what becomes of it."""
     rng = np.random.default_rng(seed)
-    classes = sorted(TEMPLATES)
+    classes = sorted(set(TEMPLATES) - {without})
     rows = [(v, y) for y, c in enumerate(classes) for t in TEMPLATES[c] for v in _variations(t, VARIATIONS, rng)]
     held = [(v, y) for y, c in enumerate(classes) for t in TEMPLATES[c] for v in _variations(t, HELD_VARIATIONS, rng)[1:]]
     vocabulary = sorted({g for c in classes for t in TEMPLATES[c] for g in grams(t)})
@@ -137,9 +141,9 @@ def _grams(words: Column) -> Column:
 
 
 def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, found``: the licence passages of every row, as structs of
-    ``at`` (passage number), ``passage``, ``family``, ``probability`` and
-    ``similarity``.
+    """``id, found``: the licence passages of every row, as structs of ``at``
+    (paragraph number), ``word`` (its first word's number there), ``passage``
+    (its words in lower case), ``family``, ``probability`` and ``similarity``.
 
     Null and empty texts have none.  Rows are scored one by one: repeated rows
     and null ids are returned as they come, and an empty table gives an empty
@@ -155,12 +159,19 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                            for c in model.classes}, "map<string,array<array<string>>>")
     text = F.col(text_col)
     # a text without a trigger is not even split
-    split = F.when(_any_trigger(F.lower(text)), F.split(text, SENTENCE_END)).otherwise(F.array().cast("array<string>"))
+    split = F.when(_any_trigger(F.lower(text)), F.split(text, BLANK_LINE)).otherwise(F.array().cast("array<string>"))
     rows = df.select(F.col(id_col).alias("id"), split.alias("all"))
-    rows = rows.select("id", F.filter(F.transform("all", lambda p, i: F.struct(i.alias("at"), p.alias("passage"))),
-                                      lambda x: _any_trigger(F.lower(x.passage))).alias("x"))
-    rows = rows.select("id", F.transform("x", lambda x: F.struct(x.at.alias("at"), x.passage.alias("passage"), F.regexp_extract_all(
-        F.lower(x.passage), F.lit(f"({WORD})"), F.lit(1)).alias("words"))).alias("x"))
+    rows = rows.select("id", F.filter(F.transform("all", lambda p, i: F.struct(i.alias("at"), p.alias("text"))),
+                                      lambda x: _any_trigger(F.lower(x.text))).alias("x"))
+    rows = rows.select("id", F.transform("x", lambda x: F.struct(x.at.alias("at"), F.regexp_extract_all(
+        F.lower(x.text), F.lit(f"({WORD})"), F.lit(1)).alias("words"))).alias("x"))
+    # the last window begins where fewer words than a step would be left for another
+    starts = lambda words: F.sequence(F.lit(0), F.greatest(F.size(words) - (WINDOW_WORDS - WINDOW_STEP) - 1, F.lit(0)), F.lit(WINDOW_STEP))
+    rows = rows.select("id", F.flatten(F.transform("x", lambda x: F.transform(starts(x.words), lambda i: F.struct(
+        x.at.alias("at"), i.alias("word"), F.slice(x.words, i + 1, WINDOW_WORDS).alias("words"))))).alias("x"))
+    rows = rows.select("id", F.filter(F.transform("x", lambda x: F.struct(
+        x.at.alias("at"), F.struct(x.word.alias("word"), F.array_join(x.words, " ").alias("text")).alias("passage"), x.words.alias("words"))),
+        lambda x: _any_trigger(x.passage.text)).alias("x"))
     rows = rows.select("id", F.transform("x", lambda x: F.struct(
         x.at.alias("at"), x.passage.alias("passage"), _pairs(x.words).alias("pairs"),
         F.array_intersect(_grams(x.words), known).alias("grams"))).alias("x"))
@@ -183,7 +194,7 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                                 / F.greatest(F.least(F.size(t), F.size(x.pairs)), F.lit(1)))).alias("similarity"))).alias("x"))
     sure = lambda x: (x.best.p >= CONFIDENT) & (x.similarity >= SIMILAR)
     return rows.select("id", F.filter(F.transform("x", lambda x: F.struct(
-        x.at.alias("at"), x.passage.alias("passage"),
+        x.at.alias("at"), x.passage.word.alias("word"), x.passage.text.alias("passage"),
         F.when((x.best.c == "none") | sure(x), x.best.c).when(x.none < DOUBT, "unknown").otherwise("none").alias("family"),
         x.best.p.alias("probability"), x.similarity.alias("similarity"))), lambda x: x.family != "none").alias("found"))
 

@@ -11,17 +11,20 @@ it, as MIN_WORDS + WINDOW_WORDS is no more than OVER_WORDS + 1, so both copies
 of every passage select the same one.
 
 A selected shingle may be shorter than a passage, and then its first occurrence
-says nothing about longer runs.  So the fingerprints are the shortest runs of
-over OVER_WORDS words that hold it; a passage that holds the shingle holds one
-of them.  Occurrences of a fingerprint are joined with its first one, in order
-of document id and line; the match is extended both ways over equal lines; the
-later run is deleted.  Each deleted line stands, in the same order, in an
-earlier place, in a run of over OVER_WORDS words.
+says nothing about longer runs.  So the fingerprints are the runs of over
+OVER_WORDS words that hold it and are the shortest ones from their first line
+on or up to their last line.  Every line of a passage lies in one of these that
+lies in the passage: those from a line on cover it up to the last that fits,
+and the one that ends with the passage begins no later than that.  Occurrences
+of a fingerprint are joined with its first one, in order of document id and
+line; the match is extended both ways over equal lines; the later run is
+deleted.  Each deleted line stands, in the same order, in an earlier place, in
+a run of over OVER_WORDS words.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,17 +71,25 @@ def shingles(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, wind
 
 def winnow(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS, window: int = WINDOW_WORDS,
            over: int = OVER_WORDS) -> list[tuple[int, int]]:
-    """``(fingerprint, first line)`` of the shortest runs of over ``over`` words that hold a selected shingle."""
+    """``(fingerprint, first line)`` of the runs of over ``over`` words that
+    hold a selected shingle and are shortest from their first line, or up to
+    their last one."""
     end = np.cumsum(words).tolist()
     begin = [0, *end]  # words before each line
     found: dict[tuple[int, int], None] = {}
     for i, last in shingles(hashes, words, least, window):
         for a in range(i, -1, -1):
-            b = max(last, bisect_right(end, begin[a] + over))
+            b = bisect_right(end, begin[a] + over)
+            if b < last:
+                break
             if b < len(end):
                 found[a, b] = None
-            if end[last] - begin[a] > over:  # from a line before, the run would not be shortest
+        for b in range(last, len(end)):
+            a = bisect_left(begin, end[b] - over) - 1
+            if a > i:
                 break
+            if a >= 0:
+                found[a, b] = None
     raw = hashes.tobytes()
     return [(xxhash.xxh64_intdigest(raw[8 * a:8 * b + 8]), a) for a, b in found]
 

@@ -24,6 +24,8 @@ from civicscan.llm.common import materialize, ship_package, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_ID = 2
+#: Partitions whose token totals are summed in one task.
+GROUP = 1024
 #: Words kept per Python worker in each of two tables: a full one becomes the
 #: old one, from which words still in use are taken over.
 CACHE_WORDS = 250_000
@@ -70,10 +72,11 @@ class WordTokenizer:
             # a mark after a letter is a word of its own: "word," is "word" and ","
             mark = w[-1] if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalpha() else ""
             head = w[:-1] if mark else w
+            # the head's own letters decide, whatever earlier rows have put in the table
+            if not (head.isalpha() and head.islower() and head[-1] <= "\xff" and head.encode("latin-1", "ignore").decode("latin-1") == head):
+                others.append(w)
+                continue
             if head not in words:
-                if not (head.isalpha() and head.islower() and head[-1] <= "\xff" and head.encode("latin-1", "ignore").decode("latin-1") == head):
-                    others.append(w)
-                    continue
                 words[head] = self._letters(head)
             if mark:
                 if mark not in words:
@@ -148,9 +151,13 @@ def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str =
     """
     ids = tokenized(df, vocabulary, id_col, text_col, end_id)
     total = ids.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    # one row per input partition
-    base = total.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    rows = ids.join(F.broadcast(base), "part").select(
+    # prefix sums in two levels: inside groups of partitions, then over the groups
+    total = materialize(total.withColumn("g", F.floor(F.col("part") / GROUP)), "packing-totals")
+    groups = total.groupBy("g").agg(F.sum("total").alias("m"))
+    groups = groups.select("g", (F.sum("m").over(Window.orderBy("g")) - F.col("m")).alias("before"))
+    inside = F.sum("total").over(Window.partitionBy("g").orderBy("part")) - F.col("total")
+    base = total.withColumn("inside", inside).join(groups, "g").select("part", (F.col("before") + F.col("inside")).alias("base"))
+    rows = ids.join(base, "part").select(
         "id", (F.col("base") + F.col("local_start")).alias("at"), "n_tokens", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,7 +46,16 @@ NAMES = frozenset("ad ads adv advert advertisement advertising adbox adslot bann
                   "pager tags skip copyright legal disclaimer contentinfo complementary".split())
 KEPT = frozenset("html body main article".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S)
+#: Names that readers' comments go by.
+COMMENTS = frozenset("comment comments discussion disqus reply replies respond responses".split())
+#: An element goes for its name, or as a form, only if it holds no more than this share of the page's words.
+NAME_SHARE = 0.5
+#: Comments may be longer than what they are about.
+COMMENTS_SHARE = 0.9
+
+_MARK = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*+)|(!--)|(!\[CDATA\[)|[!?])")
+# the rest of a tag: a quote counts only where a value begins; possessive, so a broken tag costs no backtracking
+_REST = re.compile(r"""((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)\s*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>""")
 _NAMING = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|aria-label|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in RAW}
@@ -54,11 +63,12 @@ _COMMENTS = re.compile(r"(?:\d+\s+)?(?:reader\s+)?comments?(?:\s*\(\d+\))?|leave
 
 
 class Node:
-    __slots__ = ("tag", "names", "items", "hash", "words", "linked")
+    __slots__ = ("tag", "names", "items", "hash", "words", "linked", "core")
 
     def __init__(self, tag: str, names: frozenset[str] = frozenset()) -> None:
         self.tag, self.names, self.items = tag, names, []
         self.hash, self.words, self.linked = 0, 0, 0
+        self.core = False  # whether it is or holds what the page is about
 
 
 def _names(attributes: str) -> frozenset[str]:
@@ -93,14 +103,21 @@ def parse(page: str) -> Node:
         if s:
             stack[-1].items.append(entities.unescape(s) if "&" in s else s)
 
-    while (m := _TAG.search(page, at)) is not None:
+    while (m := _MARK.search(page, at)) is not None:
         text(page[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>"))
+        if m[2] is None:
+            stop = "-->" if m[3] else "]]>" if m[4] else ">"
+            end = page.find(stop, m.start() + 2 if m[3] else m.end())
+            end = len(page) if end < 0 else end
+            if m[4]:
+                text(page[m.end():end])
+            at = min(len(page), end + len(stop))
             continue
+        rest = _REST.match(page, m.end())
+        if rest is None:  # a tag that never ends takes the rest of the page
+            at = len(page)
+            break
+        at, tag, attributes = rest.end(), m[2].lower(), rest[1]
         if m[1]:
             for i in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[i].tag == tag:
@@ -120,9 +137,9 @@ def parse(page: str) -> Node:
                 close(i)
                 if tag == "tr" and stack[-1].tag == "tr":
                     close(len(stack) - 1)
-        node = Node(tag, _names(m[3]) if m[3] else frozenset())
+        node = Node(tag, _names(attributes) if attributes else frozenset())
         stack[-1].items.append(node)
-        if tag in VOID or m[3].endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or attributes.endswith("/") and tag in ("svg", "math"):
             continue
         if tag in RAW:
             end = _END[tag].search(page, at)
@@ -171,22 +188,59 @@ def subtrees(root: Node) -> dict[int, int]:
     return out
 
 
-def _unwanted(n: Node) -> bool:
-    if n.tag in DROPPED or "-hidden" in n.names:
+def mark_core(root: Node) -> Node | None:
+    """Mark the elements that hold an article (not a reader's comment), a main
+    element or a first heading.  On a page without article and main, the
+    element with the most words in paragraphs of its own is returned."""
+    order: list[tuple[Node, Node | None, bool]] = []
+    todo: list[tuple[Node, Node | None, bool]] = [(root, None, False)]
+    marked, best, most = False, None, 0
+    while todo:
+        n, parent, off = todo.pop()
+        off = off or n.tag in DROPPED - {"form"}
+        order.append((n, parent, off))
+        own = 0
+        for x in n.items:
+            if not isinstance(x, str):
+                todo.append((x, n, off))
+                own += x.words if x.tag in ("p", "blockquote", "pre") else 0
+        if own > most and not off and n.tag not in ("#", "html", "body") and not n.names & COMMENTS:
+            best, most = n, own
+    for n, parent, off in reversed(order):
+        if not off and (n.tag == "main" or n.tag == "article" and not _unwanted_article(n)):
+            n.core = marked = True
+        elif n.tag == "h1" and n.words and not off:
+            n.core = True
+        if n.core and parent is not None and n.tag != "header":
+            parent.core = True
+    return None if marked else best
+
+
+def _unwanted_article(n: Node) -> bool:
+    return bool(n.names & (COMMENTS | {"teaser", "related", "promo", "ad", "sponsored"}))
+
+
+def _unwanted(n: Node, page_words: int) -> bool:
+    if "-hidden" in n.names or n.tag in DROPPED and n.tag != "form":
         return True
     if n.tag in KEPT:
         # pages name their body and article after all sorts of things; readers' comments may be articles
-        return n.tag == "article" and bool(n.names & {"comment", "comments", "reply", "teaser", "related", "promo", "ad", "sponsored"})
-    return bool(n.names & NAMES)
+        return n.tag == "article" and _unwanted_article(n)
+    if n.tag == "form" or n.names & NAMES:
+        # one word of a name says little about an element that holds the article or most of the page
+        return not n.core and (n.words <= NAME_SHARE * page_words or bool(n.names & COMMENTS) and n.words <= COMMENTS_SHARE * page_words)
+    return False
 
 
 def _heading(n: Node) -> str:
     return " ".join(x for x in n.items if isinstance(x, str)).strip()
 
 
-def prune(n: Node, template: dict[int, float], inside: bool) -> None:
-    """Delete what is not article text below ``n``; ``inside`` an article only what nearly all pages share."""
-    todo = [(n, inside)]
+def prune(root: Node, template: dict[int, float]) -> None:
+    """Delete what is not article text; inside an article (or a main element,
+    or what stands for one) only groups of blocks that most pages share."""
+    text = mark_core(root)
+    todo = [(root, False)]
     while todo:
         n, inside = todo.pop()
         kept: list = []
@@ -197,13 +251,13 @@ def prune(n: Node, template: dict[int, float], inside: bool) -> None:
                 continue
             if re.fullmatch("h[1-6]", x.tag):
                 skip = x.tag != "h1" and _COMMENTS.fullmatch(_heading(x)) is not None
-            if skip or x.tag == "header" and not inside or _unwanted(x):
-                continue
             share = template.get(x.hash, 0) if x.words else 0
+            if skip or x.tag == "header" and not inside or _unwanted(x, root.words):
+                continue
             if share and (not inside or share >= ARTICLE_SHARE and x.tag not in INLINE and not re.fullmatch("p|h[1-6]|blockquote|li|pre|td", x.tag)):
                 continue
             kept.append(x)
-            todo.append((x, inside or x.tag == "article"))
+            todo.append((x, inside or x.tag in ("article", "main") or x is text))
         n.items = kept
 
 
@@ -263,7 +317,7 @@ def main_text(page: str | None, template: dict[int, float]) -> str:
         return ""
     root = parse(page)
     measure(root)
-    prune(root, template, False)
+    prune(root, template)
     everything = _words(root)
     for tag in ("article", "main"):
         found = [(x, _words(x)) for x in _find(root, tag)]
