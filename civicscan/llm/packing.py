@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,9 @@ END_ID = 2
 GROUP = 1024
 #: Words kept per Python worker in each of two tables: a full one becomes the
 #: old one, from which words still in use are taken over.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 350_000
+#: Characters of texts whose new words are learned together.
+TOGETHER = 1 << 21
 
 # str.split() also splits at U+001C..U+001F, which the vocabulary's white space does not include
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -38,6 +41,9 @@ _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 17
 _SHOWN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 class WordTokenizer:
     """Ids of whole texts for a vocabulary that drops white space and never
     joins text over it, so a text's ids are those of its words in turn."""
@@ -61,7 +67,7 @@ class WordTokenizer:
         vocabulary's split, so only the merges are left to apply."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(_SHOWN)
-        return np.array([t.id for t in self.merges.tokenize(word)], "<u4").tobytes()
+        return _PACK[n](*ids) if (n := len(ids := [t.id for t in self.merges.tokenize(word)])) < len(_PACK) else struct.pack(f"<{n}I", *ids)
 
     def _learn(self, missing: set[str]) -> None:
         words, old, others = self.words, self.old, []
@@ -85,25 +91,49 @@ class WordTokenizer:
         words.update(zip(others, self._encode(others)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        out = []
-        for t in texts:
+        """Little-endian 32-bit ids of each text; new words are learned for many texts at once."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= TOGETHER:
+                size += len(texts[end])
+                end += 1
+            out += self._together(texts[at:end])
+            at = end
+        return out
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = []
+        later: list[tuple[int, list[str]]] = []
+        known, missing = self.words.get, set()
+        for i, t in enumerate(texts):
             if _CONTROL.search(t):
                 out.append(self._encode([t])[0])
                 continue
-            try:  # up to U+00FF lower-casing is the same letter by letter and in context
-                t.encode("latin-1")
+            if t.isascii():
                 t = t.lower()
-            except UnicodeEncodeError:
-                pass
+            else:
+                try:  # up to U+00FF lower-casing is the same letter by letter and in context
+                    t.encode("latin-1")
+                    t = t.lower()
+                except UnicodeEncodeError:
+                    pass
             words = t.split()
-            ids = list(map(self.words.get, words))
+            ids = list(map(known, words))
             if None in ids:
-                if len(self.words) > CACHE_WORDS:
-                    self.old, self.words = self.words, {}
-                self._learn({w for w in words if w not in self.words})
-                ids = map(self.words.__getitem__, words)
-            out.append(b"".join(ids))
+                missing.update([w for w, x in zip(words, ids) if x is None])
+                later.append((i, words))
+                out.append(None)
+            else:
+                out.append(b"".join(ids))
+        if later:
+            if len(self.words) > CACHE_WORDS:
+                self.old, self.words = self.words, {}
+                missing = {w for _, words in later for w in words}
+            self._learn(missing)
+            for i, words in later:
+                out[i] = b"".join(map(self.words.__getitem__, words))
         return out
 
 
