@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,7 +33,7 @@ CACHE_WORDS = 350_000
 TOGETHER = 1 << 21
 
 # str.split() also splits at U+001C..U+001F, which the vocabulary's white space does not include
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 
 # bytes outside printable ASCII and Latin-1 stand in a vocabulary for characters from U+0100 on, in order
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
@@ -105,10 +104,10 @@ class WordTokenizer:
 
     def _together(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = []
-        later: list[tuple[int, list[str]]] = []
+        later: list[tuple[int, list, list[tuple[int, str]]]] = []
         known, missing = self.words.get, set()
         for i, t in enumerate(texts):
-            if _CONTROL.search(t):
+            if any(c in t for c in _CONTROL):
                 out.append(self._encode([t])[0])
                 continue
             if t.isascii():
@@ -122,18 +121,20 @@ class WordTokenizer:
             words = t.split()
             ids = list(map(known, words))
             if None in ids:
-                missing.update([w for w, x in zip(words, ids) if x is None])
-                later.append((i, words))
+                gaps = [(k, words[k]) for k, x in enumerate(ids) if x is None]
+                missing.update([w for _, w in gaps])
+                later.append((i, ids, gaps))
                 out.append(None)
             else:
                 out.append(b"".join(ids))
         if later:
             if len(self.words) > CACHE_WORDS:
                 self.old, self.words = self.words, {}
-                missing = {w for _, words in later for w in words}
             self._learn(missing)
-            for i, words in later:
-                out[i] = b"".join(map(self.words.__getitem__, words))
+            for i, ids, gaps in later:
+                for k, w in gaps:
+                    ids[k] = self.words[w]
+                out[i] = b"".join(ids)
         return out
 
 
