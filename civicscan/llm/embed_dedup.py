@@ -192,7 +192,10 @@ def _window_links(keyed: DataFrame, rows: int, window: int, threshold: float, ki
 
     def across(t: pa.Table) -> pa.Table:
         t = t.sort_by([(c, "ascending") for c in order])
-        u, v = links(t, t["part"].to_numpy())
+        f = Forest()  # a spanning star per group here too
+        for a, b in zip(*(x.tolist() for x in links(t, t["part"].to_numpy()))):
+            f.link(a, b)
+        u, v = f.stars()
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     seam = (found.filter("side is not null").select((F.col("part") + F.col("side")).alias("seam"), *names)
