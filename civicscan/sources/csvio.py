@@ -13,20 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import csv_split
 
 NEWS_SCHEMA = ("publish_time timestamp_ntz, link string, source string, location_type bigint, "
                "location_fullname string, country_code string, adm1_code string, "
                "latitude double, longitude double")
+READ_OPTIONS = {"mode": "PERMISSIVE", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Header row, explicit schema, malformed rows kept as nulls.
 
-    ``multi_line`` reads fields with line breaks; a file is then one task, so
-    it is off unless asked for."""
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("multiLine", multi_line).option("escape", '"')
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
+    ``multi_line`` reads fields with line breaks, still as many tasks per file
+    (``csv_split``); it scans the text up to three times, so it is off unless
+    asked for."""
+    if multi_line:
+        return csv_split.read(spark, path, schema, READ_OPTIONS)
+    return spark.read.schema(schema).option("header", True).options(**READ_OPTIONS).csv(path)
 
 
 def read_news_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -50,7 +53,7 @@ def for_csv(df: DataFrame) -> DataFrame:
 
 def _writer(df: DataFrame, mode: str):
     return (df.write.mode(mode).option("header", True).option("escape", '"')
-            .option("emptyValue", ""))
+            .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
