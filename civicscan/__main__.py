@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--data", required=True, help="folder with the input parquet tables")
     run.add_argument("--out", required=True, help="output directory")
     run.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    run.add_argument("--append", metavar="RUN", help="append as this run (CSV): a run counts once however often it is tried")
     run.add_argument("--by-year", action="store_true", help="one folder per year (needs a year column)")
     run.add_argument("--master", default=None)
     rep = sub.add_parser("reports", help="utility notices + summary advisories, sharing one page-date table")
@@ -64,6 +65,13 @@ def main(argv: list[str] | None = None) -> int:
     from .sources import csvio
     spark = get_session(args.master, app=f"civicscan-{args.job}")
     df = QUERIES[args.job](spark, args.data)
+    if args.append:
+        if args.by_year or args.format != "csv":
+            print("--append writes CSV without year folders", file=sys.stderr)
+            return 2
+        done = csvio.append_run(df, args.out, args.append)
+        print(f"{args.job}: run {args.append} " + (f"appended to {args.out}" if done else "had been appended"))
+        return 0
     if args.by_year:
         if "year" not in df.columns:
             print("--by-year needs a 'year' column", file=sys.stderr)

@@ -5,6 +5,7 @@ views) so its work grows with them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import feed, trends
-from ..session import ship_package
-from ..sources import fixtures
+from ..session import checkpoint_dir, ship_package
+from ..sources import csvio, fixtures
+from ..sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -384,3 +386,47 @@ def news_head(spark, sf_dir):
 @query
 def model_response_text(spark, sf_dir):
     return responses.model_texts(fx(spark, sf_dir, "fx_llm_parts"))
+
+
+# ---------------------------------------------------------------- CSV hand-offs
+
+def _report_folder(spark, name):
+    """A new folder for a report, where driver and executors can read it."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query
+def documents_csv(spark, sf_dir):
+    """Texts with quotes, commas and line breaks through a CSV report, read back as many tasks per file."""
+    path = _report_folder(spark, "documents_csv")
+    csvio.write_csv(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), path)
+    return csvio.read_csv(spark, path, "doc_id long, lang string, source string, text string", multi_line=True)
+
+
+@query
+def news_report_csv(spark, sf_dir):
+    """The feed report written and read back with its schema, as the trend job takes it."""
+    path = _report_folder(spark, "news_report_csv")
+    csvio.write_csv(news_first(spark, sf_dir), path)
+    return csvio.read_news_csv(spark, path, multi_line=True)
+
+
+@query
+def appended_advisories(spark, sf_dir):
+    """Advisory rows appended by two runs, one of them tried twice: each row counts once."""
+    path = _report_folder(spark, "appended_advisories")
+    rows = responses.advisories(fx(spark, sf_dir, "fx_llm"))
+    odd = F.pmod("doc_id", F.lit(2)) == 1
+    for run_id, part in (("odd", odd), ("even", ~odd | odd.isNull()), ("odd", odd)):
+        csvio.append_run(rows.where(part), path, run_id)
+    return csvio.read_runs(spark, path, rows.schema, multi_line=True).na.fill("")
+
+
+@query
+def counts_csv_by_year(spark, sf_dir):
+    """One folder per year, written twice, read back with the year from the folders."""
+    path = _report_folder(spark, "counts_csv_by_year")
+    counts = trends.counts_by_state_year(known_located(spark, sf_dir), schemas.state_names(spark))
+    for _ in range(2):
+        csvio.write_by_year(counts, path)
+    return csvio.read_csv(spark, path, counts.schema, multi_line=True)

@@ -701,3 +701,16 @@ SELECT doc_id, adv_pos,
    CASE WHEN json_extract_string(a, '$.publish_date') IS NULL OR json_extract_string(a, '$.publish_date') = 'null' THEN '' ELSE json_extract_string(a, '$.publish_date') END AS publish_date
 FROM litems
 """
+
+
+# ---------------------------------------------------------------- CSV hand-offs
+# A report keeps every row; empty text is read back as null.
+
+ORACLE["documents_csv"] = ("SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, "
+                           "nullif(text, '') AS text FROM documents")
+ORACLE["news_report_csv"] = FEED_CTES + (
+    " SELECT publish_time, nullif(link, '') AS link, nullif(source, '') AS source, location_type, "
+    "nullif(location_fullname, '') AS location_fullname, nullif(country_code, '') AS country_code, "
+    "nullif(adm1_code, '') AS adm1_code, latitude, longitude FROM k1_first")
+ORACLE["appended_advisories"] = ORACLE["advisories_strict"]
+ORACLE["counts_csv_by_year"] = ORACLE["counts_by_state_year"]

@@ -3,8 +3,8 @@
 Readers always take an explicit schema (no inference).  Sinks write
 directories of part files through the DataFrame writer: overwrite for
 reports, append for incremental advisory lists (a header per part file, read
-back transparently with ``header=True``), and dynamic partition overwrite for
-per-year folders.  No index column is ever written.
+back transparently with ``header=True``), append by run for jobs that may be
+retried (``runs``), and dynamic partition overwrite for per-year folders.  No index column is ever written.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import csv_split
+from . import csv_split, runs
 
 NEWS_SCHEMA = ("publish_time timestamp_ntz, link string, source string, location_type bigint, "
                "location_fullname string, country_code string, adm1_code string, "
@@ -21,7 +21,7 @@ NEWS_SCHEMA = ("publish_time timestamp_ntz, link string, source string, location
 READ_OPTIONS = {"mode": "PERMISSIVE", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Header row, explicit schema, malformed rows kept as nulls.
 
     ``multi_line`` reads fields with line breaks, still as many tasks per file
@@ -63,10 +63,28 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def append_csv(df: DataFrame, path: str) -> None:
     """Append rows; the header is written with every part file and
-    skipped on read."""
+    skipped on read.  A retried job appends again: see ``append_run``."""
     _writer(for_csv(df), "append").csv(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str) -> bool:
+    """S7 / S8 for jobs that are retried: the rows of ``run_id`` count once,
+    those of its first attempt that ends; false if that was an earlier one,
+    whose rows stay.  Read back with ``read_runs``."""
+    spark = df.sparkSession
+    if runs.is_committed(spark, path, run_id):
+        return False
+    attempt, folder = runs.new_attempt(path)
+    _writer(for_csv(df), "errorifexists").csv(folder)
+    return runs.commit(spark, path, run_id, attempt)
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """The rows of all runs that ended; none if there is no such run."""
+    folders = runs.committed(spark, path)
+    return read_csv(spark, folders, schema, multi_line) if folders else spark.createDataFrame([], schema)
+
+
 def write_by_year(df: DataFrame, path: str, column: str = "year") -> None:
     """One folder per year, replacing only the years present in ``df``."""
     (_writer(for_csv(df), "overwrite").option("partitionOverwriteMode", "dynamic")

@@ -211,3 +211,50 @@ def test_logs_keep_every_answer(spark):
     log = fx(spark, SF_SMALL, "fx_summary_llm")
     assert log.count() == 2 * search.count()
     assert log.filter("input_text = 't'").count() == search.count()
+
+
+def _parts_on_disk(path):
+    return [f for _, _, files in os.walk(path) for f in files if f.startswith("part-")]
+
+
+def test_a_run_counts_once(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "id long, v string"
+    rows = [(i, f"two\nlines, {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    assert csvio.read_runs(spark, path, schema).collect() == []
+    assert csvio.append_run(df.where("id < 10"), path, "2025/01")
+    assert not csvio.append_run(df.where("id < 10"), path, "2025/01")       # a retry after the end
+    assert csvio.append_run(df.where("id >= 10"), path, "2025/02")
+    assert sorted(map(tuple, csvio.read_runs(spark, path, schema, multi_line=True).collect())) == rows
+    assert csvio.append_run(df.limit(0), path, "empty")                      # a run without rows is a run
+    assert csvio.read_runs(spark, path, schema, multi_line=True).count() == 20
+
+
+def test_an_attempt_that_dies_between_files_adds_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from civicscan.sources import runs
+    path, schema = str(tmp_path / "table"), "id long, v string"
+    rows = [(i, "x") for i in range(8)]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    with monkeypatch.context() as m:                                         # all files written, the end not reached
+        def lost(*_):
+            raise ConnectionError("lost")
+        m.setattr(runs, "commit", lost)
+        with pytest.raises(ConnectionError):
+            csvio.append_run(df, path, "a")
+    dies = df.where("id < 7").selectExpr("id", "if(id = 5, raise_error('lost'), v) AS v")
+    with pytest.raises(Exception, match="lost"):                             # some files written
+        csvio.append_run(dies, path, "a")
+    assert _parts_on_disk(path) and csvio.read_runs(spark, path, schema).count() == 0
+    assert csvio.append_run(df, path, "a")
+    assert sorted(map(tuple, csvio.read_runs(spark, path, schema).collect())) == rows
+
+
+def test_of_two_attempts_at_once_the_first_to_end_counts(spark, tmp_path, monkeypatch):
+    from civicscan.sources import runs
+    path, schema = str(tmp_path / "table"), "id long, v string"
+    df = spark.createDataFrame([(1, "x")], schema)
+    monkeypatch.setattr(runs, "is_committed", lambda *_: False)              # neither sees the other
+    assert csvio.append_run(df, path, "a") and not csvio.append_run(df, path, "a")
+    assert csvio.read_runs(spark, path, schema).count() == 1
