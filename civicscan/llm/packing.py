@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,9 @@ TOGETHER = 1 << 21
 # str.split() also splits at U+001C..U+001F, which the vocabulary's white space does not include
 _CONTROL = "\x1c\x1d\x1e\x1f"
 
+# of these the vocabulary makes one word of a run; they compose with no letter
+_MARKS = string.punctuation
+
 # bytes outside printable ASCII and Latin-1 stand in a vocabulary for characters from U+0100 on, in order
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 _SHOWN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
@@ -74,19 +78,20 @@ class WordTokenizer:
             if w in old:
                 words[w] = old[w]
                 continue
-            # a mark after a letter is a word of its own: "word," is "word" and ","
-            mark = w[-1] if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalpha() else ""
-            head = w[:-1] if mark else w
+            # marks after a word are a word of their own: "word,--" is "word" and ",--"
+            head = w.rstrip(_MARKS)
             # the head's own letters decide, whatever earlier rows have put in the table
-            if not (head.isalpha() and head.islower() and head[-1] <= "\xff" and head.encode("latin-1", "ignore").decode("latin-1") == head):
+            if not (head.isalpha() and head.islower() and (head.isascii() or max(head) <= "\xff")):
                 others.append(w)
                 continue
-            if head not in words:
-                words[head] = self._letters(head)
-            if mark:
+            ids = words.get(head)
+            if ids is None:
+                ids = words[head] = self._letters(head)
+            if len(head) < len(w):
+                mark = w[len(head):]
                 if mark not in words:
                     words[mark] = self._encode([mark])[0]
-                words[w] = words[head] + words[mark]
+                words[w] = ids + words[mark]
         words.update(zip(others, self._encode(others)))
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -356,7 +356,7 @@ def test_word_ids_do_not_depend_on_earlier_rows():
         tokenizer = packing.WordTokenizer(f.read())
     rng = random.Random(12)
     pieces = ["İ", "ǆ", "ß", "ẞ", "word", "Σ", "σς", "ﬁ", "é", "e\u0301", "na\u00efve", "ª", "K", "Å", "x", "І", "ı", "ﾊ", "ⅷ", "ñ", "µ", "ſ", "don't", "it's"]
-    texts = ["İ", "İ, x"] + [rng.choice(["", " "]).join(rng.choice(pieces) + rng.choice(["", ",", ".", "!", " ", ":", "?;"]) for _ in range(rng.randint(1, 6))) for _ in range(6000)]
+    texts = ["İ", "İ, x"] + [rng.choice(["", " "]).join(rng.choice(pieces) + rng.choice(["", ",", ".", "!", " ", ":", "?;", "$$$", "'", "''s", ".%%", "'ll", "<|endoftext|>", "=\u0338", "\u0301", "…", "~`"]) for _ in range(rng.randint(1, 6))) for _ in range(6000)]
     for t in texts:
         want = library.encode(t, add_special_tokens=False).ids
         assert np.frombuffer(tokenizer.encode([t])[0], "<u4").tolist() == want, t
