@@ -15,7 +15,7 @@ from .. import schemas
 from ..operators import feed, trends
 from ..session import checkpoint_dir, ship_package
 from ..sources import csvio, fixtures
-from ..sources.tables import read_table
+from ..sources.tables import read_state_geo, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -139,6 +139,16 @@ def state_map_table(spark, sf_dir):
     return trends.state_map_table(counts, geo, states)
 
 
+@query
+def state_map_stored(spark, sf_dir):
+    """The map table over a geometry table that was stored before."""
+    states = schemas.state_names(spark)
+    path = _report_folder(spark, "state_geo")
+    known = known_located(spark, sf_dir)
+    trends.state_geo_from_points(known, states).write.parquet(path)
+    return trends.state_map_table(trends.counts_by_state_year(known, states), read_state_geo(spark, path), states)
+
+
 @query
 def state_extent(spark, sf_dir):
     return trends.state_extent(_state_geo(spark, sf_dir))
@@ -214,7 +224,7 @@ def verdict_yes(spark, sf_dir):
 
 @query
 def prompt_text(spark, sf_dir):
-    from ..sources.tables import read_table
+    from ..sources.tables import read_state_geo, read_table
     docs = read_table(spark, sf_dir, "documents")
     return docs.select("doc_id", responses.extraction_prompt(F.col("text")).alias("prompt"))
 

@@ -8,7 +8,7 @@ match the Spark outputs exactly.
 from __future__ import annotations
 
 from .. import schemas
-from ..sources.fixtures import duckdb_ctes
+from ..sources.fixtures import duckdb_ctes, duckdb_text
 
 ORACLE: dict[str, str] = {}
 
@@ -513,13 +513,13 @@ def _markdown_sql(x: str) -> str:
     return _strip_sql(sub(s, "\n{3,}", _q("\n\n")))
 
 
-ORACLE["jsonld_articles"] = DATE_CTES + f""",
+JSONLD_CTES = DATE_CTES + f""",
 art AS (SELECT page_id, item FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY gi) AS rn FROM items_n
    WHERE json_type(item) = 'OBJECT' AND (
      (json_type(item, '$."@type"') = 'ARRAY' AND list_has_any(CAST(json_extract(item, '$."@type"') AS VARCHAR[]), {_TYPES}))
      OR (json_type(item, '$."@type"') = 'VARCHAR' AND list_contains({_TYPES}, json_extract_string(item, '$."@type"'))))) z
-   WHERE rn = 1)
-SELECT page_id,
+   WHERE rn = 1),
+jsonld AS (SELECT page_id,
   coalesce(nullif(json_extract_string(item, '$.headline'), ''), nullif(json_extract_string(item, '$.name'), '')) AS title,
   CASE json_type(item, '$.author')
     WHEN 'ARRAY' THEN array_to_string(list_transform(CAST(json_extract(item, '$.author') AS JSON[]),
@@ -532,8 +532,9 @@ SELECT page_id,
   CASE WHEN json_type(item, '$.publisher') = 'OBJECT' THEN json_extract_string(item, '$.publisher.name')
        ELSE json_extract_string(item, '$.publisher') END AS publisher,
   json_extract_string(item, '$.url') AS url
-FROM art
+FROM art)
 """
+ORACLE["jsonld_articles"] = JSONLD_CTES + " SELECT * FROM jsonld"
 
 _ARTICLE_TEXT_SQL = _strip_sql(
     f"regexp_replace({_get_text_sql('html', chr(10), _ARTICLE_SKIPPED)}, {_q(chr(10) + '{2,}')}, {_q(chr(10) * 2)}, 'g')")
@@ -541,6 +542,71 @@ ORACLE["visible_text"] = duckdb_ctes("fx_pages") + (
     f" SELECT page_id, {_get_text_sql('html')} AS text_all, {_ARTICLE_TEXT_SQL} AS text_article FROM fx_pages")
 ORACLE["markdown_text"] = duckdb_ctes("fx_pages") + f" SELECT page_id, {_markdown_sql('html')} AS markdown FROM fx_pages"
 
+# ---------------------------------------------------------------- container tree
+# The tree by nested intervals: a page is cut at its tags into numbered parts; an
+# element runs to the first end tag of its name at a lesser depth of that name, or
+# to the end of an element around it.  The engine keeps a stack instead.
+
+_DENSE_SKIPPED = ("script", "style", "template", "noscript", "form")
+_BOXES = "div article section main header footer nav aside body html ul ol li table tr td th blockquote".split()
+_NEVER = "9223372036854775807"
+
+TREE_CTES = f"""
+cut AS (SELECT page_id, string_split(regexp_replace({_without('html', _DENSE_SKIPPED, '<i></i>')}, {_q('(' + _ANY_TAG + ')')}, concat(chr(1), '\\1', chr(1)), 'g'), chr(1)) AS a
+  FROM fx_pages WHERE status_code BETWEEN 200 AND 299),
+part AS (SELECT page_id, unnest(a) AS x, generate_subscripts(a, 1) AS p FROM cut),
+tag AS (SELECT page_id, p, lower(regexp_extract(x, '^</?([A-Za-z][^\\s/>]*)', 1)) AS name, x[2] = '/' AS closing FROM part WHERE p % 2 = 0),
+piece AS (SELECT * FROM (SELECT page_id, p, {_strip_sql(_decode_sql('x'))} AS t FROM part WHERE p % 2 = 1) WHERE t <> ''),
+box AS (SELECT *, sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY p) AS depth
+  FROM tag WHERE list_contains({_BOXES}, name)),
+element AS (SELECT s.page_id, s.p, s.name, coalesce(min(e.p), {_NEVER}) AS e
+  FROM box s LEFT JOIN box e ON e.page_id = s.page_id AND e.name = s.name AND e.closing AND e.p > s.p AND e.depth < s.depth
+  WHERE NOT s.closing GROUP BY s.page_id, s.p, s.name),
+span AS (SELECT s.page_id, s.p, s.name, least(s.e, coalesce(min(o.e), {_NEVER})) AS e
+  FROM element s LEFT JOIN element o ON o.page_id = s.page_id AND o.p < s.p AND o.e > s.p
+  GROUP BY s.page_id, s.p, s.name, s.e),
+node AS (SELECT *, CAST(row_number() OVER (PARTITION BY page_id ORDER BY p) - 1 AS INTEGER) AS node_ord
+  FROM span WHERE name IN ('article', 'section', 'div', 'main')),
+node_text AS (SELECT n.page_id, n.node_ord, string_agg(t.t, chr(10) ORDER BY t.p) AS t
+  FROM node n JOIN piece t ON t.page_id = n.page_id AND t.p > n.p AND t.p < n.e GROUP BY n.page_id, n.node_ord),
+node_links AS (SELECT n.page_id, n.node_ord, CAST(count(*) AS INTEGER) AS n_links
+  FROM node n JOIN tag a ON a.page_id = n.page_id AND a.name = 'a' AND NOT a.closing AND a.p > n.p AND a.p < n.e GROUP BY n.page_id, n.node_ord),
+scored AS (SELECT n.page_id, n.node_ord, n.name AS tag, coalesce(l.n_links, 0) AS n_links,
+    length(t.t) / CAST(coalesce(l.n_links, 0) + 1 AS DOUBLE) AS score, t.t
+  FROM node n JOIN node_text t ON t.page_id = n.page_id AND t.node_ord = n.node_ord
+  LEFT JOIN node_links l ON l.page_id = n.page_id AND l.node_ord = n.node_ord WHERE length(t.t) > {schemas.MIN_TEXT_CHARS}),
+best AS (SELECT page_id, node_ord, tag, n_links, score, {_strip_sql(f"regexp_replace(t, {_q(chr(10) + '{2,}')}, {_q(chr(10) * 2)}, 'g')")} AS text
+  FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, node_ord) AS rn FROM scored) WHERE rn = 1)"""
+ORACLE["best_container"] = duckdb_ctes("fx_pages") + "," + TREE_CTES + " SELECT * FROM best"
+
+_LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]"
+
+
+def _clean_lines_sql(x: str) -> str:
+    lines = f"list_transform(regexp_split_to_array({x}, {_q(_LINE_ENDS)}), lambda l: {_strip_sql('l')})"
+    return f"array_to_string(list_filter({lines}, lambda l: l <> ''), chr(10))"
+
+
+RECORD_CTES = JSONLD_CTES + "," + TREE_CTES + f""",
+body AS (SELECT p.page_id, p.url AS request_url, p.html, p.status_code BETWEEN 200 AND 299 AS ok, j.title, j.author, j.date, j.publisher,
+    j.url AS own_url, j.description, coalesce(nullif(j.article_body, ''), b.text, '') AS body
+  FROM fx_pages p LEFT JOIN jsonld j ON j.page_id = p.page_id LEFT JOIN best b ON b.page_id = p.page_id),
+reduced AS (SELECT *, CASE WHEN contains(body, '<') AND contains(body, '>') AND contains(body, '</')
+    THEN {_get_text_sql('body', chr(10))} ELSE body END AS plain FROM body),
+record AS (SELECT page_id, request_url, CASE WHEN ok THEN title END AS title, CASE WHEN ok THEN author END AS author,
+    CASE WHEN ok THEN date END AS date, CASE WHEN ok THEN publisher END AS publisher,
+    CASE WHEN ok THEN coalesce(nullif(own_url, ''), request_url) ELSE request_url END AS url,
+    CASE WHEN ok THEN description END AS description,
+    CASE WHEN ok THEN {_clean_lines_sql(f"CASE WHEN plain <> '' THEN plain ELSE {_markdown_sql('html')} END")} END AS text
+  FROM reduced)"""
+ORACLE["article_records"] = RECORD_CTES + " SELECT * FROM record"
+
+_NEWS = ", ".join(f"f.{c.strip()}" for c in K1_COLS.split(","))
+ORACLE["enriched_news"] = RECORD_CTES + "," + FEED_CTES.removeprefix("WITH ") + f""",
+news_page AS (SELECT url, min(page_id) AS page_id FROM ({duckdb_text("fx_news_crawl")}) c GROUP BY url)
+SELECT {_NEWS}, r.title AS article_title, r.text AS article_text, r.description AS article_summary
+FROM k1_first f LEFT JOIN news_page n ON f.link = n.url LEFT JOIN record r ON n.page_id = r.page_id"""
+
 
 # ---------------------------------------------------------------- composite K5
 
@@ -714,3 +780,4 @@ ORACLE["news_report_csv"] = FEED_CTES + (
     "nullif(adm1_code, '') AS adm1_code, latitude, longitude FROM k1_first")
 ORACLE["appended_advisories"] = ORACLE["advisories_strict"]
 ORACLE["counts_csv_by_year"] = ORACLE["counts_by_state_year"]
+ORACLE["state_map_stored"] = ORACLE["state_map_table"]

@@ -64,6 +64,7 @@ SELECT page_id, url, replace(replace(html, '</head>', concat(
   CASE WHEN page_id % 9 = 0 THEN '<nav-bar><p title="a>b">Caf&eacute; &#8217;26 &#x26; more</p></nav-bar><!-- <time datetime="2019-01-01">old</time> --><time-ago>then</time-ago><meta content="see name=pubdate here"><template><p>hidden text</p></template><nav>menu</nav><div class=x>open' ELSE '' END,
   CASE WHEN page_id % 9 = 4 THEN replace('<p data-x=it~s>Stray quote</p><p class=x id=it~s>We don~t stop &copy 2024 &amp more</p><p title="say "a>b" now">Said</p><time datetime=2024-05-01 class=it~s>then</time><p title = "c>d">Spaced</p></b>', '~', chr(39)) ELSE '' END,
   CASE WHEN page_id % 13 = 2 THEN concat('<p>Published: ', CASE page_id % 5 WHEN 0 THEN 'Jan 5, 24' WHEN 1 THEN '2024-Jan-05' WHEN 2 THEN '2024 January 5' WHEN 3 THEN '05JAN2024' ELSE '05.01.24' END, '</p>') ELSE '' END,
+  CASE WHEN page_id % 10 = 3 THEN concat('<section><h2>More</h2><div class="box"><p>', repeat('Boil water for one minute before use. ', 8), '</p><div>Not closed</section><section><p>', repeat('Tap water is safe again. ', 10), '<a href="/more">more</a></p></section><main><div>Short</div></main>') ELSE '' END,
   CASE WHEN page_id % 11 = 0 THEN '<p>Last updated: 5-Jan-2024</p>' WHEN page_id % 11 = 1 THEN '<p>Posted on 25/12/2023 by us</p>' WHEN page_id % 11 = 2 THEN '<time>5th of January 2024</time>' ELSE '' END, '</article>')) AS html,
  CASE WHEN page_id % 6 = 0 THEN 'Wed, 21 Oct 2015 07:28:00 GMT' WHEN page_id % 6 = 1 THEN 'Sunday, 06-Nov-94 08:49:37 GMT' END AS http_last_modified,
  CASE WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status_code FROM ${pages}
